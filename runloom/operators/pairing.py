@@ -9,8 +9,10 @@ from ..functions import names as N
 
 
 def stem(path: Column) -> Column:
-    """The name with read 1: what files of one set share."""
-    return N.rebuilt(*[{**N.illumina_attrs(path), "read_number": F.lit(1), "is_index_read": F.lit(False)}[k] for k in ("sample_name", "sample_number", "barcode_sequence", "lane_number", "read_number", "set_number", "is_index_read")])
+    """Directory, and the name with read 1: what files of one set share."""
+    a = N.illumina_attrs(path) | {"read_number": F.lit(1), "is_index_read": F.lit(False)}
+    kept = ("sample_name", "sample_number", "barcode_sequence", "lane_number", "read_number", "set_number", "is_index_read")
+    return F.concat(F.regexp_extract(path, "^(.*/)?[^/]*$", 1), N.rebuilt(*[a[k] for k in kept]))
 
 
 def pairs_by_name(files: DataFrame) -> DataFrame:
