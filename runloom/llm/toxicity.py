@@ -34,13 +34,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import checked_broadcast, cut, text_of
 
 BETWEEN = re.compile(r"\W+")
 ORDER, EXPRESSIONS, ENDINGS, DISCOUNT = 4, 1 << 20, 1 << 18, 0.5
 #: Characters that are scored at once, for bounded memory.
 CHUNK = 1_000_000
 CURVE_BINS, CURVE_RANGE = 4_000, 4.0
+#: Labels (a number and a mark each) that are sent to the texts; beyond, texts are shuffled to them.
+LABEL_ROWS = 2_000_000
 
 
 def characters(text: str) -> np.ndarray:
@@ -159,6 +161,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     teach nothing; fold 1 sets the curve; the rest is counted."""
     context = docs.sparkSession.sparkContext
     marks = labels.filter("toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).filter(fold(F.col("doc_id")) > 0)
+    marks = checked_broadcast(cut(marks), LABEL_ROWS)
     known = docs.select("doc_id", text_of().alias("text")).join(marks, "doc_id").select("text", "toxic", fold(F.col("doc_id")).alias("fold"))
     model = context.broadcast(prepared(count(known.filter("fold > 1").select("text", "toxic"))))
     slope, offset = 0.0, -1e3
