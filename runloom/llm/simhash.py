@@ -100,9 +100,9 @@ def into_units(classes: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
     by_pop = checked_broadcast(cut(by_pop.withColumn("before", before)))
     place = F.col("before") + F.pmod(F.xxhash64("f"), F.col("n"))
     tiled = rows.join(by_pop, ["block", "key", "pop"]).withColumn("tile", F.floor(place / tile).cast("int"))
-    spans = by_pop.select(
-        "block", "key", "pop", F.explode(F.sequence(F.floor(F.col("before") / tile), F.floor((F.col("before") + F.col("n") - 1) / tile))).cast("int").alias("tile")
-    )
+    tile_of = lambda x: F.floor(x / tile).cast("int")
+    reach = F.sequence(tile_of(F.col("before")), tile_of(F.col("before") + F.col("n") - 1))
+    spans = by_pop.select("block", "key", "pop", F.explode(reach).alias("tile"))
     spans = cut(spans.groupBy("block", "key", "tile").agg(F.min("pop").alias("low"), F.max("pop").alias("high")))
     one, other = spans.alias("a"), spans.alias("b")
     near = (
