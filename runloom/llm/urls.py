@@ -49,26 +49,28 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), path
 
 
-def build(entries) -> tuple[str, list[int]]:
-    """Writes the sorted keys, the entries' borders and bytes to a new folder.
-    Returns it and the lengths of the paths that entries have."""
+PARTS = ("keys", "ends", "bytes")
+
+
+def build(entries) -> tuple[str, str, list[int]]:
+    """Writes the sorted keys, the entries' borders and bytes to files of a new
+    folder. Returns it, their common name and the lengths of the entries' paths."""
     found = sorted({e.encode() for e in entries})
     keys = np.array([xxhash.xxh64_intdigest(e) for e in found], np.uint64)
     order = np.argsort(keys, kind="stable")
     data = [found[k] for k in order.tolist()]
-    folder = tempfile.mkdtemp(prefix="digests-")
-    np.save(f"{folder}/keys.npy", keys[order])
-    np.save(f"{folder}/ends.npy", np.cumsum([len(x) for x in data], dtype=np.int64))
-    np.save(f"{folder}/bytes.npy", np.frombuffer(b"".join(data), np.uint8))
-    return folder, sorted({len(e) - e.index(b"/") for e in found})
+    folder, name = tempfile.mkdtemp(prefix="digests-"), f"digests-{uuid.uuid4().hex}"
+    arrays = (keys[order], np.cumsum([len(x) for x in data], dtype=np.int64), np.frombuffer(b"".join(data), np.uint8))
+    for part, array in zip(PARTS, arrays, strict=True):
+        np.save(os.path.join(folder, f"{name}-{part}.npy"), array)
+    return folder, name, sorted({len(e) - e.index(b"/") for e in found})
 
 
 class Index:
-    """A built folder, mapped into memory."""
+    """Built files, mapped into memory. `place` gives a file's path by its name."""
 
-    def __init__(self, folder: str):
-        load = lambda name: np.load(os.path.join(folder, name), mmap_mode="r")
-        self.keys, self.ends, self.data = load("keys.npy"), load("ends.npy"), load("bytes.npy")
+    def __init__(self, name: str, place):
+        self.keys, self.ends, self.data = (np.load(place(f"{name}-{part}.npy"), mmap_mode="r") for part in PARTS)
 
     def holds(self, probes: list[bytes]) -> np.ndarray:
         """Which of the probes are entries."""
@@ -99,18 +101,18 @@ def probes_of(host: str, path: str, lengths: list[int]) -> list[str]:
 
 
 @cache
-def _opened(folder: str) -> Index:
-    return Index(SparkFiles.get(folder))
+def _opened(name: str) -> Index:
+    return Index(name, SparkFiles.get)
 
 
 def longest_match(df: DataFrame, entries, out: str) -> DataFrame:
     """Adds column `out`: the longest entry that fits `host` and `path`, or null."""
-    folder, lengths = build(entries)
-    if sum(os.path.getsize(os.path.join(folder, x)) for x in os.listdir(folder)) > MOST_BYTES:
+    folder, name, lengths = build(entries)
+    files = [os.path.join(folder, x) for x in sorted(os.listdir(folder))]
+    if sum(map(os.path.getsize, files)) > MOST_BYTES:
         raise ValueError("the list is too large to be sent to each executor: use match_by_join")
-    name = f"digests-{uuid.uuid4().hex}"
-    os.rename(folder, os.path.join(os.path.dirname(folder), name))
-    df.sparkSession.sparkContext.addFile(os.path.join(os.path.dirname(folder), name), recursive=True)
+    for file in files:
+        df.sparkSession.sparkContext.addFile(file)
 
     @F.pandas_udf("string")
     def match(hosts: pd.Series, paths: pd.Series) -> pd.Series:
