@@ -24,10 +24,13 @@ ORACLES: dict[str, str] = {}
 UNIT = ("project", "sample", "lane")
 LANES = (1, 2, 3, 4)
 #: A lane's file of read 1.
-FILE = F.concat_ws("_", "project", "sample", F.col("lane").cast("string"))
 FILE_SQL = "project || '_' || sample || '_' || CAST(lane AS STRING)"
 
 
+def _file():
+    return F.concat_ws("_", "project", "sample", F.col("lane").cast("string"))
+
+
 def query(*views: str, sql: str | None = None, ints: str = "", longs: str = ""):
     """Registers a function of the views' DataFrames under its name. `ints` and
     `longs` name columns that the SQL has to cast to Spark's types."""
@@ -57,12 +60,12 @@ def a08_lane_summary(reads):
 
 @query("reads", sql=f"SELECT {FILE_SQL} AS file, count(*) AS n_reads FROM reads GROUP BY ROLLUP ({FILE_SQL})")
 def a03_reads_per_file(reads):
-    return S.reads_per_file(reads.withColumn("file", FILE))
+    return S.reads_per_file(reads.withColumn("file", _file()))
 
 
 @query("reads", sql=f"SELECT project, sample, {FILE_SQL} AS file, lane, count(*) AS n_reads FROM reads GROUP BY ALL")
 def a04_reads_per_lane(reads):
-    return S.reads_per_lane(reads.withColumn("file", FILE))
+    return S.reads_per_lane(reads.withColumn("file", _file()))
 
 
 PIVOT = ", ".join(f"sum(n) FILTER (lane = {n}) AS \"L{n}\"" for n in LANES)
@@ -1083,7 +1086,7 @@ def i01_new_files(files):
 def i02_stream_counts(reads):
     spark = reads.sparkSession
     source, target, state = (shared.new_folder(spark, x) for x in ("landed", "counted", "state"))
-    landed = reads.select(FILE.alias("file"), "lane")
+    landed = reads.select(_file().alias("file"), "lane")
     landed.write.parquet(source)
     incremental.follow(spark, source, landed.schema, target, state).awaitTermination()
     return incremental.counted(spark, target)
