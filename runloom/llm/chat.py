@@ -63,11 +63,16 @@ def _pair(first: str, second: str, extra: str | None = None):
     return turns
 
 
+#: Other names of roles.
+ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
+
+
 def _messages(array: str, role: str, text: str):
-    #: Other names of roles.
-    other = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
-    named = F.create_map(*[F.lit(x) for pair in other.items() for x in pair])
-    return lambda r: F.transform(r[array], lambda m: _turn(F.coalesce(named[F.coalesce(m[role], F.lit(""))], m[role]), m[text]))
+    def turns(r: Column) -> Column:
+        named = F.create_map(*[F.lit(x) for pair in ROLES.items() for x in pair])
+        return F.transform(r[array], lambda m: _turn(F.coalesce(named[F.coalesce(m[role], F.lit(""))], m[role]), m[text]))
+
+    return turns
 
 
 LAYOUTS = (
