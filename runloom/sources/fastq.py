@@ -82,7 +82,8 @@ def read_fastq(spark: SparkSession, path: str, pattern: str = "*.fastq*", limit:
 
 
 def check_fastq(spark: SparkSession, path: str, pattern: str = "*.fastq*") -> DataFrame:
-    """file, ok, error: whether all of a file can be read."""
+    """file, ok, error: whether all of a file can be read. Spark lists no files
+    without a single byte."""
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

@@ -84,13 +84,13 @@ def test_fastq_files(spark, tmp_path):
     one = "@M:1:FC:2:1:1:1 1:N:0:AC-GT\n@CGT\n+\n@III\n@M:1:FC:2:1:1:2 1:N:0:AC\nAC\n+x\nII\n"
     with gzip.open(tmp_path / "a_R1.fastq.gz", "wt") as f:
         f.write(one)
-    (tmp_path / "b_R1.fastq").write_text("")
+    (tmp_path / "b_R1.fastq.gz").write_bytes(gzip.compress(b""))
     (tmp_path / "c_R1.fastq").write_text("@x\nAC\n+\nI\n")
     rows = fastq.read_fastq(spark, str(tmp_path), "a_*").collect()
     assert [(r.read_idx, r.sequence, r.quality, r.lane, r.barcode) for r in rows] == [(0, "@CGT", "@III", 2, "AC+GT"), (1, "AC", "II", 2, "AC")]
     assert len(fastq.read_fastq(spark, str(tmp_path), "a_*", limit=1).collect()) == 1
     ok = {r.file.rsplit("/", 1)[1]: r.ok for r in fastq.check_fastq(spark, str(tmp_path)).collect()}
-    assert ok == {"a_R1.fastq.gz": True, "b_R1.fastq": True, "c_R1.fastq": False}
+    assert ok == {"a_R1.fastq.gz": True, "b_R1.fastq.gz": True, "c_R1.fastq": False}
 
 
 def test_counts_files_of_both_shapes(spark):
