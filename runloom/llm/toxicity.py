@@ -12,8 +12,8 @@ training rows that the counts have not seen.
 
 Words alone are too sparse here: toxic words of one language share beginnings,
 and most occur seldom. Bigrams of words were tried and found a twentieth of the
-held-out toxic texts, single words about seven tenths, these expressions nearly
-nine tenths.
+held-out toxic texts, single words about seven tenths, these expressions over
+eight tenths.
 
 Counts are aggregated over all training rows. What goes to the executors has a
 fixed size: 2^20 buckets of expressions and 2^18 of contexts.
