@@ -87,28 +87,26 @@ def with_next(docs: DataFrame, rows_a_part: int = 2_000, most_parts: int = 1 <<
     """doc_id, text, next_text: the text that follows in descending doc_id (after
     the last: the first's).
 
-    Ids are dealt into ranges at quantiles; inside a range a window looks one row
-    ahead, and a range's last row takes the first row of the next range that has
-    one. So no window spans the table, and texts are shuffled once."""
+    Ids are dealt into ranges at quantiles; each range also gets the first row of
+    the next range that has one, at its end, and a window looks one row ahead. So
+    no window spans the table, no text is broadcast, and texts are shuffled once."""
     ids = docs.select("doc_id")
     parts = min(most_parts, max(1, ids.count() // rows_a_part))
     points = [i / parts for i in range(1, parts)]
     found = ids.agg(F.percentile_approx("doc_id", points, 10 * parts)).first()[0] if points else None
     part = rank_in(sorted(set(found)), F.col("doc_id")) if found else F.lit(0)
-    rows = docs.select("doc_id", text_of().alias("text"), part.alias("_part"))
-    inside = Window.partitionBy("_part").orderBy(F.desc_nulls_last("doc_id"), "text")
-    ahead = rows.withColumn("_next", F.lead("text").over(inside))
-    # The ranges' first rows: one for each range, so the windows over them are small.
+    rows = docs.select("doc_id", text_of().alias("text"), part.alias("_part"), F.lit(False).alias("_head"))
     first = F.struct(F.col("doc_id").isNull(), -F.col("doc_id"), F.col("text"))
-    heads = cut(rows.groupBy("_part").agg(F.min_by("text", first).alias("_head")))
+    heads = cut(rows.groupBy("_part").agg(F.min_by("text", first).alias("text")))
+    # Numbers of ranges only, most_parts at most: a small window and a small table.
     whole = Window.orderBy("_part")
     lowest = F.min("_part").over(whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    heads = heads.select(F.coalesce(F.lead("_part").over(whole), lowest).alias("_key"), "_head")
-    return (
-        ahead.withColumn("_key", F.when(F.col("_next").isNull(), F.col("_part")))
-        .join(F.broadcast(heads), "_key", "left")
-        .select("doc_id", "text", F.coalesce("_next", "_head").alias("next_text"))
+    before = heads.select("_part", F.coalesce(F.lead("_part").over(whole), lowest).alias("_before"))
+    ends = heads.join(F.broadcast(before), "_part").select(
+        F.lit(None).cast(docs.schema["doc_id"].dataType).alias("doc_id"), "text", F.col("_before").alias("_part"), F.lit(True).alias("_head")
     )
+    inside = Window.partitionBy("_part").orderBy("_head", F.desc_nulls_last("doc_id"), "text")
+    return rows.unionByName(ends).withColumn("next_text", F.lead("text").over(inside)).filter(~F.col("_head")).select("doc_id", "text", "next_text")
 
 
 def edited_pairs(docs: DataFrame) -> DataFrame:
