@@ -2,7 +2,8 @@
 
 Fingerprints are made in Arrow batches. Equal ones become one class. Classes
 within the radius are found exactly: of radius + 1 blocks of bits, two such
-fingerprints share at least one, so only classes with a block in common meet.
+fingerprints share at least one, so only classes with a block in common meet (at a large radius, where
+blocks are too short to prune, all classes are one bucket).
 Inside a block's bucket the fingerprints are cut into tiles by population count;
 pairs of tiles whose counts differ by more than the radius are skipped, the
 others are compared by numpy's exclusive-or and bit counts. A bucket of any size
@@ -30,6 +31,8 @@ from .common import checked_broadcast, cut, text_of
 
 SEED = 42
 TILE = 8_192
+#: Pairs whose sketches are compared at once, for bounded memory.
+PAIRS = 1 << 16
 NODE = "struct<d:bigint,f:bigint>"
 
 
@@ -61,14 +64,47 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int.from_bytes(bits.tobytes(), "big", signed=True)
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """doc_id, f (the 64 bits as a signed number)."""
+BINS = 512
+
+
+def sketch(hashes: np.ndarray) -> bytes:
+    """Of the least hash in each of the bins that the top bits choose: one mixed
+    bit; then, for each bin, whether it has any. 128 bytes."""
+    bit, used = np.zeros(BINS, np.uint8), np.zeros(BINS, np.uint8)
+    if len(hashes):
+        h = np.sort(hashes)
+        bins, first = np.unique((h >> np.uint64(55)).astype(np.int64), return_index=True)
+        bit[bins] = (h[first] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(63)
+        used[bins] = 1
+    return np.packbits(bit).tobytes() + np.packbits(used).tobytes()
+
+
+def alike(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
+    """Rows of sketches as 64-bit words: which pairs have about that Jaccard
+    similarity of their shingle sets or more. Two different least hashes have the
+    same bit half of the time, so equal bins are twice the equal bits less the bins
+    that both use. Two texts without shingles are alike."""
+    half = a.shape[1] // 2
+    both, any_ = a[:, half:] & b[:, half:], a[:, half:] | b[:, half:]
+    count = lambda x: np.bitwise_count(x).sum(1, dtype=np.int64)
+    equal = 2 * count(~(a[:, :half] ^ b[:, :half]) & both) - count(both)
+    return equal >= least * count(any_)
+
+
+def fingerprints(docs: DataFrame, shingle: int = 4, sketched: bool = False) -> DataFrame:
+    """doc_id, f (the 64 bits as a signed number), and s, the sketch, if wanted."""
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "f": np.array([fingerprint(shingle_hashes(t, shingle)) for t in b["text"]], np.int64)})
+            prints, sketches = [], []
+            for text in b["text"]:
+                hashes = shingle_hashes(text, shingle)
+                prints.append(fingerprint(hashes))
+                sketches.append(sketch(hashes) if sketched else b"")
+            yield pd.DataFrame({"doc_id": b["doc_id"], "f": np.array(prints, np.int64), "s": sketches})
 
-    return docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInPandas(make, "doc_id long, f long")
+    made = docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInPandas(make, "doc_id long, f long, s binary")
+    return made if sketched else made.drop("s")
 
 
 def blocks_of(f: Column, n: int) -> Column:
@@ -83,16 +119,19 @@ def blocks_of(f: Column, n: int) -> Column:
 
 
 def into_units(classes: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
-    """d, f, and a unit to compare in: block, key, t, u (t <= u: two tiles, or one
-    with itself), and side (0: the row is of tile t)."""
-    n = min(64, radius + 1)
-    rows = classes.select("d", "f", F.inline(blocks_of(F.col("f"), n)))
+    """The classes' columns, and a unit to compare in: block, key, t, u (t <= u: two
+    tiles, or one with itself), and side (0: the row is of tile t)."""
+    n, have = min(64, radius + 1), classes.columns
+    if n * 2.0 ** (-64 / n) >= 1:  # the blocks' buckets hold more pairs than the whole
+        rows = classes.select("*", F.lit(0).alias("block"), F.lit(0).cast("long").alias("key"))
+    else:
+        rows = classes.select("*", F.inline(blocks_of(F.col("f"), n)))
     large = cut(rows.groupBy("block", "key").count().filter(F.col("count") > tile).select("block", "key"))
     alone = [F.lit(0).alias(c) for c in ("t", "u", "side")]
     if large.isEmpty():
-        return rows.select("d", "f", "block", "key", *alone)
+        return rows.select(*have, "block", "key", *alone)
     marked = checked_broadcast(large)
-    small = rows.join(marked, ["block", "key"], "left_anti").select("d", "f", "block", "key", *alone)
+    small = rows.join(marked, ["block", "key"], "left_anti").select(*have, "block", "key", *alone)
     rows = rows.join(marked, ["block", "key"], "left_semi").withColumn("pop", F.bit_count("f"))
     # A row's tile: its place in its bucket, ordered by population count and a hash.
     by_pop = rows.groupBy("block", "key", "pop").agg(F.count("*").alias("n"))
@@ -112,15 +151,17 @@ def into_units(classes: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
     partners = one.join(other, near).select("a.block", "a.key", "a.tile", F.col("b.tile").alias("with"))
     partners = checked_broadcast(cut(partners))
     dealt = tiled.join(partners, ["block", "key", "tile"]).select(
-        "d", "f", "block", "key", F.least("tile", "with").alias("t"), F.greatest("tile", "with").alias("u"),
+        *have, "block", "key", F.least("tile", "with").alias("t"), F.greatest("tile", "with").alias("u"),
         (F.col("tile") > F.col("with")).cast("int").alias("side"),
     )
     return small.unionByName(dealt)
 
 
-def forest(a: np.ndarray, b: np.ndarray | None, radius: int, cells: int = 1 << 20) -> list[tuple[int, int]]:
+def forest(a: np.ndarray, b: np.ndarray | None, radius: int, holds=None, cells: int = 1 << 20) -> list[tuple[int, int]]:
     """A spanning forest of the links within `a`, or between `a` and `b`: places in
-    a, and in b (or a). Both sorted by population count."""
+    a, and in b (or a). Both sorted by population count. `holds(i, j)` tells which
+    pairs of places are links indeed; only such make the forest, so none is lost
+    for a pair that isn't one."""
     same, b = b is None, a if b is None else b
     pa, pb = np.bitwise_count(a).astype(np.int64), np.bitwise_count(b).astype(np.int64)
     shift = 0 if same else len(a)
@@ -138,6 +179,9 @@ def forest(a: np.ndarray, b: np.ndarray | None, radius: int, cells: int = 1 << 2
         d, i, j = away[i, j], i + c0, j + lo
         open_ = (label[i] != label[j + shift]) & ((j < i) if same else True)
         i, j, d = i[open_], j[open_], d[open_]
+        if holds is not None and len(i):
+            true = np.concatenate([holds(i[k : k + PAIRS], j[k : k + PAIRS]) for k in range(0, len(i), PAIRS)])
+            i, j, d = i[true], j[true], d[true]
         if not len(i):
             continue
         nearest = np.argsort(d, kind="stable")
@@ -182,9 +226,10 @@ def units_in(batches: Iterator[pd.DataFrame], names: list[str]) -> Iterator[pd.D
         yield rest
 
 
-def links(classes: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
+def links(classes: DataFrame, radius: int, tile: int = TILE, verified: float | None = None) -> DataFrame:
     """d, f of classes -> a, b: nodes within the radius, enough of them to connect
-    all that are."""
+    all that are. With `verified`, classes have a sketch s, and only nodes count
+    whose sketches are alike."""
     names = ["block", "key", "t", "u"]
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -197,10 +242,15 @@ def links(classes: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
             order = np.lexsort((f, np.bitwise_count(bits), side))
             d, f, bits = d[order], f[order], bits[order]
             na = int((side == 0).sum())
-            if unit["t"].iat[0] == unit["u"].iat[0]:
-                found = forest(bits, None, radius)
+            one = unit["t"].iat[0] == unit["u"].iat[0]
+            holds, shift = None, 0 if one else na
+            if verified is not None:
+                s = np.frombuffer(b"".join(unit["s"]), np.uint64).reshape(len(unit), -1)[order]
+                holds = lambda i, j, s=s, shift=shift: alike(s[i], s[j + shift], verified)
+            if one:
+                found = forest(bits, None, radius, holds)
             else:
-                found = [(i, j + na) for i, j in forest(bits[:na], bits[na:], radius)] if 0 < na < len(bits) else []
+                found = [(i, j + na) for i, j in forest(bits[:na], bits[na:], radius, holds)] if 0 < na < len(bits) else []
             if found:
                 i, j = np.array(found).T
                 out.append(np.stack([d[i], f[i], d[j], f[j]], 1))
@@ -211,7 +261,7 @@ def links(classes: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
             yield pd.DataFrame(np.concatenate(out), columns=["ad", "af", "bd", "bf"])
 
     dealt = into_units(classes, radius, tile).repartition(*names).sortWithinPartitions(*names)
-    pairs = dealt.select("d", "f", *names, "side").mapInPandas(compare, "ad long, af long, bd long, bf long")
+    pairs = dealt.select(*classes.columns, *names, "side").mapInPandas(compare, "ad long, af long, bd long, bf long")
     node = lambda x: F.struct(F.col(f"{x}d").alias("d"), F.col(f"{x}f").alias("f")).alias(x)
     return pairs.select(node("a"), node("b")).distinct()
 
@@ -242,12 +292,11 @@ def cluster(docs: DataFrame, shingle: int = 4, radius: int = 4, tile: int = TILE
     """doc_id, f, component_id (the least doc_id that can be reached) for each row.
 
     With `verified`, only links between texts whose shingle sets have about that
-    Jaccard similarity or more count (see `verify`)."""
-    marked = cut(fingerprints(docs, shingle))
-    classes = cut(marked.groupBy("f").agg(F.min("doc_id").alias("d"), F.count("*").alias("n")))
-    edges = links(classes.select("d", "f"), radius, tile)
-    if verified is not None:
-        edges = verify(cut(edges), docs, shingle, verified)
+    Jaccard similarity or more count (see `alike`)."""
+    marked = cut(fingerprints(docs, shingle, sketched=verified is not None))
+    sketches = [F.min_by("s", F.struct("doc_id", "s")).alias("s")] if verified is not None else []
+    classes = cut(marked.groupBy("f").agg(F.min("doc_id").alias("d"), F.count("*").alias("n"), *sketches))
+    edges = links(classes.drop("n"), radius, tile, verified)
     roots = components(edges).select(F.col("node.f").alias("f"), F.col("root.d").alias("r"))
     # Only classes with several rows or links have to be told anything.
     told = classes.join(roots, "f", "left").filter("n > 1 OR r IS NOT NULL").select("f", F.coalesce("r", "d").alias("r"))
@@ -255,53 +304,12 @@ def cluster(docs: DataFrame, shingle: int = 4, radius: int = 4, tile: int = TILE
     return marked.join(told, "f", "left").select("doc_id", "f", F.coalesce("r", "doc_id").alias("component_id"))
 
 
-BINS = 256
-
-
-def sketch(hashes: np.ndarray) -> bytes:
-    """Least hash in each of the bins that the top bits choose: 16 bits each, 0
-    for an empty bin. Equal shares of equal bins estimate the Jaccard similarity."""
-    out = np.zeros(BINS, np.uint16)
-    if len(hashes):
-        h = np.sort(hashes)
-        bins, first = np.unique((h >> np.uint64(56)).astype(np.int64), return_index=True)
-        out[bins] = ((h[first] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)).astype(np.uint16) | 1
-    return out.tobytes()
-
-
-def verify(edges: DataFrame, docs: DataFrame, shingle: int, least: float) -> DataFrame:
-    """The edges whose documents' shingle sets have an estimated Jaccard
-    similarity of `least` or more. Only documents with an edge are sketched."""
-
-    def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"d": b["doc_id"], "s": [sketch(shingle_hashes(t, shingle)) for t in b["text"]]})
-
-    def alike(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            if len(b):
-                x = np.frombuffer(b"".join(b["sa"]), np.uint16).reshape(-1, BINS)
-                y = np.frombuffer(b"".join(b["sb"]), np.uint16).reshape(-1, BINS)
-                used = ((x > 0) | (y > 0)).sum(1)
-                share = ((x == y) & (x > 0)).sum(1) / np.maximum(used, 1)
-                yield b.loc[(share >= least) | (used == 0), ["ad", "af", "bd", "bf"]]
-
-    flat = edges.select("a.*", "b").toDF("ad", "af", "b").select("ad", "af", F.col("b.d").alias("bd"), F.col("b.f").alias("bf"))
-    ids = cut(flat.select(F.col("ad").alias("doc_id")).union(flat.select("bd")).distinct())
-    few = docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).join(checked_broadcast(ids), "doc_id", "left_semi")
-    sketches = cut(few.mapInPandas(make, "d long, s binary").dropDuplicates(["d"]))
-    told = flat.join(sketches.toDF("ad", "sa"), "ad").join(sketches.toDF("bd", "sb"), "bd").select("ad", "af", "bd", "bf", "sa", "sb")
-    kept = told.mapInPandas(alike, "ad long, af long, bd long, bf long")
-    node = lambda x: F.struct(F.col(f"{x}d").alias("d"), F.col(f"{x}f").alias("f")).alias(x)
-    return kept.select(node("a"), node("b"))
-
-
-def drop_near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 12, verified: float = 0.8) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 16, verified: float = 0.8) -> DataFrame:
     """The rows of `docs`, of each group the one with the least doc_id only.
 
-    Two texts with a Jaccard similarity of 0.8 differ in about 10 of 64 bits;
-    the radius leaves some room. At that radius unrelated texts get near, too, so
-    links are verified. Rows that repeat an id stay once."""
+    Two texts with a Jaccard similarity of 0.8 differ in about 10 of 64 bits, one
+    in ten such pairs in more than 15; the radius leaves room. At that radius
+    unrelated texts get near, too, so links are verified where they are found. Rows that repeat an id stay once."""
     found = cut(cluster(docs, shingle, radius, verified=verified))
     gone = checked_broadcast(cut(found.filter("doc_id <> component_id").select("doc_id").distinct()))
     again = checked_broadcast(cut(found.groupBy("doc_id").count().filter("count > 1").select("doc_id")))

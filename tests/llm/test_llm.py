@@ -51,7 +51,7 @@ def test_no_operator_fails_on_odd_or_empty_tables(spark, odd):
     labels = spark.createDataFrame([(4, 1, None), (5, 0, 1)], "doc_id long, quality int, toxic int")
     calls = {
         "mix": mixing.mix, "fingerprints": fingerprint.compare_with_edits, "groups": fingerprint.duplicate_groups, "tokens": token_count.count_tokens,
-        "pii": lambda d: pii.digests(pii.find_spans(d)), "redact": pii.redact, "simhash": simhash.cluster, "near": lambda d: simhash.cluster(d, 5, 12, verified=0.8),
+        "pii": lambda d: pii.digests(pii.find_spans(d)), "redact": pii.redact, "simhash": simhash.cluster, "near": lambda d: simhash.cluster(d, 5, 16, verified=0.8),
         "toxicity": lambda d: toxicity.score(d, labels), "quality": quality.judge,
     }
     for name, call in calls.items():
@@ -248,6 +248,53 @@ def test_near_copies_go_and_others_stay(spark):
     assert {x.doc_id for x in kept.collect()} == set(range(30))
 
 
+def test_verified_links_are_not_hidden_by_others():
+    f = np.array([0b000, 0b001, 0b111], np.uint64)
+    holds = lambda i, j: (i + j) == 2  # noqa: E731  the first and the last only
+    assert simhash.forest(f, None, 3, holds) == [(2, 0)]
+    assert len(simhash.forest(f, None, 3)) == 2
+
+
+@pytest.mark.parametrize(("radius", "tile"), [(16, 8192), (16, 16), (6, 16)])
+def test_verified_components_are_those_of_all_pairs(spark, radius, tile):
+    r = np.random.default_rng(5)
+    words, texts = [f"w{i}" for i in range(400)], []
+    for size in (*[60] * 8, *[300] * 8, 1, 0):
+        base = list(r.choice(words, size))
+        for edits in (0, 1, 2, 3, 5):
+            text = list(base)
+            for at in r.choice(max(1, size), min(edits, size), replace=False).tolist():
+                text[at] = "edited"
+            texts.append(" ".join(text))
+    rows = simhash.cluster(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 5, radius, tile, verified=0.8).collect()
+    f = {x.doc_id: x.f % (1 << 64) for x in rows}
+    sketches = {k: np.frombuffer(simhash.sketch(simhash.shingle_hashes(t, 5)), np.uint64)[None] for k, t in enumerate(texts)}
+    root = list(range(len(texts)))
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    for a in range(len(texts)):
+        for b in range(a):
+            if f[a] == f[b] or ((f[a] ^ f[b]).bit_count() <= radius and simhash.alike(sketches[a], sketches[b], 0.8)[0]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    assert {x.doc_id: x.component_id for x in rows} == {k: find(k) for k in range(len(texts))}
+
+
+def test_sketches_estimate_similarity():
+    r = np.random.default_rng(9)
+    for n in (40, 400, 20_000):
+        common = r.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)
+        for share, same in ((0.9, True), (0.65, False)):
+            k = int(n * share)
+            other = np.concatenate([common[:k], r.integers(0, 1 << 63, (n - k) // 9 + 1 if share == 0.9 else n - k, dtype=np.uint64) * np.uint64(2)])
+            a, b = (np.frombuffer(simhash.sketch(x), np.uint64)[None] for x in (common, other))
+            assert simhash.alike(a, b, 0.8)[0] == same
+
+
 def test_chains_are_one_component(spark):
     n = lambda k: {"d": k, "f": k}
     edges = spark.createDataFrame([(n(i), n(i + 1)) for i in range(60)] + [(n(100), n(101))], f"a {simhash.NODE}, b {simhash.NODE}")
@@ -295,7 +342,7 @@ def test_stages_keep_columns_and_take_effect(spark, sf_dir, documents):
             kept = {r.doc_id for r in quality.judge(docs).filter("kept").collect()}
             assert {r.doc_id for r in out.collect()} == kept
         elif name == "near-duplicates":
-            assert out.count() == len({r.component_id for r in simhash.cluster(docs, 5, 12, verified=0.8).collect()})
+            assert out.count() == len({r.component_id for r in simhash.cluster(docs, 5, 16, verified=0.8).collect()})
         elif name == "personal data":
             assert out.count() == docs.count() and not any(list(base_spans(r.text)) for r in out.collect())
         docs = out
