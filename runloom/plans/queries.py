@@ -665,6 +665,23 @@ def j12_pair_by_name(files):
     return P.pairs_by_name(kept.withColumn("fastq", F.concat_ws("/", "project", "fastq")))
 
 
+@query("reads", sql="""WITH firsts AS (
+  SELECT project || '/' || sample || '/' || CAST(lane AS VARCHAR) AS unit, lane, name_key FROM (
+    SELECT project, sample, lane, CAST(l_orderkey AS VARCHAR) || ':' || CAST(l_linenumber AS VARCHAR) || ':' || CAST(l_partkey AS VARCHAR) AS name_key,
+      row_number() OVER (PARTITION BY project, sample, lane ORDER BY l_orderkey, l_linenumber, l_partkey) AS k FROM reads) t WHERE k = 1)
+SELECT a.unit || '/R1' AS r1, b.unit || '/R2' AS r2 FROM firsts a LEFT JOIN (SELECT * FROM firsts WHERE lane <> 4) b ON a.name_key = b.name_key""")
+def j13_pair_by_header(reads):
+    """Each unit has a file of first and, but for lane 4, one of second reads."""
+    both = reads.withColumn("read_number", F.explode(F.array(F.lit(1), F.lit(2)))).filter("NOT (read_number = 2 AND lane = 4)")
+    return P.pairs_by_header(
+        both.select(
+            F.concat_ws("/", "project", "sample", F.col("lane").cast("string"), F.concat(F.lit("R"), F.col("read_number").cast("string"))).alias("file"),
+            F.struct("l_orderkey", "l_linenumber", "l_partkey").alias("read_idx"),
+            F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey").alias("name_key"), "read_number",
+        )
+    )
+
+
 @query("fastq_files", sql="""SELECT replace(replace(replace(fastq, '_R2_', '_R1_'), '_I1_', '_R1_'), '.fastq.gz', '') AS stem, count(*) AS n_files FROM fastq_files WHERE project <> 'Undetermined_indices' GROUP BY 1""")
 def j14_group_sets(files):
     return P.sets_of_files(files.filter("project <> 'Undetermined_indices'")).select("stem", F.size("files").cast("long").alias("n_files"))
