@@ -2,8 +2,11 @@
 
 Fingerprints are made in Arrow batches. Equal ones become one class. Classes
 within the radius are found exactly: of radius + 1 blocks of bits, two such
-fingerprints share at least one, so only classes with a block in common meet (at a large radius, where
-blocks are too short to prune, all classes are one bucket).
+fingerprints share at least one, so only classes with a block in common meet. At
+a large radius blocks are too short to prune; then either all classes are one
+bucket, or, with `bands`, the buckets are keys made of least hashes (MinHash):
+texts of Jaccard similarity s share one of b keys of r hashes with probability
+1 - (1 - s^r)^b, 0.9996 at s = 0.8. Buckets with the same members are compared once.
 Inside a block's bucket the fingerprints are cut into tiles by population count;
 pairs of tiles whose counts differ by more than the radius are skipped, the
 others are compared by numpy's exclusive-or and bit counts. A bucket of any size
@@ -91,20 +94,36 @@ def alike(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
     return equal >= least * count(any_)
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, sketched: bool = False) -> DataFrame:
-    """doc_id, f (the 64 bits as a signed number), and s, the sketch, if wanted."""
+#: Keys of a text, and least hashes in each.
+BANDS, IN_BAND = 20, 5
+FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, (BANDS, IN_BAND), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """Each factor times the hashes is another order of them; a key mixes the least
+    in IN_BAND orders. Texts without shingles have the same keys."""
+    least = np.full(FACTORS.size, np.iinfo(np.uint64).max, np.uint64)
+    for i in range(0, len(hashes), 1 << 12):
+        least = np.minimum(least, (hashes[i : i + (1 << 12), None] * FACTORS.reshape(1, -1)).min(0))
+    return (least.reshape(FACTORS.shape) * FACTORS[::-1]).sum(1, dtype=np.uint64).view(np.int64)
+
+
+def fingerprints(docs: DataFrame, shingle: int = 4, sketched: bool = False, banded: bool = False) -> DataFrame:
+    """doc_id, f (the 64 bits as a signed number), and, if wanted, s, the sketch,
+    and k, the keys of the bands."""
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            prints, sketches = [], []
+            prints, sketches, keys = [], [], []
             for text in b["text"]:
                 hashes = shingle_hashes(text, shingle)
                 prints.append(fingerprint(hashes))
                 sketches.append(sketch(hashes) if sketched else b"")
-            yield pd.DataFrame({"doc_id": b["doc_id"], "f": np.array(prints, np.int64), "s": sketches})
+                keys.append(band_keys(hashes) if banded else [])
+            yield pd.DataFrame({"doc_id": b["doc_id"], "f": np.array(prints, np.int64), "s": sketches, "k": keys})
 
-    made = docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInPandas(make, "doc_id long, f long, s binary")
-    return made if sketched else made.drop("s")
+    made = docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInPandas(make, "doc_id long, f long, s binary, k array<long>")
+    return made.drop(*([] if sketched else ["s"]), *([] if banded else ["k"]))
 
 
 def blocks_of(f: Column, n: int) -> Column:
@@ -118,11 +137,24 @@ def blocks_of(f: Column, n: int) -> Column:
     )
 
 
+def met_in_bands(classes: DataFrame) -> DataFrame:
+    """The classes' columns but k, with block and key, for each bucket of bands that
+    several classes share. Of buckets with the same members one is left: their
+    numbers of members and two sums over hashes of the members are equal."""
+    keyed = classes.select("f", F.posexplode("k").alias("block", "key"))
+    size = keyed.groupBy("block", "key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("f")).alias("x"), F.bit_xor(F.xxhash64(F.lit(SEED), "f")).alias("y"))
+    shared = size.filter("n > 1").groupBy("n", "x", "y").agg(F.min(F.struct("block", "key")).alias("b")).select("b.block", "b.key")
+    met = keyed.join(checked_broadcast(cut(shared)), ["block", "key"], "left_semi")
+    return classes.drop("k").join(met, "f")
+
+
 def into_units(classes: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
-    """The classes' columns, and a unit to compare in: block, key, t, u (t <= u: two
+    """The classes' columns (but k), and a unit to compare in: block, key, t, u (t <= u: two
     tiles, or one with itself), and side (0: the row is of tile t)."""
-    n, have = min(64, radius + 1), classes.columns
-    if n * 2.0 ** (-64 / n) >= 1:  # the blocks' buckets hold more pairs than the whole
+    n, have = min(64, radius + 1), [c for c in classes.columns if c != "k"]
+    if "k" in classes.columns:
+        rows = cut(met_in_bands(classes))
+    elif n * 2.0 ** (-64 / n) >= 1:  # the blocks' buckets hold more pairs than the whole
         rows = classes.select("*", F.lit(0).alias("block"), F.lit(0).cast("long").alias("key"))
     else:
         rows = classes.select("*", F.inline(blocks_of(F.col("f"), n)))
@@ -261,7 +293,7 @@ def links(classes: DataFrame, radius: int, tile: int = TILE, verified: float | N
             yield pd.DataFrame(np.concatenate(out), columns=["ad", "af", "bd", "bf"])
 
     dealt = into_units(classes, radius, tile).repartition(*names).sortWithinPartitions(*names)
-    pairs = dealt.select(*classes.columns, *names, "side").mapInPandas(compare, "ad long, af long, bd long, bf long")
+    pairs = dealt.select(*[c for c in classes.columns if c != "k"], *names, "side").mapInPandas(compare, "ad long, af long, bd long, bf long")
     node = lambda x: F.struct(F.col(f"{x}d").alias("d"), F.col(f"{x}f").alias("f")).alias(x)
     return pairs.select(node("a"), node("b")).distinct()
 
@@ -288,29 +320,31 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(roots)
 
 
-def cluster(docs: DataFrame, shingle: int = 4, radius: int = 4, tile: int = TILE, verified: float | None = None) -> DataFrame:
+def cluster(docs: DataFrame, shingle: int = 4, radius: int = 4, tile: int = TILE, verified: float | None = None, bands: bool = False) -> DataFrame:
     """doc_id, f, component_id (the least doc_id that can be reached) for each row.
 
     With `verified`, only links between texts whose shingle sets have about that
-    Jaccard similarity or more count (see `alike`)."""
-    marked = cut(fingerprints(docs, shingle, sketched=verified is not None))
-    sketches = [F.min_by("s", F.struct("doc_id", "s")).alias("s")] if verified is not None else []
-    classes = cut(marked.groupBy("f").agg(F.min("doc_id").alias("d"), F.count("*").alias("n"), *sketches))
+    Jaccard similarity or more count (see `alike`). With `bands`, only classes that
+    share a key of a band are compared: for radii that blocks of bits can't prune."""
+    marked = cut(fingerprints(docs, shingle, sketched=verified is not None, banded=bands))
+    of_least = [F.min_by(c, F.struct("doc_id", *[x for x in ("s", "k") if x in marked.columns])).alias(c) for c in ("s", "k") if c in marked.columns]
+    classes = cut(marked.groupBy("f").agg(F.min("doc_id").alias("d"), F.count("*").alias("n"), *of_least))
     edges = links(classes.drop("n"), radius, tile, verified)
     roots = components(edges).select(F.col("node.f").alias("f"), F.col("root.d").alias("r"))
     # Only classes with several rows or links have to be told anything.
     told = classes.join(roots, "f", "left").filter("n > 1 OR r IS NOT NULL").select("f", F.coalesce("r", "d").alias("r"))
     told = checked_broadcast(cut(told))
-    return marked.join(told, "f", "left").select("doc_id", "f", F.coalesce("r", "doc_id").alias("component_id"))
+    return marked.select("doc_id", "f").join(told, "f", "left").select("doc_id", "f", F.coalesce("r", "doc_id").alias("component_id"))
 
 
-def drop_near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 16, verified: float = 0.8) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 24, verified: float = 0.8) -> DataFrame:
     """The rows of `docs`, of each group the one with the least doc_id only.
 
     Two texts with a Jaccard similarity of 0.8 differ in about 10 of 64 bits, one
-    in ten such pairs in more than 15; the radius leaves room. At that radius
-    unrelated texts get near, too, so links are verified where they are found. Rows that repeat an id stay once."""
-    found = cut(cluster(docs, shingle, radius, verified=verified))
+    in ten such pairs in more than 15; the radius leaves room. Blocks of bits can't
+    prune at that radius, so texts meet by bands; links are verified where they are
+    found. Rows that repeat an id stay once."""
+    found = cut(cluster(docs, shingle, radius, verified=verified, bands=True))
     gone = checked_broadcast(cut(found.filter("doc_id <> component_id").select("doc_id").distinct()))
     again = checked_broadcast(cut(found.groupBy("doc_id").count().filter("count > 1").select("doc_id")))
     kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)

@@ -284,6 +284,27 @@ def test_verified_components_are_those_of_all_pairs(spark, radius, tile):
     assert {x.doc_id: x.component_id for x in rows} == {k: find(k) for k in range(len(texts))}
 
 
+@pytest.mark.parametrize("tile", [8192, 8])
+def test_bands_find_what_is_alike(spark, tile):
+    r = np.random.default_rng(11)
+    words, texts = [f"w{i}" for i in range(500)], []
+    for size in (50, 80, 120, 300, 900):
+        base = list(r.choice(words, size))
+        for edits in (0, 0, 1, 2, 4, 8, 20, 60):
+            text = list(base)
+            for at in r.choice(size, min(edits * size // 300 + (edits > 0), size), replace=False).tolist():
+                text[at] = f"edited{at}"
+            texts.append(" ".join(text))
+    rows = simhash.cluster(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 5, 24, tile, verified=0.8, bands=True).collect()
+    got = {x.doc_id: x.component_id for x in rows}
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    near = [(a, b) for a in range(len(sets)) for b in range(a) if len(sets[a] & sets[b]) >= 0.85 * len(sets[a] | sets[b])]
+    assert len(near) > 20 and all(got[a] == got[b] for a, b in near)
+    for a in range(len(sets)):  # nothing joins but by a chain of links near 0.8 or over
+        alone = max(len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for b in range(len(sets)) if b != a) < 0.7
+        assert not alone or sum(x == got[a] for x in got.values()) == 1
+
+
 def test_sketches_estimate_similarity():
     r = np.random.default_rng(9)
     for n in (40, 400, 20_000):
