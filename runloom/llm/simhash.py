@@ -15,6 +15,11 @@ a spanning forest of its links, nearest first, not all of them: at most one row
 for each fingerprint, and no component is lost. Components are then found by star
 contraction, with each round cut to the shared folder.
 
+Where links are verified, texts with equal sets of shingles are a class, whatever
+their fingerprints, and a link is a pair whose sets have the Jaccard similarity
+asked for, counted exactly. Only sets of classes that meet others are made, and
+they are brought to the units; the rows' sizes bound the tiles then.
+
 Defined results: a null text counts as empty; texts without words have
 fingerprint zero and are linked like any other; repeated rows are linked; an
 empty table gives an empty result.
@@ -34,8 +39,10 @@ from .common import checked_broadcast, cut, text_of
 
 SEED = 42
 TILE = 8_192
-#: Pairs whose sketches are compared at once, for bounded memory.
-PAIRS = 1 << 16
+#: Pairs that are tried at once, for bounded memory.
+PAIRS = 1 << 13
+#: Shingles that count as much as a row in a tile: 8,192 rows hold 32 MB of them.
+SHINGLES_A_ROW = 512
 NODE = "struct<d:bigint,f:bigint>"
 
 
@@ -86,7 +93,8 @@ def alike(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
     """Rows of sketches as 64-bit words: which pairs have about that Jaccard
     similarity of their shingle sets or more. Two different least hashes have the
     same bit half of the time, so equal bins are twice the equal bits less the bins
-    that both use. Two texts without shingles are alike."""
+    that both use. Two texts without shingles are alike. An estimate only: no link
+    is decided by it, see `Sets`."""
     half = a.shape[1] // 2
     both, any_ = a[:, half:] & b[:, half:], a[:, half:] | b[:, half:]
     count = lambda x: np.bitwise_count(x).sum(1, dtype=np.int64)
@@ -94,6 +102,38 @@ def alike(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
     return equal >= least * count(any_)
 
 
+class Sets:
+    """Sorted sets of hashes, as bytes, and which pairs have a Jaccard similarity of
+    `least` or more."""
+
+    def __init__(self, sets: list[bytes], least: float):
+        self.sets, self.least = [np.frombuffer(x, np.uint64) for x in sets], least
+        self.size = np.array([len(x) for x in self.sets], np.int64)
+        self.counts = None
+
+    def may(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """False only for pairs that are surely less alike: hashes in common can't be
+        more than the lesser set, nor than the lesser counts of all bins together."""
+        if self.counts is None:
+            kind = np.uint16 if self.size.max() < 1 << 16 else np.uint32
+            self.counts = np.stack([np.bincount((x >> np.uint64(55)).astype(np.int64), minlength=BINS).astype(kind) for x in self.sets])
+        out = self._reach(i, j, np.minimum(self.size[i], self.size[j]))
+        i, j = i[out], j[out]
+        out[out] = self._reach(i, j, np.minimum(self.counts[i], self.counts[j]).sum(1, dtype=np.int64))
+        return out
+
+    def _reach(self, i: np.ndarray, j: np.ndarray, common: np.ndarray) -> np.ndarray:
+        return common / np.maximum(1, self.size[i] + self.size[j] - common) >= self.least
+
+    def hold(self, i: int, j: int) -> bool:
+        a, b = (self.sets[i], self.sets[j]) if self.size[i] <= self.size[j] else (self.sets[j], self.sets[i])
+        if not len(a) or len(a) < self.least * len(b) - 1:
+            return len(b) == 0
+        at = np.searchsorted(b, a)
+        common = int(np.count_nonzero(b[np.minimum(at, len(b) - 1)] == a))
+        return common / (len(a) + len(b) - common) >= self.least
+
+
 #: Keys of a text, and least hashes in each.
 BANDS, IN_BAND = 20, 5
 FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, (BANDS, IN_BAND), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -108,22 +148,47 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
     return (least.reshape(FACTORS.shape) * FACTORS[::-1]).sum(1, dtype=np.uint64).view(np.int64)
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, sketched: bool = False, banded: bool = False) -> DataFrame:
-    """doc_id, f (the 64 bits as a signed number), and, if wanted, s, the sketch,
-    and k, the keys of the bands."""
+def set_digest(hashes: np.ndarray) -> bytes:
+    """128 bits of XXH3 of a set of hashes, sorted."""
+    return xxhash.xxh3_128_digest(hashes.tobytes(), SEED)
+
+
+def fingerprints(docs: DataFrame, shingle: int = 4, sets: bool = False, banded: bool = False) -> DataFrame:
+    """doc_id, f (the 64 bits as a signed number), and, if wanted, g and w, the digest
+    and the size of the shingle set, and k, the keys of the bands."""
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            prints, sketches, keys = [], [], []
+            prints, digests, sizes, keys = [], [], [], []
             for text in b["text"]:
                 hashes = shingle_hashes(text, shingle)
                 prints.append(fingerprint(hashes))
-                sketches.append(sketch(hashes) if sketched else b"")
+                distinct = np.unique(hashes) if sets else hashes[:0]
+                digests.append(set_digest(distinct) if sets else b"")
+                sizes.append(len(distinct))
                 keys.append(band_keys(hashes) if banded else [])
-            yield pd.DataFrame({"doc_id": b["doc_id"], "f": np.array(prints, np.int64), "s": sketches, "k": keys})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "f": np.array(prints, np.int64), "g": digests, "w": sizes, "k": keys})
 
-    made = docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInPandas(make, "doc_id long, f long, s binary, k array<long>")
-    return made.drop(*([] if sketched else ["s"]), *([] if banded else ["k"]))
+    made = docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInPandas(make, "doc_id long, f long, g binary, w long, k array<long>")
+    return made.drop(*([] if sets else ["g", "w"]), *([] if banded else ["k"]))
+
+
+def shingle_sets(docs: DataFrame, shingle: int, wanted: DataFrame) -> DataFrame:
+    """c, h: the set of each wanted class (c, d, g), taken from a row with the id d
+    whose set has the digest g."""
+
+    def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for c, g, text in zip(b["c"].tolist(), b["g"], b["text"], strict=True):
+                distinct = np.unique(shingle_hashes(text, shingle))
+                if set_digest(distinct) == bytes(g):
+                    rows.append((c, distinct.tobytes()))
+            yield pd.DataFrame(rows, columns=["c", "h"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("d"), text_of().alias("text"))
+    found = texts.join(checked_broadcast(wanted), F.expr("d <=> _d")).select("c", "g", "text").mapInPandas(make, "c long, h binary")
+    return found.dropDuplicates(["c"])
 
 
 def blocks_of(f: Column, n: int) -> Column:
@@ -141,16 +206,17 @@ def met_in_bands(classes: DataFrame) -> DataFrame:
     """The classes' columns but k, with block and key, for each bucket of bands that
     several classes share. Of buckets with the same members one is left: their
     numbers of members and two sums over hashes of the members are equal."""
-    keyed = classes.select("f", F.posexplode("k").alias("block", "key"))
-    size = keyed.groupBy("block", "key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("f")).alias("x"), F.bit_xor(F.xxhash64(F.lit(SEED), "f")).alias("y"))
+    keyed = classes.select("c", F.posexplode("k").alias("block", "key"))
+    size = keyed.groupBy("block", "key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("c")).alias("x"), F.bit_xor(F.xxhash64(F.lit(SEED), "c")).alias("y"))
     shared = size.filter("n > 1").groupBy("n", "x", "y").agg(F.min(F.struct("block", "key")).alias("b")).select("b.block", "b.key")
     met = keyed.join(checked_broadcast(cut(shared)), ["block", "key"], "left_semi")
-    return classes.drop("k").join(met, "f")
+    return classes.drop("k").join(met, "c")
 
 
 def into_units(classes: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
     """The classes' columns (but k), and a unit to compare in: block, key, t, u (t <= u: two
-    tiles, or one with itself), and side (0: the row is of tile t)."""
+    tiles, or one with itself), and side (0: the row is of tile t). A row counts as
+    one in a tile, or with w, the size of its set, as more."""
     n, have = min(64, radius + 1), [c for c in classes.columns if c != "k"]
     if "k" in classes.columns:
         rows = cut(met_in_bands(classes))
@@ -158,7 +224,8 @@ def into_units(classes: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
         rows = classes.select("*", F.lit(0).alias("block"), F.lit(0).cast("long").alias("key"))
     else:
         rows = classes.select("*", F.inline(blocks_of(F.col("f"), n)))
-    large = cut(rows.groupBy("block", "key").count().filter(F.col("count") > tile).select("block", "key"))
+    weight = F.sum(F.lit(1) + F.floor(F.col("w") / SHINGLES_A_ROW)) if "w" in have else F.count("*")
+    large = cut(rows.groupBy("block", "key").agg(weight.alias("n")).filter(F.col("n") > tile).select("block", "key"))
     alone = [F.lit(0).alias(c) for c in ("t", "u", "side")]
     if large.isEmpty():
         return rows.select(*have, "block", "key", *alone)
@@ -166,10 +233,10 @@ def into_units(classes: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
     small = rows.join(marked, ["block", "key"], "left_anti").select(*have, "block", "key", *alone)
     rows = rows.join(marked, ["block", "key"], "left_semi").withColumn("pop", F.bit_count("f"))
     # A row's tile: its place in its bucket, ordered by population count and a hash.
-    by_pop = rows.groupBy("block", "key", "pop").agg(F.count("*").alias("n"))
+    by_pop = rows.groupBy("block", "key", "pop").agg(weight.alias("n"))
     before = F.expr("coalesce(sum(n) OVER (PARTITION BY block, key ORDER BY pop ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)")
     by_pop = checked_broadcast(cut(by_pop.withColumn("before", before)))
-    place = F.col("before") + F.pmod(F.xxhash64("f"), F.col("n"))
+    place = F.col("before") + F.pmod(F.xxhash64("c"), F.col("n"))
     tiled = rows.join(by_pop, ["block", "key", "pop"]).withColumn("tile", F.floor(place / tile).cast("int"))
     tile_of = lambda x: F.floor(x / tile).cast("int")
     reach = F.sequence(tile_of(F.col("before")), tile_of(F.col("before") + F.col("n") - 1))
@@ -189,11 +256,12 @@ def into_units(classes: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
     return small.unionByName(dealt)
 
 
-def forest(a: np.ndarray, b: np.ndarray | None, radius: int, holds=None, cells: int = 1 << 20) -> list[tuple[int, int]]:
+def forest(a: np.ndarray, b: np.ndarray | None, radius: int, holds=None, cells: int = 1 << 20, surely=None) -> list[tuple[int, int]]:
     """A spanning forest of the links within `a`, or between `a` and `b`: places in
     a, and in b (or a). Both sorted by population count. `holds(i, j)` tells which
     pairs of places are links indeed; only such make the forest, so none is lost
-    for a pair that isn't one."""
+    for a pair that isn't one. `surely(i, j)` tells the same of one pair; it is asked
+    only while the two are not connected otherwise."""
     same, b = b is None, a if b is None else b
     pa, pb = np.bitwise_count(a).astype(np.int64), np.bitwise_count(b).astype(np.int64)
     shift = 0 if same else len(a)
@@ -218,26 +286,32 @@ def forest(a: np.ndarray, b: np.ndarray | None, radius: int, holds=None, cells:
             continue
         nearest = np.argsort(d, kind="stable")
         i, j = i[nearest], j[nearest]
-        x, y = label[i], label[j + shift]
-        _, first = np.unique(np.minimum(x, y) * len(label) + np.maximum(x, y), return_index=True)
-        root: dict[int, int] = {}
-
-        def find(v: int) -> int:
-            while (w := root.get(v, v)) != v:
-                root[v] = root.get(w, w)
-                v = w
-            return v
-
-        for k in np.sort(first).tolist():
-            u, v = find(int(x[k])), find(int(y[k]))
-            if u != v:
-                root[max(u, v)] = min(u, v)
-                edges.append((int(i[k]), int(j[k])))
-        moved = np.array(sorted(root))
-        to = np.array([find(int(v)) for v in moved])
-        table = np.arange(len(label))
-        table[moved] = to
-        label = table[label]
+        for k in range(0, len(i), len(i) if surely is None else PAIRS):
+            pi, pj = (i, j) if surely is None else (i[k : k + PAIRS], j[k : k + PAIRS])
+            x, y = label[pi], label[pj + shift]
+            if surely is None:
+                _, first = np.unique(np.minimum(x, y) * len(label) + np.maximum(x, y), return_index=True)
+            else:
+                first = np.flatnonzero(x != y)
+            root: dict[int, int] = {}
+
+            def find(v: int) -> int:
+                while (w := root.get(v, v)) != v:
+                    root[v] = root.get(w, w)
+                    v = w
+                return v
+
+            for k in np.sort(first).tolist():
+                u, v = find(int(x[k])), find(int(y[k]))
+                if u != v and (surely is None or surely(int(pi[k]), int(pj[k]))):
+                    root[max(u, v)] = min(u, v)
+                    edges.append((int(pi[k]), int(pj[k])))
+            if root:
+                moved = np.array(sorted(root))
+                to = np.array([find(int(v)) for v in moved])
+                table = np.arange(len(label))
+                table[moved] = to
+                label = table[label]
     return edges
 
 
@@ -258,10 +332,10 @@ def units_in(batches: Iterator[pd.DataFrame], names: list[str]) -> Iterator[pd.D
         yield rest
 
 
-def links(classes: DataFrame, radius: int, tile: int = TILE, verified: float | None = None) -> DataFrame:
-    """d, f of classes -> a, b: nodes within the radius, enough of them to connect
-    all that are. With `verified`, classes have a sketch s, and only nodes count
-    whose sketches are alike."""
+def links(classes: DataFrame, radius: int, tile: int = TILE, verified: float | None = None, sets=None) -> DataFrame:
+    """c (a number), d, f of classes -> a, b: nodes within the radius, enough of them
+    to connect all that are. With `verified`, only nodes count whose shingle sets
+    have that Jaccard similarity or more; `sets(wanted)` gives the sets of classes."""
     names = ["block", "key", "t", "u"]
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -269,32 +343,39 @@ def links(classes: DataFrame, radius: int, tile: int = TILE, verified: float | N
         for unit in units_in(batches, names):
             if len(unit) < 2:
                 continue
-            d, f, side = unit["d"].to_numpy(), unit["f"].to_numpy(), unit["side"].to_numpy()
+            d, c, f, side = unit["d"].to_numpy(), unit["c"].to_numpy(), unit["f"].to_numpy(), unit["side"].to_numpy()
             bits = f.view(np.uint64)
-            order = np.lexsort((f, np.bitwise_count(bits), side))
-            d, f, bits = d[order], f[order], bits[order]
+            order = np.lexsort((c, f, np.bitwise_count(bits), side))
+            d, c, bits = d[order], c[order], bits[order]
             na = int((side == 0).sum())
             one = unit["t"].iat[0] == unit["u"].iat[0]
-            holds, shift = None, 0 if one else na
+            may, hold, shift = None, None, 0 if one else na
             if verified is not None:
-                s = np.frombuffer(b"".join(unit["s"]), np.uint64).reshape(len(unit), -1)[order]
-                holds = lambda i, j, s=s, shift=shift: alike(s[i], s[j + shift], verified)
+                held = Sets(unit["h"].iloc[order].tolist(), verified)
+                hold = lambda i, j, held=held, shift=shift: held.hold(i, j + shift)
+                if len(unit) > 32:
+                    may = lambda i, j, held=held, shift=shift: held.may(i, j + shift)
             if one:
-                found = forest(bits, None, radius, holds)
+                found = forest(bits, None, radius, may, surely=hold)
             else:
-                found = [(i, j + na) for i, j in forest(bits[:na], bits[na:], radius, holds)] if 0 < na < len(bits) else []
+                found = [(i, j + na) for i, j in forest(bits[:na], bits[na:], radius, may, surely=hold)] if 0 < na < len(bits) else []
             if found:
                 i, j = np.array(found).T
-                out.append(np.stack([d[i], f[i], d[j], f[j]], 1))
+                out.append(np.stack([d[i], c[i], d[j], c[j]], 1))
             if sum(map(len, out)) > 50_000:
-                yield pd.DataFrame(np.concatenate(out), columns=["ad", "af", "bd", "bf"])
+                yield pd.DataFrame(np.concatenate(out), columns=["ad", "ac", "bd", "bc"])
                 out = []
         if out:
-            yield pd.DataFrame(np.concatenate(out), columns=["ad", "af", "bd", "bf"])
-
-    dealt = into_units(classes, radius, tile).repartition(*names).sortWithinPartitions(*names)
-    pairs = dealt.select(*[c for c in classes.columns if c != "k"], *names, "side").mapInPandas(compare, "ad long, af long, bd long, bf long")
-    node = lambda x: F.struct(F.col(f"{x}d").alias("d"), F.col(f"{x}f").alias("f")).alias(x)
+            yield pd.DataFrame(np.concatenate(out), columns=["ad", "ac", "bd", "bc"])
+
+    dealt, have = into_units(classes.drop("g"), radius, tile), ["c", "d", "f"]
+    if verified is not None:
+        dealt = cut(dealt)
+        wanted = classes.join(dealt.select("c").distinct(), "c", "left_semi").select("c", F.col("d").alias("_d"), "g")
+        dealt, have = dealt.join(sets(cut(wanted)), "c"), [*have, "h"]
+    dealt = dealt.select(*have, *names, "side").repartition(*names).sortWithinPartitions(*names)
+    pairs = dealt.mapInPandas(compare, "ad long, ac long, bd long, bc long")
+    node = lambda x: F.struct(F.col(f"{x}d").alias("d"), F.col(f"{x}c").alias("c")).alias(x)
     return pairs.select(node("a"), node("b")).distinct()
 
 
@@ -323,18 +404,20 @@ def components(edges: DataFrame) -> DataFrame:
 def cluster(docs: DataFrame, shingle: int = 4, radius: int = 4, tile: int = TILE, verified: float | None = None, bands: bool = False) -> DataFrame:
     """doc_id, f, component_id (the least doc_id that can be reached) for each row.
 
-    With `verified`, only links between texts whose shingle sets have about that
-    Jaccard similarity or more count (see `alike`). With `bands`, only classes that
-    share a key of a band are compared: for radii that blocks of bits can't prune."""
-    marked = cut(fingerprints(docs, shingle, sketched=verified is not None, banded=bands))
-    of_least = [F.min_by(c, F.struct("doc_id", *[x for x in ("s", "k") if x in marked.columns])).alias(c) for c in ("s", "k") if c in marked.columns]
-    classes = cut(marked.groupBy("f").agg(F.min("doc_id").alias("d"), F.count("*").alias("n"), *of_least))
-    edges = links(classes.drop("n"), radius, tile, verified)
-    roots = components(edges).select(F.col("node.f").alias("f"), F.col("root.d").alias("r"))
+    With `verified`, only links between texts whose shingle sets have that Jaccard
+    similarity or more count (see `Sets`). With `bands`, only classes that share a
+    key of a band are compared: for radii that blocks of bits can't prune."""
+    marked = cut(fingerprints(docs, shingle, sets=verified is not None, banded=bands))
+    of_class = "f" if verified is None else "g"
+    least = F.min(F.struct("doc_id", *[x for x in marked.columns if x not in ("doc_id", of_class)])).alias("least")
+    classes = marked.groupBy(of_class).agg(F.count("*").alias("n"), F.min("doc_id").alias("d"), least).select(of_class, "n", "d", "least.*").drop("doc_id")
+    classes = cut(classes.withColumn("c", F.col("f") if verified is None else F.monotonically_increasing_id()))
+    edges = links(classes.drop("n"), radius, tile, verified, lambda wanted: shingle_sets(docs, shingle, wanted))
+    roots = components(edges).select(F.col("node.c").alias("c"), F.col("root.d").alias("r"))
     # Only classes with several rows or links have to be told anything.
-    told = classes.join(roots, "f", "left").filter("n > 1 OR r IS NOT NULL").select("f", F.coalesce("r", "d").alias("r"))
+    told = classes.join(roots, "c", "left").filter("n > 1 OR r IS NOT NULL").select(of_class, F.coalesce("r", "d").alias("r"))
     told = checked_broadcast(cut(told))
-    return marked.select("doc_id", "f").join(told, "f", "left").select("doc_id", "f", F.coalesce("r", "doc_id").alias("component_id"))
+    return marked.select("doc_id", "f", *{of_class} - {"f"}).join(told, of_class, "left").select("doc_id", "f", F.coalesce("r", "doc_id").alias("component_id"))
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 24, verified: float = 0.8) -> DataFrame:

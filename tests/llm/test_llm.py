@@ -305,6 +305,44 @@ def test_bands_find_what_is_alike(spark, tile):
         assert not alone or sum(x == got[a] for x in got.values()) == 1
 
 
+def test_near_duplicates_are_those_of_exact_similarity(spark):
+    r = np.random.default_rng(21)
+    rows, near = [], set()
+    for n in (60, 100, 500):  # shingles; pairs just below and above 0.8, each of words of its own
+        for k in range(40):
+            words = [f"w{n}x{k}x{i}" for i in range(n + 4)]
+            m = int(n / 9) + int(r.integers(-1, 3)) * max(1, n // 100)  # (n - m) / (n + m) is 0.8 at n / 9
+            i = 2 * len(rows)
+            rows += [(i, " ".join(words)), (i + 1, " ".join([*words[:-m], *[f"o{x}" for x in words[-m:]]]))]
+            if (n - m) / (n + m) >= 0.8:
+                near.add(i + 1)
+    head = "spam " * 500  # one shingle so frequent that it alone makes the fingerprint
+    rows += [(-2, head + " ".join(f"a{i}" for i in range(60))), (-1, head + " ".join(f"b{i}" for i in range(60)))]
+    assert 30 < len(near) < 90
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(x.doc_id for x in kept.collect()) == sorted({i for i, _ in rows} - near)
+
+
+@pytest.mark.parametrize("tile", [8192, 40])
+def test_exact_links_in_large_buckets_are_those_of_all_pairs(spark, tile):
+    r = np.random.default_rng(22)
+    base, texts = [f"w{i}" for i in range(200)], []
+    for _ in range(300):  # one bucket of texts that are 0.7 to 0.9 alike
+        text = list(base)
+        for at in r.choice(200, int(r.integers(1, 5)), replace=False).tolist():
+            text[at] = f"e{r.integers(1000)}"
+        texts.append(" ".join(text[: int(r.integers(170, 201))]))
+    rows = simhash.cluster(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 5, 64, tile, verified=0.8).collect()
+    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for t in texts]
+    least = list(range(len(texts)))
+    for _ in range(8):  # by now each has heard of the least it is chained to
+        for a in range(len(sets)):
+            for b in range(a):
+                if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8:
+                    least[a] = least[b] = min(least[a], least[b])
+    assert {x.doc_id: x.component_id for x in rows} == dict(enumerate(least))
+
+
 def test_sketches_estimate_similarity():
     r = np.random.default_rng(9)
     for n in (40, 400, 20_000):
