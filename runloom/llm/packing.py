@@ -1,14 +1,16 @@
 """Best-fit packing by hierarchical residuals.
 
 Documents become pieces of at most `room` tokens. Each partition packs its pieces
-best-fit, largest first. Bins that are full but for `slack` tokens are done. The
-others become items of their fill and go, a few partitions together, to the next
-level, where they are packed again; so levels halve the work over and over, until
-one partition is left with what a handful of partitions could not fill. No task
-sees all pieces.
+best-fit, largest first. That leaves it one bin at most that is no more than half
+full (a second one's first piece would have fitted into it), and two bins that are
+more than half full never fit together. So only the half-empty bins, one for each
+partition, can still be merged, with each other or into as many others. Which fills
+they go to is told by counts of bins for each fill; one task then merges those bins,
+two numbers each, and all other bins are done as they are. No task sees all pieces
+or all bins, whatever their sizes.
 
 Rows keep flat columns: a bin's number, and a piece's place in it. Bins' numbers
-come from level, partition and order, and rows are sorted before they are packed,
+come from step, partition and order, and rows are sorted before they are packed,
 so a task that runs again gives the same bins.
 
 Defined results: a null text counts as empty and has the end id alone; repeated
@@ -18,18 +20,19 @@ rows are pieces of their own; an empty table gives an empty result.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import cut, text_of
+from .common import checked_broadcast, cut, text_of
 
-ROOM, SLACK, LEAF, FAN_IN, END = 2048, 16, 50_000, 8, 0
+ROOM, LEAF, END = 2048, 50_000, 0
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -77,53 +80,92 @@ def best_fit(sizes: np.ndarray, room: int) -> np.ndarray:
     return out
 
 
-def _packer(room: int, level: int):
+def _packer(room: int):
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = [b for b in batches if len(b)]
         if not held:
             return
         rows = pd.concat(held, ignore_index=True)
-        order = np.lexsort((rows["start"], rows["piece"], rows["doc_id"], rows["bin"])) if level else np.lexsort((rows["ids_crc32"], rows["piece"], rows["doc_id"]))
-        rows = rows.iloc[order].reset_index(drop=True)
+        rows = rows.iloc[np.lexsort((rows["ids_crc32"], rows["piece"], rows["doc_id"]))].reset_index(drop=True)
         length = rows["length"].to_numpy()
-        item = np.unique(rows["bin"].to_numpy(), return_inverse=True)[1] if level else np.arange(len(rows))
-        sizes = np.bincount(item, weights=length).astype(np.int64)
-        largest_first = np.argsort(-sizes, kind="stable")
-        bin_of = np.empty(len(sizes), np.int64)
-        bin_of[largest_first] = best_fit(sizes[largest_first], room)
-        bin_ = bin_of[item]
+        largest_first = np.argsort(-length, kind="stable")
+        bin_ = np.empty(len(length), np.int64)
+        bin_[largest_first] = best_fit(length[largest_first], room)
         order = np.argsort(bin_, kind="stable")
         rows, bin_, length = rows.iloc[order], bin_[order], length[order]
         total = np.cumsum(length) - length
         first = np.searchsorted(bin_, bin_, "left")
-        base = (level << 56) | (TaskContext.get().partitionId() << 32)
+        base = TaskContext.get().partitionId() << 32
         yield rows.assign(bin=bin_ + base, offset=total - total[first], fill=np.bincount(bin_, weights=length).astype(np.int64)[bin_])
 
     return pack
 
 
-def pack(items: DataFrame, room: int = ROOM, slack: int = SLACK, leaf: int = LEAF, fan_in: int = FAN_IN) -> DataFrame:
+def takers(fills: dict[int, int], room: int) -> dict[int, int]:
+    """Numbers of bins by fill -> of those over half full, how many by fill the
+    half-empty ones go into, largest first and best-fit."""
+    fresh = {room - f: n for f, n in fills.items() if room // 2 < f < room}
+    bits, used, need = sum(1 << left for left in fresh), Counter(), Counter()
+    for size in sorted((f for f in fills if f <= room // 2), reverse=True):
+        for _ in range(fills[size]):
+            fits = bits >> size
+            left = size + (fits & -fits).bit_length() - 1 if fits else room
+            if used[left]:
+                used[left] -= 1
+            elif fresh.get(left):
+                fresh[left] -= 1
+                need[room - left] += 1
+            if not used[left] and not fresh.get(left):
+                bits &= ~(1 << left)
+            if left > size:
+                used[left - size] += 1
+                bits |= 1 << (left - size)
+    return dict(need)
+
+
+def merges(packed: DataFrame, room: int) -> DataFrame:
+    """bin, into, base: the bins that are merged, and where their rows begin."""
+
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = [b for b in batches if len(b)]
+        if not held:
+            return
+        bins = pd.concat(held, ignore_index=True).sort_values(["fill", "bin"], ascending=[False, True])
+        fill = bins["fill"].to_numpy()
+        into = best_fit(fill, room)
+        order = np.argsort(into, kind="stable")
+        into, fill = into[order], fill[order]
+        total = np.cumsum(fill) - fill
+        yield pd.DataFrame({"bin": bins["bin"].to_numpy()[order], "into": into + (1 << 56), "base": total - total[np.searchsorted(into, into, "left")]})
+
+    bins = packed.filter("offset = 0").select("bin", "fill")  # a piece has one token at least
+    need = takers({r["fill"]: r["count"] for r in bins.groupBy("fill").count().collect()}, room)
+    open_ = bins.filter(F.col("fill") <= room // 2)
+    if need:
+        wanted = F.broadcast(packed.sparkSession.createDataFrame(sorted(need.items()), "fill long, n long"))
+        rank = F.row_number().over(Window.partitionBy("fill").orderBy("bin"))
+        taken = bins.join(wanted, "fill").withColumn("rank", rank).filter((F.col("rank") <= max(need.values())) & (F.col("rank") <= F.col("n")))
+        open_ = open_.unionByName(taken.select("bin", "fill"))
+    return open_.repartition(1).mapInPandas(merge, "bin long, into long, base long")
+
+
+def pack(items: DataFrame, room: int = ROOM, leaf: int = LEAF) -> DataFrame:
     """The rows of `pieces` with sequence_id and offset. `items` should be cut."""
-    schema = f"{PIECES}, bin long, offset long, fill long"
-    columns = ["doc_id", "piece", "start", "length", "ids_crc32", "bin", "offset", "fill"]
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32", "bin", "offset"]
     full = items.filter(F.col("length") == room).select(
-        "*", (F.monotonically_increasing_id().bitwiseOR(F.lit(1 << 62))).alias("bin"), F.lit(0).cast("long").alias("offset"), F.col("length").alias("fill")
+        "*", (F.monotonically_increasing_id().bitwiseOR(F.lit(1 << 62))).alias("bin"), F.lit(0).cast("long").alias("offset")
     )
-    todo, done, level = items.filter(F.col("length") < room), [full], 0
+    todo = items.filter(F.col("length") < room)
     parts = max(1, -(-todo.count() // leaf))
-    while True:
-        dealt = todo.repartition(parts, "bin") if level else todo.repartition(parts, "doc_id", "piece")
-        packed = cut(dealt.mapInPandas(_packer(room, level), schema).select(columns))
-        if parts == 1:
-            done.append(packed)
-            break
-        done.append(packed.filter(F.col("fill") >= room - slack))
-        todo = packed.filter(F.col("fill") < room - slack)
-        parts, level = -(-parts // fan_in), level + 1
-    out = done[0]
-    for x in done[1:]:
-        out = out.unionByName(x)
-    return out.select("doc_id", "piece", "start", "length", "ids_crc32", F.col("bin").alias("sequence_id"), "offset")
+    packed = todo.repartition(parts, "doc_id", "piece").mapInPandas(_packer(room), f"{PIECES}, bin long, offset long, fill long")
+    packed = cut(packed.select(*columns, "fill"))
+    if parts > 1:
+        moved = checked_broadcast(cut(merges(packed, room)))
+        packed = packed.join(moved, "bin", "left").withColumns(
+            {"offset": F.col("offset") + F.coalesce("base", F.lit(0)), "bin": F.coalesce("into", "bin")}
+        )
+    out = full.select(columns).unionByName(packed.select(columns))
+    return out.withColumnRenamed("bin", "sequence_id")
 
 
 def pack_documents(docs: DataFrame, room: int = ROOM, **options) -> DataFrame:

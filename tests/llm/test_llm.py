@@ -392,6 +392,28 @@ def test_packing_is_whole_and_tight(documents, texts, leaf):
     assert len(by_doc) == len(texts) and len(by_bin) <= 1.03 * sum(r.length for r in rows) / 2048 + 1
 
 
+def test_no_packing_task_sees_all_pieces(spark, monkeypatch):
+    plain, r = packing.best_fit, np.random.default_rng(4)
+    lengths = [*r.integers(1025, 2032, 1500).tolist(), *r.integers(600, 1025, 30).tolist(), 3]  # few fit together
+
+    def guarded(sizes, room):
+        assert len(sizes) <= 150, f"a task packs {len(sizes)} items"
+        return plain(sizes, room)
+
+    monkeypatch.setattr(packing, "best_fit", guarded)
+    rows = spark.createDataFrame([(i, 0, 0, n, 0) for i, n in enumerate(lengths)], packing.PIECES)
+    got = packing.pack(rows, leaf=50).collect()
+    assert sorted((x.doc_id, x.length) for x in got) == list(enumerate(lengths))
+    by_bin = collections.defaultdict(list)
+    for x in got:
+        by_bin[x.sequence_id].append((x.offset, x.length))
+    for parts in by_bin.values():
+        parts.sort()
+        assert [at for at, _ in parts] == [sum(n for _, n in parts[:k]) for k in range(len(parts))] and sum(n for _, n in parts) <= 2048
+    assert len(by_bin) <= plain(np.array(sorted(lengths, reverse=True)), 2048).max() + 1 + 0.005 * len(lengths)
+    assert sum(2 * sum(n for _, n in parts) <= 2048 for parts in by_bin.values()) <= 1
+
+
 def test_stages_keep_columns_and_take_effect(spark, sf_dir, documents):
     docs = documents
     for name, stage in corpus_pipeline.STAGES[:-1]:
