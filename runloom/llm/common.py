@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -20,12 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _with_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder: the cluster's, or a new one where none is set."""
+    """The shared checkpoint folder: the cluster's. Only in local mode, where the
+    driver is the only machine, a new one is made where none is set."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(
-            context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-")
-        )
+        named = context.getConf().get("spark.checkpoint.dir")
+        if not named and not re.fullmatch(r"local(\[[^,]*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
     return context.getCheckpointDir()
 
 
@@ -41,6 +44,17 @@ def shared_folder(df: DataFrame, name: str) -> str:
     return f"{_with_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder of `shared_folder` that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def quoted(columns) -> list[str]:
+    """Column names as they can be selected, whatever characters are in them."""
+    return ["`" + c.replace("`", "``") + "`" for c in columns]
+
+
 def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

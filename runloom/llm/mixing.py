@@ -16,7 +16,9 @@ rows; no block has more than about `fan_in` rows.
 Defined results: null and empty texts have size 0 and are taken 0 times over 0
 words; a null source is a source of its own, the last; repeated rows count as
 documents of their own; sources of size 0 have target 0; an empty table gives an
-empty result. Random numbers come from hashes of ids, so reruns agree.
+empty result. Very long texts are counted whole; other columns may have any
+names. Random numbers and blocks come from hashes of the rows' content, so reruns
+agree, however the rows are dealt over partitions.
 """
 
 from __future__ import annotations
@@ -24,11 +26,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checked_broadcast, cut, shared_folder, text_of, unit, words_of
+from .common import checked_broadcast, cut, quoted, shared_folder, text_of, unit, words_of
 
 #: Items are folded from the largest down, so that the rest is a small one.
-ITEM = "struct<size:bigint,rid:bigint,id:string,p:double>"
-OUT = "array<struct<rid:bigint,up:int>>"
+ITEM = "struct<size:bigint,rid:bigint,rid2:bigint,p:double>"
+OUT = "array<struct<rid:bigint,rid2:bigint,up:int>>"
 
 
 def targets(by_source: DataFrame, weights=(3, 1, 2), ratio: float = 1.5, cap: float = 2.0) -> DataFrame:
@@ -61,9 +63,9 @@ def _fold(items: Column, level: int) -> Column:
         up_a, down_b = (1 - a["p"]) * a["size"], b["p"] * b["size"]
         down_a, up_b = a["p"] * a["size"], (1 - b["p"]) * b["size"]
         gain, loss = F.least(up_a, down_b), F.least(down_a, up_b)
-        rises = unit(F.lit(level), a["id"], b["id"], a["rid"], b["rid"]) * (gain + loss) < loss
-        item = lambda x, p: F.struct(x["size"].alias("size"), x["rid"].alias("rid"), x["id"].alias("id"), p.alias("p"))
-        done = lambda x, up: F.struct(x["rid"].alias("rid"), F.lit(up).alias("up"))
+        rises = unit(F.lit(level), a["rid"], a["rid2"], b["rid"], b["rid2"]) * (gain + loss) < loss
+        item = lambda x, p: F.struct(x["size"].alias("size"), x["rid"].alias("rid"), x["rid2"].alias("rid2"), p.alias("p"))
+        done = lambda x, up: F.struct(x["rid"].alias("rid"), x["rid2"].alias("rid2"), F.lit(up).alias("up"))
         then = lambda rest, out: F.struct(rest.alias("rest"), F.concat(state["out"], F.array(out)).alias("out"))
         return (
             F.when(a.isNull(), F.struct(b.cast(ITEM).alias("rest"), state["out"].alias("out")))
@@ -77,19 +79,21 @@ def _fold(items: Column, level: int) -> Column:
 
 
 def round_dependently(items: DataFrame, fan_in: int = 128) -> DataFrame:
-    """group, rid, id, size, p (in [0, 1)) -> rid, up: 1 for each item rounded up.
+    """group, rid, rid2, size, p (in [0, 1)) -> rid, rid2, up: 1 for each item
+    rounded up.
 
-    `rid` tells rows apart and is fixed; `items` should be cut already. Each
-    level groups about `fan_in` items of a group; the rests go one level up."""
+    rid and rid2 together tell items apart; blocks, the order inside them and the
+    random numbers depend on them only. `items` should be cut already. Each level
+    groups about `fan_in` items of a group; the rests go one level up."""
     done, level = None, 0
     largest = items.groupBy("group").count().agg(F.max("count")).first()[0] or 0
     while largest:
         # Blocks of a group are told apart by a hash of the row: a hot group has more blocks, not larger ones.
         blocks = -(-largest // fan_in)
-        block = F.lit(0) if largest <= fan_in else F.pmod(F.xxhash64("rid", F.lit(level)), F.lit(blocks))
+        block = F.lit(0) if largest <= fan_in else F.pmod(F.xxhash64("rid", "rid2", F.lit(level)), F.lit(blocks))
         folded = cut(
             items.groupBy("group", block.alias("block"))
-            .agg(F.sort_array(F.collect_list(F.struct("size", "rid", "id", "p")), asc=False).alias("items"))
+            .agg(F.sort_array(F.collect_list(F.struct("size", "rid", "rid2", "p")), asc=False).alias("items"))
             .select("group", _fold(F.col("items"), level).alias("f"))
             .select("group", "f.rest", "f.out")
         )
@@ -97,10 +101,32 @@ def round_dependently(items: DataFrame, fan_in: int = 128) -> DataFrame:
         done = here if done is None else done.unionByName(here)
         items = folded.select("group", "rest.*")
         if largest <= fan_in:
-            last = items.select("rid", (unit(F.lit(-1), "id", "rid") < F.col("p")).cast("int").alias("up"))
+            last = items.select("rid", "rid2", (unit(F.lit(-1), "rid", "rid2") < F.col("p")).cast("int").alias("up"))
             return done.unionByName(last)
         largest, level = blocks, level + 1
-    return items.select("rid", F.lit(0).alias("up"))
+    return items.select("rid", "rid2", F.lit(0).alias("up"))
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """Fixed rows with _rid and _rid2, 128 bits of hash of a row's content: rows
+    with the same content get other second numbers, by their places among
+    themselves. As such rows are the same, it doesn't matter which is which, and
+    the result depends on the rows only, not on how they are dealt out.
+
+    Copies are numbered in two steps, inside each partition and then over the
+    partitions, so a content with a third of all rows is no task's alone."""
+    again = cut(rows.groupBy("_rid", "_rid2").count().filter("count > 1").select("_rid", "_rid2"))
+    if again.isEmpty():
+        return rows
+    again = checked_broadcast(again)
+    copies = rows.join(again, ["_rid", "_rid2"], "left_semi").withColumn("_part", F.spark_partition_id())
+    inside = F.row_number().over(Window.partitionBy("_rid", "_rid2", "_part").orderBy(F.lit(1)))
+    copies = cut(copies.withColumn("_no", inside))
+    order = Window.partitionBy("_rid", "_rid2").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = copies.groupBy("_rid", "_rid2", "_part").agg(F.count("*").alias("_n"))
+    parts = parts.withColumn("_before", F.coalesce(F.sum("_n").over(order), F.lit(0))).drop("_n")
+    told = copies.join(parts, ["_rid", "_rid2", "_part"]).withColumn("_rid2", F.xxhash64("_rid2", F.col("_no") + F.col("_before")))
+    return rows.join(again, ["_rid", "_rid2"], "left_anti").unionByName(told.select(*quoted(rows.columns)))
 
 
 def mix(
@@ -108,14 +134,16 @@ def mix(
 ) -> DataFrame:
     """doc_id, source, the columns `keep`, size, source_size, target, copies,
     taken (= copies * size) for each row of `docs`."""
-    sized = docs.select("doc_id", "source", *keep, F.size(words_of(text_of())).cast("long").alias("size"))
-    sized = sized.withColumn("_rid", F.monotonically_increasing_id())
+    content = ["doc_id", "source", text_of(), *keep]
+    ids = [F.xxhash64(F.lit(seed), *content).alias(f"_rid{seed}") for seed in ("", "2")]
+    sized = docs.select("doc_id", "source", *keep, F.size(words_of(text_of())).cast("long").alias("size"), *ids)
     if keep:  # wide rows are kept compressed and by columns
         path = shared_folder(docs, "sized")
         sized.write.parquet(path)
         sized = docs.sparkSession.read.parquet(path)
     else:
         sized = cut(sized)
+    sized = numbered(sized)
     by_source = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, ratio, cap)
     by_source = checked_broadcast(cut(by_source.withColumnRenamed("source", "_source")), 100_000)
     expected = F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0))
@@ -125,12 +153,12 @@ def mix(
         .withColumn("_p", expected - F.col("_whole"))
     )
     fractions = rows.filter("_p > 0 AND size > 0").select(
-        F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")).alias("group"), F.col("_rid").alias("rid"),
-        F.col("doc_id").cast("string").alias("id"), "size", F.col("_p").alias("p"),
+        F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")).alias("group"), F.col("_rid").alias("rid"), F.col("_rid2").alias("rid2"),
+        "size", F.col("_p").alias("p"),
     )
-    ups = checked_broadcast(round_dependently(fractions, fan_in).withColumnRenamed("rid", "_rid"))
+    ups = round_dependently(fractions, fan_in).withColumnsRenamed({"rid": "_rid", "rid2": "_rid2"})
     return (
-        rows.join(ups, "_rid", "left")
+        rows.join(checked_broadcast(ups), ["_rid", "_rid2"], "left")
         .withColumn("copies", F.when(F.col("size") > 0, F.col("_whole") + F.coalesce("up", F.lit(0))).otherwise(F.lit(0)).cast("long"))
         .select("doc_id", "source", *keep, "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
     )
