@@ -21,8 +21,11 @@ asked for, counted exactly. Only sets of classes that meet others are made, and
 they are brought to the units; the rows' sizes bound the tiles then.
 
 Defined results: a null text counts as empty; texts without words have
-fingerprint zero and are linked like any other; repeated rows are linked; an
-empty table gives an empty result.
+fingerprint zero and are linked like any other; very long texts are read whole, in
+bounded memory; repeated rows are linked; rows with equal ids are rows of their
+own; of a component's rows with the least id all count as first (ties are settled by
+`drop_near_duplicates`); null ids count as the greatest; other columns, whatever
+their names, are passed through; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checked_broadcast, cut, text_of
+from .common import checked_broadcast, cut, quoted, text_of
 
 SEED = 42
 TILE = 8_192
@@ -44,6 +47,8 @@ PAIRS = 1 << 13
 #: Shingles that count as much as a row in a tile: 8,192 rows hold 32 MB of them.
 SHINGLES_A_ROW = 512
 NODE = "struct<d:bigint,f:bigint>"
+#: Stands for a null id: no id is greater.
+NO_ID = (1 << 63) - 1
 
 
 def shingle_hashes(text: str, size: int) -> np.ndarray:
@@ -74,34 +79,10 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int.from_bytes(bits.tobytes(), "big", signed=True)
 
 
+#: Bins of hashes by their top bits, see `Sets.may`.
 BINS = 512
 
 
-def sketch(hashes: np.ndarray) -> bytes:
-    """Of the least hash in each of the bins that the top bits choose: one mixed
-    bit; then, for each bin, whether it has any. 128 bytes."""
-    bit, used = np.zeros(BINS, np.uint8), np.zeros(BINS, np.uint8)
-    if len(hashes):
-        h = np.sort(hashes)
-        bins, first = np.unique((h >> np.uint64(55)).astype(np.int64), return_index=True)
-        bit[bins] = (h[first] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(63)
-        used[bins] = 1
-    return np.packbits(bit).tobytes() + np.packbits(used).tobytes()
-
-
-def alike(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
-    """Rows of sketches as 64-bit words: which pairs have about that Jaccard
-    similarity of their shingle sets or more. Two different least hashes have the
-    same bit half of the time, so equal bins are twice the equal bits less the bins
-    that both use. Two texts without shingles are alike. An estimate only: no link
-    is decided by it, see `Sets`."""
-    half = a.shape[1] // 2
-    both, any_ = a[:, half:] & b[:, half:], a[:, half:] | b[:, half:]
-    count = lambda x: np.bitwise_count(x).sum(1, dtype=np.int64)
-    equal = 2 * count(~(a[:, :half] ^ b[:, :half]) & both) - count(both)
-    return equal >= least * count(any_)
-
-
 class Sets:
     """Sorted sets of hashes, as bytes, and which pairs have a Jaccard similarity of
     `least` or more."""
@@ -154,8 +135,9 @@ def set_digest(hashes: np.ndarray) -> bytes:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, sets: bool = False, banded: bool = False) -> DataFrame:
-    """doc_id, f (the 64 bits as a signed number), and, if wanted, g and w, the digest
-    and the size of the shingle set, and k, the keys of the bands."""
+    """doc_id, f (the 64 bits as a signed number), and, if wanted, t, a hash of the
+    text, g and w, the digest and the size of the shingle set, and k, the keys of the
+    bands."""
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -167,15 +149,16 @@ def fingerprints(docs: DataFrame, shingle: int = 4, sets: bool = False, banded:
                 digests.append(set_digest(distinct) if sets else b"")
                 sizes.append(len(distinct))
                 keys.append(band_keys(hashes) if banded else [])
-            yield pd.DataFrame({"doc_id": b["doc_id"], "f": np.array(prints, np.int64), "g": digests, "w": sizes, "k": keys})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "t": b["t"], "f": np.array(prints, np.int64), "g": digests, "w": sizes, "k": keys})
 
-    made = docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInPandas(make, "doc_id long, f long, g binary, w long, k array<long>")
-    return made.drop(*([] if sets else ["g", "w"]), *([] if banded else ["k"]))
+    texts = docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).withColumn("t", F.xxhash64("text"))
+    made = texts.mapInPandas(make, "doc_id long, t long, f long, g binary, w long, k array<long>")
+    return made.drop(*([] if sets else ["t", "g", "w"]), *([] if banded else ["k"]))
 
 
 def shingle_sets(docs: DataFrame, shingle: int, wanted: DataFrame) -> DataFrame:
-    """c, h: the set of each wanted class (c, d, g), taken from a row with the id d
-    whose set has the digest g."""
+    """c, h: the set of each wanted class (c, d, t, g), taken from a row with the id
+    d and the hash t whose set has the digest g."""
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -186,8 +169,9 @@ def shingle_sets(docs: DataFrame, shingle: int, wanted: DataFrame) -> DataFrame:
                     rows.append((c, distinct.tobytes()))
             yield pd.DataFrame(rows, columns=["c", "h"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("d"), text_of().alias("text"))
-    found = texts.join(checked_broadcast(wanted), F.expr("d <=> _d")).select("c", "g", "text").mapInPandas(make, "c long, h binary")
+    id_ = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("d")
+    texts = docs.select(id_, text_of().alias("text")).withColumn("t", F.xxhash64("text"))
+    found = texts.join(checked_broadcast(wanted), ["d", "t"]).select("c", "g", "text").mapInPandas(make, "c long, h binary")
     return found.dropDuplicates(["c"])
 
 
@@ -368,10 +352,10 @@ def links(classes: DataFrame, radius: int, tile: int = TILE, verified: float | N
         if out:
             yield pd.DataFrame(np.concatenate(out), columns=["ad", "ac", "bd", "bc"])
 
-    dealt, have = into_units(classes.drop("g"), radius, tile), ["c", "d", "f"]
+    dealt, have = into_units(classes.drop("g", "t"), radius, tile), ["c", "d", "f"]
     if verified is not None:
         dealt = cut(dealt)
-        wanted = classes.join(dealt.select("c").distinct(), "c", "left_semi").select("c", F.col("d").alias("_d"), "g")
+        wanted = classes.join(dealt.select("c").distinct(), "c", "left_semi").select("c", "d", "t", "g")
         dealt, have = dealt.join(sets(cut(wanted)), "c"), [*have, "h"]
     dealt = dealt.select(*have, *names, "side").repartition(*names).sortWithinPartitions(*names)
     pairs = dealt.mapInPandas(compare, "ad long, ac long, bd long, bc long")
@@ -402,22 +386,36 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def cluster(docs: DataFrame, shingle: int = 4, radius: int = 4, tile: int = TILE, verified: float | None = None, bands: bool = False) -> DataFrame:
-    """doc_id, f, component_id (the least doc_id that can be reached) for each row.
+    """doc_id, f, component_id (the least doc_id that can be reached) and, with
+    `verified`, g, for each row; and `first`: whether the row is of the class and
+    has the id that stand for its component. Null ids count as the greatest.
 
     With `verified`, only links between texts whose shingle sets have that Jaccard
     similarity or more count (see `Sets`). With `bands`, only classes that share a
     key of a band are compared: for radii that blocks of bits can't prune."""
     marked = cut(fingerprints(docs, shingle, sets=verified is not None, banded=bands))
     of_class = "f" if verified is None else "g"
-    least = F.min(F.struct("doc_id", *[x for x in marked.columns if x not in ("doc_id", of_class)])).alias("least")
-    classes = marked.groupBy(of_class).agg(F.count("*").alias("n"), F.min("doc_id").alias("d"), least).select(of_class, "n", "d", "least.*").drop("doc_id")
+    id_ = F.coalesce("doc_id", F.lit(NO_ID))
+    least = F.min(F.struct(id_.alias("d"), *[x for x in marked.columns if x not in ("doc_id", of_class)])).alias("least")
+    classes = marked.groupBy(of_class).agg(F.count("*").alias("n"), least).select(of_class, "n", "least.*")
     classes = cut(classes.withColumn("c", F.col("f") if verified is None else F.monotonically_increasing_id()))
     edges = links(classes.drop("n"), radius, tile, verified, lambda wanted: shingle_sets(docs, shingle, wanted))
-    roots = components(edges).select(F.col("node.c").alias("c"), F.col("root.d").alias("r"))
+    roots = components(edges).select(F.col("node.c").alias("c"), F.col("root.d").alias("r"), F.col("root.c").alias("_rc"))
     # Only classes with several rows or links have to be told anything.
-    told = classes.join(roots, "c", "left").filter("n > 1 OR r IS NOT NULL").select(of_class, F.coalesce("r", "d").alias("r"))
-    told = checked_broadcast(cut(told))
-    return marked.select("doc_id", "f", *{of_class} - {"f"}).join(told, of_class, "left").select("doc_id", "f", F.coalesce("r", "doc_id").alias("component_id"))
+    told = classes.join(roots, "c", "left").filter("n > 1 OR r IS NOT NULL")
+    told = told.select(of_class, F.coalesce("r", "d").alias("r"), F.coalesce(F.col("_rc") == F.col("c"), F.lit(True)).alias("root"))
+    rows = marked.select("doc_id", "f", *{of_class} - {"f"}).join(checked_broadcast(cut(told)), of_class, "left")
+    component = F.coalesce(F.nullif("r", F.lit(NO_ID)), "doc_id")
+    first = F.coalesce("root", F.lit(True)) & (F.col("r").isNull() | (id_ == F.col("r")))
+    return rows.select("doc_id", "f", *{of_class} - {"f"}, component.alias("component_id"), first.alias("first"))
+
+
+def _set_digests(text: Column, shingle: int) -> Column:
+    @F.pandas_udf("binary")
+    def digests(texts: pd.Series) -> pd.Series:
+        return pd.Series([set_digest(np.unique(shingle_hashes(t, shingle))) for t in texts], dtype=object)
+
+    return digests(text)
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 24, verified: float = 0.8) -> DataFrame:
@@ -426,15 +424,25 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 24, ve
     Two texts with a Jaccard similarity of 0.8 differ in about 10 of 64 bits, one
     in ten such pairs in more than 15; the radius leaves room. Blocks of bits can't
     prune at that radius, so texts meet by bands; links are verified where they are
-    found. Rows that repeat an id stay once."""
+    found.
+
+    Rows are told apart by id where ids are unique. Rows that share an id, or have
+    none, are told apart by id and shingle set: such with different texts are
+    documents of their own; of such with equal sets one is kept, the one with the
+    least hash of its columns."""
     found = cut(cluster(docs, shingle, radius, verified=verified, bands=True))
-    gone = checked_broadcast(cut(found.filter("doc_id <> component_id").select("doc_id").distinct()))
-    again = checked_broadcast(cut(found.groupBy("doc_id").count().filter("count > 1").select("doc_id")))
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    have = quoted(docs.columns)
+    again = checked_broadcast(cut(found.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("_d"))))
+    gone = cut(found.filter("NOT first AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_d")).distinct())
+    kept = docs.join(checked_broadcast(gone), F.expr("doc_id = _d"), "left_anti").join(again, F.expr("doc_id <=> _d"), "left_anti").select(*have)
     if again.isEmpty():
         return kept
-    once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(again, "doc_id", "left_anti").unionByName(once).select(docs.columns)
+    shared = docs.join(again, F.expr("doc_id <=> _d"), "left_semi").select(F.struct(*have).alias("_row"), F.col("doc_id").alias("_i"), text_of().alias("_t"))
+    firsts = found.filter("first").join(again, F.expr("doc_id <=> _d"), "left_semi").select(F.col("doc_id").alias("_d"), F.col("g").alias("_g")).distinct()
+    shared = shared.select("_row", "_i", _set_digests(F.col("_t"), shingle).alias("_h"), F.xxhash64("_t", F.to_json("_row")).alias("_o"))
+    shared = shared.join(checked_broadcast(cut(firsts)), F.expr("_i <=> _d AND _h = _g"), "left_semi")
+    once = shared.groupBy("_i", "_h").agg(F.min_by("_row", "_o").alias("_row")).select("_row.*")
+    return kept.unionByName(once).select(*have)
 
 
 def hexed(f: Column) -> Column:
