@@ -55,6 +55,19 @@ def quoted(columns) -> list[str]:
     return ["`" + c.replace("`", "``") + "`" for c in columns]
 
 
+#: Stands for a null id inside Python batches, where a null would turn ids to floats.
+NO_ID = (1 << 63) - 1
+
+
+def id_of(name: str = "doc_id") -> Column:
+    """An id as a long; `NO_ID` for null. `given_id` turns it back."""
+    return F.coalesce(F.col(name).cast("long"), F.lit(NO_ID)).alias(name)
+
+
+def given_id(name: str = "doc_id") -> Column:
+    return F.nullif(F.col(name), F.lit(NO_ID)).alias(name)
+
+
 def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -3,18 +3,22 @@
 Documents become pieces of at most `room` tokens. Each partition packs its pieces
 best-fit, largest first. That leaves it one bin at most that is no more than half
 full (a second one's first piece would have fitted into it), and two bins that are
-more than half full never fit together. So only the half-empty bins, one for each
-partition, can still be merged, with each other or into as many others. Which fills
-they go to is told by counts of bins for each fill; one task then merges those bins,
-two numbers each, and all other bins are done as they are. No task sees all pieces
-or all bins, whatever their sizes.
+more than half full never fit together. So those over half full are done, and the
+half-empty ones are items of the next level of a tree: groups of `fan_in` of them are
+packed best-fit, largest first, which leaves one half-empty bin a group again, until
+one group is left. It also gets those nearly full bins that its items fit into; which
+fills these have is told by counts of bins for each fill. So no task sees all pieces
+or all bins, whatever their sizes and however many they are.
 
 Rows keep flat columns: a bin's number, and a piece's place in it. Bins' numbers
 come from step, partition and order, and rows are sorted before they are packed,
 so a task that runs again gives the same bins.
 
-Defined results: a null text counts as empty and has the end id alone; repeated
-rows are pieces of their own; an empty table gives an empty result.
+Defined results: a null text counts as empty and has the end id alone; a special
+token's string in a text becomes its id, as the library's plain call has it; very
+long texts are cut into as many pieces as it takes; repeated rows, equal and null ids
+are pieces of their own; other columns are left out; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -30,15 +34,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import checked_broadcast, cut, text_of
+from .common import checked_broadcast, cut, given_id, id_of, text_of
 
-ROOM, LEAF, END = 2048, 50_000, 0
+ROOM, LEAF, END, FAN_IN = 2048, 50_000, 0, 4_096
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def pieces(docs: DataFrame, room: int = ROOM, model: str | None = None, ranks: str | None = None) -> DataFrame:
     """Token pieces of each row; only documents longer than `room` are cut, the
-    first piece is then the shorter one."""
+    first piece is then the shorter one. Null ids are told by `NO_ID`."""
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -52,7 +56,7 @@ def pieces(docs: DataFrame, room: int = ROOM, model: str | None = None, ranks: s
                     start, stop, k = stop, stop + room, k + 1
             yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInPandas(make, PIECES)
+    return docs.select(id_of(), text_of().alias("text")).mapInPandas(make, PIECES)
 
 
 def best_fit(sizes: np.ndarray, room: int) -> np.ndarray:
@@ -123,33 +127,59 @@ def takers(fills: dict[int, int], room: int) -> dict[int, int]:
     return dict(need)
 
 
-def merges(packed: DataFrame, room: int) -> DataFrame:
-    """bin, into, base: the bins that are merged, and where their rows begin."""
-
+def _merger(room: int, level: int):
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = [b for b in batches if len(b)]
         if not held:
             return
-        bins = pd.concat(held, ignore_index=True).sort_values(["fill", "bin"], ascending=[False, True])
-        fill = bins["fill"].to_numpy()
-        into = best_fit(fill, room)
-        order = np.argsort(into, kind="stable")
-        into, fill = into[order], fill[order]
-        total = np.cumsum(fill) - fill
-        yield pd.DataFrame({"bin": bins["bin"].to_numpy()[order], "into": into + (1 << 56), "base": total - total[np.searchsorted(into, into, "left")]})
-
-    bins = packed.filter("offset = 0").select("bin", "fill")  # a piece has one token at least
-    need = takers({r["fill"]: r["count"] for r in bins.groupBy("fill").count().collect()}, room)
-    open_ = bins.filter(F.col("fill") <= room // 2)
+        for group, bins in pd.concat(held, ignore_index=True).groupby("group"):
+            bins = bins.sort_values(["fill", "bin"], ascending=[False, True])
+            fill = bins["fill"].to_numpy()
+            into = best_fit(fill, room)
+            order = np.argsort(into, kind="stable")
+            into, fill = into[order], fill[order]
+            total, full = np.cumsum(fill) - fill, np.bincount(into, weights=fill).astype(np.int64)
+            first = np.searchsorted(into, into, "left")
+            # A merged bin is known by its first member: a bin is in one merge of a level at most.
+            yield pd.DataFrame({"bin": bins["bin"].to_numpy()[order], "into": bins["bin"].to_numpy()[order][first], "base": total - total[first], "fill": full[into]})
+
+    return merge
+
+
+def merges(packed: DataFrame, room: int, fan_in: int = FAN_IN) -> DataFrame:
+    """bin, into, base: the bins that are merged, and where their rows begin."""
+    bins = cut(packed.filter("offset = 0").select("bin", "fill"))  # a piece has one token at least
+    half = F.col("fill") <= room // 2
+    open_, moved, level = bins.filter(half), None, 0
+    while True:
+        groups = -(-open_.count() // fan_in)
+        if groups <= 1:
+            break
+        grouped = open_.withColumn("group", F.pmod(F.xxhash64("bin", F.lit(level)), F.lit(groups)))
+        here = cut(grouped.repartition(groups, "group").mapInPandas(_merger(room, level), "bin long, into long, base long, fill long"))
+        moved = _then(moved, here)
+        open_ = here.filter(half & (F.col("bin") == F.col("into"))).select("bin", "fill")
+        level += 1
+    need = takers({r["fill"]: r["count"] for r in bins.filter(~half).groupBy("fill").count().collect()} | {r["fill"]: r["count"] for r in open_.groupBy("fill").count().collect()}, room)
     if need:
         wanted = F.broadcast(packed.sparkSession.createDataFrame(sorted(need.items()), "fill long, n long"))
         rank = F.row_number().over(Window.partitionBy("fill").orderBy("bin"))
-        taken = bins.join(wanted, "fill").withColumn("rank", rank).filter((F.col("rank") <= max(need.values())) & (F.col("rank") <= F.col("n")))
+        taken = bins.filter(~half).join(wanted, "fill").withColumn("rank", rank).filter((F.col("rank") <= max(need.values())) & (F.col("rank") <= F.col("n")))
         open_ = open_.unionByName(taken.select("bin", "fill"))
-    return open_.repartition(1).mapInPandas(merge, "bin long, into long, base long")
+    last = open_.withColumn("group", F.lit(0)).repartition(1, "group").mapInPandas(_merger(room, level), "bin long, into long, base long, fill long")
+    return _then(moved, cut(last)).select("bin", "into", "base")
+
+
+def _then(moved: DataFrame | None, here: DataFrame) -> DataFrame:
+    """What the levels so far have moved, followed by another level."""
+    if moved is None:
+        return here
+    next_ = here.select(F.col("bin").alias("into"), F.col("into").alias("_into"), F.col("base").alias("_base"))
+    on = moved.join(next_, "into", "left").select("bin", F.coalesce("_into", "into").alias("into"), (F.col("base") + F.coalesce("_base", F.lit(0))).alias("base"))
+    return cut(on.unionByName(here.join(moved, "bin", "left_anti").select("bin", "into", "base")))
 
 
-def pack(items: DataFrame, room: int = ROOM, leaf: int = LEAF) -> DataFrame:
+def pack(items: DataFrame, room: int = ROOM, leaf: int = LEAF, fan_in: int = FAN_IN) -> DataFrame:
     """The rows of `pieces` with sequence_id and offset. `items` should be cut."""
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", "bin", "offset"]
     full = items.filter(F.col("length") == room).select(
@@ -160,12 +190,12 @@ def pack(items: DataFrame, room: int = ROOM, leaf: int = LEAF) -> DataFrame:
     packed = todo.repartition(parts, "doc_id", "piece").mapInPandas(_packer(room), f"{PIECES}, bin long, offset long, fill long")
     packed = cut(packed.select(*columns, "fill"))
     if parts > 1:
-        moved = checked_broadcast(cut(merges(packed, room)))
+        moved = checked_broadcast(cut(merges(packed, room, fan_in)))
         packed = packed.join(moved, "bin", "left").withColumns(
             {"offset": F.col("offset") + F.coalesce("base", F.lit(0)), "bin": F.coalesce("into", "bin")}
         )
     out = full.select(columns).unionByName(packed.select(columns))
-    return out.withColumnRenamed("bin", "sequence_id")
+    return out.withColumns({"doc_id": given_id()}).withColumnRenamed("bin", "sequence_id")
 
 
 def pack_documents(docs: DataFrame, room: int = ROOM, **options) -> DataFrame:

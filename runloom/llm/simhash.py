@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checked_broadcast, cut, quoted, text_of
+from .common import NO_ID, checked_broadcast, cut, given_id, id_of, quoted, text_of
 
 SEED = 42
 TILE = 8_192
@@ -47,8 +47,6 @@ PAIRS = 1 << 13
 #: Shingles that count as much as a row in a tile: 8,192 rows hold 32 MB of them.
 SHINGLES_A_ROW = 512
 NODE = "struct<d:bigint,f:bigint>"
-#: Stands for a null id: no id is greater.
-NO_ID = (1 << 63) - 1
 
 
 def shingle_hashes(text: str, size: int) -> np.ndarray:
@@ -151,8 +149,8 @@ def fingerprints(docs: DataFrame, shingle: int = 4, sets: bool = False, banded:
                 keys.append(band_keys(hashes) if banded else [])
             yield pd.DataFrame({"doc_id": b["doc_id"], "t": b["t"], "f": np.array(prints, np.int64), "g": digests, "w": sizes, "k": keys})
 
-    texts = docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).withColumn("t", F.xxhash64("text"))
-    made = texts.mapInPandas(make, "doc_id long, t long, f long, g binary, w long, k array<long>")
+    texts = docs.select(id_of(), text_of().alias("text")).withColumn("t", F.xxhash64("text"))
+    made = texts.mapInPandas(make, "doc_id long, t long, f long, g binary, w long, k array<long>").withColumns({"doc_id": given_id()})
     return made.drop(*([] if sets else ["t", "g", "w"]), *([] if banded else ["k"]))
 
 
@@ -169,8 +167,7 @@ def shingle_sets(docs: DataFrame, shingle: int, wanted: DataFrame) -> DataFrame:
                     rows.append((c, distinct.tobytes()))
             yield pd.DataFrame(rows, columns=["c", "h"])
 
-    id_ = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("d")
-    texts = docs.select(id_, text_of().alias("text")).withColumn("t", F.xxhash64("text"))
+    texts = docs.select(id_of().alias("d"), text_of().alias("text")).withColumn("t", F.xxhash64("text"))
     found = texts.join(checked_broadcast(wanted), ["d", "t"]).select("c", "g", "text").mapInPandas(make, "c long, h binary")
     return found.dropDuplicates(["c"])
 
@@ -395,7 +392,7 @@ def cluster(docs: DataFrame, shingle: int = 4, radius: int = 4, tile: int = TILE
     key of a band are compared: for radii that blocks of bits can't prune."""
     marked = cut(fingerprints(docs, shingle, sets=verified is not None, banded=bands))
     of_class = "f" if verified is None else "g"
-    id_ = F.coalesce("doc_id", F.lit(NO_ID))
+    id_ = id_of()
     least = F.min(F.struct(id_.alias("d"), *[x for x in marked.columns if x not in ("doc_id", of_class)])).alias("least")
     classes = marked.groupBy(of_class).agg(F.count("*").alias("n"), least).select(of_class, "n", "least.*")
     classes = cut(classes.withColumn("c", F.col("f") if verified is None else F.monotonically_increasing_id()))

@@ -3,8 +3,8 @@
 The tokenizer's files are read once by each Python worker. The ids are those of
 the `tokenizers` file. Texts of common characters go through the faster library
 that reads the same vocabulary as ranks; both split and merge such texts alike.
-Others, where the libraries' character classes may differ, go through
-`tokenizers` itself.
+Others, where the libraries' character classes may differ, and texts that hold the
+string of a special token, go through `tokenizers` itself.
 """
 
 from __future__ import annotations
@@ -18,14 +18,16 @@ import numpy as np
 MODEL, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 #: Printable ASCII, tab and line ends, Latin letters and signs.
 COMMON = re.compile("[\t\n\r -~¡-¬®-ɏ–—‘-‟…]*")
+#: What every special token's string begins with in this vocabulary.
+SPECIAL = "<|"
 
 
 @cache
-def _slow(path: str):
+def _slow(path: str, plain: bool):
     from tokenizers import Tokenizer
 
     found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True
+    found.encode_special_tokens = plain
     return found
 
 
@@ -45,11 +47,12 @@ def paths() -> tuple[str, str]:
     return public_tokenizers.path(MODEL), public_tokenizers.path(RANKS)
 
 
-def encode(text: str, model: str | None = None, ranks: str | None = None) -> np.ndarray:
-    """The ids of a text, unsigned 32 bits. A null text has none."""
+def encode(text: str, model: str | None = None, ranks: str | None = None, plain: bool = False) -> np.ndarray:
+    """The ids of a text, unsigned 32 bits. A null text has none. A special token's
+    string in a text becomes its id, or, with `plain`, is text like any other."""
     if not text:
         return np.empty(0, "<u4")
     model, ranks = model or paths()[0], ranks or paths()[1]
-    if COMMON.fullmatch(text):
+    if COMMON.fullmatch(text) and (plain or SPECIAL not in text):
         return _fast(ranks).encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
-    return np.array(_slow(model).encode(text, add_special_tokens=False).ids, "<u4")
+    return np.array(_slow(model, plain).encode(text, add_special_tokens=False).ids, "<u4")
