@@ -135,27 +135,56 @@ def test_chat_round_trip_and_layouts(spark):
 
 def test_token_counts_across_blocks(documents, texts):
     got = {r.doc_id: r.n_tokens for r in token_count.count_tokens(documents, block=1000).collect()}
-    assert got == {k: len(tokens.encode(t)) for k, t in texts.items()}
+    assert got == {k: len(tokens.encode(t, plain=True)) for k, t in texts.items()}
 
 
-def test_scan_of_blocks(spark):
+def test_scan_of_blocks(spark, tmp_path):
     flat = np.array([1, 2, 9, 9, 3, 4, 5, 6, 9, 7], "<u2")
-    for size in (1, 2, 3, 4, 20):
+    want = [(0, 2, True), (3, 0, True), (4, 4, True), (9, 1, False)]
+    flat.tofile(tmp_path / "a.bin")
+    np.array([], "<u2").tofile(tmp_path / "empty.bin")
+    for size, run in ((1, 3), (2, 1024), (3, 2), (4, 1), (20, 1024)):
         blocks = [(0, i // size, flat[i : i + size].tobytes()) for i in range(0, len(flat), size)]
-        rows = token_count.scan(spark.createDataFrame(blocks, "file_id long, no long, ids binary"), end=9).orderBy("doc_no").collect()
-        assert [(r.start, r.n_tokens, r.closed) for r in rows] == [(0, 2, True), (3, 0, True), (4, 4, True), (9, 1, False)]
+        made = spark.createDataFrame(blocks, "file_id long, no long, ids binary")
+        for given in (made, token_count.flat_blocks(spark, token_count.listed(spark, str(tmp_path)), size)):
+            rows = token_count.scan(given, end=9, run=run).orderBy("doc_no").collect()
+            assert [(r.start, r.n_tokens, r.closed) for r in rows] == want
 
 
 def test_ids_are_the_tokenizers(texts):
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(tokens.paths()[0])
-    model.encode_special_tokens = True
     common = "".join(map(chr, [9, 10, 13, *range(32, 127), *range(0xA1, 0xAD), *range(0xAE, 0x250), 0x2013, 0x2014, *range(0x2018, 0x2020), 0x2026]))
     r = np.random.default_rng(1)
-    made = ["".join(r.choice(list(common), 200)) for _ in range(100)] + ["<|endoftext|> a", "a\u0085b\u2003c \u200d 漢字 ١٢"]
-    for t in [*made, *texts.values()]:
-        assert tokens.encode(t).tolist() == model.encode(t, add_special_tokens=False).ids
+    made = ["".join(r.choice(list(common), 200)) for _ in range(100)] + ["<|endoftext|> a", "b <|endoftext|>", "<|", "a\u0085b\u2003c \u200d 漢字 ١٢"]
+    for plain in (False, True):  # the plain call first
+        model.encode_special_tokens = plain
+        for t in [*made, *texts.values()]:
+            assert tokens.encode(t, plain=plain).tolist() == model.encode(t, add_special_tokens=False).ids
+    assert tokens.encode("<|endoftext|> a").tolist() == [50256, 257]
+
+
+def test_best_fit_is_that_of_a_plain_loop():
+    r = np.random.default_rng(8)
+    for top in (2047, 1200, 300):
+        sizes = r.integers(1, top, 700)
+        bins, want = [], []
+        for size in sizes.tolist():
+            fits = [k for k, used in enumerate(bins) if used + size <= 2048]
+            if fits:
+                best = max(bins[k] for k in fits)
+                fits = [k for k in fits if bins[k] == best]
+            else:
+                bins.append(0)
+                fits = [len(bins) - 1]
+            want.append(bins[fits[0]] + size)
+            bins[fits[0]] += size
+        got, used, fills = packing.best_fit(sizes, 2048), collections.Counter(), []
+        for size, k in zip(sizes.tolist(), got.tolist(), strict=True):
+            used[k] += size
+            fills.append(used[k])
+        assert fills == want and sorted(used.values()) == sorted(bins)  # equally full bins may change places
 
 
 def test_urls(spark, tmp_path):
@@ -436,7 +465,8 @@ def test_packing_is_whole_and_tight(documents, texts, leaf):
     assert len(by_doc) == len(texts) and len(by_bin) <= 1.03 * sum(r.length for r in rows) / 2048 + 1
 
 
-def test_no_packing_task_sees_all_pieces(spark, monkeypatch):
+@pytest.mark.parametrize("fan_in", [4_096, 5])
+def test_no_packing_task_sees_all_pieces(spark, monkeypatch, fan_in):
     plain, r = packing.best_fit, np.random.default_rng(4)
     lengths = [*r.integers(1025, 2032, 1500).tolist(), *r.integers(600, 1025, 30).tolist(), 3]  # few fit together
 
@@ -446,7 +476,7 @@ def test_no_packing_task_sees_all_pieces(spark, monkeypatch):
 
     monkeypatch.setattr(packing, "best_fit", guarded)
     rows = spark.createDataFrame([(i, 0, 0, n, 0) for i, n in enumerate(lengths)], packing.PIECES)
-    got = packing.pack(rows, leaf=50).collect()
+    got = packing.pack(rows, leaf=50, fan_in=fan_in).collect()
     assert sorted((x.doc_id, x.length) for x in got) == list(enumerate(lengths))
     by_bin = collections.defaultdict(list)
     for x in got:
