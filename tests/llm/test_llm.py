@@ -438,6 +438,55 @@ def test_toxicity_on_held_out_rows(spark):
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     rows = toxicity.score(spark.read.parquet(f"{folder}/documents.parquet"), labels).join(labels.filter("toxic IS NOT NULL"), "doc_id").filter("held_out").collect()
     assert sum(r.predicted == r.toxic for r in rows) > 0.93 * len(rows)
+    told, toxic = [r.toxic for r in rows if r.predicted], [r.predicted for r in rows if r.toxic]
+    assert sum(told) > 0.75 * len(told) and sum(toxic) > 0.5 * len(toxic)  # 2,400 labelled rows
+
+
+def brute_ratio(text, taught):
+    """Interpolated Kneser-Ney by dictionaries; `taught`: texts of class 0 and 1."""
+    import math
+
+    grams = lambda t: [x[i : i + 4] for x in [f" {re.sub(r'\W+', ' ', t.lower())} ".replace("  ", " ")] for i in range(len(x) - 3)]
+    n = [collections.Counter(g for t in taught[c] for g in grams(t)) for c in (0, 1)]
+    types = set(n[0]) | set(n[1])
+    three = collections.Counter(g[1:] for g in types)
+    two = collections.Counter(g[1:] for g in three)
+    one = collections.Counter(g[1:] for g in two)
+
+    def cut(counts):
+        a, b = (sum(v == k for v in counts.values()) for k in (1, 2))
+        return a / (a + 2 * b) if a + b else 0.5
+
+    def share(counts, g, back):
+        same = [v for k, v in counts.items() if k[:-1] == g[:-1]]
+        return back if not same else (max(counts[g] - cut(counts), 0) + cut(counts) * len(same) * back) / sum(same)
+
+    def shared(g):
+        return share(three, g, share(two, g[1:], share(one, g[2:], 1 / 65536)))
+
+    found = grams(text)
+    score = lambda g: math.log(share(n[1], g, shared(g[1:])) / share(n[0], g, shared(g[1:])))
+    return sum(map(score, found)) / len(found) if found else 0.0
+
+
+@pytest.mark.parametrize("most", [4_000_000, 0])
+def test_toxicity_ratios_are_those_of_a_brute_force_model(spark, texts, most):
+    some = [texts[k][:150] for k in sorted(texts)[:20]]
+    taught = [some[:9], some[9:14]]
+    rows = spark.createDataFrame([(t, c) for c in (0, 1) for t in taught[c]], "text string, toxic int")
+    made = toxicity.model(toxicity.count(rows))
+    asked = [*some, "", "zqx 漢字", some[0]]
+    got = toxicity.rated(spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string"), made, {"doc_id": "long"}, most).collect()
+    assert len(got) == len(asked)
+    for r in got:
+        assert r.ratio == pytest.approx(brute_ratio(asked[r.doc_id], taught), abs=1e-9)
+
+
+def test_toxicity_of_long_texts_is_piecewise(monkeypatch):
+    text = "".join(np.random.default_rng(1).choice(list("abc d"), 5000))
+    whole = np.concatenate(list(toxicity.windows(text)))
+    monkeypatch.setattr(toxicity, "CHUNK", 7)
+    assert np.array_equal(np.concatenate(list(toxicity.windows(text))), whole)
 
 
 @pytest.mark.parametrize("leaf", [40, 50_000])
