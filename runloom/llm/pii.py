@@ -3,27 +3,39 @@
 Generators with high recall propose spans, which may overlap. The base kinds'
 own rules accept some for certain. The others get features of format (digits,
 separators, checksum) and context (words before, characters around) and a score
-of gradient-boosted trees; a threshold, calibrated on held-out candidates,
-selects what is redacted besides. The trees are learned from candidates of a
-bounded sample of documents, labelled by the base rules: what meets a rule is
-personal data, what meets its form but fails its check is not. They are then
-compiled into column expressions, so that a document is searched and judged in
-one projection, without a shuffle.
-
-Defined results: a null text has no spans; repeated rows are rows of their own;
-an empty table gives an empty result. Places are in code points.
+of gradient-boosted trees; thresholds, one for each kind, calibrated on held-out
+documents, select what is redacted besides: obfuscated addresses, numbers in other
+spellings, and secrets (a fifth kind: keys and passwords).
+
+There are no labels of such spans, so the trees learn from spans whose truth is
+known because they are made: at places of a bounded sample of documents, between
+their own words, personal data in spellings that the base forms miss are put in,
+with or without a word that announces them, and look-alikes of the same spelling:
+order numbers, versions, digests, numbers that fail their checksum, code. What a span
+was made as is its label; neither forms nor checks have a say in it. The trees are
+compiled into column expressions, so that a document is searched and judged in one
+projection, without a shuffle.
+
+Defined results: a null text has no spans; very long texts are searched whole;
+repeated rows, equal and null ids are rows of their own; spans that start at the
+same place are listed by kind; an added span never touches a base span; other
+columns, whatever their names, are passed through by `redact`; an empty table gives
+an empty result. Places are in code points.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checked_broadcast, cut, let, text_of
+from .common import checked_broadcast, cut, let, quoted, text_of
 
 KINDS = ("email", "ip", "card", "phone")
+#: A kind that only the trees select.
+SECRET = "secret"
 SPAN = "struct<kind:string,start:int,end:int,s:string>"
 
 #: The base forms. Runs are matched possessively, which changes no match, as what
@@ -45,6 +57,7 @@ WIDER = (
     ("phone", r"(?<![\w+.-])00\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?![\w-])"),
     ("card", r"(?<![\w.-])\d{4}(?:[ .-]\d{4}){3}(?![\w-])"),
     ("ip", r"(?<![\w.])\d{1,3}(?:\s?(?:\[\.\]|\(\.\))\s?\d{1,3}){3}(?!\w)"),
+    (SECRET, r"(?<![\w+/-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{20,}+(?!\w)"),
 )
 
 #: Words that tell what follows.
@@ -53,12 +66,19 @@ COUNTER_CUES = r"(?i)(?:version|ver|v|release|isbn|issn|doi|order|invoice|serial
 
 FEATURES = (
     "digits", "length", "separators", "luhn", "first_part", "parts_fit", "is_email", "is_ip", "is_card", "is_phone",
-    "cue", "counter_cue", "glued_before", "glued_after", "obfuscated", "same_digit",
+    "cue", "counter_cue", "secret_cue", "assigned", "in_code", "glued_before", "glued_after", "obfuscated", "same_digit",
 )
+SECRET_CUES = r"(?i)(?:token|secret|key|passw(?:or)?d|pwd|bearer|auth|credentials?)[\"']?\W{0,4}$"
+
+#: What is put before spans that are made to learn from.
+LEADS = ("", "call me on ", "tel: ", "contact ", "write to ", "reach us at ", "my card: ", "from ", "mail ", "the server ")
+COUNTER_LEADS = ("order ", "version ", "invoice no. ", "ISBN ", "build ", "ref. ", "serial ", "release ", "id: ", "hash ")
+SECRET_LEADS = ('token = "', "api_key: ", "password=", 'secret: "', "Authorization: Bearer ", "AUTH_TOKEN=", 'access key "')
+DIGEST_LEADS = ("", "commit ", "sha256: ", "id=", "build ", "checksum ", "blob ", 'href="', "see /img/")
 
 #: Bounds of the sample that the trees are learned from.
-SAMPLE_DOCS, SAMPLE_CANDIDATES = 20_000, 8_000
-ROUNDS, DEPTH, PRECISION = 8, 3, 0.95
+SAMPLE_DOCS, SAMPLE_CANDIDATES = 4_000, 12_000
+ROUNDS, DEPTH, PRECISION = 12, 4, 0.97
 
 
 def matches(text: Column, form: str, kind: str) -> Column:
@@ -130,9 +150,12 @@ def candidates(text: Column) -> Column:
         hint = text.rlike(r"[0-9]\.[0-9]") if kind == "ip" else text.rlike(r"[0-9](?:[\x20-]?[0-9]){15}") if kind == "card" else hint
         found.append(F.when(hint, mark(matches(text, FORMS[kind], kind), None)).otherwise(none))
     for kind, form in WIDER:
-        hint = text.rlike(r"[({\[](?i:at)[)}\]]") if kind == "email" else has_digit if kind != "ip" else text.rlike(r"\d\s?[\[(]\.[\])]")
+        hints = {"email": r"[({\[](?i:at)[)}\]]", "ip": r"\d\s?[\[(]\.[\])]", SECRET: r"[A-Za-z0-9+/_-]{20}"}
+        hint = text.rlike(hints[kind]) if kind in hints else has_digit
         found.append(F.when(hint, mark(matches(text, form, kind), F.lit(False))).otherwise(none))
-    return F.flatten(F.array(*found))
+    # Runs of a few digits are too short for any number that is looked for.
+    long_enough = lambda x: x["base"] | ~x["kind"].isin("card", "phone") | (F.length(digits(x["s"])) >= F.when(x["kind"] == "card", 12).otherwise(7))
+    return F.filter(F.flatten(F.array(*found)), long_enough)
 
 
 def features(text: Column, x: Column) -> dict[str, Column]:
@@ -154,6 +177,9 @@ def features(text: Column, x: Column) -> dict[str, Column]:
         "is_phone": flag(x["kind"] == "phone"),
         "cue": flag(before.rlike(CUES)),
         "counter_cue": flag(before.rlike(COUNTER_CUES)),
+        "secret_cue": flag(before.rlike(SECRET_CUES)),
+        "assigned": flag(before.rlike(r"[=:]\s?[\"']?$")),
+        "in_code": flag(before.rlike(r"[\w\]\[./]$") | after.rlike(r"[\[(/]")),
         "glued_before": flag(before.rlike(r"[\w.+-]$")),
         "glued_after": flag(after.rlike(r"\w")),
         "obfuscated": flag(s.rlike(r"[\[({]")),
@@ -161,30 +187,69 @@ def features(text: Column, x: Column) -> dict[str, Column]:
     }
 
 
-def training_rows(docs: DataFrame) -> DataFrame:
-    """Features and label (1.0 or 0.0) of candidates of a bounded sample: of the
-    documents with the least hashes, then the candidates with the least hashes.
+def made_spans(h: Column) -> Column:
+    """Array of kind, lead, s, label: spans made from a random number, right and
+    look-alike ones (1.0 and 0.0) in the same spellings."""
+    hexes = lambda k: F.sha2(F.concat_ws(":", h.cast("string"), F.lit(k)), 256)
+    number = lambda k, n: F.substring(F.translate(hexes(k), "abcdef", "246813"), 1, n)
+    pick = lambda k, of: F.get(F.array(*[F.lit(x) for x in of]), F.pmod(F.xxhash64(h, F.lit(k)), F.lit(len(of))))
+    octet = lambda k: F.pmod(F.xxhash64(h, F.lit(k)), F.lit(256)).cast("string")
+    part = lambda x, a, n: F.substring(x, a, n)
+    fifteen, ten = F.concat(F.lit("4"), number("card", 14)), F.concat(F.lit("5"), number("phone", 9))
+    with_check = lambda wrong: F.get(
+        F.filter(F.transform(F.sequence(F.lit(0), F.lit(9)), lambda d: F.concat(fifteen, d.cast("string"))), lambda x: luhn(x) != F.lit(wrong)), F.lit(0)
+    )
+    fours = lambda x, sign: F.call_function("concat_ws", sign, *[part(x, i, 4) for i in (1, 5, 9, 13)])
+    name, host = F.translate(number("name", 6), "0123456789", "aeimnorstu"), F.translate(number("host", 5), "0123456789", "bdfgklmpvz")
+    ats = pick("at", (" (at) ", "(at)", "[at]", " [at] ", "{at}"))
+    mail = F.concat(name, ats, host, pick("dot", (".", " (dot) ", "[dot]", ".")), pick("top", ("com", "org", "net", "de")))
+    phones = [F.concat(F.lit("("), part(ten, 1, 3), F.lit(") "), part(ten, 4, 3), F.lit("-"), part(ten, 7, 4))]
+    phones += [F.concat_ws(sign, part(ten, 1, 3), part(ten, 4, 3), part(ten, 7, 4)) for sign in "-. "]
+    phones += [F.concat_ws(" ", F.concat(F.lit("00"), part(ten, 2, 2)), part(ten, 4, 3), part(ten, 7, 4))]
+    phone = F.get(F.array(*phones), F.pmod(F.xxhash64(h, F.lit("p")), F.lit(len(phones))))
+    dots = pick("dots", ("[.]", "(.)", " [.] "))
+    ip = F.concat_ws("", *[x for i in range(4) for x in ((dots,) if i else ()) + (octet(f"o{i}"),)])
+    over = F.concat_ws("", F.lit("3"), number("v", 2), dots, octet("o1"), dots, octet("o2"), dots, F.lit("9"), number("w", 2))
+    key = F.when(h % 3 == 0, F.substring(hexes("s"), 1, 40)).when(h % 3 == 1, F.upper(F.substring(hexes("s"), 1, 40)))
+    key = key.otherwise(F.translate(F.substring(F.base64(F.unhex(hexes("s"))), 1, 32), "=", "a"))
+    lead, counter = pick("lead", LEADS), pick("counter", COUNTER_LEADS)
+    made = (
+        ("email", lead, mail, 1.0), ("email", F.lit(""), F.concat(F.lit("x."), name, F.lit("[at]"), host, F.lit(".size[0]")), 0.0),
+        ("email", counter, F.concat(host, F.lit("(at)"), name, F.lit(".length(")), 0.0),
+        ("phone", lead, phone, 1.0), ("phone", counter, phone, 0.0), ("phone", pick("c2", COUNTER_LEADS), F.concat(phone, F.lit("/"), number("z", 3)), 0.0),
+        ("card", lead, fours(with_check(False), F.lit(".")), 1.0), ("card", lead, fours(with_check(True), pick("sign", (".", "-", " "))), 0.0),
+        ("card", pick("c3", (*COUNTER_LEADS, "")), with_check(True), 0.0), ("card", lead, number("long", 23), 0.0), ("card", pick("dl", DIGEST_LEADS), key, 0.0),
+        ("ip", lead, ip, 1.0), ("ip", counter, ip, 0.0), ("ip", lead, over, 0.0), ("ip", counter, F.concat_ws(".", number("v", 3), octet("o1"), number("w", 3), F.lit("1")), 0.0),
+        (SECRET, pick("sl", SECRET_LEADS), key, 1.0), (SECRET, pick("dl", DIGEST_LEADS), key, 0.0),
+    )
+    return F.array(*[F.struct(F.lit(k).alias("kind"), a.alias("lead"), x.alias("s"), F.lit(y).alias("label")) for k, a, x, y in made])
+
 
-    The label is the base rule's; wider forms are labelled as the base form that
-    their digits make. So the trees learn format and surroundings, and judge
-    spans that the base forms miss by those."""
+def training_rows(docs: DataFrame) -> DataFrame:
+    """Features and label (1.0 or 0.0) of made spans, each between the words at a
+    random place of a document. The documents are those with the least hashes, the
+    rows then those with the least hashes: both are bounded. `held`: the row's
+    document is one of those that thresholds are calibrated on."""
     chosen = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).distinct()
     few = docs.join(checked_broadcast(cut(chosen)), "doc_id", "left_semi")
-    rows = few.select("doc_id", text_of().alias("t")).select("doc_id", "t", F.explode(candidates(F.col("t"))).alias("x"))
-    x = F.col("x")
-    n = F.length(digits(x["s"]))
-    parts = F.regexp_extract_all(x["s"], F.lit("[0-9]+"), F.lit(0))
-    wider = (
-        F.when(x["kind"] == "email", F.lit(True))
-        .when(x["kind"] == "card", n.between(16, 19) & F.coalesce(luhn(digits(x["s"])), F.lit(False)))
-        .when(x["kind"] == "phone", n.between(10, 15))
-        .otherwise(F.forall(parts, lambda p: F.coalesce(p.try_cast("int"), F.lit(999)) <= 255))
-    )
-    made = {k: v.alias(k) for k, v in features(F.col("t"), x).items()}
-    key = F.xxhash64("doc_id", x["kind"], x["start"])
+    at = F.pmod(F.xxhash64(F.lit("place"), "t"), F.length("t") + 1).cast("int")
+    left = F.regexp_replace(F.substring(F.col("t"), F.greatest(at - 39, F.lit(1)), F.least(at, F.lit(40))), r"\S+$", "")
+    right = F.regexp_replace(F.substring(F.col("t"), at + 1, F.lit(24)), r"^\S+", "")
+    rows = few.select("doc_id", text_of().alias("t")).select("doc_id", left.alias("left"), right.alias("right"), F.xxhash64("doc_id", "t").alias("h"))
+    made = rows.select("doc_id", "left", "right", "h", F.posexplode(made_spans(F.col("h"))).alias("no", "m"))
+    made = made.filter(F.pmod(F.xxhash64("h", "no"), F.lit(2)) == 0)
+    start = F.length("left") + F.length("m.lead")
+    made = made.select(
+        "doc_id", "h", "no", "m.kind", "m.label", start.alias("from"), (start + F.length("m.s")).alias("to"),
+        F.concat("left", "m.lead", "m.s", F.coalesce(F.nullif("right", F.lit("")), F.lit(" "))).alias("u"),
+    )
+    there = made.select("*", F.explode(candidates(F.col("u"))).alias("x"))
+    there = there.filter("NOT x.base AND x.kind = kind AND x.start < to AND `from` < x.`end`")
+    values = {k: v.alias(k) for k, v in features(F.col("u"), F.col("x")).items()}
+    held = F.pmod(F.xxhash64(F.lit("held"), "doc_id"), F.lit(5)) == 0
     return (
-        rows.select(key.alias("key"), (x["base"] | wider).cast("double").alias("label"), *made.values())
-        .orderBy("key", "label")
+        there.select(F.xxhash64("h", "no", "x.start").alias("key"), held.alias("held"), "kind", "label", *values.values())
+        .orderBy("key", "kind", "label")
         .limit(SAMPLE_CANDIDATES)
     )
 
@@ -209,43 +274,47 @@ def tree_column(tree, v: Column) -> Column:
 
 
 class Scorer:
-    """Boosted trees and the threshold on their score."""
+    """Boosted trees and the threshold on their score for each kind."""
 
-    def __init__(self, trees: list, threshold: float):
-        self.trees, self.threshold = trees, threshold
+    def __init__(self, trees: list, thresholds: dict[str, float]):
+        self.trees, self.thresholds = trees, thresholds
 
     def score(self, values: dict[str, Column]) -> Column:
         """The features go into a struct once; the trees read its fields."""
         made = F.struct(*[values[k].alias(k) for k in FEATURES])
         return let(made, lambda v: reduce(lambda a, b: a + b, [tree_column(t, v) * w for w, t in self.trees], F.lit(0.0)))
 
+    def selects(self, kind: Column, values: dict[str, Column]) -> Column:
+        least = F.create_map(*[F.lit(x) for pair in self.thresholds.items() for x in pair])
+        return F.coalesce(self.score(values) >= least[kind], F.lit(False))
+
 
 def learn(docs: DataFrame) -> Scorer:
-    """Trees from four fifths of the sample; from the rest the least threshold
-    with the wanted precision. With one label only, nothing is added."""
+    """Trees from four fifths of the sample's documents; from the others, for each
+    kind, the least threshold with the wanted precision. Without documents, nothing
+    is added."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
     rows = cut(training_rows(docs)).coalesce(1)
-    labels = {x[0] for x in rows.select("label").distinct().collect()}
-    if labels != {0.0, 1.0}:
-        return Scorer([], float("inf"))
+    if {x[0] for x in rows.filter("NOT held").select("label").distinct().collect()} != {0.0, 1.0}:
+        return Scorer([], {})
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows)
-    held = F.pmod(F.col("key"), F.lit(5)) == 0
-    model = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, stepSize=0.3, seed=7).fit(vectors.filter(~held))
+    model = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, stepSize=0.3, seed=7).fit(vectors.filter("NOT held"))
     trees = []
     for weight, tree in zip(model.treeWeights, model.trees, strict=True):
         lines = [x for x in tree.toDebugString.splitlines()[1:] if x.strip()]
         trees.append((float(weight), read_tree(lines)))
-    scorer = Scorer(trees, float("inf"))
+    scorer = Scorer(trees, {})
     # The sample is bounded, and so are its distinct scores.
-    held_rows = rows.filter(held).select(scorer.score({k: F.col(k) for k in FEATURES}).alias("score"), "label")
-    tally = held_rows.groupBy("score").agg(F.sum("label"), F.count("*")).orderBy(F.desc("score")).collect()
-    good = seen = 0
-    for score, right, n in tally:
-        good, seen = good + right, seen + n
-        if good >= PRECISION * seen:
-            scorer.threshold = score
+    held_rows = rows.filter("held").select("kind", scorer.score({k: F.col(k) for k in FEATURES}).alias("score"), "label")
+    tally = held_rows.groupBy("kind", "score").agg(F.sum("label"), F.count("*")).orderBy("kind", F.desc("score")).collect()
+    good, seen = Counter(), Counter()
+    for kind, score, right, n in tally:
+        good[kind] += right
+        seen[kind] += n
+        if good[kind] >= PRECISION * seen[kind]:
+            scorer.thresholds[kind] = score
     return scorer
 
 
@@ -256,7 +325,7 @@ def find_spans(docs: DataFrame, text: str = "text", keep=("doc_id",), scorer: Sc
     if scorer is None:
         scorer = learn(docs.select(F.col(keep[0]).alias("doc_id"), F.col(text).alias("text")))
     rows = docs.select(*keep, text_of(text).alias("_text"))
-    rank = F.create_map(*[F.lit(v) for i, k in enumerate(KINDS) for v in (k, i)])
+    rank = F.create_map(*[F.lit(v) for i, k in enumerate((*KINDS, SECRET)) for v in (k, i)])
     tidy = lambda x: F.struct(rank[x["kind"]].alias("rank"), x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"), x["base"].alias("base"))
 
     def choose(c: Column) -> Column:
@@ -264,8 +333,8 @@ def find_spans(docs: DataFrame, text: str = "text", keep=("doc_id",), scorer: Sc
 
         def add(b: Column) -> Column:
             free = lambda x: ~F.exists(b, lambda y: (x["start"] < y["end"]) & (y["start"] < x["end"]))
-            likely = lambda x: scorer.score(features(F.col("_text"), x)) >= scorer.threshold
-            more = F.filter(c, lambda x: ~x["base"] & free(x) & likely(x)) if scorer.trees else F.slice(c, 1, 0)
+            likely = lambda x: scorer.selects(x["kind"], features(F.col("_text"), x))
+            more = F.filter(c, lambda x: ~x["base"] & free(x) & likely(x)) if scorer.thresholds else F.slice(c, 1, 0)
             return F.array_distinct(F.sort_array(F.transform(F.concat(b, more), tidy)))
 
         return let(base, add)
@@ -278,18 +347,18 @@ def listed(spans: Column) -> Column:
 
 
 def digests(found: DataFrame) -> DataFrame:
-    """The contract's columns."""
+    """The contract's columns, and the number of all spans."""
     base = lambda k=None: F.filter("spans", lambda x: x["base"] & ((x["kind"] == k) if k else F.lit(True)))
     return found.select(
         "doc_id", *[F.size(base(k)).cast("long").alias(f"n_{k}") for k in KINDS],
-        F.sha2(listed(base()), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"),
+        F.sha2(listed(base()), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"),
     )
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """`docs` with each span of `text` replaced by its kind in capitals, in
     angle brackets; overlapping spans are replaced together, by the first kind."""
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    whole = F.struct(*quoted(docs.columns))
     scorer = learn(docs.select("doc_id", F.col(text).alias("text")))
     found = find_spans(docs.select(whole.alias("_row"), F.col(text).alias("text")), keep=("_row",), scorer=scorer)
     t = F.col("_text")
@@ -304,5 +373,5 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     rest = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(t, acc["at"] + 1, F.length(t)))
     clean = F.when(F.size("spans") > 0, F.aggregate(by_place, start, step, rest)).otherwise(F.col(f"_row.{text}"))
     return found.select("_row", clean.alias("_clean")).select(
-        *[F.col("_clean").alias(c) if c == text else F.col(f"_row.`{c}`").alias(c) for c in docs.columns]
+        *[F.col("_clean").alias(c) if c == text else F.col(f"_row.{q}").alias(c) for c, q in zip(docs.columns, quoted(docs.columns), strict=True)]
     )

@@ -237,6 +237,44 @@ def test_base_spans_are_those_of_the_forms(spark, documents, texts):
         assert set(want) <= set(r.spans.split(",")) | {""}
 
 
+def test_trees_tell_planted_spans_from_look_alikes(spark):
+    """Spans in spellings that no base form takes, in sentences that the trees were
+    not taught with, and look-alikes in the same spellings."""
+    r = np.random.default_rng(17)
+    n = lambda k: "".join(map(str, r.integers(0, 10, k)))
+    word = lambda k: "".join(r.choice(list("abcdefghijklmnoprstuvw"), k))
+    hexes = lambda k: "".join(r.choice(list("0123456789abcdef"), k))
+
+    def card(good):
+        d = "5" + n(14)
+        last = next(str(x) for x in range(10) if (sum(k if i % 2 == 0 else 2 * k - 9 * (k > 4) for i, k in enumerate(map(int, reversed(d + str(x))))) % 10 == 0) == good)
+        return ".".join((d + last)[i : i + 4] for i in range(0, 16, 4))
+
+    octets = lambda sign: sign.join(str(x) for x in r.integers(0, 256, 4))
+    planted, clean, rows = {}, {}, []
+    for i in range(60):
+        good = [
+            ("email", "please ask ", f"{word(5)} (at) {word(6)}.org"), ("email", "thanks to ", f"{word(4)}[at]{word(5)}[dot]com"), ("phone", "ring us on ", f"({n(3)}) {n(3)}-{n(4)}"),
+            ("card", "charged to ", card(True)), ("ip", "the machine ", octets("[.]")), ("secret", "deploy with API_TOKEN=", hexes(40)), ("secret", "our password: ", word(12) + n(8) + word(6)),
+        ]
+        bad = [
+            ("email", "the loop ", f"{word(4)}[at]{word(4)}.size[1]"), ("phone", "see invoice ", f"{n(3)}-{n(3)}-{n(4)}"), ("card", "stock ", card(False)), ("ip", "release ", f"3{n(2)}[.]{n(3)}[.]9{n(2)}[.]1"),
+            ("secret", "the commit ", hexes(40)), ("secret", "blob ", hexes(64)),
+        ]
+        for k, (kind, lead, value) in enumerate(good + bad):
+            before = " ".join(word(int(x)) for x in r.integers(2, 8, 6)) + " " + lead
+            rows.append((100 * i + k, before + value + " " + word(5)))
+            (planted if k < len(good) else clean)[100 * i + k] = (kind, len(before), len(before) + len(value))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    taught = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    got = {x.doc_id: x.spans for x in pii.find_spans(docs, scorer=pii.learn(taught)).collect()}
+    hits = {i for i, (kind, a, b) in planted.items() if any(s.kind == kind and s.start < b and a < s.end for s in got[i])}
+    wrong = {i for i in clean if got[i]}
+    recall, precision = len(hits) / len(planted), len(hits) / (len(hits) + len(wrong))
+    print(f"recall {recall:.3f}, precision {precision:.3f}")
+    assert recall > 0.9 and precision > 0.9
+
+
 def test_redaction_keeps_the_rest(spark):
     df = spark.createDataFrame([(1, "𝔘 mail a@b.cd and 10.0.0.1!"), (2, None)], "doc_id long, text string")
     assert {r.doc_id: r.text for r in pii.redact(df).collect()} == {1: "𝔘 mail <EMAIL> and <IP>!", 2: None}
