@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from . import tokens
 from .common import checked_broadcast, cut, given_id, id_of, shared_folder, text_of
 
-END, BLOCK, RUN = 50_256, 1 << 18, 1_024
+END, BLOCK, RUN, TASK_BYTES = 50_256, 1 << 18, 1_024, 1 << 25
 WRITTEN = "path string, doc_no long, doc_id long"
 
 
@@ -82,7 +82,8 @@ def flat_blocks(spark: SparkSession, files: DataFrame, block: int = BLOCK, dtype
 
     numbers = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("length") / step) - 1))
     starts = files.filter("length > 0").select(F.xxhash64("path").alias("file_id"), "path", numbers.alias("no"))
-    return starts.repartition("file_id", "no").mapInPandas(read, "file_id long, path string, no long, ids binary")
+    tasks = max(1, -(-(starts.count() * step) // TASK_BYTES))
+    return starts.repartition(tasks, "file_id", "no").mapInPandas(read, "file_id long, path string, no long, ids binary")
 
 
 def listed(spark: SparkSession, folder: str) -> DataFrame:
