@@ -4,19 +4,21 @@ Each metric is a native column expression of the text, each rule a metric with
 a lower and an upper bound. All rules are evaluated in a single projection:
 there is no shuffle, and a document is judged from its own row alone.
 
-Defined results: a null or empty text has no words and fails; repeated rows are
-judged alike; other columns, whatever their names, are passed through by
+Defined results: a null or empty text has no words and fails; very long texts are
+judged whole; repeated rows, equal and null ids are judged alike, each by its text;
+a metric that equals a bound passes; other columns, whatever their names, are passed through by
 `keep_good`; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, text_of, words_of
+from .common import let, quoted, text_of, words_of
 
 #: Frequent function words of the corpus languages.
 STOP_WORDS = (
@@ -39,7 +41,7 @@ class Rule(NamedTuple):
 RULES = (
     Rule("mean_word_length", 2.0, 14.0),
     Rule("symbols_per_word", None, 0.10),
-    Rule("distinct_stop_words", 2, None),
+    Rule("stop_word_ratio", 0.05, None),
     Rule("upper_ratio", None, 0.40),
     Rule("duplicate_line_ratio", None, 0.50),
     Rule("bullet_line_ratio", None, 0.90),
@@ -49,12 +51,37 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
 
+def shift(way: str, x: Column, by: Column) -> Column:
+    return F.call_function(way, x, by)
+
+
 def repeated_words(w: Column, n: int = 3) -> Column:
     """Words that lie in an n-word window found twice or more in the text. `w`
     is a lambda's variable that holds the words.
 
-    The windows are sorted with their places; equal neighbours are repeats. So
-    it takes n log n steps and no pairs, however often a window repeats."""
+    A window is a number: bits of its hash above its place. Sorted as numbers,
+    windows that may be equal are neighbours, so it takes m log m steps for m words
+    and no pairs, however often a window repeats. Neighbours with equal bits are
+    compared word by word; if two of them differ after all, the windows themselves
+    are sorted instead."""
+    last = F.size(w) - n
+    of_place = F.length(F.bin(last.cast("long")))  # bits
+    number = lambda i: shift("shiftleft", F.xxhash64(*[F.get(w, i + k) for k in range(n)]), of_place).bitwiseOR(i.cast("long"))
+
+    def covered(s: Column) -> Column:
+        at = lambda j: (F.get(s, j).bitwiseAND(shift("shiftleft", F.lit(1).cast("long"), of_place) - 1)).cast("int")
+        alike = lambda j: F.coalesce(shift("shiftright", F.get(s, j), of_place) == shift("shiftright", F.get(s, j + 1), of_place), F.lit(False))
+        words = lambda j: reduce(lambda x, y: x & y, [F.get(w, at(j) + k) == F.get(w, at(j + 1) + k) for k in range(n)])
+        every = F.sequence(F.lit(0), F.size(s) - 1)
+        places = F.sort_array(F.transform(F.filter(every, lambda j: alike(j) | ((j > 0) & alike(j - 1))), at))
+        step = lambda acc, p: F.struct((acc["n"] + F.least(F.lit(n), p - acc["at"])).alias("n"), p.alias("at"))
+        total = F.aggregate(places, F.struct(F.lit(0).alias("n"), F.lit(-n).alias("at")), step, lambda acc: acc["n"])
+        return F.when(F.exists(every, lambda j: alike(j) & ~words(j)), _by_strings(w, n)).otherwise(total)
+
+    return F.when(F.size(w) > n, let(F.sort_array(F.transform(F.sequence(F.lit(0), last), number)), covered)).otherwise(F.lit(0))
+
+
+def _by_strings(w: Column, n: int) -> Column:
     windows = F.transform(
         F.sequence(F.lit(0), F.size(w) - n),
         lambda i: F.struct(F.concat_ws(" ", *[F.get(w, i + k) for k in range(n)]).alias("g"), i.alias("i")),
@@ -69,7 +96,7 @@ def repeated_words(w: Column, n: int = 3) -> Column:
         places = F.transform(repeats, lambda k: F.array(*[F.get(s, k)["i"] + j for j in range(n)]))
         return F.size(F.array_distinct(F.flatten(places)))
 
-    return F.when(F.size(w) > n, let(F.sort_array(windows), covered)).otherwise(F.lit(0))
+    return let(F.sort_array(windows), covered)
 
 
 def counts(text: Column) -> dict[str, Column]:
@@ -77,12 +104,11 @@ def counts(text: Column) -> dict[str, Column]:
     counts of characters. Words and lines are split once each."""
     # Sentence starts count too; texts all in capitals don't.
     stop_words = STOP_WORDS.split() + [x.capitalize() for x in STOP_WORDS.split()]
-    known = F.array_distinct(F.split(F.lit(" ".join(stop_words)), " "))
     of_words = lambda w: F.struct(
         F.size(w).cast("long").alias("n_words"),
         F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
         repeated_words(w).cast("long").alias("n_repeat_words"),
-        F.size(F.array_intersect(w, known)).cast("long").alias("distinct_stop_words"),
+        F.size(F.filter(w, lambda x: x.isin(stop_words))).cast("long").alias("n_stop_words"),
     )
     of_lines = lambda x: F.struct(
         F.size(x).cast("long").alias("n_lines"),
@@ -105,7 +131,7 @@ def ratios() -> dict[str, Column]:
     return {
         "mean_word_length": over("word_chars", "n_words"),
         "symbols_per_word": over("n_symbols", "n_words"),
-        "distinct_stop_words": F.col("distinct_stop_words").cast("double"),
+        "stop_word_ratio": over("n_stop_words", "n_words"),
         "upper_ratio": over("n_upper", "word_chars"),
         "duplicate_line_ratio": over("n_dup_lines", "n_lines"),
         "bullet_line_ratio": over("n_bullets", "n_lines"),
@@ -136,6 +162,6 @@ def judge(docs: DataFrame, text: str = "text", keep=("doc_id",), rules=RULES) ->
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of `docs` that every rule keeps, with their columns as they were."""
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    whole = F.struct(*quoted(docs.columns))
     judged = judge(docs.select(whole.alias("_row"), F.col(text).alias("_text")), "_text", keep=("_row",))
     return judged.filter("kept").select("_row.*")

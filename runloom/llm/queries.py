@@ -111,12 +111,12 @@ c AS (
   SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
     CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
     CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words,
-    len(list_intersect(list_distinct(w), [{known}])) AS n_stop, length(regexp_replace(text, '[^\p{{Lu}}]', '', 'g')) AS n_upper, len(l) AS n_lines,
+    len(list_filter(w, lambda x: x IN ({known}))) AS n_stop, length(regexp_replace(text, '[^\p{{Lu}}]', '', 'g')) AS n_upper, len(l) AS n_lines,
     len(list_filter(l, lambda x: regexp_matches(x, '^\s*[-*•‣]'))) AS n_bullets, len(list_filter(l, lambda x: regexp_matches(x, '([.][.][.]|…)\s*$'))) AS n_ellipses
   FROM t LEFT JOIN covered ON t.doc_id = covered.doc_id
 ), b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND word_chars >= 2.0 * n_words AND word_chars <= 14.0 * n_words AND n_symbols <= 0.1 * n_words AND n_stop >= 2
+  NOT base_failed AND word_chars >= 2.0 * n_words AND word_chars <= 14.0 * n_words AND n_symbols <= 0.1 * n_words AND 20 * n_stop >= n_words
   AND n_upper <= 0.4 * word_chars AND n_dup_lines <= 0.5 * n_lines AND n_bullets <= 0.9 * n_lines AND n_ellipses <= 0.3 * n_lines AS kept
 FROM b
 """
