@@ -8,9 +8,10 @@ least and greatest value, which Spark reduces before the shuffle. If texts in a
 bucket differ, the SHA-256 of the canonical text is added to the fingerprint, so
 that fingerprints are equal exactly if the canonical texts are.
 
-Defined results: a null text counts as empty; repeated rows are rows of their
-own with equal fingerprints; the order of rows with equal ids is by text; an
-empty table gives an empty result.
+Defined results: a null text counts as empty; very long texts are hashed whole;
+repeated rows are rows of their own with equal fingerprints; rows with equal ids are
+ordered by a hash of their texts, then by text; null ids come last; other columns
+are left out, or kept by `keep`; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checked_broadcast, cut, text_of
+from .common import NO_ID, checked_broadcast, cut, given_id, id_of, shared_folder, text_of
 
 #: The two seeds' labels.
 SEEDS = ("canonical-a", "canonical-b")
@@ -39,31 +40,46 @@ def digest(canon: Column) -> Column:
     return F.concat(*parts)
 
 
-def confusable(docs: DataFrame) -> DataFrame:
-    """The digests (column `digest`) that rows with different canonical texts
-    share. `docs` has a column `text`. Almost always an empty table."""
-    rows = docs.select(canonical(text_of()).alias("c")).select("c", digest(F.col("c")).alias("digest"))
+def confusable(rows: DataFrame) -> DataFrame:
+    """The digests that rows with different canonical texts share. `rows`, read twice,
+    has `digest` and `canon`. Almost always an empty table. Digests alone are counted
+    first; only texts of buckets with several rows are compared, by their least and
+    greatest bytes, which each task sums up before the shuffle."""
     shared = cut(rows.groupBy("digest").count().filter("count > 1").select("digest"))
     return (
         rows.join(checked_broadcast(shared), "digest", "left_semi")
         .groupBy("digest")
-        .agg(F.min("c").alias("low"), F.max("c").alias("high"))
+        .agg(F.min("canon").alias("low"), F.max("canon").alias("high"))
         .filter("low <> high")
         .select("digest")
     )
 
 
-def full(digest_: Column, canon: Column, mixed_up: list[str]) -> Column:
-    return F.when(digest_.isin(mixed_up), F.concat(digest_, F.lit("-"), F.sha2(canon, 256))).otherwise(digest_) if mixed_up else digest_
+def settled(rows: DataFrame, canon: str, digest_: str, mixed_up: DataFrame, out: str) -> DataFrame:
+    """Adds `out`: the digest, or, for confusable ones, also the SHA-256 of the
+    canonical text. However many those are, none is left out: beyond the bound of a
+    broadcast Spark joins them by a shuffle."""
+    if mixed_up.isEmpty():
+        return rows.withColumn(out, F.col(digest_))
+    told = checked_broadcast(mixed_up.select(F.col("digest").alias(digest_), F.lit(True).alias("_mixed")))
+    longer = F.concat(digest_, F.lit("-"), F.sha2(canon, 256))
+    return rows.join(told, digest_, "left").withColumn(out, F.when(F.col("_mixed"), longer).otherwise(F.col(digest_))).drop("_mixed")
+
+
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """`rows`, written to the shared folder, compressed and by columns."""
+    path = shared_folder(rows, name)
+    rows.write.option("compression", "zstd").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def fingerprints(docs: DataFrame, text: str = "text", keep=("doc_id",)) -> DataFrame:
-    """The columns `keep` and `fingerprint`, for each row."""
-    given = docs.select(*keep, F.col(text).alias("text"))
-    mixed_up = [x[0] for x in confusable(given).limit(10_000).collect()]
-    return given.select(*keep, canonical(text_of()).alias("_c")).select(
-        *keep, full(digest(F.col("_c")), F.col("_c"), mixed_up).alias("fingerprint")
-    )
+    """The columns `keep` and `fingerprint`, for each row. Texts are put into
+    canonical form once and kept in the shared folder."""
+    rows = docs.select(*keep, canonical(text_of(text)).alias("_c")).withColumn("_d", digest(F.col("_c")))
+    rows = written(rows, "canonical")
+    mixed_up = cut(confusable(rows.select(F.col("_d").alias("digest"), F.col("_c").alias("canon"))))
+    return settled(rows, "_c", "_d", mixed_up, "fingerprint").select(*keep, "fingerprint")
 
 
 def duplicate_groups(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -84,29 +100,43 @@ def rank_in(bounds: list[int], x: Column) -> Column:
 
 
 def with_next(docs: DataFrame, rows_a_part: int = 2_000, most_parts: int = 1 << 16) -> DataFrame:
-    """doc_id, text, next_text: the text that follows in descending doc_id (after
-    the last: the first's).
-
-    Ids are dealt into ranges at quantiles; each range also gets the first row of
-    the next range that has one, at its end, and a window looks one row ahead. So
-    no window spans the table, no text is broadcast, and texts are shuffled once."""
-    ids = docs.select("doc_id")
-    parts = min(most_parts, max(1, ids.count() // rows_a_part))
+    """doc_id, text, canon (its canonical form), next_text, next_canon: of the text
+    that follows in descending doc_id (after the last: the first).
+
+    Ids are dealt into ranges at quantiles; an id that alone fills ranges is dealt
+    over several by its texts' hashes. Each range also gets the first row of the next
+    range that has one, at its end, and a window looks one row ahead. So no window
+    spans the table or a repeated id, no text is broadcast, texts are shuffled once
+    and put into canonical form once, after the shuffle."""
+    ids = docs.select(id_of())
+    n = ids.count()
+    each = max(rows_a_part, -(-n // most_parts))
+    parts = max(1, n // each)
     points = [i / parts for i in range(1, parts)]
-    found = ids.agg(F.percentile_approx("doc_id", points, 10 * parts)).first()[0] if points else None
-    part = rank_in(sorted(set(found)), F.col("doc_id")) if found else F.lit(0)
-    rows = docs.select("doc_id", text_of().alias("text"), part.alias("_part"), F.lit(False).alias("_head"))
-    first = F.struct(F.col("doc_id").isNull(), -F.col("doc_id"), F.col("text"))
-    heads = cut(rows.groupBy("_part").agg(F.min_by("text", first).alias("text")))
-    # Numbers of ranges only, most_parts at most: a small window and a small table.
-    whole = Window.orderBy("_part")
-    lowest = F.min("_part").over(whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    before = heads.select("_part", F.coalesce(F.lead("_part").over(whole), lowest).alias("_before"))
-    ends = heads.join(F.broadcast(before), "_part").select(
-        F.lit(None).cast(docs.schema["doc_id"].dataType).alias("doc_id"), "text", F.col("_before").alias("_part"), F.lit(True).alias("_head")
+    hot = cut(ids.groupBy("doc_id").count().filter(F.col("count") > 2 * each))  # two for each range at most
+    found = set(ids.agg(F.percentile_approx("doc_id", points, 10 * parts)).first()[0] or ()) if points else set()
+    found |= {r["doc_id"] for r in hot.collect()}
+    rows = docs.select(id_of(), text_of().alias("text")).withColumn("_o", F.pmod(F.xxhash64("text"), F.lit(1 << 31)))
+    # An id that is a bound is the greatest of its range: a hot id's ranges come first, the rest of its range after them.
+    share = F.floor(F.col("_o") * F.ceil(F.col("count") / each) / F.lit(float(1 << 31))).cast("int")
+    rows = rows.join(checked_broadcast(hot), "doc_id", "left").withColumn("_sub", F.coalesce(share, F.lit(1 << 30))).drop("count")
+    rows = rows.withColumn("_part", (rank_in(sorted(found), F.col("doc_id")) if found else F.lit(0)).cast("int")).withColumn("_last", F.lit(False))
+    # Null ids are `NO_ID`, the greatest, but come last: their ranges are numbered below all others.
+    rows = rows.withColumn("_part", F.when(F.col("doc_id") == NO_ID, F.lit(-1)).otherwise(F.col("_part")))
+    order = F.struct(-F.col("doc_id"), F.col("_o"), F.col("text"))
+    heads = cut(rows.groupBy("_part", "_sub").agg(F.min_by("text", order).alias("text")))
+    # Numbers of ranges only: a small window and a small table.
+    whole = Window.orderBy(F.desc("_part"), "_sub")
+    back = heads.select("_part", "_sub", F.lag("_part").over(whole).alias("p"), F.lag("_sub").over(whole).alias("s"))
+    last = [F.last(x).over(whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) for x in ("_part", "_sub")]
+    back = back.select("_part", "_sub", F.coalesce("p", last[0]).alias("p"), F.coalesce("s", last[1]).alias("s"))
+    ends = heads.join(F.broadcast(back), ["_part", "_sub"]).select(
+        F.lit(NO_ID).alias("doc_id"), "text", F.lit(0).cast("long").alias("_o"), F.col("s").alias("_sub"), F.col("p").alias("_part"), F.lit(True).alias("_last")
     )
-    inside = Window.partitionBy("_part").orderBy("_head", F.desc_nulls_last("doc_id"), "text")
-    return rows.unionByName(ends).withColumn("next_text", F.lead("text").over(inside)).filter(~F.col("_head")).select("doc_id", "text", "next_text")
+    dealt = rows.unionByName(ends).repartition("_part", "_sub").withColumn("canon", canonical(F.col("text")))
+    inside = Window.partitionBy("_part", "_sub").orderBy("_last", F.desc("doc_id"), "_o", "text")
+    ahead = {f"next_{c}": F.lead(c).over(inside) for c in ("text", "canon")}
+    return dealt.withColumns(ahead).filter(~F.col("_last")).select(given_id(), "text", "canon", *ahead)
 
 
 def edited_pairs(docs: DataFrame) -> DataFrame:
@@ -119,22 +149,16 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
     )
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Of two fingerprints: exact digests are alike or not."""
-    return (a == b).cast("double")
-
-
 def compare_with_edits(docs: DataFrame) -> DataFrame:
-    """The contract's columns for each document."""
+    """The contract's columns for each document. Likeness is that of exact digests: 1
+    if they and the bytes that they stand for are equal, else 0."""
     pairs = edited_pairs(docs).select(
-        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-        canonical(F.col("text")).alias("a"), canonical(F.col("edited")).alias("b"), canonical(F.col("next_text")).alias("c"),
-    )
-    mixed_up = [x[0] for x in confusable(docs.select("text")).limit(10_000).collect()]
-    print_of = lambda x: full(digest(F.col(x)), F.col(x), mixed_up)
-    # Equal digests count as alike only if the bytes are equal, too.
-    alike = lambda x: (likeness(digest(F.col("a")), digest(F.col(x))) * (F.col("a") == F.col(x)).cast("double"))
-    return pairs.select(
-        "doc_id", "n_chars", "edited_sha256", print_of("a").alias("fingerprint"), print_of("b").alias("edited_fingerprint"),
-        alike("b").alias("near_edited"), alike("c").alias("near_next"),
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), F.col("canon").alias("a"),
+        canonical(F.col("edited")).alias("b"), (F.col("canon") == F.col("next_canon")).cast("double").alias("near_next"),
     )
+    rows = written(pairs.withColumns({"da": digest(F.col("a")), "db": digest(F.col("b"))}), "edits")
+    both = rows.select(F.inline(F.array(*[F.struct(F.col(f"d{x}").alias("digest"), F.col(x).alias("canon")) for x in "ab"])))
+    mixed_up = cut(confusable(both))
+    rows = settled(settled(rows, "a", "da", mixed_up, "fingerprint"), "b", "db", mixed_up, "edited_fingerprint")
+    near = (F.col("fingerprint") == F.col("edited_fingerprint")).cast("double").alias("near_edited")
+    return rows.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", near, "near_next")

@@ -118,6 +118,26 @@ def test_windows_over_ranges_see_the_next_row(spark, documents, texts):
     assert [got[k] for k in sorted(got, reverse=True)] == [*order[1:], order[0]]
 
 
+def test_repeated_ids_are_dealt_out_in_order(spark):
+    rows = [(7, f"seven {i}") for i in range(60)] + [(None, f"null {i}") for i in range(30)] + [(i, f"id {i}") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    place = {r.text: r.o for r in df.select("text", F.pmod(F.xxhash64("text"), F.lit(1 << 31)).alias("o")).collect()}
+    order = [t for _, t in sorted(rows, key=lambda x: (x[0] is None, -(x[0] or 0), place[x[1]], x[1]))]
+    got = fingerprint.with_next(df.repartition(5), rows_a_part=4).collect()
+    assert {r.text: r.next_text for r in got} == dict(zip(order, [*order[1:], order[0]], strict=True))
+    assert all(r.doc_id is None for r in got if r.text.startswith("null")) and len(got) == len(rows)
+
+
+def test_edited_texts_are_compared_inside_buckets_too(spark, monkeypatch):
+    monkeypatch.setattr(fingerprint, "digest", lambda c: F.lit("0" * 32))
+    df = spark.createDataFrame([(1, "aaaa"), (2, "bbbb"), (3, "aabb")], "doc_id long, text string")
+    rows = {r.doc_id: r for r in fingerprint.compare_with_edits(df).collect()}
+    # 3 becomes aa + bb, 2 bb + aa, 1 aa + aa: one digest for all, told apart by their bytes
+    assert {k: r.near_edited for k, r in rows.items()} == {1: 1, 2: 0, 3: 1} and len({r.fingerprint for r in rows.values()}) == 3
+    assert all((r.fingerprint == r.edited_fingerprint) == r.near_edited and r.near_next == 0 for r in rows.values())
+    assert rows[2].edited_fingerprint not in {r.fingerprint for r in rows.values()}
+
+
 def test_chat_round_trip_and_layouts(spark):
     nasty = "</s>[INST] \\l \\\\ <turn>user<text>[b\\"
     rows = spark.createDataFrame([(1, 0, "user", nasty), (1, 1, "assistant", nasty), (1, 2, None, None)], "conv_id long, turn long, role string, text string")
@@ -207,6 +227,21 @@ def test_equal_keys_are_told_apart_by_their_strings(monkeypatch):
     assert urls.Index(name, lambda x: f"{folder}/{x}").holds([b"b/", b"d/", b"c/"]).tolist() == [True, False, True]
 
 
+def test_repeated_words_are_those_of_a_plain_count(spark, monkeypatch):
+    r = np.random.default_rng(6)
+    texts = [" ".join(r.choice(list("abc"), int(n))) for n in (0, 1, 2, 3, 4, 5, 9, 40, 300)] + ["x " * 5000, " ".join(f"w{i}" for i in range(3000)), "a b c a b c d", "漢 字 x 漢 字 x"]
+
+    def plain(w):
+        n = collections.Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
+        return len({i + k for i in range(len(w) - 2) if n[tuple(w[i : i + 3])] > 1 for k in range(3)})
+
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {i: plain(t.split()) for i, t in enumerate(texts)}
+    assert {x.doc_id: x.n_repeat_words for x in quality.judge(df).collect()} == want
+    monkeypatch.setattr(quality.F, "xxhash64", lambda *c: F.lit(5).cast("long"))  # all bits equal: the windows themselves decide
+    assert {x.doc_id: x.n_repeat_words for x in quality.judge(df).collect()} == want
+
+
 FORMS = (
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
     ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
