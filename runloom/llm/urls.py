@@ -7,11 +7,15 @@ numpy's binary search; a hit counts only if the stored string equals the probe,
 so collisions do no harm. An entry fits its host and all subdomains, and paths
 that start with its path; the longest entry wins.
 
-Beyond `MOST_BYTES` the list is not sent around: probes are joined to it by their
-digest and compared there, in shuffles (`match_by_join`).
-
-Defined results: null URLs and such without `://` have empty host and path and
-fit nothing; repeated rows are judged alike; an empty table gives an empty result.
+Lists are tables. Their bytes are added up first; beyond `MOST_BYTES` they are not
+sent around: probes are joined to them by their digest and compared there, in
+shuffles (`match_by_join`).
+
+Defined results: null and empty URLs and such without `://` have empty host and path
+and fit nothing; very long URLs are judged whole; repeated rows, equal and null ids
+are judged alike, each by its URL; of entries that fit, the longest wins, of two as
+long the one with more of the host; other columns are left out; an empty table or
+list gives an empty result or no hit.
 """
 
 from __future__ import annotations
@@ -26,16 +30,17 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import SparkFiles
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import cut
+
 MOST_BYTES = 512 << 20
 
 #: The rules of the contract, longest to be chosen.
 RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
-#: The method's own list: hosts of junk sites.
+#: Labels of junk sites' hosts.
 JUNK = ("spam-farm", "cheap-pills", "casino-win", "ads-track", "free-bets")
-BLOCKED = tuple(f"{name}.example.{top}/" for name in JUNK for top in ("com", "net", "org"))
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -56,7 +61,7 @@ def build(entries) -> tuple[str, str, list[int]]:
     """Writes the sorted keys, the entries' borders and bytes to files of a new
     folder. Returns it, their common name and the lengths of the entries' paths."""
     found = sorted({e.encode() for e in entries})
-    keys = np.array([xxhash.xxh64_intdigest(e) for e in found], np.uint64)
+    keys = hashes(found)
     order = np.argsort(keys, kind="stable")
     data = [found[k] for k in order.tolist()]
     folder, name = tempfile.mkdtemp(prefix="digests-"), f"digests-{uuid.uuid4().hex}"
@@ -72,15 +77,15 @@ class Index:
     def __init__(self, name: str, place):
         self.keys, self.ends, self.data = (np.load(place(f"{name}-{part}.npy"), mmap_mode="r") for part in PARTS)
 
-    def holds(self, probes: list[bytes]) -> np.ndarray:
-        """Which of the probes are entries."""
+    def holds(self, probes: list[bytes], keys: np.ndarray | None = None) -> np.ndarray:
+        """Which of the probes are entries. `keys`: their hashes, if known."""
         out = np.zeros(len(probes), bool)
         if not probes or not len(self.keys):
             return out
-        keys = np.array([xxhash.xxh64_intdigest(p) for p in probes], np.uint64)
+        keys = hashes(probes) if keys is None else keys
         at = np.searchsorted(self.keys, keys)
-        for i in np.flatnonzero(at < len(self.keys)).tolist():
-            k = int(at[i])
+        hits = np.flatnonzero(self.keys[np.minimum(at, len(self.keys) - 1)] == keys)
+        for i, k in zip(hits.tolist(), at[hits].tolist(), strict=True):
             while k < len(self.keys) and self.keys[k] == keys[i]:  # collisions lie side by side
                 start = int(self.ends[k - 1]) if k else 0
                 if self.data[start : int(self.ends[k])].tobytes() == probes[i]:
@@ -90,6 +95,10 @@ class Index:
         return out
 
 
+def hashes(found: list[bytes]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(x) for x in found], np.uint64)
+
+
 def probes_of(host: str, path: str, lengths: list[int]) -> list[str]:
     """What entries could fit: each end of the host at a dot, with each start of
     the path that is as long as some entry's. The longest first, of two as long
@@ -105,55 +114,86 @@ def _opened(name: str) -> Index:
     return Index(name, SparkFiles.get)
 
 
-def longest_match(df: DataFrame, entries, out: str) -> DataFrame:
-    """Adds column `out`: the longest entry that fits `host` and `path`, or null."""
-    folder, name, lengths = build(entries)
-    files = [os.path.join(folder, x) for x in sorted(os.listdir(folder))]
-    if sum(map(os.path.getsize, files)) > MOST_BYTES:
-        raise ValueError("the list is too large to be sent to each executor: use match_by_join")
-    for file in files:
-        df.sparkSession.sparkContext.addFile(file)
-
-    @F.pandas_udf("string")
-    def match(hosts: pd.Series, paths: pd.Series) -> pd.Series:
+def entries_of(spark: SparkSession, entries) -> DataFrame:
+    """A table with a column `entry`, from one, or from names in the code."""
+    if isinstance(entries, DataFrame):
+        return entries.select("entry").filter("entry IS NOT NULL").distinct()
+    return spark.createDataFrame([(x,) for x in sorted(entries)], "entry string")
+
+
+def longest_matches(df: DataFrame, lists: dict[str, DataFrame], most: int = MOST_BYTES) -> DataFrame:
+    """Adds a column for each of the lists: its longest entry that fits `host` and
+    `path`, or null. Probes are made and hashed once for all lists. Lists of up to
+    `most` bytes together are sent to the executors as digest arrays; larger ones
+    are joined, with the same result."""
+    lists = {k: cut(v) for k, v in lists.items()}
+    size = sum(v.agg(F.coalesce(F.sum(F.octet_length("entry") + 16), F.lit(0))).first()[0] for v in lists.values())
+    if size > most:
+        for name, entries in lists.items():
+            df = match_by_join(df, entries, name)
+        return df
+    names, lengths = {}, set()
+    for column, entries in lists.items():
+        folder, names[column], found = build(entries.toArrow()["entry"].to_pylist())
+        lengths |= set(found)
+        for file in sorted(os.listdir(folder)):
+            df.sparkSession.sparkContext.addFile(os.path.join(folder, file))
+    lengths = sorted(lengths)
+
+    @F.pandas_udf(", ".join(f"{k} string" for k in names))
+    def match(hosts: pd.Series, paths: pd.Series) -> pd.DataFrame:
         probes = [probes_of(h, p, lengths) for h, p in zip(hosts, paths, strict=True)]
         flat = [p.encode("utf-8", "surrogatepass") for x in probes for p in x]
-        hits, found, at = _opened(name).holds(flat), [], 0
-        for x in probes:
-            here = np.flatnonzero(hits[at : at + len(x)])
-            found.append(x[here[0]] if len(here) else None)
-            at += len(x)
-        return pd.Series(found, dtype=object)
+        keys, ends = hashes(flat), np.cumsum([0, *map(len, probes)])
+        out = {}
+        for column, name in names.items():
+            # The first hit of each row is its longest entry.
+            hits = np.flatnonzero(_opened(name).holds(flat, keys))
+            first = hits[np.minimum(np.searchsorted(hits, ends[:-1]), len(hits) - 1)] if len(hits) else np.zeros(0, np.int64)
+            out[column] = [flat[h].decode("utf-8", "surrogatepass") if a <= h < b else None for h, a, b in zip(first, ends, ends[1:])] if len(first) else [None] * len(probes)  # noqa: B905
+        return pd.DataFrame(out, dtype=object)
 
-    return df.withColumn(out, match("host", "path"))
+    return df.withColumn("_m", match("host", "path")).select("*", "_m.*").drop("_m")
 
 
 def match_by_join(df: DataFrame, entries: DataFrame, out: str) -> DataFrame:
-    """The same for a list of any size: `entries` has a column `entry`. Rows need a
-    column `page_id`. Probes meet entries by digest, then by the full string."""
-    lengths = [x[0] for x in entries.select((F.length("entry") - F.instr("entry", "/") + 1).alias("n")).distinct().collect()]
+    """One list of any size, by shuffles: distinct hosts and paths are probed, probes
+    meet entries by digest, then by the full string."""
+    lengths = [x[0] for x in entries.select((F.length("entry") - F.instr("entry", "/") + 1).alias("n")).distinct().collect()]  # path lengths are few
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(i, p, k) for i, h, q in zip(b["page_id"], b["host"], b["path"], strict=True) for k, p in enumerate(probes_of(h, q, lengths))]
-            yield pd.DataFrame(rows, columns=["page_id", "entry", "k"])
+            rows = [(h, q, p, k) for h, q in zip(b["host"], b["path"], strict=True) for k, p in enumerate(probes_of(h, q, lengths))]
+            yield pd.DataFrame(rows, columns=["host", "path", "entry", "k"])
 
-    distinct = df.select("page_id", "host", "path").mapInPandas(probe, "page_id long, entry string, k int")
+    # A host with a third of all rows has few paths, or paths of their own: distinct pairs spread.
+    probes = df.select("host", "path").distinct().mapInPandas(probe, "host string, path string, entry string, k int")
     keyed = lambda x: x.withColumn("digest", F.xxhash64("entry"))
-    hits = keyed(distinct).join(keyed(entries.select("entry").distinct()), ["digest", "entry"])
-    best = hits.groupBy("page_id").agg(F.min_by("entry", "k").alias(out))
-    return df.join(best, "page_id", "left")
+    hits = keyed(probes).join(keyed(entries.select("entry").distinct()), ["digest", "entry"])
+    best = hits.groupBy("host", "path").agg(F.min_by("entry", "k").alias(out))
+    return df.join(best, ["host", "path"], "left")
 
 
-def judge(pages: DataFrame, rules: dict[str, str] | None = None, blocked=BLOCKED) -> DataFrame:
+def junk_hosts(pages: DataFrame) -> DataFrame:
+    """The method's own list, entry: the hosts of `pages` that have a label that junk
+    sites use. It has a row for each such host, and grows with the table."""
+    host, _ = host_and_path(F.col("url"))
+    hosts = pages.select(host.alias("host")).distinct()
+    named = F.exists(F.split("host", r"\."), lambda x: x.isin(*JUNK))
+    return hosts.filter(named).select(F.concat("host", F.lit("/")).alias("entry"))
+
+
+def judge(pages: DataFrame, rules: dict[str, str] | None = None, blocked: DataFrame | None = None, most: int = MOST_BYTES) -> DataFrame:
     """page_id, url, host, path, rule, listed, verdict. The longest rule decides;
-    without one, a URL on the list is blocked."""
+    without one, a URL on the list `blocked` (column `entry`: a host, then a path's
+    beginning) is blocked. Without a list, it is that of `junk_hosts`."""
     rules = RULES if rules is None else rules
+    spark = pages.sparkSession
     host, path = host_and_path(F.col("url"))
     rows = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
-    rows = longest_match(longest_match(rows, rules, "rule"), blocked, "listed")
+    lists = {"rule": entries_of(spark, rules), "listed": entries_of(spark, junk_hosts(pages) if blocked is None else blocked)}
+    rows = longest_matches(rows, lists, most)
     said = F.create_map(*[F.lit(x) for pair in rules.items() for x in pair])
     own = F.when(F.col("listed").isNotNull(), "block").otherwise("allow")
-    return rows.withColumn("verdict", F.when(F.col("rule").isNotNull(), said[F.col("rule")]).otherwise(own))
-
-
+    verdict = F.when(F.col("rule").isNotNull(), said[F.col("rule")]).otherwise(own)
+    return rows.select("page_id", "url", "host", "path", "rule", "listed", verdict.alias("verdict"))
