@@ -84,6 +84,26 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def sums_before(sizes: Column, run: int = 512) -> Column:
+    """For each of an array's numbers the sum of those before it. Sums are taken
+    inside runs and over runs, as an array that grows is copied at each step: the
+    copies then add up to the array's length times that of a run."""
+
+    def walk(numbers: Column) -> Column:
+        start = F.struct(F.lit(0).cast("long").alias("sum"), F.array().cast("array<bigint>").alias("out"))
+        step = lambda acc, x: F.struct((acc["sum"] + x).alias("sum"), F.array_append(acc["out"], acc["sum"]).alias("out"))
+        return F.aggregate(numbers, start, step, lambda acc: acc["out"])
+
+    def over(all_: Column) -> Column:
+        runs = F.when(F.size(all_) > 0, F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / run).cast("int"))).otherwise(F.array().cast("array<int>"))
+        part = lambda k: F.slice(all_, k * run + 1, F.lit(run))
+        total = lambda k: F.aggregate(part(k), F.lit(0).cast("long"), lambda a, x: a + x)
+        bases = walk(F.transform(runs, total))
+        return F.flatten(F.zip_with(runs, bases, lambda k, base: F.transform(walk(part(k)), lambda x: x + base)))
+
+    return let(F.transform(sizes, lambda x: x.cast("long")), over)
+
+
 def unit(*columns) -> Column:
     """A number in [0, 1) that depends on the columns only."""
     return F.pmod(F.xxhash64(*columns), F.lit(1 << 53)) / F.lit(float(1 << 53))

@@ -92,7 +92,7 @@ WITH cut AS (
 )
 SELECT page_id, host, path, rule, CASE
   WHEN rule IN ('www.example.com/en/', 'com/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
-  WHEN path LIKE '/%' AND regexp_matches(host, '(^|[.])(spam-farm|cheap-pills|casino-win|ads-track|free-bets)[.]example[.](com|net|org)$') THEN 'block'
+  WHEN path LIKE '/%' AND regexp_matches(host, '(^|[.])(spam-farm|cheap-pills|casino-win|ads-track|free-bets)([.]|$)') THEN 'block'
   ELSE 'allow' END AS verdict
 FROM ruled
 """

@@ -144,6 +144,22 @@ def test_chat_round_trip_and_layouts(spark):
     r = chat.format_chat(rows).select("formatted", chat.parse(F.col("formatted")).alias("back"), chat.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss")).first()
     assert [tuple(x) for x in r.back] == [("user", nasty), ("assistant", nasty), ("", "")] and r.loss == nasty
     assert "</s>" not in r.formatted and "[INST]" not in r.formatted
+    pair = [("user", "a"), ("assistant", "b")]
+    cases = [
+        ('{"prompt":"a","completion":"b","id":7,"tags":["x"]}', pair), ('{"messages":[{"name":"n","role":"user"},{"role":"assistant","content":"b"}]}', [("user", ""), ("assistant", "b")]),
+        ('{"messages":[]}', []), ('{"system":"s","messages":[{"role":"user","content":[{"type":"text","text":"a"},{"text":"!"}]},{"role":"assistant","content":"b"}]}', [("system", "s"), ("user", "a!"), ("assistant", "b")]),
+        ('{"body":{"messages":[{"role":"user","content":"a"},{"role":"assistant","content":"b"}],"model":"m"}}', pair), ('{"data":{"prompt":"a","completion":"b"}}', pair),
+        ('{"prompt":"p","completion":"q","messages":[{"role":"user","content":"a"},{"role":"assistant","content":"b"}]}', pair), ('{"prompt":"a","completion":null}', [("user", "a"), ("assistant", "")]),
+        ('{"instruction":"a","input":"c","output":"b"}', [("user", "a\nc"), ("assistant", "b")]), ('{"messages.role":"x"}', None), ('not json', None), ('[]', None),
+        ('{"prompt":"{\\"a\\":1}","completion":"b"}', [("user", '{"a":1}'), ("assistant", "b")]),
+    ]
+    df = spark.createDataFrame([(i, r) for i, (r, _) in enumerate(cases)], "conv_id long, record string")
+    got = {x.conv_id: None if x.turns is None else [tuple(t) for t in x.turns] for x in chat.format_chat(df).collect()}
+    assert got == {i: w for i, (_, w) in enumerate(cases)}
+    typed = spark.createDataFrame([(1, "a", "b", 3)], "conv_id long, prompt string, response string, `x.y` int")
+    assert [tuple(t) for t in chat.format_chat(typed).first().turns] == pair
+    with pytest.raises(ValueError):
+        chat.format_chat(spark.createDataFrame([(1, 2)], "conv_id long, other int"))
     records = [
         '{"prompt":"a","completion":"b"}', '{"messages":[{"role":"user","content":"a"},{"content":"b","role":"assistant"}]}', '{"output":"b","instruction":"a","input":""}',
         '{"conversations":[{"from":"human","value":"a"},{"from":"gpt","value":"b"}]}', '{"other":1}', None,
@@ -213,6 +229,10 @@ def test_urls(spark, tmp_path):
         "page_id long, url string",
     )
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.judge(df).collect()}
+    assert {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.judge(df, most=0).collect()} == got  # by joins
+    listed = spark.createDataFrame([("no.such/",), ("a.spam-farm.example.org/z",), (None,)], "entry string")
+    assert {r.page_id for r in urls.judge(df, blocked=listed).collect() if r.listed} == {7}
+    assert all(r.listed is None for r in urls.judge(df, blocked=listed.limit(0)).collect())
     assert got[1] == ("www.example.com", "/en/x", "www.example.com/en/", "allow") and got[2][2:] == ("example.com/en/", "block")
     assert got[3] == ("example.com", "", None, "allow") and got[4] == got[5] == ("", "", None, "allow")
     assert got[6][2:] == ("net/es/", "block") and got[7][2:] == (None, "block") and got[8][2:] == ("com/", "allow")
