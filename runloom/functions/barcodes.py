@@ -85,8 +85,8 @@ def unpadded(sequence: Column) -> Column:
 
 
 def is_masked(sequence: Column) -> Column:
-    """All N."""
-    return (F.length(sequence) > 0) & (F.length(unpadded(sequence)) == 0)
+    """All N; a read without bases counts as masked."""
+    return F.length(unpadded(sequence)) == 0
 
 
 def is_padded(sequence: Column) -> Column:
@@ -95,5 +95,12 @@ def is_padded(sequence: Column) -> Column:
     return (kept > 0) & (kept < F.length(sequence))
 
 
+def pieces(index: Column, n: int) -> Column:
+    """The index cut into n pieces of about the same size, as an array of (k, piece)."""
+    size = F.length(index)
+    at = lambda i: F.floor(size * i / n).cast("int")
+    return F.array(*[F.struct(F.lit(i).alias("k"), F.substring(index, at(i) + 1, at(i + 1) - at(i)).alias("piece")) for i in range(n)])
+
+
 def percent(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double") * 100, whole.cast("double"))

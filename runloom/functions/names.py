@@ -112,7 +112,8 @@ def run_id(run: Column, platform: Column, facility: Column, analysis: Column) ->
     """`PLATFORM_DATE[/RUN]#FACILITY[.ANALYSIS]`; the instrument's run number only
     if it differs from the facility's. A name that can't be parsed has no date."""
     p = run_parts(run)
-    head = F.concat_ws("_", F.upper(platform), F.coalesce(p["date_stamp"], F.when(p["run_number"].isNull(), run)))
+    made_by = F.coalesce(F.upper(platform), p["instrument"])
+    head = F.when(made_by.isNull(), run).otherwise(F.concat(made_by, F.lit("_"), F.coalesce(p["date_stamp"], run)))
     number = F.when(p["run_number"].isNotNull() & ~p["run_number"].eqNullSafe(facility), F.concat(F.lit("/"), p["run_number"].cast("string")))
     none = F.lit("")
     return F.concat(
@@ -121,6 +122,11 @@ def run_id(run: Column, platform: Column, facility: Column, analysis: Column) ->
     )
 
 
+def run_reference(run_id_: Column, flow_cell_mode: Column) -> Column:
+    """A run ID, and the flow cell's mode if it is known."""
+    return F.concat(run_id_, F.coalesce(F.concat(F.lit("_"), _given(flow_cell_mode)), F.lit("")))
+
+
 def sample_reference(ref: Column) -> dict[str, Column]:
     """`[RUN][:PROJECT[/SAMPLE]]`; with `#` and no colon it is a run alone."""
     colon, hashed = F.contains(ref, F.lit(":")), F.contains(ref, F.lit("#"))
@@ -171,7 +177,7 @@ def strand_protocol(forward: Column, reverse: Column, undetermined: Column) -> C
     ratio = forward / (reverse + 0.001)
     return (
         F.when(forward.isNull() | reverse.isNull() | undetermined.isNull(), F.lit(None).cast("string"))
-        .when((undetermined >= forward) & (undetermined >= reverse), "none")
+        .when((undetermined > forward) & (undetermined > reverse), "none")
         .when(ratio < 0.2, "reverse")
         .when(ratio > 5, "forward")
         .otherwise("none")
@@ -179,9 +185,19 @@ def strand_protocol(forward: Column, reverse: Column, undetermined: Column) -> C
 
 
 def glob_like(name: Column, pattern: str) -> Column:
-    """`*`, `?` and `[…]`, over the whole name."""
-    form = "".join(".*" if c == "*" else "." if c == "?" else c if c in "[]" else re.escape(c) for c in pattern)
-    return name.rlike(f"^(?:{form})$")
+    """`*`, `?`, `[…]` and `[!…]`, over the whole name."""
+    form, at = "", 0
+    while at < len(pattern):
+        c = pattern[at]
+        end = pattern.find("]", at + (3 if pattern[at + 1 : at + 2] == "!" else 2)) if c == "[" else -1
+        if end > 0:
+            inside, negated = pattern[at + 1 : end], pattern[at + 1] == "!"
+            form += f"[{'^' if negated else ''}{re.sub(r'([\\\[\]^&])', r'\\\1', inside[negated:])}]"
+            at = end
+        else:
+            form += "(?s:.*)" if c == "*" else "(?s:.)" if c == "?" else re.escape(c)
+        at += 1
+    return name.rlike(f"^(?:{form})\\z")
 
 
 def custom_attrs(path: Column, pattern: str) -> dict[str, Column]:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import barcodes as B
+from ..sources.shared import BROADCAST_ROWS, checked_broadcast, cut
 
 
 def counts(reads: DataFrame) -> DataFrame:
@@ -33,36 +34,76 @@ def totals(found: DataFrame) -> DataFrame:
     return found.agg(F.sum("n").alias("n_reads"), F.countDistinct("lane").alias("n_lanes"))
 
 
+#: Letters by which barcodes with equal counts are told into parts.
+PREFIX = 4
+
+
+def placed(found: DataFrame) -> DataFrame:
+    """lane, barcode, n, ... -> also rank (by count in the lane, ties by barcode), the
+    lane's total and the running sum in rank order.
+
+    A lane is not sorted as a whole: barcodes with the same count and first letters
+    are a group; the groups, far fewer, are summed up and ordered, and inside a group
+    a place is a row number. Its running sum is the place times the count."""
+    part = F.substring("barcode", 1, PREFIX)
+    groups = found.groupBy("lane", "n", part.alias("_part")).agg(F.count("*").alias("_c"))
+    order = Window.partitionBy("lane").orderBy(F.desc("n"), "_part").rowsBetween(Window.unboundedPreceding, -1)
+    so_far = lambda x: F.coalesce(F.sum(x).over(order), F.lit(0))
+    groups = groups.select(
+        F.col("lane").alias("_lane"), F.col("n").alias("_n"), "_part", so_far(F.col("_c")).alias("_before"), so_far(F.col("_c") * F.col("n")).alias("_sum"),
+        F.sum(F.col("_c") * F.col("n")).over(Window.partitionBy("lane")).alias("lane_total"),
+    )
+    same = F.col("lane").eqNullSafe(F.col("_lane")) & (F.col("n") == F.col("_n")) & (part == F.col("_part"))
+    place = F.row_number().over(Window.partitionBy("lane", "n", "_part").orderBy("barcode")).cast("long")
+    rows = found.join(groups, same).withColumn("_place", place)
+    return rows.withColumns({"rank": F.col("_before") + F.col("_place"), "cumulative": F.col("_sum") + F.col("_place") * F.col("n")}).select(
+        *found.columns, "rank", "lane_total", "cumulative"
+    )
+
+
 def ranked(found: DataFrame) -> DataFrame:
     """Rank by count in the lane, ties by barcode."""
-    order = Window.partitionBy("lane").orderBy(F.desc("n"), "barcode")
-    return found.withColumn("rank", F.row_number().over(order))
+    return placed(found).drop("lane_total", "cumulative")
+
+
+def in_order(found: DataFrame) -> DataFrame:
+    """Ranked barcodes as they are listed: by lane and rank."""
+    return ranked(found).orderBy("lane", "rank")
 
 
 def shares(found: DataFrame) -> DataFrame:
     """Share of the lane and running sums in rank order."""
-    lane = Window.partitionBy("lane")
-    running = lane.orderBy(F.desc("n"), "barcode").rowsBetween(Window.unboundedPreceding, 0)
-    out = found.withColumns({"lane_total": F.sum("n").over(lane), "cumulative": F.sum("n").over(running)})
-    return out.withColumns(
+    return placed(found).drop("rank").withColumns(
         {"percent": B.percent(F.col("n"), F.col("lane_total")), "cumulative_percent": B.percent(F.col("cumulative"), F.col("lane_total"))}
     )
 
 
+def with_totals(found: DataFrame) -> DataFrame:
+    """With the lane's total: a row for each lane, brought to the rows."""
+    totals_ = found.groupBy(F.col("lane").alias("_lane")).agg(F.sum("n").alias("lane_total"))
+    return found.join(checked_broadcast(totals_), F.col("lane").eqNullSafe(F.col("_lane"))).drop("_lane")
+
+
 def above(found: DataFrame, cutoff: float) -> DataFrame:
     """Barcodes with at least floor(total * cutoff) reads of their lane."""
-    total = F.sum("n").over(Window.partitionBy("lane"))
-    return found.withColumn("lane_total", total).filter(F.col("n") >= F.floor(F.col("lane_total") * cutoff))
+    return with_totals(found).filter(F.col("n") >= F.floor(F.col("lane_total") * cutoff))
 
 
 def last_wins(sheet: DataFrame) -> DataFrame:
-    """Of sheet rows with the same lane and index, the last."""
-    return sheet.groupBy("lane", "index_seq").agg(F.max_by("sample", "line_no").alias("sample"), F.max_by("project", "line_no").alias("project"))
+    """Of sheet rows with the same lane and index, the last; without line numbers the
+    one with the last name."""
+    by = "line_no" if "line_no" in sheet.columns else "sample"
+    project = [F.max_by("project", by).alias("project")] if "project" in sheet.columns else []
+    return sheet.groupBy("lane", "index_seq").agg(F.max_by("sample", by).alias("sample"), *project)
 
 
 def with_samples(found: DataFrame, sheet: DataFrame) -> DataFrame:
-    keyed = sheet.select("lane", F.col("index_seq").alias("barcode"), "sample")
-    return found.join(keyed, ["lane", "barcode"], "left")
+    """The sample of each lane and index; sheet rows without a lane are for all lanes,
+    where the lane has no row of its own for the index."""
+    keyed = last_wins(sheet).select(F.col("lane").alias("_lane"), F.col("index_seq").alias("_index"), F.col("sample").alias("_s"))
+    own = found.join(keyed.filter("_lane IS NOT NULL"), (F.col("lane") == F.col("_lane")) & (F.col("barcode") == F.col("_index")), "left")
+    anywhere = keyed.filter("_lane IS NULL").select(F.col("_index").alias("barcode"), F.col("_s").alias("_a"))
+    return own.select(*found.columns, "_s").join(anywhere, "barcode", "left").withColumn("sample", F.coalesce("_s", "_a")).select(*found.columns, "sample")
 
 
 def samples_over_lanes(found: DataFrame, sheet: DataFrame) -> DataFrame:
@@ -76,27 +117,62 @@ def closest_samples(groups: DataFrame, sheet: DataFrame, mismatches: int) -> Dat
     pairs are those of a lane's few reference barcodes and its sheet."""
     exact = with_samples(groups, sheet)
     rest = exact.filter(F.col("sample").isNull()).drop("sample")
-    near = rest.join(sheet.select("lane", "index_seq", F.col("sample").alias("near")), "lane").filter(
-        B.matches(F.col("index_seq"), F.col("barcode"), mismatches)
-    )
+    # Sheet rows without a lane are for each of the lanes, of which there are a few.
+    named = sheet.select("lane", "index_seq", F.col("sample").alias("near"))
+    lanes = groups.select("lane").distinct()
+    everywhere = named.filter("lane IS NULL").drop("lane").join(F.broadcast(lanes)).select(named.columns)
+    near = rest.join(named.filter("lane IS NOT NULL").unionByName(everywhere), "lane").filter(B.matches(F.col("index_seq"), F.col("barcode"), mismatches))
     listed = near.groupBy("lane", "barcode").agg(F.array_join(F.sort_array(F.collect_set("near")), ",").alias("near"))
     return exact.join(listed, ["lane", "barcode"], "left").withColumn("sample", F.coalesce("sample", "near")).drop("near")
 
 
-def assign(reads: DataFrame, references: DataFrame, distance: int) -> DataFrame:
+#: Pairs of distinct barcodes and reference indexes that are tried one by one.
+MOST_PAIRS = 50_000_000
+
+
+def near_references(distinct: DataFrame, references: DataFrame, distance: int, most: int = MOST_PAIRS) -> DataFrame:
+    """barcode, index_seq: pairs within the distance over the shorter length.
+
+    Few pairs are all tried, the references brought to the barcodes. Otherwise both
+    are cut into distance + 1 pieces, of which two within the distance share one;
+    only those meet. Pieces depend on the two lengths, of which there are few."""
+    refs = cut(references.select("index_seq").distinct())
+    distinct = cut(distinct)
+    near = B.hamming_truncated(F.col("barcode"), F.col("index_seq")) <= distance
+    n_refs = refs.count()
+    if n_refs <= BROADCAST_ROWS and n_refs * distinct.count() <= most:
+        return distinct.join(F.broadcast(refs), near)
+    sizes = lambda df, c: [r[0] for r in df.select(F.length(c)).distinct().collect()]
+    of_barcodes, of_refs = sizes(distinct, "barcode"), sizes(refs, "index_seq")
+
+    def cut_up(df: DataFrame, c: str, others: list[int]) -> DataFrame:
+        with_other = df.withColumn("other", F.explode(F.array(*[F.lit(x) for x in others])))
+        shorter = F.substring(F.col(c), F.lit(1), F.least(F.length(c), F.col("other")))
+        return with_other.select(c, F.length(c).alias("own"), "other", F.inline(B.pieces(shorter, distance + 1)))
+
+    a, b = cut_up(distinct, "barcode", of_refs), cut_up(refs, "index_seq", of_barcodes)
+    b = b.select("index_seq", F.col("other").alias("own"), F.col("own").alias("other"), "k", "piece")
+    return a.join(b, ["own", "other", "k", "piece"]).filter(near).select("barcode", "index_seq").distinct()
+
+
+def assign(reads: DataFrame, references: DataFrame, distance: int, most: int = MOST_PAIRS) -> DataFrame:
     """Each read's first reference index (in order) within the distance over the
     shorter length, else `undetermined`. Distances are taken of distinct barcodes
     only; reads meet the result by equality."""
-    distinct = reads.select("barcode").distinct()
-    near = distinct.join(references.select("index_seq").distinct(), B.hamming_truncated(F.col("barcode"), F.col("index_seq")) <= distance)
+    near = near_references(reads.select("barcode").distinct(), references, distance, most)
     best = near.groupBy("barcode").agg(F.min("index_seq").alias("assigned"))
     return reads.join(best, "barcode", "left").withColumn("assigned", F.coalesce("assigned", F.lit("undetermined")))
 
 
-def assign_pairs(first: DataFrame, second: DataFrame, references: DataFrame, distance: int) -> DataFrame:
-    """Reads 1 and 2 of equal name; `agree` tells whether their barcodes do."""
-    one = assign(first, references, distance).select("name_key", F.col("barcode").alias("barcode1"), F.col("assigned"))
-    return one.join(second.select("name_key", F.col("barcode").alias("barcode2")), "name_key").withColumn("agree", F.col("barcode1") == F.col("barcode2"))
+def assign_pairs(first: DataFrame, second: DataFrame, references: DataFrame, distance: int) -> tuple[DataFrame, DataFrame]:
+    """Reads 1 and 2 of equal name: those whose barcodes agree, assigned, and the
+    errors: those whose barcodes differ, and those without a partner."""
+    one = first.select("name_key", F.col("barcode").alias("barcode1"))
+    both = one.join(second.select("name_key", F.col("barcode").alias("barcode2")), "name_key", "full")
+    agree = F.coalesce(F.col("barcode1") == F.col("barcode2"), F.lit(False))
+    error = F.when(F.col("barcode1").isNull() | F.col("barcode2").isNull(), "no partner").otherwise("barcodes differ")
+    good = assign(both.filter(agree).select("name_key", F.col("barcode1").alias("barcode")), references, distance)
+    return good, both.filter(~agree).withColumn("error", error)
 
 
 def ambiguous(references: DataFrame, distance: int) -> DataFrame:
@@ -107,23 +183,33 @@ def ambiguous(references: DataFrame, distance: int) -> DataFrame:
     return pairs.select(F.col("a.index_seq").alias("index_a"), F.col("b.index_seq").alias("index_b"), d.alias("distance")).filter(F.col("distance") <= distance)
 
 
-def collisions(sheet: DataFrame, mismatches: int | Column) -> DataFrame:
-    """Pairs of samples of a lane whose indexes differ in fewer than 2m + 1 places;
-    null indexes are skipped."""
+def collisions(sheet: DataFrame, mismatches: int | Column, use: str = "all") -> DataFrame:
+    """Pairs of sheet rows of a lane (of all rows, if lanes are not given) whose
+    indexes differ in fewer than 2m + 1 places over the shorter one; rows without
+    an index are skipped. `use`: `all` joins both indexes, `1` takes i7, `2` i5. Rows
+    are told apart by `line_no`, if given; else by sample and index."""
     limit = F.lit(mismatches) if isinstance(mismatches, int) else mismatches
-    a, b = sheet.alias("a"), sheet.alias("b")
-    pairs = a.join(b, (F.col("a.lane") == F.col("b.lane")) & (F.col("a.sample") < F.col("b.sample")))
-    d = B.hamming_truncated(F.col("a.index_seq"), F.col("b.index_seq"))
+    parts = F.split("index_seq", r"\+")
+    taken = {"all": B.plain(F.col("index_seq")), "1": F.get(parts, F.lit(0)), "2": F.get(parts, F.lit(1))}[use]
+    place = F.col("line_no") if "line_no" in sheet.columns else F.struct("sample", "index_seq")
+    rows = sheet.select("lane", "sample", taken.alias("i"), place.alias("p")).filter("i <> ''")
+    a, b = rows.alias("a"), rows.alias("b")
+    pairs = a.join(b, F.col("a.lane").eqNullSafe(F.col("b.lane")) & (F.col("a.p") < F.col("b.p")))
+    d = B.hamming_truncated(F.col("a.i"), F.col("b.i"))
     out = pairs.select(
         F.col("a.lane").alias("lane"), F.col("a.sample").alias("sample_a"), F.col("b.sample").alias("sample_b"), d.alias("distance")
     )
     return out.filter(F.col("distance") < 2 * limit + 1)
 
 
-def mismatch_limit(sheet: DataFrame) -> DataFrame:
+def mismatch_limit(sheet: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """1 for a lane whose shortest index has 6 places or more, unless that makes
-    indexes collide; else 0."""
+    indexes collide; else 0. Lanes without a sheet row go by the shortest barcode
+    of the counts `found`."""
     shortest = sheet.groupBy("lane").agg(F.min(F.length("index_seq")).alias("shortest"))
+    if found is not None:
+        others = found.groupBy("lane").agg(F.min(B.barcode_length(F.col("barcode"))).alias("shortest"))
+        shortest = shortest.unionByName(others.join(shortest.select("lane"), "lane", "left_anti"))
     clash = collisions(sheet, 1).groupBy("lane").agg(F.count("*").alias("n_collisions"))
     ok = (F.col("shortest") >= 6) & F.col("n_collisions").isNull()
     return shortest.join(clash, "lane", "left").select("lane", F.when(ok, 1).otherwise(0).alias("mismatches"))
@@ -139,16 +225,31 @@ def underrepresented(reported: DataFrame, sheet: DataFrame) -> DataFrame:
 
 def overrepresented(reported: DataFrame) -> DataFrame:
     """Barcodes without a sample that rank above the lowest that has one."""
-    lowest = F.max(F.when(F.col("sample").isNotNull(), F.col("rank"))).over(Window.partitionBy("lane"))
-    return reported.withColumn("_lowest", lowest).filter("sample IS NULL AND rank < _lowest").drop("_lowest")
+    lowest = reported.filter("sample IS NOT NULL").groupBy(F.col("lane").alias("_lane")).agg(F.max("rank").alias("_lowest"))
+    lower = reported.join(checked_broadcast(lowest), F.col("lane").eqNullSafe(F.col("_lane")))
+    return lower.filter("sample IS NULL AND rank < _lowest").drop("_lane", "_lowest")
 
 
 def report(found: DataFrame, sheet: DataFrame, cutoff: float = 0.001) -> DataFrame:
     """Ranked barcodes above the cut-off with sample, share and running share of
     the lane's reads (as they were before the cut-off)."""
-    return ranked(with_samples(shares(above(found, cutoff).drop("lane_total")).drop("lane_total", "percent", "cumulative_percent"), sheet)).join(
-        found.groupBy("lane").agg(F.sum("n").alias("lane_total")), "lane"
-    ).withColumns({"percent": B.percent(F.col("n"), F.col("lane_total")), "cumulative_percent": B.percent(F.col("cumulative"), F.col("lane_total"))})
+    kept = above(found, cutoff)
+    rows = placed(kept.withColumnRenamed("lane_total", "_all")).drop("lane_total").withColumnRenamed("_all", "lane_total")
+    return with_samples(rows, sheet).withColumns(
+        {"percent": B.percent(F.col("n"), F.col("lane_total")), "cumulative_percent": B.percent(F.col("cumulative"), F.col("lane_total"))}
+    )
+
+
+def analyse(found: DataFrame, groups: DataFrame, sheet: DataFrame, mismatches: int) -> tuple[DataFrame, DataFrame]:
+    """Groups (lane, barcode, n, n_sequences) with sample, rank and shares, and for each
+    lane its reads, its groups and the reads that they cover."""
+    rows = placed(groups).drop("lane_total")
+    totals_ = found.groupBy("lane").agg(F.sum("n").alias("total_reads"))
+    rows = closest_samples(rows, sheet, mismatches).join(totals_, "lane")
+    rows = rows.withColumns({"percent": B.percent(F.col("n"), F.col("total_reads")), "cumulative_percent": B.percent(F.col("cumulative"), F.col("total_reads"))})
+    covered = groups.groupBy("lane").agg(F.count("*").alias("n_groups"), F.sum("n").alias("coverage"))
+    summary = totals_.join(covered, "lane", "left").select("lane", "total_reads", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_groups", "coverage")])
+    return rows, summary.withColumn("coverage_percent", B.percent(F.col("coverage"), F.col("total_reads")))
 
 
 def problems(reported: DataFrame, sheet: DataFrame) -> DataFrame:

@@ -15,31 +15,36 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import barcodes as B
-from ..sources.shared import cut
+from ..sources.shared import checked_broadcast, cut
+from . import barcodes as C
 
 GROUPS = "lane int, barcode string, n long, reference string"
+#: Barcodes of a lane that one task groups, by comparing each reference with all that are left.
+LANE_ROWS = 20_000
 
 
 def in_rank_order(found: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
-    """Rank in the lane: sheet barcodes first if they are given, then by count, ties
-    by barcode."""
-    seeded = F.lit(0)
-    if seeds is not None:
-        marks = seeds.select("lane", F.col("index_seq").alias("barcode"), F.lit(1).alias("_seed")).distinct()
-        found = found.join(marks, ["lane", "barcode"], "left")
-        seeded = F.coalesce(F.col("_seed"), F.lit(0))
-    order = Window.partitionBy("lane").orderBy(seeded.desc(), F.desc("n"), "barcode")
-    return found.withColumn("rank", F.row_number().over(order)).select("lane", "barcode", "n", "rank")
+    """Rank in the lane: seeds first, in the order given (`seed_order`; without it by
+    barcode), then the others by count, ties by barcode. Seeds are few; the others
+    are ranked without a window over the lane."""
+    if seeds is None:
+        return C.ranked(found).select("lane", "barcode", "n", "rank")
+    order = F.col("seed_order") if "seed_order" in seeds.columns else F.col("index_seq")
+    marks = seeds.select("lane", F.col("index_seq").alias("barcode"), order.alias("_order")).groupBy("lane", "barcode").agg(F.min("_order").alias("_order"))
+    marked = found.join(checked_broadcast(marks), ["lane", "barcode"], "left")
+    place = F.row_number().over(Window.partitionBy("lane").orderBy("_order", "barcode")).cast("long")
+    first = cut(marked.filter("_order IS NOT NULL").withColumn("rank", place).select("lane", "barcode", "n", "rank"))
+    ahead = checked_broadcast(first.groupBy("lane").agg(F.count("*").alias("_ahead")))
+    others = C.ranked(marked.filter("_order IS NULL").drop("_order")).join(ahead, "lane", "left")
+    return first.unionByName(others.select("lane", "barcode", "n", (F.col("rank") + F.coalesce("_ahead", F.lit(0))).alias("rank")))
 
 
 def weeded(found: DataFrame, fraction: float) -> DataFrame:
-    total = F.sum("n").over(Window.partitionBy("lane"))
-    return found.withColumn("_t", total).filter(F.col("n") >= F.floor(F.col("_t") * fraction)).drop("_t")
+    return C.above(found, fraction).drop("lane_total")
 
 
 def group_in_lanes(ranked: DataFrame, mismatches: int) -> DataFrame:
-    """lane, barcode, n, reference, by a grouped function. The weeding cut-off
-    bounds a lane: with a fraction of 1e-6 there are below two million rows."""
+    """lane, barcode, n, reference, by a grouped function: for lanes of few barcodes."""
 
     def greedy(lane: pd.DataFrame) -> pd.DataFrame:
         lane = lane.sort_values("rank", ignore_index=True)
@@ -66,19 +71,17 @@ def group_in_lanes(ranked: DataFrame, mismatches: int) -> DataFrame:
 
 def matching_pairs(ranked: DataFrame, mismatches: int) -> DataFrame:
     """lane, early, late (ranks): all matching pairs. Each index is cut into
-    mismatches + 1 pieces; matching barcodes share at least one piece of their
-    first index, so only those meet."""
+    mismatches + 1 pieces; matching barcodes share a piece of every index, so only
+    those meet."""
     n = mismatches + 1
-    first = F.get(F.split("barcode", r"\+"), F.lit(0))
-    size = F.length(first)
-    pieces = F.array(*[
-        F.struct(F.lit(i).alias("k"), F.substring(first, F.floor(size * i / n).cast("int") + 1, (F.floor(size * (i + 1) / n) - F.floor(size * i / n)).cast("int")).alias("piece"))
-        for i in range(n)
-    ])
-    shape = F.array_join(F.transform(F.split("barcode", r"\+"), lambda x: F.length(x).cast("string")), "+")
-    rows = ranked.select("lane", "barcode", "rank", shape.alias("shape"), F.inline(pieces))
+    split = F.split("barcode", r"\+")
+    part = lambda i: F.coalesce(F.get(split, F.lit(i)), F.lit(""))
+    shape = F.array_join(F.transform(split, lambda x: F.length(x).cast("string")), "+")
+    rows = ranked.select("lane", "barcode", "rank", shape.alias("shape"), F.inline(B.pieces(part(0), n)))
+    second = F.when(F.size(split) > 1, B.pieces(part(1), n)).otherwise(F.array(F.struct(F.lit(0).alias("k"), F.lit("").alias("piece"))))
+    rows = rows.select("lane", "barcode", "rank", "shape", F.col("k").alias("k1"), F.col("piece").alias("piece1"), F.inline(second))
     a, b = rows.alias("a"), rows.alias("b")
-    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("lane", "shape", "k", "piece")]
+    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("lane", "shape", "k1", "piece1", "k", "piece")]
     pairs = a.join(b, [*same, F.col("a.rank") < F.col("b.rank")]).filter(B.matches(F.col("b.barcode"), F.col("a.barcode"), mismatches))
     return pairs.select(F.col("a.lane").alias("lane"), F.col("a.rank").alias("early"), F.col("b.rank").alias("late")).distinct()
 
@@ -107,11 +110,16 @@ def group_by_rounds(ranked: DataFrame, mismatches: int) -> DataFrame:
 
 
 def grouped(
-    found: DataFrame, mismatches: int = 2, cutoff: float | None = None, seeds: DataFrame | None = None, fraction: float = 1e-6, by_rounds: bool = False
+    found: DataFrame, mismatches: int = 2, cutoff: float | None = None, seeds: DataFrame | None = None, fraction: float = 1e-6, by_rounds: bool | None = None
 ) -> DataFrame:
     """lane, reference, n_sequences, n of each group. Groups below the cut-off are
-    dropped after they have taken in their members."""
+    dropped after they have taken in their members. Lanes are grouped by a function
+    where the largest keeps `LANE_ROWS` barcodes at most, by rounds of joins beyond;
+    `by_rounds` says so beforehand. The groups are the same."""
     kept = in_rank_order(weeded(found, fraction), seeds)
+    if by_rounds is None:
+        kept = cut(kept)
+        by_rounds = (kept.groupBy("lane").count().agg(F.max("count")).first()[0] or 0) > LANE_ROWS
     members = (group_by_rounds if by_rounds else group_in_lanes)(kept, mismatches)
     groups = members.groupBy("lane", "reference").agg(F.count("*").alias("n_sequences"), F.sum("n").alias("n"))
     if cutoff is not None:

@@ -8,17 +8,28 @@ from pyspark.sql import functions as F
 from ..functions import names as N
 
 
-def stem(path: Column) -> Column:
+def attributes(extract, path: Column) -> dict[str, Column]:
+    """What an extractor of name attributes gives for a path: a dict of columns, or a
+    struct column with fields of the same names. What it lacks is null."""
+    found = extract(path)
+    get = found.get if isinstance(found, dict) else lambda k, _: found[k]
+    none = {k: F.lit(None).cast("int") for k in ("sample_number", "lane_number", "read_number", "set_number")} | {"is_index_read": F.lit(False)}
+    return {k: get(k, none.get(k, F.lit(None).cast("string"))) for k in KEPT}
+
+
+KEPT = ("sample_name", "sample_number", "barcode_sequence", "lane_number", "read_number", "set_number", "is_index_read")
+
+
+def stem(path: Column, extract=N.illumina_attrs) -> Column:
     """Directory, and the name with read 1: what files of one set share."""
-    a = N.illumina_attrs(path) | {"read_number": F.lit(1), "is_index_read": F.lit(False)}
-    kept = ("sample_name", "sample_number", "barcode_sequence", "lane_number", "read_number", "set_number", "is_index_read")
-    return F.concat(F.regexp_extract(path, "^(.*/)?[^/]*$", 1), N.rebuilt(*[a[k] for k in kept]))
+    a = attributes(extract, path) | {"read_number": F.lit(1), "is_index_read": F.lit(False)}
+    return F.concat(F.regexp_extract(path, "^(.*/)?[^/]*$", 1), N.rebuilt(*[a[k] for k in KEPT]))
 
 
-def pairs_by_name(files: DataFrame) -> DataFrame:
+def pairs_by_name(files: DataFrame, extract=N.illumina_attrs) -> DataFrame:
     """fastq -> r1, r2 of equal name; those without a partner are kept."""
-    a = N.illumina_attrs(F.col("fastq"))
-    keyed = files.select("fastq", stem(F.col("fastq")).alias("stem"), a["read_number"].alias("read"), a["is_index_read"].alias("index")).filter("NOT index")
+    a = attributes(extract, F.col("fastq"))
+    keyed = files.select("fastq", stem(F.col("fastq"), extract).alias("stem"), a["read_number"].alias("read"), a["is_index_read"].alias("index")).filter("NOT index")
     one = keyed.filter("read = 1").select("stem", F.col("fastq").alias("r1"))
     return one.join(keyed.filter("read = 2").select("stem", F.col("fastq").alias("r2")), "stem", "full").select("r1", "r2")
 
@@ -30,10 +41,10 @@ def pairs_by_header(reads: DataFrame) -> DataFrame:
     return one.join(first.filter("read_number = 2").select("name_key", F.col("file").alias("r2")), "name_key", "full").select("r1", "r2")
 
 
-def sets_of_files(files: DataFrame) -> DataFrame:
+def sets_of_files(files: DataFrame, extract=N.illumina_attrs) -> DataFrame:
     """All files of one set: reads first, then index reads."""
-    a = N.illumina_attrs(F.col("fastq"))
-    keyed = files.select(stem(F.col("fastq")).alias("stem"), a["is_index_read"].alias("index"), a["read_number"].alias("read"), "fastq")
+    a = attributes(extract, F.col("fastq"))
+    keyed = files.select(stem(F.col("fastq"), extract).alias("stem"), a["is_index_read"].alias("index"), a["read_number"].alias("read"), "fastq")
     return keyed.groupBy("stem").agg(F.array_sort(F.collect_list(F.struct("index", "read", "fastq"))).alias("files"))
 
 
@@ -52,9 +63,9 @@ def missing(expected: DataFrame, present: DataFrame, on) -> DataFrame:
     return expected.join(present, on, "left_anti")
 
 
-def select_files(files: DataFrame, selectors) -> DataFrame:
+def select_files(files: DataFrame, selectors, extract=N.illumina_attrs) -> DataFrame:
     """`r1`, `i2`, `r*`, `i*`, `*`: names, distinct and in order."""
-    a = N.illumina_attrs(F.col("fastq"))
+    a = attributes(extract, F.col("fastq"))
     keep = F.lit(False)
     for s in selectors:
         kind = F.lit(True) if s == "*" else a["is_index_read"] == (s[0].lower() == "i")
@@ -71,9 +82,34 @@ def completeness(files: DataFrame, outputs: DataFrame, present: DataFrame) -> Da
     return sums.withColumn("ok", F.when(F.col("n_expected") > 0, F.col("n_missing") == 0))
 
 
-def merge_trees(primary: DataFrame, extras: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """project, tree, … -> the merged rows and the conflicts: projects in several
-    extra trees. A project of an extra tree takes the primary one's place."""
-    conflicts = extras.groupBy("project").agg(F.countDistinct("tree").alias("n_trees")).filter("n_trees > 1")
-    kept = primary.join(extras.select("project").distinct(), "project", "left_anti")
-    return kept.unionByName(extras.select(primary.columns)), conflicts
+UNDETERMINED = "Undetermined_indices"
+
+
+def merge_trees(primary: DataFrame, extras: DataFrame, lanes_split: bool = True) -> tuple[DataFrame, DataFrame]:
+    """project, sample, tree, … -> the merged rows and the conflicts.
+
+    A project of an extra tree takes the primary one's place; a project in several
+    extra trees is a conflict, and none of its rows is merged. Undetermined reads are
+    concatenated if lanes are not split; else their samples are merged as projects are."""
+    whole = F.col("project") != UNDETERMINED
+    entity = F.when(whole, F.lit(None).cast("string")).otherwise(F.col("sample")).alias("_sample")
+    keys = ["project", "_sample"]
+    x, p = extras.withColumn("_sample", entity), primary.withColumn("_sample", entity)
+    apart = lambda df: df if lanes_split else df.filter(whole)
+    counted = apart(x).groupBy(*keys).agg(F.countDistinct("tree").alias("n_trees"))
+    conflicts = counted.filter("n_trees > 1")
+    told = counted.select(F.col("project").alias("_p"), F.col("_sample").alias("_s"), F.col("n_trees"))
+    same = F.expr("project = _p AND _sample <=> _s")
+    merged = apart(x).join(told.filter("n_trees = 1"), same, "left_semi").unionByName(apart(p).join(told, same, "left_anti").select(x.columns))
+    if not lanes_split:
+        merged = merged.unionByName(x.filter(~whole)).unionByName(p.filter(~whole).select(x.columns))
+    return merged.select(primary.columns), conflicts.withColumnRenamed("_sample", "sample")
+
+
+def mixed_formats(files: DataFrame, extract=N.illumina_attrs) -> DataFrame:
+    """tree, has_lanes, n_files: the kinds of names, if trees mix names with and
+    without a lane, which can't be merged; no row otherwise."""
+    lane = attributes(extract, F.col("fastq"))["lane_number"]
+    kinds = files.groupBy("tree", lane.isNotNull().alias("has_lanes")).agg(F.count("*").alias("n_files"))
+    mixed = kinds.agg((F.countDistinct("has_lanes") > 1).alias("_mixed"))
+    return kinds.join(F.broadcast(mixed)).filter("_mixed").drop("_mixed")

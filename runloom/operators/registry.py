@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import barcodes as B
 from ..functions import names as N
+from ..sources.tables import sheet_numbers
 
 #: Other names of the number of cells, the preferred first.
 CELL_METRICS = ("Estimated Number of Cells", "Estimated number of cells", "annotated_cells", "Cells")
@@ -22,8 +23,10 @@ def set_where(sheet: DataFrame, column: str, value: Column, lanes=None, where: t
     return sheet.withColumn(column, F.when(here, value).otherwise(F.col(column)))
 
 
-def incomplete(sheet: DataFrame, columns=("lane", "sample", "project")) -> DataFrame:
-    """Rows with a blank where the first row has something."""
+def incomplete(sheet: DataFrame, columns=("lane", "sample", "sample_name", "project")) -> DataFrame:
+    """Rows with a blank where the first row has something, in those of the columns
+    that the sheet has."""
+    columns = [c for c in columns if c in sheet.columns]
     blank = lambda c: F.coalesce(F.trim(c.cast("string")), F.lit("")) == ""
     first = sheet.agg(*[F.min_by(F.struct(F.col(c).alias("v")), "line_no")["v"].alias(f"_{c}") for c in columns])
     bad = reduce(lambda a, b: a | b, [~blank(F.col(f"_{c}")) & blank(F.col(c)) for c in columns])
@@ -40,7 +43,11 @@ def several(rows: DataFrame, of: str, by) -> DataFrame:
 
 
 def predicted_outputs(sheet: DataFrame) -> DataFrame:
-    return sheet.groupBy("project", "sample", "index_seq").agg(F.array_join(F.array_sort(F.collect_set("lane")).cast("array<string>"), ",").alias("lanes"))
+    """project, sample, index_seq, lanes; and sample_number, by first appearance, if
+    the sheet has line numbers."""
+    lanes = F.array_join(F.array_sort(F.collect_set("lane")).cast("array<string>"), ",")
+    found = sheet.groupBy("project", "sample", "index_seq").agg(lanes.alias("lanes"))
+    return found.join(sheet_numbers(sheet), "sample") if "line_no" in sheet.columns else found
 
 
 def summary_by_lane(sheet: DataFrame) -> DataFrame:
@@ -64,11 +71,11 @@ def close_names(projects: DataFrame, least: float = 0.6, top: int = 3) -> DataFr
     return pairs.withColumn("rank", rank).filter(F.col("rank") <= top)
 
 
-def lint(sheet: DataFrame) -> DataFrame:
+def lint(sheet: DataFrame, least: float = 0.6) -> DataFrame:
     """One row for each check: name, n_found."""
     checks = {
         "several_barcodes": several(sheet, "index_seq", ("project", "sample")), "several_projects": several(sheet, "project", ("sample",)),
-        "close_names": close_names(sheet.filter("project IS NOT NULL")), "incomplete": incomplete(sheet), "bad_barcodes": bad_barcodes(sheet),
+        "close_names": close_names(sheet.filter("project IS NOT NULL"), least), "incomplete": incomplete(sheet), "bad_barcodes": bad_barcodes(sheet),
         "bad_characters": sheet.filter(N.has_invalid_characters(F.concat_ws(",", "sample", "project", "index_seq"))),
     }
     rows = [df.agg(F.lit(name).alias("check"), F.count("*").alias("n_found")) for name, df in checks.items()]
@@ -87,11 +94,23 @@ def matching(projects: DataFrame, column: str, pattern: str | None) -> DataFrame
 
 
 def linked(links: DataFrame, registry: DataFrame) -> DataFrame:
-    """sample, reference -> the linked sample's row; `known` false if there is none."""
+    """sample, reference -> the linked sample's row; `known` false if there is none.
+    A reference without a run means the run at hand, `run` null in the registry."""
     parts = N.sample_reference(F.col("reference"))
-    asked = links.select("sample", "reference", parts["project"].alias("project"), parts["sample"].alias("linked_sample"))
-    have = registry.select("project", F.col("sample").alias("linked_sample"), F.lit(True).alias("found")).distinct()
-    return asked.join(have, ["project", "linked_sample"], "left").select("sample", "project", "linked_sample", F.coalesce("found", F.lit(False)).alias("known"))
+    asked = links.select("sample", parts["run"].alias("run"), parts["project"].alias("project"), parts["sample"].alias("linked_sample"))
+    have = registry.select(F.col("run").alias("_r"), F.col("project").alias("_p"), F.col("sample").alias("_s"), F.lit(True).alias("found")).distinct()
+    found = asked.join(have, F.expr("run <=> _r AND project = _p AND linked_sample = _s"), "left")
+    return found.select("sample", "run", "project", "linked_sample", F.coalesce("found", F.lit(False)).alias("known"))
+
+
+def matching_runs(runs: DataFrame, wanted: str) -> DataFrame:
+    """Analysis runs (path, run_name, platform, run_number, analysis_number) that a
+    name, a path, a run's name, a run ID or `*` (any run) means."""
+    name = F.element_at(F.split("path", "/"), -1)
+    id_ = N.run_id(F.col("run_name"), F.col("platform"), F.col("run_number"), F.col("analysis_number"))
+    any_run = F.lit(wanted == "*") & F.col("run_name").isNotNull()
+    is_ = lambda x: F.coalesce(x == wanted, F.lit(False))
+    return runs.filter(any_run | is_(F.col("path")) | is_(name) | is_(F.col("run_name")) | is_(id_))
 
 
 def refreshed(table: DataFrame, outputs: DataFrame) -> DataFrame:
@@ -131,11 +150,17 @@ def reads_per_cell(rows: DataFrame) -> DataFrame:
     return rows.withColumn("reads_per_cell", F.coalesce(F.try_divide("reads_in_cells", "cells"), "mean_reads", "median_reads"))
 
 
-def project_report(projects: DataFrame, samples: DataFrame, cells: DataFrame) -> DataFrame:
-    """One line for each project: samples (`?` if unknown), cells, names."""
-    rows = projects.join(samples, "project", "left").join(cells, "project", "left")
+def project_report(projects: DataFrame, samples: DataFrame, cells: DataFrame, ends: DataFrame, multiplexed: DataFrame | None = None) -> DataFrame:
+    """One line for each project: samples (those of multiplexed libraries if there are
+    any; `?` if unknown), cells, whether reads are paired (`?` if unknown), names."""
+    if multiplexed is None:
+        multiplexed = projects.select("project").limit(0).withColumn("n_multiplexed", F.lit(0).cast("long"))
+    rows = projects.join(samples, "project", "left").join(cells, "project", "left").join(multiplexed, "project", "left")
+    rows = rows.join(ends.filter("project IS NOT NULL").select("project", "paired_end"), "project", "left")
+    n = F.coalesce(F.when(F.col("n_multiplexed") > 0, F.col("n_multiplexed")), F.col("n_samples"))
     return rows.select(
-        "project", "user_name", "pi", F.coalesce(F.col("n_samples").cast("string"), F.lit("?")).alias("n_samples"), "cells",
+        "project", "user_name", "pi", F.coalesce(n.cast("string"), F.lit("?")).alias("n_samples"), "cells",
+        F.when(F.col("paired_end").isNull(), "?").when(F.col("paired_end"), "PE").otherwise("SE").alias("ends"),
         N.composite("/", F.col("organism"), F.col("library")).alias("kind"), F.coalesce("samples", F.lit("")).alias("samples"),
     )
 
@@ -148,6 +173,19 @@ def census(files: DataFrame) -> DataFrame:
     )
 
 
+def qc_census(files: DataFrame, outputs: DataFrame) -> DataFrame:
+    """What a project's checks cover. `files`: project, sample, read_number, is_index;
+    `outputs`: project, kind, organism, screen (null where it has none). Each in order:
+    samples naturally, reads as `r1` and `i1`."""
+    read = F.concat(F.when(F.col("is_index"), "i").otherwise("r"), F.coalesce("read_number", F.lit(1)).cast("string"))
+    natural = F.transform(F.array_sort(F.collect_set(F.struct(N.natural_key(F.col("sample")).alias("k"), F.col("sample").alias("s")))), lambda x: x["s"])
+    of_files = files.groupBy("project").agg(natural.alias("samples"), F.array_sort(F.collect_set(read)).alias("reads"))
+    kinds = {"outputs": "kind", "organisms": "organism", "screens": "screen"}
+    of_outputs = outputs.groupBy("project").agg(*[F.array_sort(F.collect_set(c)).alias(k) for k, c in kinds.items()])
+    none = F.array().cast("array<string>")
+    return of_files.join(of_outputs, "project", "full").select("project", *[F.coalesce(c, none).alias(c) for c in ("samples", "reads", *kinds)])
+
+
 def biological_samples(projects: DataFrame) -> DataFrame:
     """listed, by_library, all (arrays) -> the samples with biological data: as
     listed, else by library, else all; known ones only."""
@@ -157,11 +195,16 @@ def biological_samples(projects: DataFrame) -> DataFrame:
 
 
 def library_checks(libraries: DataFrame, known_types: DataFrame) -> DataFrame:
-    """config, sample, tag, feature_type -> config, check, value."""
+    """config, sample, tag, feature_type -> config, check, value. Feature types are
+    compared in lower case."""
+    known_types = known_types.select(F.lower("feature_type").alias("type")).distinct()
+    libraries = libraries.withColumn("type", F.lower("feature_type"))
     twice = lambda c: libraries.groupBy("config", c).agg(F.count("*").alias("n")).filter("n > 1").select("config", F.lit(f"duplicate_{c}").alias("check"), F.col(c).alias("value"))
-    unknown = libraries.join(F.broadcast(known_types), "feature_type", "left_anti").select("config", F.lit("unknown_type").alias("check"), F.col("feature_type").alias("value")).distinct()
+    unknown = libraries.join(F.broadcast(known_types), "type", "left_anti").select("config", F.lit("unknown_type").alias("check"), F.col("feature_type").alias("value")).distinct()
     odd = libraries.filter(F.col("sample").rlike("[^A-Za-z0-9_-]")).select("config", F.lit("bad_characters").alias("check"), F.col("sample").alias("value")).distinct()
-    return twice("sample").unionByName(twice("tag")).unionByName(unknown).unionByName(odd)
+    known = libraries.join(F.broadcast(known_types), "type", "left_semi").groupBy("config", "type").agg(F.count("*").alias("n")).filter("n > 1")
+    types = known.select("config", F.lit("duplicate_type").alias("check"), F.col("type").alias("value"))
+    return reduce(DataFrame.unionByName, [twice("sample"), twice("tag"), types, unknown, odd])
 
 
 def software(versions: DataFrame, fallback: DataFrame | None = None) -> DataFrame:
@@ -174,9 +217,10 @@ def software(versions: DataFrame, fallback: DataFrame | None = None) -> DataFram
 
 def paired_end(files: DataFrame) -> DataFrame:
     """By project, and for the run (project null): true only if all samples have
-    read 2."""
+    read 2; true for a run without samples."""
     per = files.filter("NOT is_index").groupBy("project", "sample").agg(F.max(F.col("read_number") == 2).alias("paired"))
-    return per.rollup("project").agg(F.bool_and("paired").alias("paired_end"))
+    run = per.agg(F.lit(None).cast("string").alias("project"), F.coalesce(F.bool_and("paired"), F.lit(True)).alias("paired_end"))
+    return per.groupBy("project").agg(F.bool_and("paired").alias("paired_end")).unionByName(run)
 
 
 def metadata_table(project: DataFrame, qc: DataFrame, run: DataFrame, items) -> DataFrame:

@@ -55,6 +55,11 @@ def lane_samples(reads: DataFrame, expected: DataFrame | None = None) -> DataFra
     return found.withColumn("total_reads", total).withColumn("percent", share)
 
 
+def lane_samples_report(reads: DataFrame, expected: DataFrame | None = None) -> DataFrame:
+    """The same in the order of the report: by lane, project and sample."""
+    return lane_samples(reads, expected).orderBy("lane", "project", "sample")
+
+
 def lane_summary(reads: DataFrame) -> DataFrame:
     """Total, assigned and unassigned reads of each lane, with percentages (2
     decimals, 0 in an empty lane). One shuffle of partial counts by lane."""
@@ -72,10 +77,15 @@ def inherit_counts(files: DataFrame, per_lane: DataFrame, stem: Column, first_st
     return files.withColumn("_first", stem).join(per_lane.withColumn("_first", first_stem).drop("file"), "_first").drop("_first")
 
 
-def upsert(old: DataFrame, new: DataFrame, keys, values) -> DataFrame:
-    """New rows win over old ones with equal keys."""
-    both = old.select(*keys, F.struct(*values).alias("o")).join(new.select(*keys, F.struct(*values).alias("n")), list(keys), "full")
-    return both.select(*keys, *[F.coalesce(F.col(f"n.{v}"), F.col(f"o.{v}")).alias(v) for v in values])
+def upsert(old: DataFrame, new: DataFrame, keys) -> DataFrame:
+    """New rows win over old ones with equal keys. The columns are those of both, as
+    of tables with a column for each lane; what a row's table lacks is null."""
+    keys = list(keys)
+    values = [c for c in old.columns if c not in keys] + [c for c in new.columns if c not in {*keys, *old.columns}]
+    side = lambda df, name: df.select(*keys, F.struct(F.lit(True).alias("_here"), *[F.col(v) for v in values if v in df.columns]).alias(name))
+    both = side(old, "o").join(side(new, "n"), keys, "full")
+    pick = lambda name, df, v: F.col(f"{name}.{v}") if v in df.columns else F.lit(None)
+    return both.select(*keys, *[F.when(F.col("n._here"), pick("n", new, v)).otherwise(pick("o", old, v)).alias(v) for v in values])
 
 
 def warnings(per_sample: DataFrame, lanes: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import barcodes as B
@@ -13,6 +13,7 @@ from ..operators import barcodes as C
 from ..operators import grouping as G
 from ..operators import lengths as L
 from ..operators import pairing as P
+from ..operators import reads as D
 from ..operators import registry as R
 from ..operators import stats as S
 from ..sources import fastq, qc, shared, tables
@@ -63,9 +64,10 @@ def a03_reads_per_file(reads):
     return S.reads_per_file(reads.withColumn("file", _file()))
 
 
-@query("reads", sql=f"SELECT project, sample, {FILE_SQL} AS file, lane, count(*) AS n_reads FROM reads GROUP BY ALL")
+@query("reads", sql=f"SELECT project, sample, {FILE_SQL} AS file, CASE WHEN project = 'P1' THEN 9 ELSE lane END AS lane, count(*) AS n_reads FROM reads GROUP BY ALL", ints="lane")
 def a04_reads_per_lane(reads):
-    return S.reads_per_lane(reads.withColumn("file", _file()))
+    """The names of P1's files have a lane; the others' lanes are those of the headers."""
+    return S.reads_per_lane(reads.withColumn("file", _file()), F.when(F.col("project") == "P1", 9))
 
 
 PIVOT = ", ".join(f"sum(n) FILTER (lane = {n}) AS \"L{n}\"" for n in LANES)
@@ -89,6 +91,13 @@ def a07_lane_sample(reads):
     return S.lane_samples(reads)
 
 
+@query("reads", "sample_sheet", sql=f"SELECT lane, project, sample, n_reads, row_number() OVER (ORDER BY lane, project, sample) AS place FROM ({LANE_SAMPLE}) t", longs="place")
+def t03_report_order(reads, sheet):
+    """Places as of the rows in the order in which they come."""
+    rows = S.lane_samples_report(reads).select("lane", "project", "sample", "n_reads").collect()  # a report: a line for each sample of a lane
+    return reads.sparkSession.createDataFrame([(*r, i + 1) for i, r in enumerate(rows)], "lane int, project string, sample string, n_reads long, place long")
+
+
 @query("reads", "sample_sheet", sql=f"""
 WITH f AS ({LANE_SAMPLE}), a AS (SELECT * FROM f UNION ALL
  SELECT DISTINCT lane, project, sample, 0 FROM sample_sheet s WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.lane = s.lane AND f.project = s.project AND f.sample = s.sample))
@@ -102,9 +111,10 @@ def p01_first_reads(files):
     return S.first_reads(files)
 
 
-@query("fastq_files", sql="SELECT fastq, lane FROM fastq_files WHERE lane IS NULL OR lane IN (1, 3)")
+@query("fastq_files", sql="SELECT fastq, CASE WHEN read_number = 1 THEN lane END AS lane FROM fastq_files WHERE read_number <> 1 OR lane IN (1, 3)")
 def p02_lane_subset(files):
-    return S.in_lanes(files, (1, 3)).select("fastq", "lane")
+    named = files.withColumn("lane", F.when(F.col("read_number") == 1, F.col("lane")))
+    return S.in_lanes(named, (1, 3)).select("fastq", "lane")
 
 
 @query("fastq_files", sql="SELECT fastq FROM fastq_files WHERE sample IN ('S1', 'S2') AND regexp_matches(fastq, '^.*_R1_.*[.]gz$')")
@@ -112,6 +122,11 @@ def p05_sample_and_glob(files):
     return files.filter(F.col("sample").isin("S1", "S2") & N.glob_like(F.col("fastq"), "*_R1_*.gz")).select("fastq")
 
 
+@query("fastq_files", sql="SELECT fastq FROM fastq_files WHERE regexp_matches(fastq, '^S[^12].*_R1_.*[.]gz$')")
+def p05_negated_glob(files):
+    return files.filter(N.glob_like(F.col("fastq"), "S[!12]*_R1_*.gz")).select("fastq")
+
+
 @query("fastq_files", sql="SELECT DISTINCT fastq FROM fastq_files WHERE (NOT is_index AND read_number = 2) OR is_index")
 def p06_read_selectors(files):
     return P.select_files(files, ("r2", "i*"))
@@ -125,9 +140,8 @@ def p07_no_index_files(files):
 @query("reads", "fastq_files", sql="""
 SELECT f.fastq, f.read_number, CAST(r.lane AS INT) AS lane, r.n_reads FROM fastq_files f JOIN
  (SELECT project, sample, lane, count(*) AS n_reads FROM reads GROUP BY ALL) r ON r.project = f.project AND r.sample = f.sample AND r.lane = f.lane
-WHERE f.read_number > 1 AND NOT f.is_index AND f.project <> 'Undetermined_indices'""")
+WHERE f.read_number > 1 AND NOT f.is_index""")
 def j08_inherit_counts(reads, files):
-    files = files.filter("project <> 'Undetermined_indices'")
     named = files.filter("read_number = 1 AND NOT is_index").select(*UNIT, "fastq")
     per = reads.groupBy(*UNIT).agg(F.count("*").alias("n_reads")).join(named, list(UNIT))
     others = files.filter("read_number > 1 AND NOT is_index").select("project", "fastq", "read_number")
@@ -138,13 +152,22 @@ def j08_inherit_counts(reads, files):
     return found.select("fastq", "read_number", "lane", "n_reads")
 
 
-@query("reads", sql="""
-WITH o AS (SELECT project, sample, count(*) AS n_reads FROM reads WHERE lane <= 3 GROUP BY ALL), n AS (SELECT project, sample, count(*) AS n_reads FROM reads WHERE lane >= 3 GROUP BY ALL)
-SELECT coalesce(o.project, n.project) AS project, coalesce(o.sample, n.sample) AS sample, coalesce(n.n_reads, o.n_reads) AS n_reads
-FROM o FULL JOIN n ON o.project = n.project AND o.sample = n.sample""")
+def _lane_columns(reads, lanes):
+    """Full statistics of some lanes' reads: a column for each lane."""
+    part = reads.filter(F.col("lane").isin(list(lanes))).groupBy(*UNIT).agg(F.count("*").alias("n_reads")).withColumn("file", F.concat_ws("_", "project", "sample"))
+    return S.full_stats(part, lanes).drop("file")
+
+
+LANE_COLUMNS = lambda lanes: "SELECT project, sample, sum(n) AS n_reads, " + ", ".join(f'sum(n) FILTER (lane = {k}) AS "L{k}"' for k in lanes) + f" FROM (SELECT project, sample, lane, count(*) AS n FROM reads WHERE lane IN {lanes} GROUP BY ALL) t GROUP BY project, sample"
+
+
+@query("reads", sql=f"""
+WITH o AS ({LANE_COLUMNS((1, 2, 3))}), n AS ({LANE_COLUMNS((3, 4))})
+SELECT coalesce(n.project, o.project) AS project, coalesce(n.sample, o.sample) AS sample, coalesce(n.n_reads, o.n_reads) AS n_reads,
+ CASE WHEN n.project IS NULL THEN o."L1" END AS "L1", CASE WHEN n.project IS NULL THEN o."L2" END AS "L2", CASE WHEN n.project IS NULL THEN o."L3" ELSE n."L3" END AS "L3", n."L4"
+FROM o FULL JOIN n ON o.project = n.project AND o.sample = n.sample""", longs="n_reads L1 L2 L3 L4")
 def j09_stats_upsert(reads):
-    part = lambda c: reads.filter(c).groupBy("project", "sample").agg(F.count("*").alias("n_reads"))
-    return S.upsert(part("lane <= 3"), part("lane >= 3"), ("project", "sample"), ("n_reads",))
+    return S.upsert(_lane_columns(reads, (1, 2, 3)), _lane_columns(reads, (3, 4)), ("project", "sample"))
 
 
 @query("reads", "sample_sheet", sql=f"""
@@ -176,17 +199,14 @@ def u06_distinct(reads):
 
 @query("reads", sql="SELECT project, sample, count(*) AS n_reads, min(length(sequence)) AS least FROM reads GROUP BY project, sample", ints="least")
 def u02_merged_lanes(reads):
-    parts = [reads.filter(F.col("lane") == n).drop("lane") for n in LANES]
-    whole = parts[0]
-    for p in parts[1:]:
-        whole = whole.unionByName(p)
+    whole = D.concatenated(reads)
     return whole.groupBy("project", "sample").agg(F.count("*").alias("n_reads"), F.min(F.length("sequence")).alias("least"))
 
 
 @query("reads", sql="SELECT lane, count(*) AS n, count(DISTINCT barcode) AS n_barcodes FROM reads GROUP BY lane")
 def u03_split_by_lane(reads):
     path = shared.new_folder(reads.sparkSession, "lanes")
-    reads.repartition("lane").write.partitionBy("lane").parquet(path)
+    fastq.write_split(reads, path, ["lane"])
     return reads.sparkSession.read.parquet(path).groupBy("lane").agg(F.count("*").alias("n"), F.countDistinct("barcode").alias("n_barcodes"))
 
 
@@ -227,11 +247,16 @@ def u01_pooled_counts(reads):
     return C.pooled(C.counts(reads.filter("l_orderkey % 2 = 0")), C.counts(reads.filter("l_orderkey % 2 = 1")))
 
 
-@query("reads", sql=f"SELECT lane, barcode, n, {RANK} AS rank FROM ({COUNTS}) t", ints="rank")
+@query("reads", sql=f"SELECT lane, barcode, n, {RANK} AS rank FROM ({COUNTS}) t", longs="rank")
 def w01_barcode_rank(reads):
     return C.ranked(C.counts(reads))
 
 
+@query("reads", sql=f"SELECT lane, barcode, n, {RANK} AS rank FROM ({COUNTS}) t", longs="rank")
+def t01_sorted_counts(reads):
+    return C.in_order(C.counts(reads))
+
+
 SHARES = f"""SELECT lane, barcode, n, CAST(sum(n) OVER (PARTITION BY lane) AS BIGINT) AS lane_total,
  CAST(sum(n) OVER (PARTITION BY lane ORDER BY n DESC, barcode ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cumulative FROM ({COUNTS}) t"""
 
@@ -251,9 +276,24 @@ def p04_weeding(reads):
     return G.weeded(C.counts(reads), 1e-6)
 
 
-@query("reads", "sample_sheet", sql=f"SELECT c.lane, c.barcode, c.n, s.sample FROM ({COUNTS}) c LEFT JOIN sample_sheet s ON s.lane = c.lane AND s.index_seq = c.barcode")
+TWICE = "(SELECT lane, sample, index_seq, 1 AS line_no FROM sample_sheet UNION ALL SELECT lane, 'again' || sample, index_seq, 2 FROM sample_sheet WHERE lane = 2)"
+
+
+def _twice(sheet):
+    """Sheet rows of lane 2 come twice; the last counts."""
+    rows = sheet.select("lane", "sample", "index_seq")
+    again = rows.filter("lane = 2").withColumn("sample", F.concat(F.lit("again"), "sample"))
+    return rows.withColumn("line_no", F.lit(1)).unionByName(again.withColumn("line_no", F.lit(2)))
+
+
+@query("reads", "sample_sheet", sql=f"SELECT c.lane, c.barcode, c.n, s.sample FROM ({COUNTS}) c LEFT JOIN (SELECT lane, index_seq, arg_max(sample, line_no) AS sample FROM {TWICE} t GROUP BY lane, index_seq) s ON s.lane = c.lane AND s.index_seq = c.barcode")
 def j01_sample_lookup(reads, sheet):
-    return C.with_samples(C.counts(reads), sheet)
+    return C.with_samples(C.counts(reads), _twice(sheet))
+
+
+@query("reads", "sample_sheet", sql=f"SELECT c.lane, c.barcode, c.n, s.sample FROM ({COUNTS}) c LEFT JOIN (SELECT DISTINCT index_seq, sample FROM sample_sheet) s ON s.index_seq = c.barcode")
+def j01_lookup_without_lanes(reads, sheet):
+    return C.with_samples(C.counts(reads), sheet.select("sample", "index_seq").distinct().withColumn("lane", F.lit(None).cast("int")))
 
 
 @query("reads", "sample_sheet", sql="""
@@ -291,14 +331,16 @@ def j04_assign_reads(reads, sheet):
 
 @query("reads", "sample_sheet", sql=f"""
 WITH p AS (SELECT b.barcode, r.index_seq, {_apart('b.barcode', 'r.index_seq')} AS d FROM (SELECT DISTINCT barcode FROM reads) b CROSS JOIN ({REFS}) r),
-m AS (SELECT barcode, min(index_seq) AS assigned FROM p WHERE d <= 1 GROUP BY barcode)
-SELECT coalesce(m.assigned, 'undetermined') AS assigned, count(*) AS n, count(*) FILTER (agree) AS n_agree FROM
- (SELECT a.barcode, a.barcode = b.barcode AND b.l_linenumber % 5 > 0 AS agree FROM reads a JOIN reads b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = b.l_linenumber) r LEFT JOIN m ON m.barcode = r.barcode GROUP BY ALL""")
+m AS (SELECT barcode, min(index_seq) AS assigned FROM p WHERE d <= 1 GROUP BY barcode),
+k AS (SELECT barcode, CASE WHEN l_linenumber = 7 THEN 'no partner' WHEN l_linenumber % 5 = 0 THEN 'barcodes differ' END AS error FROM reads)
+SELECT CASE WHEN error IS NULL THEN coalesce(m.assigned, 'undetermined') END AS assigned, error, count(*) AS n FROM k LEFT JOIN m ON m.barcode = k.barcode GROUP BY ALL""")
 def j05_assign_pairs(reads, sheet):
-    named = reads.withColumn("name_key", F.concat_ws(":", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")))
-    second = named.withColumn("barcode", F.when(F.col("l_linenumber") % 5 == 0, F.concat(F.lit("-"), "barcode")).otherwise(F.col("barcode")))
-    found = C.assign_pairs(named, second, sheet, 1)
-    return found.groupBy("assigned").agg(F.count("*").alias("n"), F.count(F.when(F.col("agree"), 1)).alias("n_agree"))
+    named = reads.withColumn("name_key", F.concat_ws(":", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string"), "sequence", "barcode"))
+    named = named.groupBy("name_key").agg(F.min("barcode").alias("barcode"), F.min("l_linenumber").alias("l_linenumber"), F.count("*").alias("n"))
+    second = named.filter("l_linenumber <> 7").withColumn("barcode", F.when(F.col("l_linenumber") % 5 == 0, F.concat(F.lit("-"), "barcode")).otherwise(F.col("barcode")))
+    good, errors = C.assign_pairs(named, second, sheet, 1)
+    rows = good.select("name_key", "assigned", F.lit(None).cast("string").alias("error")).unionByName(errors.select("name_key", F.lit(None).cast("string").alias("assigned"), "error"))
+    return rows.join(named.select("name_key", "n"), "name_key").groupBy("assigned", "error").agg(F.sum("n").alias("n"))
 
 
 @query("sample_sheet", sql=f"""SELECT * FROM (SELECT a.index_seq AS index_a, b.index_seq AS index_b, {_apart('a.index_seq', 'b.index_seq')} AS distance
@@ -307,13 +349,27 @@ def j06_ambiguity(sheet):
     return C.ambiguous(sheet, 4).withColumn("distance", F.col("distance").cast("long"))
 
 
+NUMBERED = "(SELECT *, lane * 1000 + CAST(substr(sample, 2) AS INT) AS line_no FROM sample_sheet)"
 COLLIDE = f"""SELECT a.lane, a.sample AS sample_a, b.sample AS sample_b, {_apart('a.index_seq', 'b.index_seq')} AS distance
- FROM sample_sheet a JOIN sample_sheet b ON a.lane = b.lane AND a.sample < b.sample"""
+ FROM {NUMBERED} a JOIN {NUMBERED} b ON a.lane = b.lane AND a.line_no < b.line_no"""
 
 
 @query("sample_sheet", sql=f"SELECT * FROM ({COLLIDE}) t WHERE distance < 5")
 def j07_collisions(sheet):
-    return C.collisions(sheet, 2).withColumn("distance", F.col("distance").cast("long"))
+    return C.collisions(_lined(sheet), 2).withColumn("distance", F.col("distance").cast("long"))
+
+
+COLLIDE_I7 = f"""WITH s AS (SELECT lane, 'T' || CAST(line_no % 3 AS VARCHAR) AS sample, line_no, substr(index_seq, 1, 4) AS i FROM {NUMBERED} n)
+SELECT a.lane, a.sample AS sample_a, b.sample AS sample_b, {_apart('a.i', 'b.i')} AS distance FROM s a JOIN s b ON a.lane = b.lane AND a.line_no < b.line_no"""
+
+
+@query("sample_sheet", sql=f"SELECT * FROM ({COLLIDE_I7}) t WHERE distance < 3")
+def j07_collisions_of_one_index(sheet):
+    """Several rows of a sample, dual indexes, of which the first is compared."""
+    lined = _lined(sheet)
+    dual = F.concat_ws("+", F.substring("index_seq", 1, 4), F.substring("index_seq", 5, 4))
+    rows = lined.select("lane", F.concat(F.lit("T"), (F.col("line_no") % 3).cast("string")).alias("sample"), dual.alias("index_seq"), "line_no")
+    return C.collisions(rows, 1, "1").withColumn("distance", F.col("distance").cast("long"))
 
 
 @query("sample_sheet", sql=f"""WITH c AS (SELECT DISTINCT lane FROM ({COLLIDE}) t WHERE distance < 3)
@@ -384,8 +440,9 @@ def e09_subsequence_counts(reads):
 KIND = "CASE WHEN length(trim(sequence, 'N')) = 0 THEN 'masked' WHEN length(trim(sequence, 'N')) < length(sequence) THEN 'padded' ELSE 'clean' END"
 
 
-@query("reads", sql=f"SELECT {KIND} AS kind, count(*) AS n FROM reads GROUP BY ALL")
+@query("reads", sql=f"SELECT {KIND} AS kind, count(*) AS n FROM (SELECT CASE WHEN l_partkey % 19 = 0 THEN '' ELSE sequence END AS sequence FROM reads) r GROUP BY ALL")
 def e18_read_kind(reads):
+    reads = reads.withColumn("sequence", F.when(F.col("l_partkey") % 19 == 0, "").otherwise(F.col("sequence")))
     kind = F.when(B.is_masked(F.col("sequence")), "masked").when(B.is_padded(F.col("sequence")), "padded").otherwise("clean")
     return reads.groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
 
@@ -396,12 +453,18 @@ def e26_percent(reads):
     return n.select("lane", B.percent(F.col("a"), F.col("t")).alias("p"), B.percent(F.col("a"), F.col("t") - F.col("t")).alias("none"))
 
 
-@query("reads", sql="""SELECT l_orderkey, l_linenumber, substr(sequence, 3, 10) AS sequence, substr(quality, 3, 10) AS quality FROM reads WHERE project = 'P1'""")
+@query("reads", sql="""SELECT l_orderkey, l_linenumber, CAST(l_linenumber % 2 + 1 AS INT) AS read_number, CASE WHEN l_linenumber % 2 = 0 THEN substr(sequence, 3, 10) ELSE sequence END AS sequence,
+ CASE WHEN l_linenumber % 2 = 0 THEN substr(quality, 3, 10) ELSE quality END AS quality FROM reads WHERE project <> 'P1' OR sample LIKE 'S1%'""")
 def e30_trim_range(reads):
-    ranges = reads.sparkSession.createDataFrame([(1, 3, 12)], "read_number int, a int, b int")
-    kept = reads.filter("project = 'P1'").withColumn("read_number", F.lit(1)).join(F.broadcast(ranges), "read_number", "left")
-    cut = lambda c: F.when(F.col("a").isNull(), F.col(c)).otherwise(F.substring(F.col(c), F.col("a"), F.col("b") - F.col("a") + 1))
-    return kept.select("l_orderkey", "l_linenumber", cut("sequence").alias("sequence"), cut("quality").alias("quality"))
+    """Reads 1 are cut, reads 2 are not; of P1 only the listed samples are biological."""
+    per = reads.select("project", "sample").distinct().groupBy("project").agg(
+        F.array_agg(F.when((F.col("project") == "P1") & F.col("sample").startswith("S1"), F.col("sample"))).alias("listed"),
+        F.array().cast("array<string>").alias("by_library"), F.array_agg("sample").alias("all"),
+    )
+    samples = R.biological_samples(per.withColumn("listed", F.array_compact("listed"))).select("project", F.explode("samples").alias("sample"))
+    ranges = reads.sparkSession.createDataFrame([(1, 3, 12)], "read_number int, first int, last int")
+    numbered = reads.withColumn("read_number", (F.col("l_linenumber") % 2 + 1).cast("int"))
+    return D.trimmed(numbered, ranges, samples).select("l_orderkey", "l_linenumber", "read_number", "sequence", "quality")
 
 
 REPORT = f"""SELECT c.lane, c.barcode, c.n, s.sample, c.cumulative, c.lane_total, row_number() OVER (PARTITION BY c.lane ORDER BY c.n DESC, c.barcode) AS rank
@@ -412,7 +475,7 @@ def _report(reads, sheet):
     return C.report(C.counts(reads), sheet, 0.001)
 
 
-@query("reads", "sample_sheet", sql=f"SELECT lane, barcode, n, sample, cumulative, lane_total, rank, n * CAST(100 AS DOUBLE) / lane_total AS percent, cumulative * CAST(100 AS DOUBLE) / lane_total AS cumulative_percent FROM ({REPORT}) r", ints="rank")
+@query("reads", "sample_sheet", sql=f"SELECT lane, barcode, n, sample, cumulative, lane_total, rank, n * CAST(100 AS DOUBLE) / lane_total AS percent, cumulative * CAST(100 AS DOUBLE) / lane_total AS cumulative_percent FROM ({REPORT}) r", longs="rank")
 def g04_report_exact(reads, sheet):
     return _report(reads, sheet)
 
@@ -427,11 +490,17 @@ def j11_underrepresented(reads, sheet):
 
 
 OVER = f"SELECT lane, barcode, n, rank FROM (SELECT *, max(rank) FILTER (sample IS NOT NULL) OVER (PARTITION BY lane) AS lowest FROM ({REPORT}) r) t WHERE sample IS NULL AND rank < lowest"
+#: A sheet that lacks every third sample, whose barcodes abound then.
+LACKING = "(SELECT * FROM sample_sheet WHERE CAST(substr(sample, 2) AS INT) % 3 <> 1)"
+
 
+def _lacking(sheet):
+    return sheet.filter(F.substring("sample", 2, 9).cast("int") % 3 != 1)
 
-@query("reads", "sample_sheet", sql=OVER, ints="rank")
+
+@query("reads", "sample_sheet", sql=OVER.replace("LEFT JOIN sample_sheet s", f"LEFT JOIN {LACKING} s"), longs="rank")
 def w04_overrepresented(reads, sheet):
-    return C.overrepresented(_report(reads, sheet)).select("lane", "barcode", "n", "rank")
+    return C.overrepresented(_report(reads, _lacking(sheet))).select("lane", "barcode", "n", "rank")
 
 
 @query("reads", "sample_sheet", sql=f"""WITH u AS (SELECT lane, count(*) AS n FROM ({UNDER}) a GROUP BY lane), o AS (SELECT lane, count(*) AS n FROM ({OVER}) b GROUP BY lane)
@@ -456,10 +525,20 @@ def g02_seeded_groups(reads, sheet):
     return G.grouped(C.counts(reads), 1, cutoff=0.001, seeds=sheet)
 
 
+def _analysed(reads, sheet):
+    found = C.counts(reads)
+    groups = G.grouped(found, 2, cutoff=0.001, seeds=sheet).withColumnRenamed("reference", "barcode")
+    return C.analyse(found, groups, sheet, 2)
+
+
 @query("reads", "sample_sheet")
 def g03_analyse_grouped(reads, sheet):
-    groups = G.grouped(C.counts(reads), 2, cutoff=0.001).withColumnRenamed("reference", "barcode")
-    return C.ranked(C.closest_samples(groups, sheet, 2))
+    return _analysed(reads, sheet)[0]
+
+
+@query("reads", "sample_sheet")
+def g03_analysis_summary(reads, sheet):
+    return _analysed(reads, sheet)[1]
 
 
 # Lengths and qualities -----------------------------------------------------------
@@ -470,7 +549,7 @@ WITH h AS (SELECT project, sample, lane, length(sequence) AS length, count(*) AS
 c AS (SELECT *, sum(n) OVER (PARTITION BY project, sample, lane ORDER BY length) AS cum, sum(n) OVER (PARTITION BY project, sample, lane) AS t FROM h),
 k AS (SELECT project, sample, lane, count(*) FILTER (({KIND}) = 'masked') AS m, count(*) FILTER (({KIND}) = 'padded') AS p FROM reads GROUP BY ALL)
 SELECT c.project, c.sample, c.lane, CAST(sum(n) AS BIGINT) AS n_reads, k.m AS n_masked, k.p AS n_padded, min(length) AS min_length, max(length) AS max_length,
- CAST(sum(length * n) AS DOUBLE) / sum(n) AS mean_length, min(length) FILTER (cum >= t // 2) AS median_length, CAST(k.m AS DOUBLE) / sum(n) AS frac_masked, CAST(k.p AS DOUBLE) / sum(n) AS frac_padded
+ CAST(sum(length * n) AS DOUBLE) / sum(n) AS mean_length, min(length) FILTER (cum >= t // 2) AS median_length, CAST(k.m AS DOUBLE) * 100 / CAST(sum(n) AS DOUBLE) AS frac_masked, CAST(k.p AS DOUBLE) * 100 / CAST(sum(n) AS DOUBLE) AS frac_padded
 FROM c JOIN k ON k.project = c.project AND k.sample = c.sample AND k.lane = c.lane GROUP BY c.project, c.sample, c.lane, k.m, k.p""", ints="min_length max_length median_length")
 def a09_seq_lengths(reads):
     return L.length_stats(reads, UNIT)
@@ -525,9 +604,15 @@ def w06_histogram_place(reads):
     return L.value_at(h, ("lane",), "length", "n", F.floor(F.col("_total") / 10), "p10", inclusive=False)
 
 
-@query("reads", sql="SELECT project, sample, lane, count(*) AS n_reads, min(length(sequence)) AS min_length, max(length(sequence)) AS max_length, avg(length(sequence)) AS mean_length FROM reads GROUP BY ALL", ints="min_length max_length")
+@query("reads", sql=f"""SELECT project || '_' || sample || '_' || CAST(lane AS VARCHAR) AS fastq, min(length(sequence)) AS "min", max(length(sequence)) AS "max", avg(length(sequence)) AS mean, count(*) AS nreads,
+ count(*) FILTER (({KIND}) = 'masked') AS masked, count(*) FILTER (({KIND}) = 'padded') AS padded,
+ CAST(count(*) FILTER (({KIND}) = 'masked') AS DOUBLE) * 100 / CAST(count(*) AS DOUBLE) AS masked_frac, CAST(count(*) FILTER (({KIND}) = 'padded') AS DOUBLE) * 100 / CAST(count(*) AS DOUBLE) AS padded_frac
+FROM reads GROUP BY project, sample, lane""", ints="min max")
 def s23_collated_lengths(reads):
-    return L.length_stats(reads, UNIT).select(*UNIT, "n_reads", "min_length", "max_length", "mean_length").orderBy(*UNIT)
+    table = L.collated(L.length_stats(reads.withColumn("file", _file())))
+    path = shared.new_folder(reads.sparkSession, "collated")
+    L.write_collated(table, path)
+    return reads.sparkSession.read.option("sep", "\t").option("header", True).schema(table.schema).csv(path)
 
 
 @query("reads", "fastq_files", sql="""SELECT f.fastq, f.n_reads, r.max_length FROM (SELECT * FROM fastq_files WHERE read_number = 1 AND NOT is_index) f LEFT JOIN
@@ -591,9 +676,9 @@ def e19_natural_sort(customer):
 
 @query("sample_sheet", sql="SELECT sample, row_number() OVER (ORDER BY CAST(substr(sample, 2) AS INT)) AS place FROM (SELECT DISTINCT sample FROM sample_sheet) t")
 def t02_natural_order(sheet):
-    names = sheet.select("sample").distinct().withColumn("k", N.natural_key(F.col("sample")))
-    other = names.select(F.col("k").alias("o"))
-    return names.join(other, F.col("o") <= F.col("k")).groupBy("sample").agg(F.count("*").alias("place"))
+    """Names of samples are some thousands: a small window."""
+    names = sheet.select("sample").distinct()
+    return names.select("sample", F.row_number().over(Window.orderBy(N.natural_key(F.col("sample")))).cast("long").alias("place"))
 
 
 RUNS = "(SELECT o_orderkey, '2' || CAST(30101 + o_orderkey % 28 AS VARCHAR) || '_M0' || CAST(o_orderkey % 9 AS VARCHAR) || '_' || lpad(CAST(o_orderkey % 500 AS VARCHAR), 4, '0') || '_AHXX' || CAST(o_custkey % 100 AS VARCHAR) AS run, CAST(o_orderkey % 7 AS INT) AS facility, CAST(o_orderkey % 500 AS INT) AS number, o_custkey FROM orders) r"
@@ -606,10 +691,14 @@ def _runs(orders):
     return orders.select("o_orderkey", run.alias("run"), (k % 7).cast("int").alias("facility"))
 
 
-@query("orders", sql=f"SELECT o_orderkey, 'MISEQ_' || split_part(run, '_', 1) || CASE WHEN number <> facility THEN '/' || number ELSE '' END || '#' || facility AS id FROM {RUNS}")
+RUN_ID = "'MISEQ_' || split_part(run, '_', 1) || CASE WHEN number <> facility THEN '/' || number ELSE '' END || '#' || facility || CASE WHEN o_orderkey % 5 = 0 THEN '.2' ELSE '' END"
+
+
+@query("orders", sql=f"SELECT o_orderkey, {RUN_ID} AS id, {RUN_ID} || CASE WHEN o_orderkey % 3 = 0 THEN '_SP' ELSE '' END AS reference FROM {RUNS}")
 def e20_run_ids(orders):
-    r = _runs(orders)
-    return r.select("o_orderkey", N.run_id(F.col("run"), F.lit("miseq"), F.col("facility"), F.lit(None).cast("int")).alias("id"))
+    r, k = _runs(orders), F.col("o_orderkey")
+    id_ = N.run_id(F.col("run"), F.lit("miseq"), F.col("facility"), F.when(k % 5 == 0, 2))
+    return r.select("o_orderkey", id_.alias("id"), N.run_reference(id_, F.when(k % 3 == 0, "SP")).alias("reference"))
 
 
 @query("orders", sql=f"SELECT o_orderkey, CAST(strptime(split_part(run, '_', 1), '%y%m%d') AS DATE) AS run_date, split_part(run, '_', 2) AS instrument, number AS run_number, 'HXX' || CAST(o_custkey % 100 AS VARCHAR) AS flow_cell_id FROM {RUNS}")
@@ -626,7 +715,7 @@ def e21_sample_references(sheet):
 
 
 @query("customer", sql="""SELECT c_custkey, CASE WHEN f = 0 AND r = 0 THEN 'undetermined' WHEN r = 0 OR f / r > 5 THEN 'forward' WHEN f / r < 0.2 THEN 'reverse' ELSE 'unstranded?' END AS label,
- CASE WHEN 10 >= f AND 10 >= r THEN 'none' WHEN f / (r + 0.001) < 0.2 THEN 'reverse' WHEN f / (r + 0.001) > 5 THEN 'forward' ELSE 'none' END AS protocol
+ CASE WHEN 10 > f AND 10 > r THEN 'none' WHEN f / (r + 0.001) < 0.2 THEN 'reverse' WHEN f / (r + 0.001) > 5 THEN 'forward' ELSE 'none' END AS protocol
 FROM (SELECT c_custkey, CAST(c_custkey % 11 * (c_custkey % 3) AS DOUBLE) AS f, CAST(c_custkey % 7 AS DOUBLE) AS r FROM customer) t""")
 def e22_e31_strands(customer):
     f, r = (F.col("c_custkey") % 11 * (F.col("c_custkey") % 3)).cast("double"), (F.col("c_custkey") % 7).cast("double")
@@ -649,19 +738,35 @@ def e25_composite(registry):
     return registry.select("project", N.composite("/", F.col("user_name"), F.col("pi"), F.col("library")).alias("field"))
 
 
-@query("fastq_files", sql="SELECT fastq, split_part(fastq, '_', 1) AS sample_name, CASE WHEN is_index THEN NULL ELSE read_number END AS read_number FROM (SELECT fastq, is_index, read_number FROM fastq_files WHERE NOT is_index) t")
+@query("fastq_files", sql="SELECT fastq, CASE WHEN NOT is_index THEN split_part(fastq, '_', 1) END AS sample_name, CASE WHEN NOT is_index THEN read_number END AS read_number FROM fastq_files")
 def x01_custom_pattern(files):
     made = N.custom_attrs(F.col("fastq"), "{SAMPLE}_S*_R{READ}_*")
-    return files.filter("NOT is_index").select("fastq", *[c.alias(k) for k, c in made.items()])
+    return files.select("fastq", *[c.alias(k) for k, c in made.items()])
+
+
+@query("fastq_files", sql="""WITH f AS (SELECT DISTINCT project || '.' || sample || CAST(lane AS VARCHAR) AS s, read_number FROM fastq_files WHERE NOT is_index AND NOT (read_number = 2 AND lane = 4))
+SELECT a.s || '.r1.fastq' AS r1, CASE WHEN b.s IS NOT NULL THEN b.s || '.r2.fastq' END AS r2 FROM (SELECT s FROM f WHERE read_number = 1) a LEFT JOIN (SELECT s FROM f WHERE read_number = 2) b ON a.s = b.s""")
+def x02_other_extractor(files):
+    """Pairs of files whose names are of another kind, by an extractor of their own
+    that gives a struct."""
+    kept = files.filter("NOT is_index AND NOT (read_number = 2 AND lane = 4)")
+    name = F.concat("project", F.lit("."), "sample", F.col("lane").cast("string"), F.lit(".r"), F.col("read_number").cast("string"), F.lit(".fastq"))
+
+    def dotted(path):
+        a = N.dotted_attrs(path)
+        none = {k: F.lit(None).cast("int") for k in ("sample_number", "lane_number", "set_number")}
+        return F.struct(*[c.alias(k) for k, c in (a | none | {"is_index_read": F.lit(False)}).items()])
+
+    return P.pairs_by_name(kept.select(name.alias("fastq")).distinct(), dotted)
 
 
 # Pairing -------------------------------------------------------------------------
 
 
-@query("fastq_files", sql="""WITH f AS (SELECT read_number, project || '/' || fastq AS path, project || '/' || replace(replace(fastq, '_R2_', '_R1_'), '.fastq.gz', '') AS stem FROM fastq_files WHERE NOT is_index AND NOT (read_number = 2 AND lane = 4) AND project <> 'Undetermined_indices')
+@query("fastq_files", sql="""WITH f AS (SELECT read_number, project || '/' || fastq AS path, project || '/' || replace(replace(fastq, '_R2_', '_R1_'), '.fastq.gz', '') AS stem FROM fastq_files WHERE NOT is_index AND NOT (read_number = 2 AND lane = 4))
 SELECT a.path AS r1, b.path AS r2 FROM (SELECT * FROM f WHERE read_number = 1) a FULL JOIN (SELECT * FROM f WHERE read_number = 2) b ON a.stem = b.stem""")
 def j12_pair_by_name(files):
-    kept = files.filter("NOT (read_number = 2 AND lane = 4) AND project <> 'Undetermined_indices'")
+    kept = files.filter("NOT (read_number = 2 AND lane = 4)")
     return P.pairs_by_name(kept.withColumn("fastq", F.concat_ws("/", "project", "fastq")))
 
 
@@ -682,14 +787,15 @@ def j13_pair_by_header(reads):
     )
 
 
-@query("fastq_files", sql="""SELECT replace(replace(replace(fastq, '_R2_', '_R1_'), '_I1_', '_R1_'), '.fastq.gz', '') AS stem, count(*) AS n_files FROM fastq_files WHERE project <> 'Undetermined_indices' GROUP BY 1""")
+@query("fastq_files", sql="""SELECT replace(replace(replace(fastq, '_R2_', '_R1_'), '_I1_', '_R1_'), '.fastq.gz', '') AS stem, string_agg(CAST(is_index AS VARCHAR) || ':' || read_number || ':' || fastq, ',' ORDER BY is_index, read_number, fastq) AS files FROM fastq_files GROUP BY 1""")
 def j14_group_sets(files):
-    return P.sets_of_files(files.filter("project <> 'Undetermined_indices'")).select("stem", F.size("files").cast("long").alias("n_files"))
+    listed = F.transform("files", lambda x: F.concat_ws(":", x["index"].cast("string"), x["read"].cast("string"), x["fastq"]))
+    return P.sets_of_files(files).select("stem", F.array_join(listed, ",").alias("files"))
 
 
-@query("fastq_files", sql="SELECT min(project || '/' || fastq) AS fastq FROM fastq_files WHERE NOT is_index AND read_number = 1 AND project <> 'Undetermined_indices' GROUP BY project, sample, lane")
+@query("fastq_files", sql="SELECT min(project || '/' || fastq) AS fastq FROM fastq_files WHERE NOT is_index AND read_number = 1 GROUP BY project, sample, lane")
 def u05_representatives(files):
-    kept = files.filter("project <> 'Undetermined_indices'").withColumn("fastq", F.concat_ws("/", "project", "fastq"))
+    kept = files.withColumn("fastq", F.concat_ws("/", "project", "fastq"))
     return P.representatives(kept).select("fastq")
 
 
@@ -712,17 +818,41 @@ def j19_missing_outputs(sheet, files):
     return P.missing(sheet.select("project", "sample").distinct(), files, ["project", "sample"])
 
 
-@query("fastq_files", sql="""WITH p AS (SELECT project, fastq FROM fastq_files WHERE lane < 3), x AS (SELECT project, lane AS tree, fastq FROM fastq_files WHERE lane >= 3 AND project IN ('P1', 'P2'))
-SELECT project, fastq FROM p WHERE project NOT IN (SELECT project FROM x) UNION ALL SELECT project, fastq FROM x""")
+TREES = "CASE WHEN lane = 3 AND project IN ('P1', 'P2', 'Undetermined_indices') THEN 'x' WHEN lane = 4 AND project IN ('P2', 'Undetermined_indices') THEN 'y' WHEN lane < 3 THEN 'primary' END"
+TREED = f"(SELECT project, CASE WHEN project = 'Undetermined_indices' THEN 'u' || CAST(lane % 2 AS VARCHAR) ELSE sample END AS sample, {TREES} AS tree, fastq FROM fastq_files) t"
+
+
+def _trees(files):
+    """Two extra trees, x and y. P1 is in one of them, P2 in both, P0 in none."""
+    made = F.expr(TREES.replace("VARCHAR", "STRING")).alias("tree")
+    sample = F.when(F.col("project") == S.UNDETERMINED, F.concat(F.lit("u"), (F.col("lane") % 2).cast("string"))).otherwise(F.col("sample"))
+    treed = files.select("project", sample.alias("sample"), made, "fastq")
+    return treed.filter("tree = 'primary'"), treed.filter("tree IN ('x', 'y')")
+
+
+@query("fastq_files", sql=f"""SELECT project, sample, tree, fastq FROM {TREED} WHERE (project = 'P0' AND tree = 'primary') OR (project = 'P1' AND tree = 'x') OR (project = 'Undetermined_indices' AND tree IN ('x', 'y'))""")
 def u04_merge_trees(files):
-    tree = F.col("lane").cast("string").alias("tree")
-    return P.merge_trees(files.filter("lane < 3").select("project", "fastq"), files.filter("lane >= 3 AND project IN ('P1', 'P2')").select("project", tree, "fastq"))[0]
+    """P2 is a conflict. Undetermined samples: u1 is in x, u0 in y; the primary ones go."""
+    return P.merge_trees(*_trees(files))[0]
+
 
+@query("fastq_files", sql=f"""SELECT project, sample, tree, fastq FROM {TREED} WHERE (project = 'P0' AND tree = 'primary') OR (project = 'P1' AND tree = 'x') OR (project = 'Undetermined_indices' AND tree IS NOT NULL)""")
+def u04_concatenated(files):
+    """Lanes are not split: all undetermined reads are kept."""
+    return P.merge_trees(*_trees(files), lanes_split=False)[0]
 
-@query("fastq_files", sql="SELECT project, count(DISTINCT lane) AS n_trees FROM fastq_files WHERE lane >= 3 GROUP BY project HAVING count(DISTINCT lane) > 1")
+
+@query("fastq_files", sql=f"""SELECT tree, lane IS NOT NULL AS has_lanes, count(*) AS n_files FROM (SELECT *, {TREES} AS tree FROM (SELECT project, fastq, lane FROM fastq_files) f) t WHERE tree IN ('x', 'y') AND tree = 'x' GROUP BY ALL
+UNION ALL SELECT 'y', FALSE, count(*) FROM {TREED} WHERE tree = 'y' HAVING count(*) > 0""")
+def u04_mixed_formats(files):
+    """The names of tree y have no lanes."""
+    bare = F.when(F.col("tree") == "y", F.regexp_replace("fastq", "_L00[0-9]", "")).otherwise(F.col("fastq"))
+    return P.mixed_formats(_trees(files)[1].withColumn("fastq", bare))
+
+
+@query("fastq_files", sql=f"SELECT project, CAST(NULL AS VARCHAR) AS sample, count(DISTINCT tree) AS n_trees FROM {TREED} WHERE tree IN ('x', 'y') AND project <> 'Undetermined_indices' GROUP BY project HAVING count(DISTINCT tree) > 1")
 def u04_conflicts(files):
-    tree = F.col("lane").cast("string").alias("tree")
-    return P.merge_trees(files.filter("lane < 3").select("project", "fastq"), files.filter("lane >= 3").select("project", tree, "fastq"))[1]
+    return P.merge_trees(*_trees(files))[1]
 
 
 # Registry ------------------------------------------------------------------------
@@ -739,9 +869,10 @@ def p08_set_column(sheet):
     return R.set_where(sheet, "project", F.lit("new"), (1, 2), ("sample", "S1*"))
 
 
-@query("sample_sheet", sql="SELECT lane, sample FROM sample_sheet WHERE CAST(substr(sample, 2) AS INT) % 5 = 4")
+@query("sample_sheet", sql="SELECT lane, sample FROM sample_sheet WHERE CAST(substr(sample, 2) AS INT) % 5 = 4 OR CAST(substr(sample, 2) AS INT) % 7 = 3")
 def p09_incomplete(sheet):
-    holes = _lined(sheet).withColumn("project", F.when(F.substring("sample", 2, 9).cast("int") % 5 == 4, F.lit(" ")).otherwise(F.col("project")))
+    number = F.substring("sample", 2, 9).cast("int")
+    holes = _lined(sheet).withColumns({"project": F.when(number % 5 == 4, F.lit(" ")).otherwise(F.col("project")), "sample_name": F.when(number % 7 != 3, F.col("sample"))})
     return R.incomplete(holes).select("lane", "sample")
 
 
@@ -767,12 +898,34 @@ def p13_projects_by_glob(registry):
     return R.matching(registry, "project", "P1*").select("project")
 
 
-@query("sample_sheet", sql="""WITH l AS (SELECT DISTINCT sample, project, CASE WHEN CAST(substr(sample, 2) AS INT) % 2 = 0 THEN sample ELSE 'X' || sample END AS linked_sample FROM sample_sheet)
-SELECT sample, project, linked_sample, linked_sample NOT LIKE 'X%' AS known FROM l""")
+@query("orders", sql=f"""WITH r AS (SELECT o_orderkey, run, facility, 'MISEQ_' || split_part(run, '_', 1) || CASE WHEN number <> facility THEN '/' || number ELSE '' END || '#' || facility AS id FROM {RUNS}),
+one AS (SELECT * FROM r ORDER BY o_orderkey LIMIT 1)
+SELECT r.o_orderkey, r.run = one.run AS by_run, r.id = one.id AS by_id, r.o_orderkey = one.o_orderkey AS by_name, TRUE AS any_run FROM r, one""")
+def p13_runs_by_reference(orders):
+    """Which runs the first run's name, ID and directory mean, and which `*` does."""
+    runs = _runs(orders).select(
+        "o_orderkey", F.concat(F.lit("/data/"), "run", F.lit("_analysis"), F.col("o_orderkey").cast("string")).alias("path"), F.col("run").alias("run_name"),
+        F.lit("miseq").alias("platform"), F.col("facility").alias("run_number"), F.lit(None).cast("int").alias("analysis_number"),
+    )
+    first = runs.orderBy("o_orderkey").first()
+    id_ = runs.limit(1).select(N.run_id(F.lit(first.run_name), F.lit("miseq"), F.lit(first.run_number), F.lit(None).cast("int"))).first()[0]
+    names = {"by_run": first.run_name, "by_id": id_, "by_name": first.path.rpartition("/")[2], "any_run": "*"}
+    out = runs.select("o_orderkey")
+    for name, wanted in names.items():
+        out = out.join(R.matching_runs(runs, wanted).select("o_orderkey", F.lit(True).alias(name)), "o_orderkey", "left")
+    return out.select("o_orderkey", *[F.coalesce(n, F.lit(False)).alias(n) for n in names])
+
+
+@query("sample_sheet", sql="""WITH l AS (SELECT DISTINCT sample, project, CAST(substr(sample, 2) AS INT) AS k FROM sample_sheet)
+SELECT sample, CASE WHEN k % 3 = 0 THEN 'R#2' WHEN k % 3 = 1 THEN 'R#1' END AS run, project, CASE WHEN k % 2 = 0 THEN sample ELSE 'X' || sample END AS linked_sample, k % 2 = 0 AND k % 3 <> 0 AS known FROM l""")
 def j17_linked_samples(sheet):
-    linked = F.when(F.substring("sample", 2, 9).cast("int") % 2 == 0, F.col("sample")).otherwise(F.concat(F.lit("X"), "sample"))
-    links = sheet.select("sample", F.concat(F.lit("R#1:"), "project", F.lit("/"), linked).alias("reference")).distinct()
-    return R.linked(links, sheet)
+    """Samples of run R#1, and of the run at hand, are known; those of R#2 are not."""
+    k = F.substring("sample", 2, 9).cast("int")
+    linked = F.when(k % 2 == 0, F.col("sample")).otherwise(F.concat(F.lit("X"), "sample"))
+    run = F.when(k % 3 == 0, "R#2:").when(k % 3 == 1, "R#1:").otherwise(":")
+    links = sheet.select("sample", F.concat(run, "project", F.lit("/"), linked).alias("reference")).distinct()
+    known = sheet.withColumn("run", F.explode(F.array(F.lit("R#1"), F.lit(None).cast("string"))))
+    return R.linked(links, known)
 
 
 @query("registry", "fastq_files", sql="""WITH o AS (SELECT project, string_agg(DISTINCT sample, ',' ORDER BY sample) AS s FROM fastq_files GROUP BY project)
@@ -794,9 +947,10 @@ def a25_multi_project(sheet):
     return R.several(made, "project", ("sample",)).withColumn("found", F.array_join("found", ","))
 
 
-@query("sample_sheet", sql="SELECT project, sample, index_seq, string_agg(DISTINCT CAST(lane AS VARCHAR), ',' ORDER BY CAST(lane AS VARCHAR)) AS lanes FROM sample_sheet GROUP BY project, sample, index_seq")
+@query("sample_sheet", sql=f"""WITH n AS (SELECT sample, row_number() OVER (ORDER BY min(line_no), sample) AS sample_number FROM {LINED} GROUP BY sample)
+SELECT project, s.sample, index_seq, string_agg(DISTINCT CAST(lane AS VARCHAR), ',' ORDER BY CAST(lane AS VARCHAR)) AS lanes, any_value(n.sample_number) AS sample_number FROM sample_sheet s JOIN n ON n.sample = s.sample GROUP BY project, s.sample, index_seq""", ints="sample_number")
 def a26_predict_outputs(sheet):
-    return R.predicted_outputs(sheet)
+    return R.predicted_outputs(_lined(sheet))
 
 
 @query("sample_sheet", sql="SELECT project, lane, count(DISTINCT sample) AS n_samples, min(repeat('N', length(index_seq))) AS index_shape, count(DISTINCT length(index_seq)) > 1 AS mixed FROM sample_sheet GROUP BY project, lane")
@@ -810,28 +964,50 @@ def a28_close_names(registry):
     return R.close_names(registry)
 
 
-@query("sample_sheet", sql="SELECT * FROM (VALUES ('several_barcodes', 0), ('several_projects', 0), ('incomplete', 0), ('bad_barcodes', 0), ('bad_characters', 0)) t(\"check\", n_found)", longs="n_found")
+FAULTY = """(SELECT lane, sample, lane * 1000 + k AS line_no, CASE WHEN k % 5 = 4 THEN ' ' WHEN lane = 2 AND k % 7 = 1 THEN 'Px' ELSE project END AS project,
+ CASE WHEN lane = 4 AND k % 6 = 3 THEN 'AAAA' WHEN k % 4 = 1 THEN index_seq || '+NNX' WHEN k % 9 = 2 THEN index_seq || chr(233) ELSE index_seq END AS index_seq FROM (SELECT *, CAST(substr(sample, 2) AS INT) AS k FROM sample_sheet) n)"""
+
+
+@query("sample_sheet", sql=f"""WITH s AS (SELECT * FROM {FAULTY} f), p AS (SELECT DISTINCT project FROM s),
+close_ AS (SELECT a.project, count(*) AS n FROM p a JOIN p b ON a.project <> b.project WHERE 1 - levenshtein(a.project, b.project) * 1.0 / greatest(length(a.project), length(b.project)) >= 0.5 GROUP BY a.project)
+SELECT 'several_barcodes' AS "check", count(*) AS n_found FROM (SELECT 1 FROM s GROUP BY project, sample HAVING count(DISTINCT index_seq) > 1) t
+UNION ALL SELECT 'several_projects', count(*) FROM (SELECT 1 FROM s GROUP BY sample HAVING count(DISTINCT project) > 1) t
+UNION ALL SELECT 'close_names', coalesce(sum(least(n, 3)), 0) FROM close_
+UNION ALL SELECT 'incomplete', count(*) FROM s WHERE trim(project) = ''
+UNION ALL SELECT 'bad_barcodes', count(*) FROM s WHERE regexp_matches(index_seq, '[^ATGC+]')
+UNION ALL SELECT 'bad_characters', count(*) FROM s WHERE regexp_matches(index_seq, '[^\x20-\x7F]')""", longs="n_found")
 def a29_lint(sheet):
-    return R.lint(_lined(sheet)).filter("check <> 'close_names'")
+    k = F.substring("sample", 2, 9).cast("int")
+    faulty = _lined(sheet).withColumns(
+        {
+            "project": F.when(k % 5 == 4, " ").when((F.col("lane") == 2) & (k % 7 == 1), "Px").otherwise(F.col("project")),
+            "index_seq": F.when((F.col("lane") == 4) & (k % 6 == 3), "AAAA").when(k % 4 == 1, F.concat("index_seq", F.lit("+NNX"))).when(k % 9 == 2, F.concat("index_seq", F.lit(chr(233)))).otherwise(F.col("index_seq")),
+        }
+    )
+    return R.lint(faulty, 0.5)
 
 
 @query("fastq_files", sql="""WITH p AS (SELECT project, sample, count(*) AS n FROM (SELECT DISTINCT project, sample, lane FROM fastq_files) t GROUP BY ALL)
-SELECT project, count(*) AS n_samples, string_agg(sample, ', ' ORDER BY length(sample), sample) AS samples, max(n) > 1 AS several_files FROM p WHERE project <> 'Undetermined_indices' GROUP BY project""")
+SELECT project, count(*) AS n_samples, string_agg(sample, ', ' ORDER BY length(sample), sample) AS samples, max(n) > 1 AS several_files FROM p GROUP BY project""")
 def a23_sample_summary(files):
-    return R.sample_summary(files.filter("project <> 'Undetermined_indices'"))
+    return R.sample_summary(files)
 
 
-@query("cell_metrics", sql="SELECT project, CAST(sum(value) AS BIGINT) AS cells FROM cell_metrics GROUP BY project")
+@query("cell_metrics", sql="SELECT project, CASE WHEN bool_and(value % 101 <> 0) THEN CAST(sum(value) AS BIGINT) END AS cells FROM cell_metrics GROUP BY project")
 def a18_project_cells(metrics):
-    return R.cell_counts(metrics)
+    """Some samples have no number of cells, so their projects have none."""
+    return R.cell_counts(metrics.withColumn("metric", F.when(F.col("value") % 101 == 0, "Other").otherwise(F.col("metric"))))
 
 
 ALIASES = [("cells", "Estimated Number of Cells", 1), ("cells", "Estimated number of cells", 2), ("cells", "annotated_cells", 3)]
 
 
-@query("cell_metrics", sql="SELECT project, sample, 'cells' AS canonical, value FROM cell_metrics WHERE metric <> 'Cells'")
+@query("cell_metrics", sql="SELECT project, sample, 'cells' AS canonical, CASE WHEN metric IN ('Estimated Number of Cells', 'Estimated number of cells') THEN value WHEN metric = 'Cells' THEN value + 1 ELSE least(value, value + 1) END AS value FROM cell_metrics WHERE metric <> 'annotated_cells' UNION ALL SELECT project, sample, 'cells', value FROM cell_metrics WHERE metric = 'annotated_cells'")
 def a19_metric_alias(metrics):
-    return R.by_alias(metrics, metrics.sparkSession.createDataFrame(ALIASES, "canonical string, metric string, priority int"))
+    """Every sample but those that have it has a second name of the metric, one more."""
+    second = metrics.filter("metric <> 'annotated_cells'").select("project", "sample", F.lit("annotated_cells").alias("metric"), (F.col("value") + 1).alias("value"))
+    aliases = metrics.sparkSession.createDataFrame(ALIASES, "canonical string, metric string, priority int")
+    return R.by_alias(metrics.unionByName(second), aliases)
 
 
 @query("cell_metrics", sql="SELECT sample, CAST(CASE WHEN value % 3 <> 0 THEN value * CAST(1000 AS DOUBLE) / (value % 3) ELSE value END AS DOUBLE) AS reads_per_cell FROM cell_metrics")
@@ -847,10 +1023,15 @@ def a21_metric_by_type(metrics):
     return qc.metric_by_type(rows, "Cells")
 
 
-@query("registry", "fastq_files", "cell_metrics", sql="""WITH s AS (SELECT project, count(DISTINCT sample) AS n FROM fastq_files GROUP BY project), c AS (SELECT project, sum(value) AS cells FROM cell_metrics GROUP BY project)
-SELECT r.project, user_name, pi, coalesce(CAST(s.n AS VARCHAR), '?') AS n_samples, CAST(c.cells AS BIGINT) AS cells, concat_ws('/', organism, library) AS kind FROM registry r LEFT JOIN s ON s.project = r.project LEFT JOIN c ON c.project = r.project""")
+@query("registry", "fastq_files", "cell_metrics", sql="""WITH s AS (SELECT project, count(DISTINCT sample) AS n, string_agg(DISTINCT sample, ', ') AS x FROM fastq_files GROUP BY project), c AS (SELECT project, sum(value) AS cells FROM cell_metrics GROUP BY project),
+o AS (SELECT project, string_agg(sample, ', ' ORDER BY length(sample), sample) AS samples FROM (SELECT DISTINCT project, sample FROM fastq_files) d GROUP BY project)
+SELECT r.project, user_name, pi, CASE WHEN r.project = 'P2' THEN '7' ELSE coalesce(CAST(s.n AS VARCHAR), '?') END AS n_samples, CAST(c.cells AS BIGINT) AS cells, CASE WHEN s.n IS NULL THEN '?' WHEN r.project = 'P1' THEN 'SE' ELSE 'PE' END AS ends,
+ concat_ws('/', organism, library) AS kind, coalesce(o.samples, '') AS samples FROM registry r LEFT JOIN s ON s.project = r.project LEFT JOIN c ON c.project = r.project LEFT JOIN o ON o.project = r.project""")
 def a30_project_report(registry, files, metrics):
-    return R.project_report(registry, R.sample_summary(files), R.cell_counts(metrics)).drop("samples")
+    """P1 has no second reads; P2's libraries are multiplexed."""
+    ends = R.paired_end(files.filter("NOT (project = 'P1' AND read_number = 2)"))
+    multiplexed = registry.sparkSession.createDataFrame([("P2", 7)], "project string, n_multiplexed long")
+    return R.project_report(registry, R.sample_summary(files), R.cell_counts(metrics), ends, multiplexed)
 
 
 @query("fastq_files", sql="SELECT project, count(DISTINCT sample) AS n_samples, count(DISTINCT read_number * 2 + CAST(is_index AS INT)) AS n_read_kinds, count(DISTINCT lane) AS n_lanes, count(*) AS n_files, CAST(sum(n_reads) AS BIGINT) AS n_reads FROM fastq_files GROUP BY project")
@@ -858,6 +1039,21 @@ def a31_census(files):
     return R.census(files)
 
 
+@query("fastq_files", sql="""WITH f AS (SELECT DISTINCT project, sample, CASE WHEN is_index THEN 'i' ELSE 'r' END || CAST(read_number AS VARCHAR) AS read FROM fastq_files),
+o AS (SELECT DISTINCT project, CASE WHEN lane < 3 THEN 'screen' ELSE 'lengths' END AS kind, CASE WHEN lane = 1 THEN 'human' WHEN lane = 2 THEN 'mouse' END AS organism, CASE WHEN lane < 3 THEN 'model' || CAST(lane AS VARCHAR) END AS screen FROM fastq_files)
+SELECT s.project, samples, reads, outputs, organisms, screens FROM (SELECT project, string_agg(sample, ',' ORDER BY length(sample), sample) AS samples FROM (SELECT DISTINCT project, sample FROM f) a GROUP BY project) s
+JOIN (SELECT project, string_agg(DISTINCT read, ',' ORDER BY read) AS reads FROM f GROUP BY project) r ON r.project = s.project
+JOIN (SELECT project, string_agg(DISTINCT kind, ',' ORDER BY kind) AS outputs, string_agg(DISTINCT organism, ',' ORDER BY organism) AS organisms, string_agg(DISTINCT screen, ',' ORDER BY screen) AS screens FROM o GROUP BY project) k ON k.project = s.project""")
+def a31_qc_census(files):
+    lane = F.col("lane")
+    outputs = files.select(
+        "project", F.when(lane < 3, "screen").otherwise("lengths").alias("kind"), F.when(lane == 1, "human").when(lane == 2, "mouse").alias("organism"),
+        F.when(lane < 3, F.concat(F.lit("model"), lane.cast("string"))).alias("screen"),
+    )
+    names = ("samples", "reads", "outputs", "organisms", "screens")
+    return R.qc_census(files, outputs).select("project", *[F.array_join(c, ",").alias(c) for c in names])
+
+
 @query("sample_sheet", sql="SELECT project, string_agg(DISTINCT sample, ',' ORDER BY sample) AS samples FROM sample_sheet WHERE project <> 'P1' OR sample LIKE 'S1%' GROUP BY project")
 def a32_biological_samples(sheet):
     listed = F.array_sort(F.collect_set(F.when((F.col("project") == "P1") & F.col("sample").startswith("S1"), F.col("sample"))))
@@ -867,6 +1063,7 @@ def a32_biological_samples(sheet):
 
 @query("sample_sheet", sql="""SELECT project AS config, 'duplicate_sample' AS "check", sample AS value FROM sample_sheet GROUP BY project, sample HAVING count(*) > 1
 UNION ALL SELECT project, 'duplicate_tag', index_seq FROM sample_sheet GROUP BY project, index_seq HAVING count(*) > 1
+UNION ALL SELECT project, 'duplicate_type', 't' || CAST(lane AS VARCHAR) FROM sample_sheet WHERE lane < 4 GROUP BY project, lane HAVING count(*) > 1
 UNION ALL SELECT DISTINCT project, 'unknown_type', 'T4' FROM sample_sheet""")
 def a33_library_checks(sheet):
     rows = sheet.select(F.col("project").alias("config"), "sample", F.col("index_seq").alias("tag"), F.concat(F.lit("T"), F.col("lane").cast("string")).alias("feature_type"))
@@ -934,22 +1131,39 @@ def s02_s03_counts_file(reads):
 
 @query("sample_sheet", sql="SELECT lane, sample, project, substr(index_seq, 1, 4) || CASE WHEN lane > 1 THEN '+' || substr(index_seq, 5) ELSE '' END AS index_seq FROM sample_sheet")
 def s04_sample_sheet(sheet):
-    second = F.when(F.col("lane") > 1, F.substring("index_seq", 5, 9)).otherwise(F.lit(" "))
-    rows = sheet.select(
-        F.col("lane").cast("string").alias("Lane"), F.col("sample").alias("Sample_ID"), F.col("project").alias("Sample_Project"),
-        F.substring("index_seq", 1, 4).alias("index"), second.alias("index2"),
-    )
-    return tables.parse_sheet(rows)
+    """A sheet with sections, written as one file: lane 2's samples have one index with
+    a dash, others two, or one alone; projects are quoted, as descriptions with commas are."""
+    one = F.substring("index_seq", 1, 4)
+    first = F.when(F.col("lane") == 2, F.concat_ws("-", one, F.substring("index_seq", 5, 9))).otherwise(one)
+    second = F.when(F.col("lane") > 2, F.substring("index_seq", 5, 9)).otherwise(F.lit(""))
+    rows = sheet.select(F.concat_ws(",", F.col("lane").cast("string"), F.col("sample"), F.lit('"a, ""b"" c"'), F.concat(F.lit('"'), "project", F.lit('"')), first, second).alias("value"))
+    text = rows.agg(F.concat_ws("\n", F.lit("[Header]"), F.lit("IEMFileVersion,4"), F.lit("[Data]"), F.lit("Lane,Sample_ID,Description,Sample_Project,index,index2"), F.array_join(F.array_sort(F.collect_list("value")), "\n")).alias("value"))
+    path = shared.new_folder(sheet.sparkSession, "sheet")
+    text.coalesce(1).write.text(path)
+    return tables.read_sheet(sheet.sparkSession, path).select("lane", "sample", "project", "index_seq")
+
 
+FASTQ_LINES = "'@M1:7:FC:' || lane || ':' || l_orderkey || ':' || l_linenumber || ':1 1:N:0:' || barcode || chr(10) || sequence || chr(10) || '+' || chr(10) || quality"
+UNIT_ORDER = f"l_orderkey, l_linenumber, l_partkey, sequence, {FASTQ_LINES}"
 
-@query("reads", sql="SELECT TRUE AS sized, count(*) AS n_reads FROM reads")
+
+@query("reads", sql=f"""SELECT project || '_' || sample || '_L00' || CAST(lane AS VARCHAR) || CASE WHEN lane = 4 THEN '_I1' ELSE '_R1' END AS unit, md5(string_agg({FASTQ_LINES}, chr(10) ORDER BY {UNIT_ORDER}) || chr(10)) AS md5,
+ CASE WHEN lane < 4 THEN TRUE END AS ok, sum(strlen({FASTQ_LINES}) + 1) AS size_bytes, count(*) AS n_reads FROM reads GROUP BY project, sample, lane""", longs="size_bytes")
 def s05_s19_s20_files(reads):
-    spark, path = reads.sparkSession, _landed(reads, "files")
-    sums = fastq.checksums(spark, path, "part-*").filter(F.length("md5") == 32)
-    ok = fastq.check_fastq(spark, path, "part-*").filter("ok")
-    files = fastq.inventory(spark, path, "part-*").join(sums, F.col("file") == F.col("path")).drop("file").join(ok, F.col("file") == F.col("path"))
-    sizes = files.agg((F.min("size_bytes") >= 0).alias("sized"))
-    return sizes.join(F.broadcast(fastq.read_fastq(spark, path, "part-*").agg(F.count("*").alias("n_reads"))))
+    """A file for each unit, lane 4's of index reads: listed, checked, summed up, read."""
+    spark, path = reads.sparkSession, shared.new_folder(reads.sparkSession, "files")
+    name = F.concat_ws("_", "project", "sample", F.concat(F.lit("L00"), F.col("lane").cast("string")), F.when(F.col("lane") == 4, "I1").otherwise("R1"))
+    order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "sequence", "value")
+    rows = fastq.as_text(_named_reads(reads).withColumn("unit", name), "unit", "l_orderkey", "l_linenumber", "l_partkey", "sequence")
+    texts = rows.groupBy("unit").agg(F.array_join(F.transform(F.array_sort(F.collect_list(order)), lambda x: x["value"]), "\n").alias("value"))
+    texts.write.partitionBy("unit").text(path)
+    unit = lambda c: F.regexp_extract(c, "unit=([^/]+)/", 1).alias("unit")
+    # The check looks at base names, which are Spark's here: index files are told by their folders.
+    files = fastq.inventory(spark, path, "part-*").select(unit("path"), "size_bytes")
+    sums = fastq.checksums(spark, path, "part-*").select(unit("file"), "md5")
+    checked = fastq.check_fastq(spark, path, "part-*").select(unit("file"), "ok").filter("unit NOT LIKE '%I1'")
+    counted = fastq.read_fastq(spark, path, "part-*").groupBy(unit("file")).agg(F.count("*").alias("n_reads"))
+    return files.join(sums, "unit").join(counted, "unit").join(checked, "unit", "left").select("unit", "md5", "ok", "size_bytes", "n_reads")
 
 
 @query("reads", "sample_sheet", sql=f"""
@@ -970,6 +1184,17 @@ def _lines(*parts) -> object:
     return F.concat_ws("\n", *[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
+def _written(rows: DataFrame, file, text, name: str) -> str:
+    """A file for each row, in a folder of its own; the row's name is in its path."""
+    path = shared.new_folder(rows.sparkSession, name)
+    rows.select(file.alias("file"), text.alias("value")).write.partitionBy("file").text(path)
+    return path
+
+
+def _of(path: str = "file"):
+    return F.regexp_extract(path, "file=([^/]+)/", 1)
+
+
 @query("reads", sql="""SELECT file, module, status, count(*) AS n_rows FROM (SELECT project || '_' || sample AS file, unnest(['Basic Statistics', 'Adapter Content', 'Adapter Content', 'Adapter Content']) AS module,
  unnest(['pass', 'warn', 'warn', 'warn']) AS status FROM (SELECT DISTINCT project, sample FROM reads) d) t GROUP BY ALL""")
 def s06_fastqc_modules(reads):
@@ -978,7 +1203,26 @@ def s06_fastqc_modules(reads):
         "##FastQC\t0.11", ">>Basic Statistics\tpass", F.concat(F.lit("Total\t"), F.col("n").cast("string")), ">>END_MODULE",
         ">>Adapter Content\twarn", "#Position\tA\tB", "1\t0.5\t1.5", "2\t1.5\t2.5", ">>END_MODULE", "",
     )
-    return qc.fastqc_modules(_texts(per, F.concat_ws("_", "project", "sample"), text)).groupBy("file", "module", "status").agg(F.count("*").alias("n_rows"))
+    path = _written(per, F.concat_ws("_", "project", "sample"), text, "fastqc")
+    found = qc.read(reads.sparkSession, path, qc.fastqc_modules, "part-*")
+    return found.groupBy(_of().alias("file"), "module", "status").agg(F.count("*").alias("n_rows"))
+
+
+@query("nation", sql="SELECT 'n' || n_nationkey AS file, CASE k WHEN 0 THEN 'Human' END AS library, CASE k WHEN 0 THEN 'Unmapped' ELSE 'Hit_no_libraries' END AS metric, CAST(CASE k WHEN 0 THEN 90 - n_nationkey ELSE n_nationkey + 0.5 END AS DOUBLE) AS value FROM nation, (SELECT unnest([0, 1]) AS k) z")
+def s08_screen_files(nation):
+    """The trailing line is a row without a library."""
+    k = F.col("n_nationkey")
+    text = _lines("#version: 0.4", "Genome\t%Unmapped", F.concat(F.lit("Human\t"), (90 - k).cast("string")), "", F.concat(F.lit("%Hit_no_libraries: "), (k + 0.5).cast("string")))
+    path = _written(nation, F.concat(F.lit("n"), k.cast("string")), text, "screens")
+    return qc.read(nation.sparkSession, path, qc.screen, "part-*").withColumn("file", _of())
+
+
+@query("nation", sql="""SELECT 'n' || n_nationkey AS file, unnest(['metric', 'metric', 'histogram', 'histogram']) AS kind, unnest(['MEDIAN_INSERT_SIZE', 'MEAN_INSERT_SIZE', '10', '11']) AS name, unnest([CAST(140 AS DOUBLE), n_nationkey, 3, n_nationkey]) AS value FROM nation""")
+def s10_insert_size_files(nation):
+    k = F.col("n_nationkey").cast("string")
+    text = _lines("## METRICS CLASS\tx", "MEDIAN_INSERT_SIZE\tMEAN_INSERT_SIZE", F.concat(F.lit("140\t"), k), "", "## HISTOGRAM\tint", "insert_size\tcount", "10\t3", F.concat(F.lit("11\t"), k))
+    path = _written(nation, F.concat(F.lit("n"), k), text, "insert_sizes")
+    return qc.read(nation.sparkSession, path, qc.insert_sizes, "part-*").withColumn("file", _of())
 
 
 @query("part", sql="SELECT 'f' || p_partkey AS file, unnest(['A', 'B']) AS adapter, unnest([CAST((p_partkey % 7 + 1.5) / 200 AS DOUBLE), CAST((p_partkey % 5 + 2.5) / 200 AS DOUBLE)]) AS content FROM part")
@@ -1064,32 +1308,47 @@ def s14_library_summary(metrics):
     return qc.library_summary(_texts(metrics, F.col("sample"), text)).select("file", "library_type", "metric", "value")
 
 
-@query("reads", sql="SELECT lane || '' AS fastq, length(sequence) AS length, count(*) AS n FROM reads GROUP BY ALL", ints="length")
+@query("reads", sql=f"""WITH h AS (SELECT lane, length(sequence) AS length, {KIND} AS kind, count(*) AS n FROM reads GROUP BY ALL), t AS (SELECT lane, sum(n) AS nreads, sum(n) FILTER (kind = 'masked') AS m FROM h GROUP BY lane)
+SELECT h.lane || '' AS fastq, 'seq_lengths_dist' AS dist, length, sum(n) AS n, any_value(CAST(m AS DOUBLE) * 100 / CAST(nreads AS DOUBLE)) AS frac_reads_masked FROM h JOIN t ON t.lane = h.lane GROUP BY h.lane, length
+UNION ALL SELECT h.lane || '', CASE kind WHEN 'masked' THEN 'seq_lengths_masked_dist' ELSE 'seq_lengths_padded_dist' END, length, n, CAST(m AS DOUBLE) * 100 / CAST(nreads AS DOUBLE) FROM h JOIN t ON t.lane = h.lane WHERE kind <> 'clean'""", ints="length", longs="n")
 def s15_lengths_json(reads):
-    h = reads.groupBy(F.col("lane").cast("string").alias("fastq"), F.length("sequence").cast("string").alias("k")).agg(F.count("*").alias("n"))
-    maps = h.groupBy("fastq").agg(F.map_from_entries(F.collect_list(F.struct("k", "n"))).alias("seq_lengths_dist"))
-    return tables.parse_lengths(tables.lengths_json(maps)).select("fastq", F.explode("seq_lengths_dist").alias("length", "n"))
+    """Statistics of each lane, written as JSON files and read back."""
+    spark, path = reads.sparkSession, shared.new_folder(reads.sparkSession, "lengths")
+    named = reads.withColumn("file", F.col("lane").cast("string"))
+    tables.lengths_json(L.length_records(named)).write.text(path)
+    found = tables.read_lengths(spark, path, "part-*", lines=True)
+    one = lambda d: found.select("fastq", F.lit(d).alias("dist"), F.explode(d).alias("length", "n"), "frac_reads_masked")
+    whole, masked, padded = (one(d) for d in tables.DISTRIBUTIONS)
+    return whole.unionByName(masked).unionByName(padded)
 
 
-@query("registry", sql="SELECT project AS entity, user_name, pi, CASE WHEN library <> '.' THEN library END AS library FROM registry")
+@query("registry", sql="SELECT project AS entity, user_name, pi, CASE WHEN library <> '.' THEN library END AS library, CASE WHEN organism <> '.' THEN organism END AS other FROM registry")
 def s16_metadata(registry):
-    rows = tables.metadata_lines(registry.withColumnRenamed("project", "entity"), ("user_name", "pi", "library"))
-    return tables.parse_metadata(rows, ("user_name", "pi", "library")).drop("others")
+    """A file for each project, in folders; undeclared keys go to a map."""
+    named = registry.withColumnRenamed("project", "entity")
+    lines = tables.metadata_lines(named, ("user_name", "pi", "library", "organism"))
+    text = lines.groupBy("entity").agg(F.array_join(F.collect_list("value"), "\n").alias("text"))
+    path = _written(text, F.col("entity"), F.col("text"), "metadata")
+    found = tables.read_metadata(registry.sparkSession, path, ("user_name", "pi", "library"), "part-*")
+    return found.select(_of("entity").alias("entity"), "user_name", "pi", "library", F.col("others")["organism"].alias("other"))
 
 
-@query("registry", sql="SELECT project, disabled, user_name, pi, CASE WHEN library <> '.' THEN library END AS library FROM registry")
+@query("registry", sql="SELECT project, disabled, user_name AS \"User\", pi AS \"PI\", CASE WHEN library <> '.' THEN library END AS \"Library\", NULL::VARCHAR AS \"Comments\" FROM registry")
 def s17_project_table(registry):
-    written = tables.project_rows(registry.select("project", "disabled", "user_name", "pi", "library"))
-    cells = F.split("value", "\t")
-    names = ("project", "user_name", "pi", "library")
-    return tables.parse_projects(written.select(*[F.get(cells, F.lit(i)).alias(n) for i, n in enumerate(names)]))
+    """Written with some of the default columns, in another order, and read back."""
+    path = shared.new_folder(registry.sparkSession, "projects")
+    tables.write_projects(registry.select("project", "disabled", F.col("pi").alias("PI"), F.col("user_name").alias("User"), F.col("library").alias("Library")), path)
+    return tables.read_projects(registry.sparkSession, path, "part-*").select("project", "disabled", "User", "PI", "Library", "Comments")
 
 
-@query("part", sql="SELECT 'p' || (p_partkey % 9) AS package, string_agg(DISTINCT CAST(p_partkey % 4 AS VARCHAR), ',' ORDER BY CAST(p_partkey % 4 AS VARCHAR)) AS versions FROM part GROUP BY 1")
+@query("part", sql="""SELECT 'p' || (p_partkey % 9) AS package, string_agg(DISTINCT CAST(p_partkey % 4 AS VARCHAR), ',' ORDER BY CAST(p_partkey % 4 AS VARCHAR)) AS versions FROM part GROUP BY 1
+UNION ALL SELECT 'absent', ''""")
 def s18_versions(part):
     k = F.col("p_partkey")
-    rows = part.select(F.concat(F.lit("p"), (k % 9).cast("string"), F.lit("\t"), (k % 4).cast("string")).alias("value"))
-    return tables.parse_versions(rows).withColumn("versions", F.array_join("versions", ","))
+    path = shared.new_folder(part.sparkSession, "versions")
+    part.select(F.concat(F.lit("p"), (k % 9).cast("string"), F.lit("\t"), (k % 4).cast("string")).alias("value")).write.text(path)
+    wanted = [*[f"p{i}" for i in range(9)], "absent"]
+    return tables.read_versions(part.sparkSession, path, "part-*", wanted).withColumn("versions", F.array_join("versions", ","))
 
 
 @query("fastq_files", sql="SELECT project || '/' || fastq AS path FROM fastq_files WHERE lane > 2 OR n_reads % 3 = 0")

@@ -1,9 +1,12 @@
 """FASTQ files: reading, checking, sums, inventory and the demultiplexed sink.
 
-Gzip files can't be split, so a file is a task's unit. A task streams its files
-through `binaryFile` rows, four lines a record, in Arrow batches; records are
-never looked for by `@`, which quality lines may start with, too. Land the reads
-as Parquet once and work from there.
+Spark lists the files without their contents and deals them out; a task opens each of
+its files itself and streams it, four lines a record, in Arrow batches. What it holds
+does not grow with a file's size. Gzip files can't be split, so a file is a task's
+unit. Records are never looked for by `@`, which quality lines may start with, too.
+Where tasks can't open a path (a store that only Spark's readers know), contents come
+as `binaryFile` rows, of 2 GB at most. Land the reads as Parquet once and work from
+there.
 """
 
 from __future__ import annotations
@@ -17,18 +20,32 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.names import illumina_attrs
+from .shared import opened, reachable
+
 READS = "file string, read_idx long, header string, sequence string, quality string"
-BATCH = 20_000
+#: Records in a batch, bytes that are read at once, bytes of files for a task.
+BATCH, CHUNK, TASK_BYTES = 20_000, 1 << 20, 1 << 27
+
 
+def _stream(file: str, content) -> io.BufferedIOBase:
+    if content is not None:
+        return io.BytesIO(content)
+    fs, place = opened(file)
+    return io.BufferedReader(fs.open_input_file(place), CHUNK)
 
-def _lines(content: bytes) -> Iterator[str]:
-    raw = io.BytesIO(content)
-    stream = gzip.GzipFile(fileobj=raw) if content[:2] == b"\x1f\x8b" else raw
-    return (x.rstrip("\r\n") for x in io.TextIOWrapper(stream, encoding="utf-8", errors="replace"))
 
+def _lines(file: str, content) -> Iterator[str]:
+    with _stream(file, content) as raw:
+        packed = raw.read(2) == b"\x1f\x8b"
+        raw.seek(0)
+        stream = gzip.GzipFile(fileobj=raw) if packed else raw
+        for x in io.TextIOWrapper(stream, encoding="utf-8", errors="replace"):
+            yield x.rstrip("\r\n")
 
-def _records(content: bytes) -> Iterator[tuple[str, str, str]]:
-    lines = _lines(content)
+
+def _records(file: str, content) -> Iterator[tuple[str, str, str]]:
+    lines = _lines(file, content)
     for header in lines:
         try:
             sequence, plus, quality = next(lines), next(lines), next(lines)
@@ -55,60 +72,78 @@ def inventory(spark: SparkSession, path: str, pattern: str = "*.fastq*") -> Data
     return files.select("path", F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified"))
 
 
-def _contents(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+def _files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """file, content (null where tasks open the file themselves), dealt out over as
+    many tasks as there are cores, or more where files are large."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
-    return files.select(F.col("path").alias("file"), "content")
+    if not reachable(path):
+        return files.select(F.col("path").alias("file"), "content")
+    n, size = files.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    tasks = max(1, min(n, max(spark.sparkContext.defaultParallelism, size // TASK_BYTES)))
+    return files.select(F.col("path").alias("file"), F.lit(None).cast("binary").alias("content")).repartition(tasks, "file")
+
+
+def _each(rows: pd.DataFrame) -> Iterator[tuple]:
+    return zip(rows["file"], rows["content"], strict=True)
 
 
 def read_fastq(spark: SparkSession, path: str, pattern: str = "*.fastq*", limit: int | None = None) -> DataFrame:
     """The reads of all files; with `limit`, the first of each file."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["file", "read_idx", "header", "sequence", "quality"]
         for b in batches:
-            for file, content in zip(b["file"], b["content"], strict=True):
+            for file, content in _each(b):
                 rows: list[tuple] = []
-                for k, record in enumerate(_records(content)):
+                for k, record in enumerate(_records(file, content)):
                     if limit is not None and k >= limit:
                         break
                     rows.append((file, k, *record))
                     if len(rows) >= BATCH:
-                        yield pd.DataFrame(rows, columns=["file", "read_idx", "header", "sequence", "quality"])
+                        yield pd.DataFrame(rows, columns=columns)
                         rows = []
                 if rows:
-                    yield pd.DataFrame(rows, columns=["file", "read_idx", "header", "sequence", "quality"])
+                    yield pd.DataFrame(rows, columns=columns)
 
-    found = _contents(spark, path, pattern).mapInPandas(read, READS)
+    found = _files(spark, path, pattern).mapInPandas(read, READS)
     return found.withColumns(header_parts(F.col("header")))
 
 
-def check_fastq(spark: SparkSession, path: str, pattern: str = "*.fastq*") -> DataFrame:
-    """file, ok, error: whether all of a file can be read. Spark lists no files
-    without a single byte."""
+def check_fastq(spark: SparkSession, path: str, pattern: str = "*.fastq*", index_reads: bool = False) -> DataFrame:
+    """file, ok, error: whether all of a file can be read. Files of index reads, by
+    their names, are left out unless asked for. Spark lists no files without a
+    single byte."""
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = []
-            for file, content in zip(b["file"], b["content"], strict=True):
+            for file, content in _each(b):
                 error = None
                 try:
-                    for _ in _records(content):
+                    for _ in _records(file, content):
                         pass
                 except (ValueError, EOFError, OSError) as e:
                     error = str(e)
-                rows.append((file, error is None, error))
-            yield pd.DataFrame(rows, columns=["file", "ok", "error"])
+                yield pd.DataFrame([(file, error is None, error)], columns=["file", "ok", "error"])
 
-    return _contents(spark, path, pattern).mapInPandas(check, "file string, ok boolean, error string")
+    files = _files(spark, path, pattern)
+    if not index_reads:
+        files = files.filter(~illumina_attrs(F.col("file"))["is_index_read"])
+    return files.mapInPandas(check, "file string, ok boolean, error string")
 
 
 def checksums(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """file, md5"""
+    """file, md5: summed up chunk by chunk."""
 
     def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"file": b["file"], "md5": [hashlib.md5(x, usedforsecurity=False).hexdigest() for x in b["content"]]})
+            for file, content in _each(b):
+                total = hashlib.md5(usedforsecurity=False)
+                with _stream(file, content) as raw:
+                    while chunk := raw.read(CHUNK):
+                        total.update(chunk)
+                yield pd.DataFrame({"file": [file], "md5": [total.hexdigest()]})
 
-    return _contents(spark, path, pattern).mapInPandas(digest, "file string, md5 string")
+    return _files(spark, path, pattern).mapInPandas(digest, "file string, md5 string")
 
 
 def first_read_numbers(reads: DataFrame) -> DataFrame:
@@ -116,12 +151,21 @@ def first_read_numbers(reads: DataFrame) -> DataFrame:
     return reads.groupBy("file").agg(F.min_by("read_number", "read_idx").alias("read_number"))
 
 
-def as_text(reads: DataFrame) -> DataFrame:
+def as_text(reads: DataFrame, *keep: str) -> DataFrame:
     """FASTQ text of reads with header, sequence and quality: column `value`."""
-    return reads.select(F.concat_ws("\n", "header", "sequence", F.lit("+"), "quality").alias("value"))
+    return reads.select(*keep, F.concat_ws("\n", "header", "sequence", F.lit("+"), "quality").alias("value"))
+
+
+def write_split(reads: DataFrame, path: str, keys: list[str], order: list[str] | None = None, spread: int = 32, rows_a_file: int = 5_000_000) -> None:
+    """Parquet with a folder for each value of `keys`. Reads are dealt out by the keys
+    and a hash of the read, so that a value with many reads, as `undetermined` has, is
+    written by `spread` tasks, in files of a bounded size, each in order."""
+    part = F.pmod(F.xxhash64(*[F.col(c) for c in reads.columns]), F.lit(spread))
+    dealt = reads.withColumn("_part", part).repartition(*keys, "_part").drop("_part")
+    dealt.sortWithinPartitions(*keys, *(order or [])).write.option("maxRecordsPerFile", rows_a_file).partitionBy(*keys).parquet(path)
 
 
-def write_demultiplexed(assigned: DataFrame, path: str) -> None:
-    """A folder for each assigned barcode and read number."""
-    keys = ["assigned", "read_number"]
-    assigned.repartition(*keys).sortWithinPartitions(*keys).write.partitionBy(*keys).parquet(path)
+def write_demultiplexed(assigned: DataFrame, path: str, **options) -> None:
+    """A folder for each assigned barcode and read number; reads in their order."""
+    order = [c for c in ("file", "read_idx") if c in assigned.columns]
+    write_split(assigned, path, ["assigned", "read_number"], order, **options)

@@ -16,6 +16,12 @@ def read_texts(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     return found.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
 
 
+def read(spark: SparkSession, path: str, parser, pattern: str = "*") -> DataFrame:
+    """The outputs below a folder by one of the parsers here, as `read(spark, folder,
+    screen, "*_screen.txt")`. All files are parsed in one scan."""
+    return parser(read_texts(spark, path, pattern))
+
+
 def lines_of(texts: DataFrame) -> DataFrame:
     return texts.select("file", F.posexplode(F.split("text", "\r?\n")).alias("line_no", "line"))
 

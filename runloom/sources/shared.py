@@ -1,18 +1,27 @@
-"""Folders that all executors share."""
+"""Folders that all executors share, and files that tasks open themselves."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Rows of a narrow table (keys and counts) up to which it may be broadcast.
+BROADCAST_ROWS = 200_000
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The cluster's `spark.checkpoint.dir`, or a new folder where none is set."""
+    """The cluster's `spark.checkpoint.dir`. Only in local mode, where the driver is
+    the only machine, a new folder is made where none is set."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
+        named = context.getConf().get("spark.checkpoint.dir")
+        if not named and not re.fullmatch(r"local(\[[^,]*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
     return context.getCheckpointDir()
 
 
@@ -24,3 +33,26 @@ def cut(df: DataFrame) -> DataFrame:
     """Written to the shared folder; the plan starts from there."""
     checkpoint_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """`df`, cut, and marked for broadcast if it has few rows. Beyond the bound Spark
+    joins it by a shuffle."""
+    df = cut(df)
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def opened(path: str):
+    """pyarrow's file system for a path of Spark's, and the path in it: local and
+    mounted folders, HDFS, S3 and GCS."""
+    from pyarrow.fs import FileSystem
+
+    return FileSystem.from_uri(re.sub("^file:/+", "file:///", path) if ":" in path else f"file://{path}")
+
+
+def reachable(path: str) -> bool:
+    """Whether tasks can open files under a path themselves."""
+    try:
+        return opened(path) is not None
+    except Exception:  # pyarrow raises various errors for schemes that it doesn't know
+        return False

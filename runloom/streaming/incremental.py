@@ -1,9 +1,10 @@
 """Counts that follow the reads as they land.
 
-Reads are a folder of Parquet that grows. Each micro-batch is counted by file and
-lane, and the counts of the files that it holds are appended as one batch of the
-target; a batch that is run again replaces its own folder, so replays change
-nothing.
+Reads are a folder of Parquet that grows, partitioned by nothing that matters here.
+Each micro-batch is counted by the landed file that a row comes from, by FASTQ file
+and lane, and appended. A landed file never changes, and its counts are always the
+same: if it is counted again, after a replay or with a new checkpoint, `counted`
+takes one of its rows, so nothing counts twice.
 """
 
 from __future__ import annotations
@@ -15,20 +16,22 @@ KEYS = ("file", "lane")
 
 
 def count_batch(batch: DataFrame) -> DataFrame:
-    return batch.groupBy(*KEYS).agg(F.count("*").alias("n_reads"))
+    """landed (the Parquet file that rows are read from), file, lane, n_reads"""
+    return batch.groupBy("landed", *KEYS).agg(F.count("*").alias("n_reads"))
 
 
 def follow(spark: SparkSession, source: str, schema, target: str, checkpoint: str, once: bool = True):
     """Starts the stream; with `once` it ends when all that is there is counted."""
-    reads = spark.readStream.schema(schema).parquet(source)
+    reads = spark.readStream.schema(schema).parquet(source).select("*", F.col("_metadata.file_path").alias("landed"))
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        count_batch(batch).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        count_batch(batch).write.mode("append").parquet(target)
 
     writer = reads.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
 def counted(spark: SparkSession, target: str) -> DataFrame:
-    """The counts so far."""
-    return spark.read.parquet(target).groupBy(*KEYS).agg(F.sum("n_reads").alias("n_reads"))
+    """The counts so far: each landed file once."""
+    once = spark.read.parquet(target).groupBy("landed", *KEYS).agg(F.max("n_reads").alias("n_reads"))
+    return once.groupBy(*KEYS).agg(F.sum("n_reads").alias("n_reads"))

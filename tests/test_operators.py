@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 
 from runloom.functions import barcodes as B
 from runloom.functions import names as N
+from runloom.operators import barcodes as C
 from runloom.operators import grouping as G
 from runloom.operators import lengths as L
 from runloom.operators import pairing as P
-from runloom.sources import fastq, tables
+from runloom.operators import registry as R
+from runloom.operators import stats as S
+from runloom.sources import fastq, qc, tables
+from runloom.streaming import incremental
 
 
 def apart(a, b):
@@ -76,7 +80,7 @@ def test_length_stats_of_an_all_masked_file(spark):
     df = spark.createDataFrame([("f", "NNN", "!!!"), ("f", "NN", "!!"), ("g", "NAC", "!!!"), ("g", "AC", "II")], "file string, sequence string, quality string")
     rows = {x.file: x for x in L.length_stats(df).collect()}
     assert (rows["f"].n_masked, rows["f"].n_padded, rows["f"].median_length) == (2, 0, 2)
-    assert (rows["g"].n_masked, rows["g"].n_padded, rows["g"].frac_padded) == (0, 1, 0.5)
+    assert (rows["g"].n_masked, rows["g"].n_padded, rows["g"].frac_padded) == (0, 1, 50.0)
     assert L.length_stats(df.limit(0)).collect() == []
 
 
@@ -109,3 +113,200 @@ def test_sheet_file(spark, tmp_path):
 def test_pairs_by_header(spark):
     reads = spark.createDataFrame([("x", 0, "k", 1), ("x", 1, "z", 1), ("y", 0, "k", 2), ("w", 0, "q", 1)], "file string, read_idx long, name_key string, read_number int")
     assert sorted(map(tuple, P.pairs_by_header(reads).collect()), key=str) == [("w", None), ("x", "y")]
+
+
+def random_counts(seed, lanes=2, n=150, dual=False):
+    import random
+
+    r = random.Random(seed)
+    one = lambda: "".join(r.choice("ACGTN" if r.random() < 0.1 else "ACG") for _ in range(5))
+    return [(lane, one() + ("+" + one() if dual else ""), r.randint(1, 9)) for lane in range(1, lanes + 1) for _ in range(n)]
+
+
+def counted(spark, rows):
+    df = spark.createDataFrame(rows, "lane int, barcode string, n long")
+    return df.groupBy("lane", "barcode").agg(F.sum("n").alias("n"))
+
+
+def test_places_are_those_of_a_plain_sort(spark):
+    df = counted(spark, [*random_counts(3), *[(None, b, n) for _, b, n in random_counts(4, 1, 20)]])
+    lanes, want = {}, {}
+    for lane, barcode, n in sorted(map(tuple, df.collect()), key=lambda x: (-x[2], x[1])):
+        lanes.setdefault(lane, []).append(n)
+        want[lane, barcode] = (n, len(lanes[lane]), sum(lanes[lane]))
+    got = {(r.lane, r.barcode): (r.n, r["rank"], r.cumulative) for r in C.placed(df).collect()}
+    assert got == want
+    assert {r.lane: r.lane_total for r in C.placed(df).collect()} == {k: sum(v) for k, v in lanes.items()}
+    order = [(r.lane, r["rank"]) for r in C.in_order(df).collect()]
+    assert order == sorted(order, key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+
+
+def greedy_in_order(rows, mismatches):
+    """(barcode, n) in the order in which they become references."""
+    near = lambda a, b: a.count("+") == b.count("+") and all(apart(x, y) is not True and apart(x, y) <= mismatches for x, y in zip(a.split("+"), b.split("+"), strict=True))
+    left, out = list(rows), []
+    while left:
+        ref = left.pop(0)
+        taken = [x for x in left if near(x[0], ref[0])]
+        out.append((ref[0], 1 + len(taken), ref[1] + sum(x[1] for x in taken)))
+        left = [x for x in left if x not in taken]
+    return out
+
+
+@pytest.mark.parametrize("dual", [False, True])
+def test_seeded_groups_are_those_of_a_plain_loop(spark, dual):
+    """Seeds come first, in the order given, whatever their counts; without an order by
+    barcode."""
+    df = counted(spark, random_counts(5, 2, 100, dual))
+    found = [tuple(x) for x in df.collect()]
+    for ordered in (False, True):
+        seeds = [(lane, b, i) for lane in (1, 2) for i, b in enumerate(sorted((b for x, b, _ in found if x == lane), key=lambda b: b[::-1])[:15])]
+        sheet = spark.createDataFrame(seeds, "lane int, index_seq string, seed_order int")
+        place = {(lane, b): (i if ordered else b) for lane, b, i in seeds}
+        for rounds in (False, True):
+            got = sorted(tuple(x) for x in G.grouped(df, 1, seeds=sheet if ordered else sheet.drop("seed_order"), by_rounds=rounds).collect())
+            want = []
+            for lane in (1, 2):
+                mine = [(b, n) for x, b, n in found if x == lane]
+                first = sorted((x for x in mine if (lane, x[0]) in place), key=lambda x: place[lane, x[0]])
+                rest = sorted((x for x in mine if (lane, x[0]) not in place), key=lambda x: (-x[1], x[0]))
+                want += [(lane, *g) for g in greedy_in_order(first + rest, 1)]
+            assert got == sorted(want)
+
+
+def test_analysis_names_groups_and_counts_coverage(spark):
+    df = spark.createDataFrame([(1, "AAAA", 50), (1, "AAAC", 5), (1, "GGGG", 30), (1, "GGGC", 1), (1, "CTCT", 14)], "lane int, barcode string, n long")
+    sheet = spark.createDataFrame([(1, "AAAC", "rare"), (1, "GGGA", "near")], "lane int, index_seq string, sample string")
+    groups = G.grouped(df, 1, cutoff=0.1, seeds=sheet).withColumnRenamed("reference", "barcode")
+    rows, summary = C.analyse(df, groups, sheet, 1)
+    # The sheet's rare barcode takes in its frequent neighbour, not the other way round.
+    assert sorted((r.barcode, r.n, r.sample, r["rank"], r.percent) for r in rows.collect()) == [("AAAC", 55, "rare", 1, 55.0), ("CTCT", 14, None, 3, 14.0), ("GGGG", 31, "near", 2, 31.0)]
+    assert [tuple(x) for x in summary.collect()] == [(1, 100, 3, 100, 100.0)]
+
+
+@pytest.mark.parametrize("distance", [0, 1, 2])
+def test_pieces_find_the_references_that_trying_all_finds(spark, distance):
+    import random
+
+    r = random.Random(distance)
+    make = lambda n: spark.createDataFrame([("".join(r.choice("ACG") for _ in range(r.randint(3, 6))),) for _ in range(n)], "x string").distinct()
+    barcodes, refs = make(60).toDF("barcode"), make(25).toDF("index_seq")
+    both = [set(map(tuple, C.near_references(barcodes, refs, distance, most).collect())) for most in (10**9, 0)]
+    assert both[0] == both[1] and both[0]
+
+
+def test_collisions_are_between_rows(spark):
+    rows = [(1, "S1", "ACGT+AAAA", 1), (1, "S1", "ACGT+AAAC", 2), (1, "S2", "TTTT+AAAA", 3), (2, "S3", "ACGT+AAAA", 4), (1, "S4", "", 5)]
+    sheet = spark.createDataFrame(rows, "lane int, sample string, index_seq string, line_no int")
+    pairs = lambda *a: sorted((r.sample_a, r.sample_b, r.distance) for r in C.collisions(sheet, *a).collect())
+    assert pairs(1) == [("S1", "S1", 1)] and pairs(1, "1") == [("S1", "S1", 0)]
+    assert pairs(0, "2") == [("S1", "S2", 0)]
+    limits = lambda x: {r.lane: r.mismatches for r in C.mismatch_limit(sheet, x).collect()}
+    assert limits(None) == {1: 0, 2: 1}
+    assert limits(spark.createDataFrame([(3, "ACG+TTA", 5), (4, "AC", 1)], "lane int, barcode string, n long")) == {1: 0, 2: 1, 3: 1, 4: 0}
+
+
+def test_globs(spark):
+    df = spark.createDataFrame([(x,) for x in ("a1", "a2", "b1", "a]", "a.b", "a^", "a!")], "x string")
+    fits = lambda p: {r.x for r in df.filter(N.glob_like(F.col("x"), p)).collect()}
+    assert fits("a[!1]") == {"a2", "a]", "a^", "a!"} and fits("[ab]1") == {"a1", "b1"} and fits("a?b") == {"a.b"} and fits("a[]]") == {"a]"}
+    assert fits("a[^1]") == {"a1", "a^"} and fits("a[") == set() and fits("*") == {"a1", "a2", "b1", "a]", "a.b", "a^", "a!"}
+
+
+def test_counts_once_after_a_lost_checkpoint(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = spark.createDataFrame([("f", 1)] * 3 + [("g", 2)] * 2, "file string, lane int")
+    rows.repartition(2).write.parquet(source)
+    want = {("f", 1, 3), ("g", 2, 2)}
+    for checkpoint in ("one", "two"):  # the second knows nothing of the first
+        incremental.follow(spark, source, rows.schema, target, str(tmp_path / checkpoint)).awaitTermination()
+        assert {tuple(x) for x in incremental.counted(spark, target).collect()} == want
+    rows.write.mode("append").parquet(source)
+    incremental.follow(spark, source, rows.schema, target, str(tmp_path / "two")).awaitTermination()
+    assert {tuple(x) for x in incremental.counted(spark, target).collect()} == {("f", 1, 6), ("g", 2, 4)}
+
+
+def test_reading_takes_no_more_memory_for_a_larger_file(tmp_path):
+    """A file is streamed: the memory of its records' iterator has a small bound."""
+    import tracemalloc
+
+    record = b"@M:1:FC:2:1:1:1 1:N:0:AC\n" + b"ACGT" * 25 + b"\n+\n" + b"I" * 100 + b"\n"
+    path = tmp_path / "large.fastq.gz"
+    with gzip.open(path, "wb", compresslevel=1) as f:
+        for _ in range(60):
+            f.write(record * 1000)  # 14 MB
+    tracemalloc.start()
+    assert sum(1 for _ in fastq._records(f"file:{path}", None)) == 60_000
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 << 20
+
+
+def test_checksums_and_index_files(spark, tmp_path):
+    import hashlib
+
+    text = b"@M:1:FC:2:1:1:1 1:N:0:AC\nAC\n+\nII\n"
+    for name in ("S1_S1_L001_R1_001.fastq", "S1_S1_L001_I1_001.fastq"):
+        (tmp_path / name).write_bytes(text)
+    assert {r.md5 for r in fastq.checksums(spark, str(tmp_path)).collect()} == {hashlib.md5(text).hexdigest()}
+    names = lambda **k: {r.file.rsplit("_", 2)[1] for r in fastq.check_fastq(spark, str(tmp_path), **k).collect()}
+    assert names() == {"R1"} and names(index_reads=True) == {"R1", "I1"}
+
+
+def test_readers_of_quality_tools(spark, tmp_path):
+    texts = {
+        "fastqc": "##FastQC\n>>Basic Statistics\tpass\n#Measure\tValue\nTotal\t5\n>>END_MODULE\n", "summary": "PASS\tBasic Statistics\tx.fastq\nWARN\tOther\tx.fastq\n",
+        "screen": "#v\nLibrary\t%Unmapped\nHuman\t12.5\n\n%Hit_no_libraries: 7.5\n", "strand": "#strand version: 0.1\n#Genome\t1st\t2nd\nHuman\t1.0\t50.0\n",
+        "insert": "## METRICS CLASS\nMEAN_INSERT_SIZE\n153.7\n\n## HISTOGRAM\ninsert_size\tn\n25\t3\n", "rnaseq": ">>>>>>> Reads genomic origin\n\n    exonic = 63,784 (76.93%)\n",
+        "infer": 'This is PairEnd Data\nFraction of reads failed to determine: 0.01\nFraction of reads explained by "1++,1--,2+-,2-+": 0.09\nFraction of reads explained by "1+-,1-+,2++,2--": 0.9\n',
+        "cells": 'Cells,Mean\n"2,272",107.5\n', "library": 'Library or Sample,Library Type,Grouped By,Group Name,Metric Name,Metric Value\nLibrary,Gene Expression,,,Cells,"5,175"\n',
+        "coverage": "#x\ty\n0.0\t1.5\n0.7\t2.5\n",
+    }
+    parsers = {
+        "fastqc": (qc.fastqc_modules, 2), "summary": (qc.fastqc_summary, 2), "screen": (qc.screen, 2), "strand": (qc.strand, 1), "insert": (qc.insert_sizes, 2), "rnaseq": (qc.rnaseq, 1),
+        "infer": (qc.strand_inference, 1), "cells": (qc.cell_summary, 2), "library": (qc.library_summary, 1), "coverage": (qc.coverage_profile, 1),
+    }
+    for name, text in texts.items():
+        for copy in "ab":
+            (tmp_path / copy).mkdir(exist_ok=True)
+            (tmp_path / copy / f"{name}.txt").write_text(text)
+    rows = {}
+    for name, (parser, n) in parsers.items():
+        rows[name] = qc.read(spark, str(tmp_path), parser, f"{name}.txt").collect()
+        assert len(rows[name]) == 2 * n, name
+    assert {(r.library, r.metric, r.value) for r in rows["screen"]} == {("Human", "Unmapped", 12.5), (None, "Hit_no_libraries", 7.5)}
+    assert {(r.kind, r.name, r.value) for r in rows["insert"]} == {("metric", "MEAN_INSERT_SIZE", 153.7), ("histogram", "25", 3.0)}
+    assert {(r.forward, r.reverse, r.undetermined, r.paired) for r in rows["infer"]} == {(0.09, 0.9, 0.01, True)}
+    assert {(r.metric, r.value) for r in rows["cells"]} == {("Cells", 2272.0), ("Mean", 107.5)} and {r.y for r in rows["coverage"]} == {2.5}
+    assert {r.label for r in rows["strand"]} == {"reverse"} and {r["count"] for r in rows["rnaseq"]} == {63784.0}
+
+
+def test_strand_protocols(spark):
+    df = spark.createDataFrame([(10.0, 1.0, 10.0), (1.0, 10.0, 0.0), (1.0, 1.0, 2.0), (1.0, 1.0, 0.0), (None, 1.0, 1.0)], "f double, r double, u double")
+    assert [x[0] for x in df.select(N.strand_protocol(F.col("f"), F.col("r"), F.col("u"))).collect()] == ["forward", "reverse", "none", "none", None]
+
+
+def test_a_run_without_samples_is_paired(spark):
+    files = spark.createDataFrame([], "project string, sample string, read_number int, is_index boolean")
+    assert [tuple(x) for x in R.paired_end(files).collect()] == [(None, True)]
+
+
+def test_upsert_has_the_columns_of_both(spark):
+    old = spark.createDataFrame([("a", 1, 5), ("b", 2, 6)], "k string, L1 int, L2 int")
+    new = spark.createDataFrame([("b", 7, 8)], "k string, L2 int, L3 int")
+    out = S.upsert(old, new, ["k"])
+    assert out.columns == ["k", "L1", "L2", "L3"] and sorted(map(tuple, out.collect())) == [("a", 1, 5, None), ("b", None, 7, 8)]
+
+
+def test_an_extractor_of_names_can_be_given(spark):
+    files = spark.createDataFrame([("x-1.fq",), ("x-2.fq",), ("y-1.fq",)], "fastq string")
+    own = lambda p: {"sample_name": F.regexp_extract(p, "^([a-z])", 1), "read_number": F.regexp_extract(p, "-([12])", 1).cast("int")}
+    assert sorted(map(tuple, P.pairs_by_name(files, own).collect()), key=str) == [("x-1.fq", "x-2.fq"), ("y-1.fq", None)]
+    assert [r.fastq for r in P.select_files(files, ["r2"], own).collect()] == ["x-2.fq"]
+
+
+def test_lanes_and_series_are_no_windows_over_rows(spark, sf_dir):
+    from runloom.plans.queries import QUERIES
+
+    plan = lambda name: QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert all("Window" not in plan(n) for n in ("p03_cutoff", "p04_weeding", "a34_rebin", "a35_rescale"))
