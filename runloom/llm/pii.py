@@ -150,7 +150,7 @@ def candidates(text: Column) -> Column:
         hint = text.rlike(r"[0-9]\.[0-9]") if kind == "ip" else text.rlike(r"[0-9](?:[\x20-]?[0-9]){15}") if kind == "card" else hint
         found.append(F.when(hint, mark(matches(text, FORMS[kind], kind), None)).otherwise(none))
     for kind, form in WIDER:
-        hints = {"email": r"[({\[](?i:at)[)}\]]", "ip": r"\d\s?[\[(]\.[\])]", SECRET: r"[A-Za-z0-9+/_-]{20}"}
+        hints = {"email": r"[({\[](?i:at)[)}\]]", "ip": r"\d\s?[\[(]\.[\])]", SECRET: r"[0-9][A-Za-z+/_-]|[A-Za-z+/_-][0-9]"}
         hint = text.rlike(hints[kind]) if kind in hints else has_digit
         found.append(F.when(hint, mark(matches(text, form, kind), F.lit(False))).otherwise(none))
     # Runs of a few digits are too short for any number that is looked for.
