@@ -1,8 +1,18 @@
 """The corpus pipeline: quality rules, near-duplicates, personal data, mix, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
-as Parquet and read again as the next one's docs. All but the last return the
-columns of documents.
+as Parquet and read again as the next one's docs; a folder goes when the stage after
+it is written. All but the last return the columns of documents; other columns,
+whatever their names, are left out.
+
+Defined results: a null or empty text has too few words for the quality rules, and
+goes there. Taken by themselves, the other stages treat it so: near-duplicates finds
+texts without words alike, personal data leaves a null text null, the mix takes it
+not at all, packing gives it a sequence's end id. Rows that repeat an id with other
+texts are documents of their own in every stage; of equal ones near-duplicates keeps
+one. Null ids are ids like any other, except that rows which share them are told
+apart by their texts. Very long texts are taken whole. An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -11,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runloom.llm import mixing, packing, pii, quality, simhash
-from runloom.llm.common import shared_folder, table
+from runloom.llm.common import remove_folder, shared_folder, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -35,7 +45,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as many times as the mix takes it: not at all, once or twice."""
     mixed = mixing.mix(docs, keep=("text", "lang", "n_chars"))
-    return mixed.filter("copies > 0").select("*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy")).select(*COLUMNS)
+    return mixed.filter("copies > 0").select(*COLUMNS, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_copy")).select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,12 +67,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        if k == len(STAGES) - 1:
-            return out
-        path = shared_folder(out, f"stage{k}")
-        out.write.parquet(path)
-        docs = spark.read.parquet(path)
-    raise AssertionError("STAGES is empty")
+    docs, before = table(spark, sf_dir, "documents"), None
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        path = shared_folder(docs, f"stage{k}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        if before is not None:
+            remove_folder(spark, before)
+        docs, before = spark.read.parquet(path), path
+    return STAGES[-1][1](spark, docs, sf_dir)
