@@ -254,6 +254,7 @@ def analyse(found: DataFrame, groups: DataFrame, sheet: DataFrame, mismatches: i
 
 def problems(reported: DataFrame, sheet: DataFrame) -> DataFrame:
     """lane -> whether samples are missing or unknown barcodes abound."""
+    reported = cut(reported)  # read twice
     lanes = sheet.select("lane").distinct()
     under = underrepresented(reported, sheet).groupBy("lane").agg(F.count("*").alias("n_under"))
     over = overrepresented(reported).groupBy("lane").agg(F.count("*").alias("n_over"))

@@ -420,10 +420,12 @@ def e16_plate_indices(sheet):
     return sheet.groupBy("lane").agg(F.bool_or(B.plate_index(made)).alias("has_plate"))
 
 
-@query("sample_sheet", sql="SELECT sample, lane, repeat('N', length(index_seq)) AS shape, CAST(4 AS STRING) || 'x' || CAST(length(index_seq) - 4 AS STRING) AS lengths FROM sample_sheet")
+@query("sample_sheet", sql="SELECT sample, lane, CASE WHEN lane = 3 THEN '__10X__' ELSE repeat('N', length(index_seq)) END AS shape, CAST(4 AS STRING) || 'x' || CAST(length(index_seq) - 4 AS STRING) AS lengths FROM sample_sheet")
 def e27_index_shape(sheet):
+    """Lane 3's indexes are pool identifiers."""
     dual = F.concat_ws("-", F.substring("index_seq", 1, 4), F.substring("index_seq", 5, 8))
-    return sheet.select("sample", "lane", B.masked_shape(F.col("index_seq")).alias("shape"), B.length_label(dual).alias("lengths"))
+    index = F.when(F.col("lane") == 3, F.concat(F.lit("SI-GA-"), "sample")).otherwise(F.col("index_seq"))
+    return sheet.select("sample", "lane", B.masked_shape(index).alias("shape"), B.length_label(dual).alias("lengths"))
 
 
 @query("reads", sql="SELECT l_orderkey, l_linenumber, substr(sequence, 1, 5) AS barcode, substr(sequence, 6) AS sequence, substr(quality, 6) AS quality FROM reads")
@@ -484,9 +486,15 @@ UNDER = f"""SELECT s.lane, s.sample, s.index_seq, r.n FROM sample_sheet s LEFT J
  WHERE NOT EXISTS (SELECT 1 FROM ({REPORT}) x WHERE x.lane = s.lane AND x.sample = s.sample)"""
 
 
-@query("reads", "sample_sheet", sql=UNDER)
+ABSENT = "(SELECT * FROM sample_sheet UNION ALL SELECT lane, 'none' || sample, project, reverse(index_seq) || 'A' FROM sample_sheet WHERE lane = 1)"
+
+
+@query("reads", "sample_sheet", sql=UNDER.replace("FROM sample_sheet s LEFT JOIN (", f"FROM {ABSENT} s LEFT JOIN ("))
 def j11_underrepresented(reads, sheet):
-    return C.underrepresented(_report(reads, sheet), sheet)
+    """The sheet has samples besides, whose barcodes no read has."""
+    more = sheet.filter("lane = 1").withColumns({"sample": F.concat(F.lit("none"), "sample"), "index_seq": F.concat(F.reverse("index_seq"), F.lit("A"))})
+    whole = sheet.unionByName(more)
+    return C.underrepresented(_report(reads, sheet), whole.select("lane", "sample", "index_seq"))
 
 
 OVER = f"SELECT lane, barcode, n, rank FROM (SELECT *, max(rank) FILTER (sample IS NOT NULL) OVER (PARTITION BY lane) AS lowest FROM ({REPORT}) r) t WHERE sample IS NULL AND rank < lowest"
@@ -813,9 +821,11 @@ def j16_qc_completeness(files):
     return P.completeness(files, outputs, present)
 
 
-@query("sample_sheet", "fastq_files", sql="SELECT DISTINCT s.project, s.sample FROM sample_sheet s WHERE NOT EXISTS (SELECT 1 FROM fastq_files f WHERE f.project = s.project AND f.sample = s.sample)")
+@query("sample_sheet", "fastq_files", sql="SELECT DISTINCT s.project, s.sample FROM sample_sheet s WHERE CAST(substr(s.sample, 2) AS INT) % 4 = 3 OR NOT EXISTS (SELECT 1 FROM fastq_files f WHERE f.project = s.project AND f.sample = s.sample)")
 def j19_missing_outputs(sheet, files):
-    return P.missing(sheet.select("project", "sample").distinct(), files, ["project", "sample"])
+    """Some samples' files are not there."""
+    there = files.filter(F.coalesce(F.substring("sample", 2, 9).try_cast("int"), F.lit(0)) % 4 != 3)
+    return P.missing(sheet.select("project", "sample").distinct(), there, ["project", "sample"])
 
 
 TREES = "CASE WHEN lane = 3 AND project IN ('P1', 'P2', 'Undetermined_indices') THEN 'x' WHEN lane = 4 AND project IN ('P2', 'Undetermined_indices') THEN 'y' WHEN lane < 3 THEN 'primary' END"
@@ -1195,6 +1205,12 @@ def _of(path: str = "file"):
     return F.regexp_extract(path, "file=([^/]+)/", 1)
 
 
+def _read(supplier, text, parser):
+    """The outputs of a tool, a file for each supplier, written and read by a parser."""
+    path = _written(supplier, F.concat(F.lit("f"), F.col("s_suppkey").cast("string")), text, "outputs")
+    return qc.read(supplier.sparkSession, path, parser, "part-*").withColumn("file", _of())
+
+
 @query("reads", sql="""SELECT file, module, status, count(*) AS n_rows FROM (SELECT project || '_' || sample AS file, unnest(['Basic Statistics', 'Adapter Content', 'Adapter Content', 'Adapter Content']) AS module,
  unnest(['pass', 'warn', 'warn', 'warn']) AS status FROM (SELECT DISTINCT project, sample FROM reads) d) t GROUP BY ALL""")
 def s06_fastqc_modules(reads):
@@ -1208,21 +1224,19 @@ def s06_fastqc_modules(reads):
     return found.groupBy(_of().alias("file"), "module", "status").agg(F.count("*").alias("n_rows"))
 
 
-@query("nation", sql="SELECT 'n' || n_nationkey AS file, CASE k WHEN 0 THEN 'Human' END AS library, CASE k WHEN 0 THEN 'Unmapped' ELSE 'Hit_no_libraries' END AS metric, CAST(CASE k WHEN 0 THEN 90 - n_nationkey ELSE n_nationkey + 0.5 END AS DOUBLE) AS value FROM nation, (SELECT unnest([0, 1]) AS k) z")
-def s08_screen_files(nation):
+@query("supplier", sql="SELECT 'f' || s_suppkey AS file, CASE k WHEN 0 THEN 'Human' END AS library, CASE k WHEN 0 THEN 'Unmapped' ELSE 'Hit_no_libraries' END AS metric, CAST(CASE k WHEN 0 THEN 90 - s_suppkey ELSE s_suppkey + 0.5 END AS DOUBLE) AS value FROM supplier, (SELECT unnest([0, 1]) AS k) z")
+def s08_screen_files(supplier):
     """The trailing line is a row without a library."""
-    k = F.col("n_nationkey")
+    k = F.col("s_suppkey")
     text = _lines("#version: 0.4", "Genome\t%Unmapped", F.concat(F.lit("Human\t"), (90 - k).cast("string")), "", F.concat(F.lit("%Hit_no_libraries: "), (k + 0.5).cast("string")))
-    path = _written(nation, F.concat(F.lit("n"), k.cast("string")), text, "screens")
-    return qc.read(nation.sparkSession, path, qc.screen, "part-*").withColumn("file", _of())
+    return _read(supplier, text, qc.screen)
 
 
-@query("nation", sql="""SELECT 'n' || n_nationkey AS file, unnest(['metric', 'metric', 'histogram', 'histogram']) AS kind, unnest(['MEDIAN_INSERT_SIZE', 'MEAN_INSERT_SIZE', '10', '11']) AS name, unnest([CAST(140 AS DOUBLE), n_nationkey, 3, n_nationkey]) AS value FROM nation""")
-def s10_insert_size_files(nation):
-    k = F.col("n_nationkey").cast("string")
+@query("supplier", sql="""SELECT 'f' || s_suppkey AS file, unnest(['metric', 'metric', 'histogram', 'histogram']) AS kind, unnest(['MEDIAN_INSERT_SIZE', 'MEAN_INSERT_SIZE', '10', '11']) AS name, unnest([CAST(140 AS DOUBLE), s_suppkey, 3, s_suppkey]) AS value FROM supplier""")
+def s10_insert_size_files(supplier):
+    k = F.col("s_suppkey").cast("string")
     text = _lines("## METRICS CLASS\tx", "MEDIAN_INSERT_SIZE\tMEAN_INSERT_SIZE", F.concat(F.lit("140\t"), k), "", "## HISTOGRAM\tint", "insert_size\tcount", "10\t3", F.concat(F.lit("11\t"), k))
-    path = _written(nation, F.concat(F.lit("n"), k), text, "insert_sizes")
-    return qc.read(nation.sparkSession, path, qc.insert_sizes, "part-*").withColumn("file", _of())
+    return _read(supplier, text, qc.insert_sizes)
 
 
 @query("part", sql="SELECT 'f' || p_partkey AS file, unnest(['A', 'B']) AS adapter, unnest([CAST((p_partkey % 7 + 1.5) / 200 AS DOUBLE), CAST((p_partkey % 5 + 2.5) / 200 AS DOUBLE)]) AS content FROM part")
@@ -1245,10 +1259,10 @@ def a13_base_quality_table(part):
     return qc.base_quality(qc.fastqc_modules(_texts(part, F.concat(F.lit("f"), F.col("p_partkey").cast("string")), text))).select("file", "base", "mean", "p90")
 
 
-@query("part", sql="""SELECT file, status, string_agg(module, ',' ORDER BY module) AS modules FROM (SELECT 'f' || p_partkey AS file, unnest(['PASS', CASE WHEN p_partkey % 2 = 0 THEN 'PASS' ELSE 'WARN' END]) AS status, unnest(['One', 'Two']) AS module FROM part) t GROUP BY ALL""")
-def s07_a16_summary(part):
-    second = F.concat(F.when(F.col("p_partkey") % 2 == 0, "PASS").otherwise("WARN"), F.lit("\tTwo\tx.fastq"))
-    found = qc.fastqc_summary(_texts(part, F.concat(F.lit("f"), F.col("p_partkey").cast("string")), _lines("PASS\tOne\tx.fastq", second)))
+@query("supplier", sql="""SELECT file, status, string_agg(module, ',' ORDER BY module) AS modules FROM (SELECT 'f' || s_suppkey AS file, unnest(['PASS', CASE WHEN s_suppkey % 2 = 0 THEN 'PASS' ELSE 'WARN' END]) AS status, unnest(['One', 'Two']) AS module FROM supplier) t GROUP BY ALL""")
+def s07_a16_summary(supplier):
+    second = F.concat(F.when(F.col("s_suppkey") % 2 == 0, "PASS").otherwise("WARN"), F.lit("\tTwo\tx.fastq"))
+    found = _read(supplier, _lines("PASS\tOne\tx.fastq", second), qc.fastqc_summary)
     return qc.modules_by_status(found).withColumn("modules", F.array_join("modules", ","))
 
 
@@ -1263,11 +1277,11 @@ def s08_a17_screen(part):
     return qc.screen_classes(qc.screen(texts))
 
 
-@query("part", sql="""SELECT 'f' || p_partkey AS file, '0.1' AS version, 'Human' AS genome, CAST(p_partkey % 90 AS DOUBLE) AS forward, CAST(10 AS DOUBLE) AS reverse, (p_partkey % 90) / CAST(10 AS DOUBLE) AS ratio,
- CASE WHEN p_partkey % 90 > 50 THEN 'forward' WHEN p_partkey % 90 < 2 THEN 'reverse' ELSE 'unstranded?' END AS label FROM part""")
-def s09_strand(part):
-    text = _lines("#strand version: 0.1", "#Genome\t1st forward\t2nd reverse", F.concat(F.lit("Human\t"), (F.col("p_partkey") % 90).cast("string"), F.lit("\t10.0")))
-    return qc.strand(_texts(part, F.concat(F.lit("f"), F.col("p_partkey").cast("string")), text))
+@query("supplier", sql="""SELECT 'f' || s_suppkey AS file, '0.1' AS version, 'Human' AS genome, CAST(s_suppkey % 90 AS DOUBLE) AS forward, CAST(10 AS DOUBLE) AS reverse, (s_suppkey % 90) / CAST(10 AS DOUBLE) AS ratio,
+ CASE WHEN s_suppkey % 90 > 50 THEN 'forward' WHEN s_suppkey % 90 < 2 THEN 'reverse' ELSE 'unstranded?' END AS label FROM supplier""")
+def s09_strand(supplier):
+    text = _lines("#strand version: 0.1", "#Genome\t1st forward\t2nd reverse", F.concat(F.lit("Human\t"), (F.col("s_suppkey") % 90).cast("string"), F.lit("\t10.0")))
+    return _read(supplier, text, qc.strand)
 
 
 @query("part", sql="SELECT 'f' || p_partkey AS file, CAST(p_partkey % 300 AS DOUBLE) AS mean_insert_size, CAST(2.5 AS DOUBLE) AS standard_deviation, CAST(140 AS DOUBLE) AS median_insert_size, NULL::DOUBLE AS median_absolute_deviation FROM part")
@@ -1277,22 +1291,22 @@ def s10_s22_insert_sizes(part):
     return qc.collated_insert_sizes(qc.insert_sizes(_texts(part, F.concat(F.lit("f"), F.col("p_partkey").cast("string")), text)))
 
 
-@query("part", sql="SELECT 'f' || p_partkey AS file, 'Reads genomic origin' AS section, 'exonic' AS item, CAST(p_partkey * 1000 + 5 AS DOUBLE) AS count, CAST(76.93 AS DOUBLE) AS percent FROM part")
-def s11_rnaseq(part):
-    text = _lines(">>>>>>> Input", "", ">>>>>>> Reads genomic origin", F.concat(F.lit("    exonic = "), F.col("p_partkey").cast("string"), F.lit(",005 (76.93%)")))
-    return qc.rnaseq(_texts(part, F.concat(F.lit("f"), F.col("p_partkey").cast("string")), text)).drop("value_text")
+@query("supplier", sql="SELECT 'f' || s_suppkey AS file, 'Reads genomic origin' AS section, 'exonic' AS item, CAST(s_suppkey * 1000 + 5 AS DOUBLE) AS count, CAST(76.93 AS DOUBLE) AS percent FROM supplier")
+def s11_rnaseq(supplier):
+    text = _lines(">>>>>>> Input", "", ">>>>>>> Reads genomic origin", F.concat(F.lit("    exonic = "), F.col("s_suppkey").cast("string"), F.lit(",005 (76.93%)")))
+    return _read(supplier, text, qc.rnaseq).drop("value_text")
 
 
-@query("part", sql="SELECT 'f' || p_partkey AS file, unnest([0, 1]) AS x, unnest([CAST(p_partkey AS DOUBLE), 7.5]) AS y FROM part")
-def s11_coverage_profile(part):
-    text = _lines("#x\ty", "0.0\t1.0", F.concat(F.lit("0.9\t"), F.col("p_partkey").cast("string")), "1.0\t7.5")
-    return qc.coverage_profile(_texts(part, F.concat(F.lit("f"), F.col("p_partkey").cast("string")), text))
+@query("supplier", sql="SELECT 'f' || s_suppkey AS file, unnest([0, 1]) AS x, unnest([CAST(s_suppkey AS DOUBLE), 7.5]) AS y FROM supplier")
+def s11_coverage_profile(supplier):
+    text = _lines("#x\ty", "0.0\t1.0", F.concat(F.lit("0.9\t"), F.col("s_suppkey").cast("string")), "1.0\t7.5")
+    return _read(supplier, text, qc.coverage_profile)
 
 
-@query("part", sql="SELECT 'f' || p_partkey AS file, TRUE AS paired, CAST(0.25 AS DOUBLE) AS forward, CAST(0.5 AS DOUBLE) AS reverse, CAST(0.25 AS DOUBLE) AS undetermined FROM part")
-def s12_strand_inference(part):
+@query("supplier", sql="SELECT 'f' || s_suppkey AS file, TRUE AS paired, CAST(0.25 AS DOUBLE) AS forward, CAST(0.5 AS DOUBLE) AS reverse, CAST(0.25 AS DOUBLE) AS undetermined FROM supplier")
+def s12_strand_inference(supplier):
     text = _lines("This is PairEnd Data", "Fraction of reads failed to determine: 0.25", 'Fraction of reads explained by "1++,1--,2+-,2-+": 0.25', 'Fraction of reads explained by "1+-,1-+,2++,2--": 0.5')
-    return qc.strand_inference(_texts(part, F.concat(F.lit("f"), F.col("p_partkey").cast("string")), text))
+    return _read(supplier, text, qc.strand_inference)
 
 
 @query("cell_metrics", sql="SELECT sample AS file, unnest(['Cells', 'Valid']) AS metric, unnest([CAST(value * 1000 + 7 AS DOUBLE), 97.5]) AS value FROM cell_metrics")
