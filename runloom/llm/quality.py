@@ -51,8 +51,8 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
 
-def shift(way: str, x: Column, by: Column) -> Column:
-    return F.call_function(way, x, by)
+#: Bits of a window's place in its number; the others are its hash's.
+PLACE = 22
 
 
 def repeated_words(w: Column, n: int = 3) -> Column:
@@ -62,23 +62,27 @@ def repeated_words(w: Column, n: int = 3) -> Column:
     A window is a number: bits of its hash above its place. Sorted as numbers,
     windows that may be equal are neighbours, so it takes m log m steps for m words
     and no pairs, however often a window repeats. Neighbours with equal bits are
-    compared word by word; if two of them differ after all, the windows themselves
-    are sorted instead."""
-    last = F.size(w) - n
-    of_place = F.length(F.bin(last.cast("long")))  # bits
-    number = lambda i: shift("shiftleft", F.xxhash64(*[F.get(w, i + k) for k in range(n)]), of_place).bitwiseOR(i.cast("long"))
+    compared word by word; if two of them differ after all, or places need more
+    bits, the windows themselves are sorted instead."""
+    last, mask = F.size(w) - n, (1 << PLACE) - 1
+    number = lambda i: F.shiftleft(F.xxhash64(*[F.get(w, i + k) for k in range(n)]), PLACE).bitwiseOR(i.cast("long"))
+    place = lambda x: x.bitwiseAND(F.lit(mask)).cast("int")
 
     def covered(s: Column) -> Column:
-        at = lambda j: (F.get(s, j).bitwiseAND(shift("shiftleft", F.lit(1).cast("long"), of_place) - 1)).cast("int")
-        alike = lambda j: F.coalesce(shift("shiftright", F.get(s, j), of_place) == shift("shiftright", F.get(s, j + 1), of_place), F.lit(False))
-        words = lambda j: reduce(lambda x, y: x & y, [F.get(w, at(j) + k) == F.get(w, at(j + 1) + k) for k in range(n)])
-        every = F.sequence(F.lit(0), F.size(s) - 1)
-        places = F.sort_array(F.transform(F.filter(every, lambda j: alike(j) | ((j > 0) & alike(j - 1))), at))
+        # Places of neighbours with equal bits, in pairs; of most texts there are none.
+        near = lambda j: F.shiftright(F.get(s, j).bitwiseXOR(F.get(s, j + 1)), PLACE) == 0
+        pairs = F.filter(F.sequence(F.lit(0), F.size(s) - 2), near)
+        return F.when(F.size(s) < 2, F.lit(0)).otherwise(let(F.transform(pairs, lambda j: F.struct(place(F.get(s, j)).alias("a"), place(F.get(s, j + 1)).alias("b"))), of_pairs))
+
+    def of_pairs(pairs: Column) -> Column:
+        unlike = F.exists(pairs, lambda x: ~reduce(lambda p, q: p & q, [F.get(w, x["a"] + k) == F.get(w, x["b"] + k) for k in range(n)]))
         step = lambda acc, p: F.struct((acc["n"] + F.least(F.lit(n), p - acc["at"])).alias("n"), p.alias("at"))
+        places = F.sort_array(F.flatten(F.transform(pairs, lambda x: F.array(x["a"], x["b"]))))
         total = F.aggregate(places, F.struct(F.lit(0).alias("n"), F.lit(-n).alias("at")), step, lambda acc: acc["n"])
-        return F.when(F.exists(every, lambda j: alike(j) & ~words(j)), _by_strings(w, n)).otherwise(total)
+        return F.when(F.size(pairs) == 0, F.lit(0)).when(unlike, _by_strings(w, n)).otherwise(total)
 
-    return F.when(F.size(w) > n, let(F.sort_array(F.transform(F.sequence(F.lit(0), last), number)), covered)).otherwise(F.lit(0))
+    by_numbers = let(F.sort_array(F.transform(F.sequence(F.lit(0), last), number)), covered)
+    return F.when(F.size(w) <= n, F.lit(0)).when(last > mask, _by_strings(w, n)).otherwise(by_numbers)
 
 
 def _by_strings(w: Column, n: int) -> Column:
