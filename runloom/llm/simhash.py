@@ -42,6 +42,8 @@ from .common import NO_ID, checked_broadcast, cut, given_id, id_of, quoted, text
 
 SEED = 42
 TILE = 8_192
+#: Tiles that a bucket of bands is dealt into, and rows in the least of them.
+SPREAD, FINE = 8, 256
 #: Pairs that are tried at once, for bounded memory.
 PAIRS = 1 << 13
 #: Shingles that count as much as a row in a tile: 8,192 rows hold 32 MB of them.
@@ -206,20 +208,23 @@ def into_units(classes: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
     else:
         rows = classes.select("*", F.inline(blocks_of(F.col("f"), n)))
     weight = F.sum(F.lit(1) + F.floor(F.col("w") / SHINGLES_A_ROW)) if "w" in have else F.count("*")
-    large = cut(rows.groupBy("block", "key").agg(weight.alias("n")).filter(F.col("n") > tile).select("block", "key"))
+    # A bucket of bands is a group of near copies: a large one is dealt out finely, in about SPREAD tiles.
+    least = min(tile, FINE) if "k" in classes.columns else tile
+    cells = F.least(F.lit(tile), F.greatest(F.lit(least), F.ceil(F.col("n") / SPREAD))).cast("long").alias("cells")
+    large = cut(rows.groupBy("block", "key").agg(weight.alias("n")).filter(F.col("n") > least).select("block", "key", cells))
     alone = [F.lit(0).alias(c) for c in ("t", "u", "side")]
     if large.isEmpty():
         return rows.select(*have, "block", "key", *alone)
     marked = checked_broadcast(large)
     small = rows.join(marked, ["block", "key"], "left_anti").select(*have, "block", "key", *alone)
-    rows = rows.join(marked, ["block", "key"], "left_semi").withColumn("pop", F.bit_count("f"))
+    rows = rows.join(marked, ["block", "key"]).withColumn("pop", F.bit_count("f"))
     # A row's tile: its place in its bucket, ordered by population count and a hash.
-    by_pop = rows.groupBy("block", "key", "pop").agg(weight.alias("n"))
+    by_pop = rows.groupBy("block", "key", "cells", "pop").agg(weight.alias("n"))
     before = F.expr("coalesce(sum(n) OVER (PARTITION BY block, key ORDER BY pop ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)")
     by_pop = checked_broadcast(cut(by_pop.withColumn("before", before)))
     place = F.col("before") + F.pmod(F.xxhash64("c"), F.col("n"))
-    tiled = rows.join(by_pop, ["block", "key", "pop"]).withColumn("tile", F.floor(place / tile).cast("int"))
-    tile_of = lambda x: F.floor(x / tile).cast("int")
+    tile_of = lambda x: F.floor(x / F.col("cells")).cast("int")
+    tiled = rows.join(by_pop.drop("cells"), ["block", "key", "pop"]).withColumn("tile", tile_of(place))
     reach = F.sequence(tile_of(F.col("before")), tile_of(F.col("before") + F.col("n") - 1))
     spans = by_pop.select("block", "key", "pop", F.explode(reach).alias("tile"))
     spans = cut(spans.groupBy("block", "key", "tile").agg(F.min("pop").alias("low"), F.max("pop").alias("high")))

@@ -645,3 +645,12 @@ def test_stages_keep_columns_and_take_effect(spark, sf_dir, documents):
             assert out.count() == docs.count() and not any(list(base_spans(r.text)) for r in out.collect())
         docs = out
     assert docs.count() > 0 and corpus_pipeline.run(spark, sf_dir).count() > 0
+
+
+def test_large_buckets_of_bands_are_dealt_out_finely(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "FINE", 16)
+    classes = spark.range(400).select(F.col("id").alias("c"), F.col("id").alias("d"), F.xxhash64("id").alias("f"), F.lit(10).alias("w"), F.array(F.lit(1).cast("long"), F.col("id")).alias("k"))
+    units = simhash.into_units(classes, 64).groupBy("block", "key", "t", "u").agg(F.count("*").alias("n"), F.count_distinct("c").alias("m")).collect()
+    assert max(x.n for x in units) <= 150 and all(x.n == x.m for x in units)
+    met = {x.t: 1 for x in units if x.t == x.u}
+    assert len(met) == 8 and len(units) == 8 * 9 // 2  # every tile with every tile, one with itself
