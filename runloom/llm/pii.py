@@ -236,6 +236,8 @@ def training_rows(docs: DataFrame) -> DataFrame:
     left = F.regexp_replace(F.substring(F.col("t"), F.greatest(at - 39, F.lit(1)), F.least(at, F.lit(40))), r"\S+$", "")
     right = F.regexp_replace(F.substring(F.col("t"), at + 1, F.lit(24)), r"^\S+", "")
     rows = few.select("doc_id", text_of().alias("t")).select("doc_id", left.alias("left"), right.alias("right"), F.xxhash64("doc_id", "t").alias("h"))
+    # A few short rows, of which much is made: they are dealt out first.
+    rows = rows.repartition(docs.sparkSession.sparkContext.defaultParallelism, "h")
     made = rows.select("doc_id", "left", "right", "h", F.posexplode(made_spans(F.col("h"))).alias("no", "m"))
     made = made.filter(F.pmod(F.xxhash64("h", "no"), F.lit(2)) == 0)
     start = F.length("left") + F.length("m.lead")
