@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fingerprint, mixing, packing, pii, quality, simhash, token_count, toxicity, urls
+from . import chat, codes, fim, fingerprint, mixing, packing, pii, quality, repeats, simhash, token_count, toxicity, urls
 from .common import table
 
 
@@ -58,7 +58,25 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix, op2_fingerprints, op3_chat, op4_token_counts, op5_url_filter, op6_pii, op7_simhash, op8_toxicity, op9_quality, op10_pack)}
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(fim.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
+def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(repeats.remove_repeats(table(spark, sf_dir, "documents")))
+
+
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings")).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_mix, op2_fingerprints, op3_chat, op4_token_counts, op5_url_filter, op6_pii, op7_simhash, op8_toxicity, op9_quality, op10_pack,
+        op11_fim, op12_repeats, op13_codes,
+    )
+}
 
 OP3_SQL = r"""
 WITH rows AS (
@@ -122,4 +140,71 @@ FROM b
 """
 
 
-ORACLES = {"op3_chat": OP3_SQL, "op5_url_filter": OP5_SQL, "op9_quality": _op9_sql()}
+OP11_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), u AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS u, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 90 THEN 'plain'
+      WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM t
+), c AS (
+  SELECT *, CAST(len(u) AS BIGINT) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b FROM u
+), p AS (
+  SELECT doc_id, text, form, n, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+"""
+
+OP12_SQL = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS row, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), starts AS (SELECT row, i, sha256(array_to_string(w[i:i + 34], ' ')) AS h FROM (SELECT row, w, unnest(range(1, len(w) - 33)) AS i FROM t) x
+), again AS (SELECT row, i FROM (SELECT row, i, count(*) OVER (PARTITION BY h) AS n FROM starts) y WHERE n > 1
+), gone AS (SELECT DISTINCT row, i + k AS i FROM again, (SELECT unnest(range(0, 35)) AS k) z
+), lists AS (SELECT row, list(i) AS gone FROM gone GROUP BY row
+), words AS (SELECT row, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM t
+), kept AS (
+  SELECT words.row, string_agg(x, ' ' ORDER BY words.i) AS kept FROM words LEFT JOIN gone ON words.row = gone.row AND words.i = gone.i WHERE gone.i IS NULL GROUP BY words.row
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM t LEFT JOIN lists ON t.row = lists.row LEFT JOIN kept ON t.row = kept.row
+"""
+
+
+def _op13_sql(size: int = 64) -> str:
+    """For vectors of `size` components, as those of the tables."""
+    d = size // 16
+    comps = [f"c{i}" for i in range(d)]
+    cells = ", ".join(f"v[{d} * p + {i + 1}] AS c{i}" for i in range(d))
+    apart = " + ".join(f"(x.{c} - e.{c}) * (x.{c} - e.{c})" for c in comps)
+    text = f"""
+WITH vecs AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (SELECT vec_id, p, {cells} FROM vecs, (SELECT unnest(range(0, 16)) AS p) z
+), book0 AS (
+  SELECT p, CAST(row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS BIGINT) AS e, {", ".join(comps)} FROM parts WHERE vec_id IN (SELECT vec_id FROM vecs ORDER BY vec_id LIMIT 64)
+)"""
+    for k in range(3):
+        text += f""", near{k} AS (
+  SELECT x.vec_id, x.p, min(({apart}) * 64 + e.e) AS m FROM parts x JOIN book{k} e ON x.p = e.p GROUP BY x.vec_id, x.p
+)"""
+        if k < 2:
+            means = ", ".join(f"CAST(floor(CAST(sum(x.{c}) AS DOUBLE) / count(*)) AS BIGINT) AS {c}" for c in comps)
+            text += f""", mean{k} AS (
+  SELECT x.p, near{k}.m % 64 AS e, {means} FROM parts x JOIN near{k} ON x.vec_id = near{k}.vec_id AND x.p = near{k}.p GROUP BY x.p, near{k}.m % 64
+), book{k + 1} AS (
+  SELECT b.p, b.e, {", ".join(f"coalesce(m.{c}, b.{c}) AS {c}" for c in comps)} FROM book{k} b LEFT JOIN mean{k} m ON b.p = m.p AND b.e = m.e
+)"""
+    listed = " || ',' || ".join(f"CAST({c} AS VARCHAR)" for c in comps)
+    return f"""{text}, coded AS (
+  SELECT vec_id, string_agg(format('{{:02x}}', m % 64), '' ORDER BY p) AS code, CAST(sum(m // 64) AS BIGINT) AS error FROM near2 GROUP BY vec_id
+), digest AS (SELECT sha256(string_agg({listed}, ',' ORDER BY p, e)) AS codebooks_sha256 FROM book2)
+SELECT vecs.vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM vecs JOIN coded ON vecs.vec_id = coded.vec_id, digest
+"""
+
+
+ORACLES = {"op3_chat": OP3_SQL, "op5_url_filter": OP5_SQL, "op9_quality": _op9_sql(), "op11_fim": OP11_SQL, "op12_repeats": OP12_SQL, "op13_codes": _op13_sql()}
