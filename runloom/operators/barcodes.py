@@ -1,11 +1,18 @@
 """Barcode counts, ranks, sample lookup, matching, collisions and reports.
 
+Counts are looked at by lane, where a missing lane is a lane like any other, and,
+after `scoped`, over all lanes too: a column `scope` then says `lane` or `all`.
+Whatever is grouped or joined by lane is so by scope and lane, nulls together, so a
+report of each lane and one of the whole come from the same pass.
+
 The sample sheet has a row for each sample and lane, some thousands at most; it
 is left to Spark to broadcast it by its size.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +20,45 @@ from ..functions import barcodes as B
 from ..sources.shared import BROADCAST_ROWS, checked_broadcast, cut
 
 
+def keys_of(df: DataFrame) -> list[str]:
+    """By which barcodes are ranked, matched and reported."""
+    return [c for c in ("scope", "lane") if c in df.columns]
+
+
+def meet(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """A join by columns of equal names in which null meets null; the right ones go."""
+    names = {c: f"_right_{c}" for c in on}
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()])
+    out = left.join(right.withColumnsRenamed(names), same, how)
+    return out if how in ("left_semi", "left_anti") else out.drop(*names.values())
+
+
+def scoped(found: DataFrame) -> DataFrame:
+    """Counts by lane, and those over all lanes (lane null), told apart by `scope`."""
+    both = found.groupingSets([[F.col("lane"), F.col("barcode")], [F.col("barcode")]], "lane", "barcode")
+    scope = F.when(F.grouping("lane") == 1, "all").otherwise("lane")
+    return both.agg(F.sum("n").alias("n"), scope.alias("scope")).select("scope", "lane", "barcode", "n")
+
+
+def sheet_of(found: DataFrame, sheet: DataFrame) -> DataFrame:
+    """The sheet's rows for the lanes of `found`: rows without a lane are for each of
+    its lanes, of which there are a few; over all lanes each sample and index once.
+    `_own` tells rows of the lane's own."""
+    keys, columns = keys_of(found), [c for c in ("sample", "project", "index_seq", "line_no", "seed_order") if c in sheet.columns]
+    scope = [F.lit("lane").alias("scope")] if "scope" in keys else []
+    rows = sheet.filter("lane IS NOT NULL").select(*scope, "lane", *columns, F.lit(True).alias("_own"))
+    lanes = found.select(keys).distinct()
+    lanes = lanes.filter("scope = 'lane'") if scope else lanes
+    everywhere = sheet.filter("lane IS NULL").select(*columns, F.lit(False).alias("_own")).join(F.broadcast(lanes))
+    rows = rows.unionByName(everywhere)
+    if scope:
+        by = [c for c in ("sample", "project", "index_seq") if c in columns]
+        rest = [F.min(c).alias(c) for c in columns if c not in by]
+        once = sheet.groupBy(by).agg(F.lit(True).alias("_own"), *rest)
+        rows = rows.unionByName(once.withColumns({"scope": F.lit("all"), "lane": F.lit(None).cast("int")}))
+    return rows
+
+
 def counts(reads: DataFrame) -> DataFrame:
     return reads.groupBy("lane", "barcode").agg(F.count("*").alias("n"))
 
@@ -34,31 +80,29 @@ def totals(found: DataFrame) -> DataFrame:
     return found.agg(F.sum("n").alias("n_reads"), F.countDistinct("lane").alias("n_lanes"))
 
 
-#: Letters by which barcodes with equal counts are told into parts.
-PREFIX = 4
-
-
 def placed(found: DataFrame) -> DataFrame:
     """lane, barcode, n, ... -> also rank (by count in the lane, ties by barcode), the
     lane's total and the running sum in rank order.
 
-    A lane is not sorted as a whole: barcodes with the same count and first letters
-    are a group; the groups, far fewer, are summed up and ordered, and inside a group
-    a place is a row number. Its running sum is the place times the count."""
-    part = F.substring("barcode", 1, PREFIX)
-    groups = found.groupBy("lane", "n", part.alias("_part")).agg(F.count("*").alias("_c"))
-    order = Window.partitionBy("lane").orderBy(F.desc("n"), "_part").rowsBetween(Window.unboundedPreceding, -1)
-    so_far = lambda x: F.coalesce(F.sum(x).over(order), F.lit(0))
-    groups = groups.select(
-        F.col("lane").alias("_lane"), F.col("n").alias("_n"), "_part", so_far(F.col("_c")).alias("_before"), so_far(F.col("_c") * F.col("n")).alias("_sum"),
-        F.sum(F.col("_c") * F.col("n")).over(Window.partitionBy("lane")).alias("lane_total"),
+    Rows are dealt out by ranges of their order, once, and written; a row's number in
+    its range is known then. Rows of a lane with equal counts in a range are a run;
+    the runs, far fewer, are summed up in order, and a row's place is its run's and
+    its distance from the run's first row. No task has more than a range."""
+    keys = keys_of(found)
+    order = [*[F.asc_nulls_first(k) for k in keys], F.desc("n"), F.asc("barcode")]
+    dealt = found.repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt = cut(dealt.withColumn("_id", F.monotonically_increasing_id()))
+    part = F.shiftright("_id", 33)
+    runs = dealt.groupBy(*keys, "n", part.alias("_part")).agg(F.count("*").alias("_c"), F.min("_id").alias("_first"))
+    before = Window.partitionBy(*keys).orderBy(F.desc("n"), "_part").rowsBetween(Window.unboundedPreceding, -1)
+    so_far = lambda x: F.coalesce(F.sum(x).over(before), F.lit(0))
+    runs = runs.select(
+        *keys, "n", "_part", "_first", so_far(F.col("_c")).alias("_before"), so_far(F.col("_c") * F.col("n")).alias("_sum"),
+        F.sum(F.col("_c") * F.col("n")).over(Window.partitionBy(*keys)).alias("lane_total"),
     )
-    same = F.col("lane").eqNullSafe(F.col("_lane")) & (F.col("n") == F.col("_n")) & (part == F.col("_part"))
-    place = F.row_number().over(Window.partitionBy("lane", "n", "_part").orderBy("barcode")).cast("long")
-    rows = found.join(groups, same).withColumn("_place", place)
-    return rows.withColumns({"rank": F.col("_before") + F.col("_place"), "cumulative": F.col("_sum") + F.col("_place") * F.col("n")}).select(
-        *found.columns, "rank", "lane_total", "cumulative"
-    )
+    place = F.col("_id") - F.col("_first") + 1
+    rows = meet(dealt.withColumn("_part", part), checked_broadcast(runs), [*keys, "n", "_part"])
+    return rows.select(*found.columns, (F.col("_before") + place).alias("rank"), "lane_total", (F.col("_sum") + place * F.col("n")).alias("cumulative"))
 
 
 def ranked(found: DataFrame) -> DataFrame:
@@ -68,7 +112,7 @@ def ranked(found: DataFrame) -> DataFrame:
 
 def in_order(found: DataFrame) -> DataFrame:
     """Ranked barcodes as they are listed: by lane and rank."""
-    return ranked(found).orderBy("lane", "rank")
+    return ranked(found).orderBy(*keys_of(found), "rank")
 
 
 def shares(found: DataFrame) -> DataFrame:
@@ -80,8 +124,8 @@ def shares(found: DataFrame) -> DataFrame:
 
 def with_totals(found: DataFrame) -> DataFrame:
     """With the lane's total: a row for each lane, brought to the rows."""
-    totals_ = found.groupBy(F.col("lane").alias("_lane")).agg(F.sum("n").alias("lane_total"))
-    return found.join(checked_broadcast(totals_), F.col("lane").eqNullSafe(F.col("_lane"))).drop("_lane")
+    keys = keys_of(found)
+    return meet(found, checked_broadcast(found.groupBy(*keys).agg(F.sum("n").alias("lane_total"))), keys)
 
 
 def above(found: DataFrame, cutoff: float) -> DataFrame:
@@ -99,31 +143,34 @@ def last_wins(sheet: DataFrame) -> DataFrame:
 
 def with_samples(found: DataFrame, sheet: DataFrame) -> DataFrame:
     """The sample of each lane and index; sheet rows without a lane are for all lanes,
-    where the lane has no row of its own for the index."""
-    keyed = last_wins(sheet).select(F.col("lane").alias("_lane"), F.col("index_seq").alias("_index"), F.col("sample").alias("_s"))
-    own = found.join(keyed.filter("_lane IS NOT NULL"), (F.col("lane") == F.col("_lane")) & (F.col("barcode") == F.col("_index")), "left")
-    anywhere = keyed.filter("_lane IS NULL").select(F.col("_index").alias("barcode"), F.col("_s").alias("_a"))
-    return own.select(*found.columns, "_s").join(anywhere, "barcode", "left").withColumn("sample", F.coalesce("_s", "_a")).select(*found.columns, "sample")
+    where the lane has no row of its own for the index. Over all lanes the samples of
+    any lane, as of `samples_over_lanes`."""
+    keyed = last_wins(sheet).select("lane", F.col("index_seq").alias("barcode"), F.col("sample").alias("_own"))
+    rows = meet(found, keyed.filter("lane IS NOT NULL"), ["lane", "barcode"], "left")
+    rows = meet(rows, keyed.filter("lane IS NULL").select("barcode", F.col("_own").alias("_any")), ["barcode"], "left")
+    sample = F.coalesce("_own", "_any")
+    if "scope" in found.columns:
+        rows = samples_over_lanes(rows, sheet)
+        sample = F.when(F.col("scope") == "all", F.col("samples")).otherwise(sample)
+    return rows.select(*found.columns, sample.alias("sample"))
 
 
 def samples_over_lanes(found: DataFrame, sheet: DataFrame) -> DataFrame:
     """All-lanes lookup: the samples of any lane, comma-joined; null for none."""
     named = sheet.groupBy(F.col("index_seq").alias("barcode")).agg(F.array_join(F.sort_array(F.collect_set("sample")), ",").alias("samples"))
-    return found.join(named, "barcode", "left")
+    return meet(found, named, ["barcode"], "left")
 
 
 def closest_samples(groups: DataFrame, sheet: DataFrame, mismatches: int) -> DataFrame:
     """lane, barcode -> samples: exact, else all whose index is within reach. The
     pairs are those of a lane's few reference barcodes and its sheet."""
+    keys = keys_of(groups)
     exact = with_samples(groups, sheet)
     rest = exact.filter(F.col("sample").isNull()).drop("sample")
-    # Sheet rows without a lane are for each of the lanes, of which there are a few.
-    named = sheet.select("lane", "index_seq", F.col("sample").alias("near"))
-    lanes = groups.select("lane").distinct()
-    everywhere = named.filter("lane IS NULL").drop("lane").join(F.broadcast(lanes)).select(named.columns)
-    near = rest.join(named.filter("lane IS NOT NULL").unionByName(everywhere), "lane").filter(B.matches(F.col("index_seq"), F.col("barcode"), mismatches))
-    listed = near.groupBy("lane", "barcode").agg(F.array_join(F.sort_array(F.collect_set("near")), ",").alias("near"))
-    return exact.join(listed, ["lane", "barcode"], "left").withColumn("sample", F.coalesce("sample", "near")).drop("near")
+    named = sheet_of(groups, sheet).select(*keys, "index_seq", F.col("sample").alias("near"))
+    near = meet(rest, named, keys).filter(B.matches(F.col("index_seq"), F.col("barcode"), mismatches))
+    listed = near.groupBy(*keys, "barcode").agg(F.array_join(F.sort_array(F.collect_set("near")), ",").alias("near"))
+    return meet(exact, listed, [*keys, "barcode"], "left").withColumn("sample", F.coalesce("sample", "near")).drop("near")
 
 
 #: Pairs of distinct barcodes and reference indexes that are tried one by one.
@@ -204,35 +251,46 @@ def collisions(sheet: DataFrame, mismatches: int | Column, use: str = "all") ->
 
 def mismatch_limit(sheet: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """1 for a lane whose shortest index has 6 places or more, unless that makes
-    indexes collide; else 0. Lanes without a sheet row go by the shortest barcode
-    of the counts `found`."""
+    indexes collide; else 0. Sheet rows without a lane are a lane of their own, and
+    their limit is that of all lanes of the counts `found` that the sheet does not
+    name; without such rows those lanes go by the shortest barcode of the counts."""
     shortest = sheet.groupBy("lane").agg(F.min(F.length("index_seq")).alias("shortest"))
-    if found is not None:
-        others = found.groupBy("lane").agg(F.min(B.barcode_length(F.col("barcode"))).alias("shortest"))
-        shortest = shortest.unionByName(others.join(shortest.select("lane"), "lane", "left_anti"))
     clash = collisions(sheet, 1).groupBy("lane").agg(F.count("*").alias("n_collisions"))
+    known = meet(shortest, clash, ["lane"], "left")
+    if found is not None:
+        found = found.filter("scope = 'lane'") if "scope" in found.columns else found
+        others = meet(found.groupBy("lane").agg(F.min(B.barcode_length(F.col("barcode"))).alias("_counted")), known, ["lane"], "left_anti")
+        whole = known.filter("lane IS NULL").agg(F.count("*").alias("_given"), F.max("shortest").alias("_s"), F.max("n_collisions").alias("_c"))
+        given = others.join(F.broadcast(whole)).select(
+            "lane", F.when(F.col("_given") > 0, F.col("_s")).otherwise(F.col("_counted")).alias("shortest"), F.col("_c").alias("n_collisions")
+        )
+        known = known.unionByName(given)
     ok = (F.col("shortest") >= 6) & F.col("n_collisions").isNull()
-    return shortest.join(clash, "lane", "left").select("lane", F.when(ok, 1).otherwise(0).alias("mismatches"))
+    return known.select("lane", F.when(ok, 1).otherwise(0).alias("mismatches"))
 
 
 def underrepresented(reported: DataFrame, sheet: DataFrame) -> DataFrame:
     """Sheet samples of a lane that no reported barcode has; with the reads of
     their barcode if it is reported still. Comma lists are taken apart first."""
-    found = reported.filter("sample IS NOT NULL").select("lane", F.explode(F.split("sample", ",")).alias("sample")).distinct()
-    kept = reported.select("lane", F.col("barcode").alias("index_seq"), "n")
-    return sheet.join(found, ["lane", "sample"], "left_anti").join(kept, ["lane", "index_seq"], "left").select("lane", "sample", "index_seq", "n")
+    keys = keys_of(reported)
+    found = reported.filter("sample IS NOT NULL").select(*keys, F.explode(F.split("sample", ",")).alias("sample")).distinct()
+    kept = reported.select(*keys, F.col("barcode").alias("index_seq"), "n")
+    rows = meet(sheet_of(reported, sheet).select(*keys, "sample", "index_seq"), found, [*keys, "sample"], "left_anti")
+    return meet(rows, kept, [*keys, "index_seq"], "left").select(*keys, "sample", "index_seq", "n")
 
 
 def overrepresented(reported: DataFrame) -> DataFrame:
     """Barcodes without a sample that rank above the lowest that has one."""
-    lowest = reported.filter("sample IS NOT NULL").groupBy(F.col("lane").alias("_lane")).agg(F.max("rank").alias("_lowest"))
-    lower = reported.join(checked_broadcast(lowest), F.col("lane").eqNullSafe(F.col("_lane")))
-    return lower.filter("sample IS NULL AND rank < _lowest").drop("_lane", "_lowest")
+    keys = keys_of(reported)
+    lowest = reported.filter("sample IS NOT NULL").groupBy(*keys).agg(F.max("rank").alias("_lowest"))
+    return meet(reported, checked_broadcast(lowest), keys).filter("sample IS NULL AND rank < _lowest").drop("_lowest")
 
 
-def report(found: DataFrame, sheet: DataFrame, cutoff: float = 0.001) -> DataFrame:
+def report(found: DataFrame, sheet: DataFrame, cutoff: float = 0.001, all_lanes: bool = False) -> DataFrame:
     """Ranked barcodes above the cut-off with sample, share and running share of
-    the lane's reads (as they were before the cut-off)."""
+    the lane's reads (as they were before the cut-off); with `all_lanes` also those
+    over all lanes. What `found` is counted from is read once."""
+    found = cut(scoped(found) if all_lanes else found)
     kept = above(found, cutoff)
     rows = placed(kept.withColumnRenamed("lane_total", "_all")).drop("lane_total").withColumnRenamed("_all", "lane_total")
     return with_samples(rows, sheet).withColumns(
@@ -240,25 +298,46 @@ def report(found: DataFrame, sheet: DataFrame, cutoff: float = 0.001) -> DataFra
     )
 
 
+def coverage(found: DataFrame, listed: DataFrame, name: str) -> DataFrame:
+    """Each lane's reads, the number of listed barcodes (or groups), the reads that they
+    cover, and the share; zeros where nothing is listed."""
+    keys = keys_of(found)
+    sums = listed.groupBy(*keys).agg(F.count("*").alias(name), F.sum("n").alias("coverage"))
+    rows = meet(found.groupBy(*keys).agg(F.sum("n").alias("total_reads")), sums, keys, "left")
+    rows = rows.withColumns({c: F.coalesce(c, F.lit(0)).cast("long") for c in (name, "coverage")})
+    return rows.withColumn("coverage_percent", B.percent(F.col("coverage"), F.col("total_reads")))
+
+
+def summary(found: DataFrame, reported: DataFrame, sheet: DataFrame) -> DataFrame:
+    """A row for each report: reads, barcodes, coverage, and its problems. `found` has
+    the scopes of `reported`."""
+    reported = cut(reported)  # read several times
+    keys = keys_of(reported)
+    flags = problems(reported, sheet)
+    rows = meet(coverage(found, reported, "n_barcodes"), flags, keys, "left")
+    return rows.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("n_under", "n_over")} | {"has_problems": F.coalesce("has_problems", F.lit(False))})
+
+
 def analyse(found: DataFrame, groups: DataFrame, sheet: DataFrame, mismatches: int) -> tuple[DataFrame, DataFrame]:
     """Groups (lane, barcode, n, n_sequences) with sample, rank and shares, and for each
-    lane its reads, its groups and the reads that they cover."""
+    lane its reads, its groups and the reads that they cover. `found` has the scopes
+    of `groups`."""
+    keys = keys_of(groups)
     rows = placed(groups).drop("lane_total")
-    totals_ = found.groupBy("lane").agg(F.sum("n").alias("total_reads"))
-    rows = closest_samples(rows, sheet, mismatches).join(totals_, "lane")
+    rows = meet(closest_samples(rows, sheet, mismatches), found.groupBy(*keys).agg(F.sum("n").alias("total_reads")), keys)
     rows = rows.withColumns({"percent": B.percent(F.col("n"), F.col("total_reads")), "cumulative_percent": B.percent(F.col("cumulative"), F.col("total_reads"))})
-    covered = groups.groupBy("lane").agg(F.count("*").alias("n_groups"), F.sum("n").alias("coverage"))
-    summary = totals_.join(covered, "lane", "left").select("lane", "total_reads", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_groups", "coverage")])
-    return rows, summary.withColumn("coverage_percent", B.percent(F.col("coverage"), F.col("total_reads")))
+    return rows, coverage(found, groups, "n_groups")
 
 
 def problems(reported: DataFrame, sheet: DataFrame) -> DataFrame:
-    """lane -> whether samples are missing or unknown barcodes abound."""
-    reported = cut(reported)  # read twice
-    lanes = sheet.select("lane").distinct()
-    under = underrepresented(reported, sheet).groupBy("lane").agg(F.count("*").alias("n_under"))
-    over = overrepresented(reported).groupBy("lane").agg(F.count("*").alias("n_over"))
+    """lane -> whether samples are missing or unknown barcodes abound: the lanes of the
+    sheet and of the report."""
+    reported = cut(reported)  # read several times
+    keys = keys_of(reported)
+    lanes = sheet_of(reported, sheet).select(keys).union(reported.select(keys)).distinct()
+    under = underrepresented(reported, sheet).groupBy(*keys).agg(F.count("*").alias("n_under"))
+    over = overrepresented(reported).groupBy(*keys).agg(F.count("*").alias("n_over"))
     n = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return lanes.join(under, "lane", "left").join(over, "lane", "left").select(
-        "lane", n("n_under").cast("long").alias("n_under"), n("n_over").cast("long").alias("n_over"), (n("n_under") + n("n_over") > 0).alias("has_problems")
+    return meet(meet(lanes, under, keys, "left"), over, keys, "left").select(
+        *keys, n("n_under").cast("long").alias("n_under"), n("n_over").cast("long").alias("n_over"), (n("n_under") + n("n_over") > 0).alias("has_problems")
     )

@@ -4,7 +4,8 @@ The most frequent barcode left becomes a reference and takes in every barcode le
 that matches it; and so on. That is the first maximal independent set, in rank
 order, of the graph of matches, and each other barcode goes to its earliest
 adjacent reference. Two ways give it: a grouped function over the few barcodes of
-a lane that pass the weeding cut-off, and joins with rounds for any number.
+a lane that pass the weeding cut-off, and joins with rounds for any number. Lanes,
+a missing one too, and all lanes together (`barcodes.scoped`) are grouped alike.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ from ..functions import barcodes as B
 from ..sources.shared import checked_broadcast, cut
 from . import barcodes as C
 
-GROUPS = "lane int, barcode string, n long, reference string"
 #: Barcodes of a lane that one task groups, by comparing each reference with all that are left.
 LANE_ROWS = 20_000
 
@@ -27,16 +27,17 @@ def in_rank_order(found: DataFrame, seeds: DataFrame | None = None) -> DataFrame
     """Rank in the lane: seeds first, in the order given (`seed_order`; without it by
     barcode), then the others by count, ties by barcode. Seeds are few; the others
     are ranked without a window over the lane."""
+    keys = C.keys_of(found)
     if seeds is None:
-        return C.ranked(found).select("lane", "barcode", "n", "rank")
+        return C.ranked(found).select(*keys, "barcode", "n", "rank")
     order = F.col("seed_order") if "seed_order" in seeds.columns else F.col("index_seq")
-    marks = seeds.select("lane", F.col("index_seq").alias("barcode"), order.alias("_order")).groupBy("lane", "barcode").agg(F.min("_order").alias("_order"))
-    marked = found.join(checked_broadcast(marks), ["lane", "barcode"], "left")
-    place = F.row_number().over(Window.partitionBy("lane").orderBy("_order", "barcode")).cast("long")
-    first = cut(marked.filter("_order IS NOT NULL").withColumn("rank", place).select("lane", "barcode", "n", "rank"))
-    ahead = checked_broadcast(first.groupBy("lane").agg(F.count("*").alias("_ahead")))
-    others = C.ranked(marked.filter("_order IS NULL").drop("_order")).join(ahead, "lane", "left")
-    return first.unionByName(others.select("lane", "barcode", "n", (F.col("rank") + F.coalesce("_ahead", F.lit(0))).alias("rank")))
+    marks = C.sheet_of(found, seeds).groupBy(*keys, F.col("index_seq").alias("barcode")).agg(F.min(order).alias("_order"))
+    marked = C.meet(found, checked_broadcast(marks), [*keys, "barcode"], "left")
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("_order", "barcode")).cast("long")
+    first = cut(marked.filter("_order IS NOT NULL").withColumn("rank", place).select(*keys, "barcode", "n", "rank"))
+    ahead = checked_broadcast(first.groupBy(*keys).agg(F.count("*").alias("_ahead")))
+    others = C.meet(C.ranked(marked.filter("_order IS NULL").drop("_order")), ahead, keys, "left")
+    return first.unionByName(others.select(*keys, "barcode", "n", (F.col("rank") + F.coalesce("_ahead", F.lit(0))).alias("rank")))
 
 
 def weeded(found: DataFrame, fraction: float) -> DataFrame:
@@ -45,6 +46,8 @@ def weeded(found: DataFrame, fraction: float) -> DataFrame:
 
 def group_in_lanes(ranked: DataFrame, mismatches: int) -> DataFrame:
     """lane, barcode, n, reference, by a grouped function: for lanes of few barcodes."""
+    keys = C.keys_of(ranked)
+    schema = ranked.select(*keys, "barcode", "n", F.col("barcode").alias("reference")).schema
 
     def greedy(lane: pd.DataFrame) -> pd.DataFrame:
         lane = lane.sort_values("rank", ignore_index=True)
@@ -64,65 +67,69 @@ def group_in_lanes(ranked: DataFrame, mismatches: int) -> DataFrame:
                 reference[at[k]] = at[k]
                 reference[at[rest[near]]] = at[k]
                 left = rest[~near]
-        return lane.assign(reference=lane["barcode"].to_numpy()[reference])[["lane", "barcode", "n", "reference"]]
+        return lane.assign(reference=lane["barcode"].to_numpy()[reference])[[*keys, "barcode", "n", "reference"]]
 
-    return ranked.groupBy("lane").applyInPandas(greedy, GROUPS)
+    return ranked.groupBy(*keys).applyInPandas(greedy, schema)
 
 
 def matching_pairs(ranked: DataFrame, mismatches: int) -> DataFrame:
-    """lane, early, late (ranks): all matching pairs. Each index is cut into
+    """key, early, late (ranks): all matching pairs. Each index is cut into
     mismatches + 1 pieces; matching barcodes share a piece of every index, so only
     those meet."""
     n = mismatches + 1
     split = F.split("barcode", r"\+")
     part = lambda i: F.coalesce(F.get(split, F.lit(i)), F.lit(""))
     shape = F.array_join(F.transform(split, lambda x: F.length(x).cast("string")), "+")
-    rows = ranked.select("lane", "barcode", "rank", shape.alias("shape"), F.inline(B.pieces(part(0), n)))
+    rows = ranked.select("key", "barcode", "rank", shape.alias("shape"), F.inline(B.pieces(part(0), n)))
     second = F.when(F.size(split) > 1, B.pieces(part(1), n)).otherwise(F.array(F.struct(F.lit(0).alias("k"), F.lit("").alias("piece"))))
-    rows = rows.select("lane", "barcode", "rank", "shape", F.col("k").alias("k1"), F.col("piece").alias("piece1"), F.inline(second))
+    rows = rows.select("key", "barcode", "rank", "shape", F.col("k").alias("k1"), F.col("piece").alias("piece1"), F.inline(second))
     a, b = rows.alias("a"), rows.alias("b")
-    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("lane", "shape", "k1", "piece1", "k", "piece")]
+    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("key", "shape", "k1", "piece1", "k", "piece")]
     pairs = a.join(b, [*same, F.col("a.rank") < F.col("b.rank")]).filter(B.matches(F.col("b.barcode"), F.col("a.barcode"), mismatches))
-    return pairs.select(F.col("a.lane").alias("lane"), F.col("a.rank").alias("early"), F.col("b.rank").alias("late")).distinct()
+    return pairs.select(F.col("a.key").alias("key"), F.col("a.rank").alias("early"), F.col("b.rank").alias("late")).distinct()
 
 
 def group_by_rounds(ranked: DataFrame, mismatches: int) -> DataFrame:
     """The same for any number of barcodes. In a round, a barcode without earlier
     undecided neighbours is decided: member if an earlier neighbour is a
     reference, else a reference itself."""
-    ranked = cut(ranked)
+    keys = C.keys_of(ranked)
+    # One column that is never null stands for scope and lane.
+    ranked = cut(ranked.withColumn("key", F.to_json(F.struct(*keys))))
     edges = cut(matching_pairs(ranked, mismatches))
-    state = ranked.select("lane", F.col("rank").alias("late"), F.lit(None).cast("boolean").alias("is_reference"))
+    state = ranked.select("key", F.col("rank").alias("late"), F.lit(None).cast("boolean").alias("is_reference"))
     while True:
-        early = state.select("lane", F.col("late").alias("early"), F.col("is_reference").alias("of_early"))
-        seen = edges.join(early, ["lane", "early"]).groupBy("lane", "late").agg(
+        early = state.select("key", F.col("late").alias("early"), F.col("is_reference").alias("of_early"))
+        seen = edges.join(early, ["key", "early"]).groupBy("key", "late").agg(
             F.max(F.col("of_early").isNull()).alias("waits"), F.max(F.coalesce("of_early", F.lit(False))).alias("taken")
         )
         told = F.when(F.col("taken"), F.lit(False)).when(~F.coalesce("waits", F.lit(False)), F.lit(True))
-        state = cut(state.join(seen, ["lane", "late"], "left").select("lane", "late", F.coalesce("is_reference", told).alias("is_reference")))
+        state = cut(state.join(seen, ["key", "late"], "left").select("key", "late", F.coalesce("is_reference", told).alias("is_reference")))
         if state.filter("is_reference IS NULL").isEmpty():
             break
-    references = state.filter("is_reference").select("lane", F.col("late").alias("early"))
-    own = edges.join(references, ["lane", "early"]).groupBy("lane", "late").agg(F.min("early").alias("r"))
-    placed = state.join(own, ["lane", "late"], "left").select("lane", F.col("late").alias("rank"), F.when(F.col("is_reference"), F.col("late")).otherwise(F.col("r")).alias("r"))
-    names = ranked.select("lane", F.col("rank").alias("r"), F.col("barcode").alias("reference"))
-    return ranked.join(placed, ["lane", "rank"]).join(names, ["lane", "r"]).select("lane", "barcode", "n", "reference")
+    references = state.filter("is_reference").select("key", F.col("late").alias("early"))
+    own = edges.join(references, ["key", "early"]).groupBy("key", "late").agg(F.min("early").alias("r"))
+    placed = state.join(own, ["key", "late"], "left").select("key", F.col("late").alias("rank"), F.when(F.col("is_reference"), F.col("late")).otherwise(F.col("r")).alias("r"))
+    names = ranked.select("key", F.col("rank").alias("r"), F.col("barcode").alias("reference"))
+    return ranked.join(placed, ["key", "rank"]).join(names, ["key", "r"]).select(*keys, "barcode", "n", "reference")
 
 
 def grouped(
-    found: DataFrame, mismatches: int = 2, cutoff: float | None = None, seeds: DataFrame | None = None, fraction: float = 1e-6, by_rounds: bool | None = None
+    found: DataFrame, mismatches: int = 2, cutoff: float | None = None, seeds: DataFrame | None = None, fraction: float = 1e-6, by_rounds: bool | None = None, all_lanes: bool = False
 ) -> DataFrame:
     """lane, reference, n_sequences, n of each group. Groups below the cut-off are
     dropped after they have taken in their members. Lanes are grouped by a function
     where the largest keeps `LANE_ROWS` barcodes at most, by rounds of joins beyond;
-    `by_rounds` says so beforehand. The groups are the same."""
+    `by_rounds` says so beforehand. The groups are the same. With `all_lanes` barcodes
+    are also grouped over all lanes, in the same pass."""
+    found = cut(C.scoped(found) if all_lanes else found)
+    keys = C.keys_of(found)
     kept = in_rank_order(weeded(found, fraction), seeds)
     if by_rounds is None:
-        kept = cut(kept)
-        by_rounds = (kept.groupBy("lane").count().agg(F.max("count")).first()[0] or 0) > LANE_ROWS
+        by_rounds = (weeded(found, fraction).groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) > LANE_ROWS
     members = (group_by_rounds if by_rounds else group_in_lanes)(kept, mismatches)
-    groups = members.groupBy("lane", "reference").agg(F.count("*").alias("n_sequences"), F.sum("n").alias("n"))
+    groups = members.groupBy(*keys, "reference").agg(F.count("*").alias("n_sequences"), F.sum("n").alias("n"))
     if cutoff is not None:
-        total = found.groupBy("lane").agg(F.sum("n").alias("_t"))
-        groups = groups.join(total, "lane").filter(F.col("n") >= F.floor(F.col("_t") * cutoff)).drop("_t")
+        totals = checked_broadcast(found.groupBy(*keys).agg(F.sum("n").alias("_t")))
+        groups = C.meet(groups, totals, keys).filter(F.col("n") >= F.floor(F.col("_t") * cutoff)).drop("_t")
     return groups

@@ -372,6 +372,21 @@ def j07_collisions_of_one_index(sheet):
     return C.collisions(rows, 1, "1").withColumn("distance", F.col("distance").cast("long"))
 
 
+WHOLE = "(SELECT DISTINCT sample, index_seq FROM sample_sheet)"
+
+
+@query("reads", "sample_sheet", sql=f"""
+WITH s AS (SELECT *, CAST(substr(sample, 2) AS INT) AS line_no FROM {WHOLE} w),
+c AS (SELECT count(*) AS n FROM s a JOIN s b ON a.line_no < b.line_no WHERE {_apart('a.index_seq', 'b.index_seq')} < 3),
+l AS (SELECT DISTINCT lane FROM reads UNION ALL SELECT NULL)
+SELECT l.lane, CASE WHEN (SELECT min(length(index_seq)) FROM s) >= 6 AND c.n = 0 THEN 1 ELSE 0 END AS mismatches FROM l, c""")
+def a37_mismatch_limit_without_lanes(reads, sheet):
+    """A sheet that names no lanes: its limit holds for all lanes that have reads."""
+    rows = sheet.select("sample", "index_seq").distinct()
+    rows = rows.withColumns({"lane": F.lit(None).cast("int"), "line_no": F.substring("sample", 2, 9).cast("int")})
+    return C.mismatch_limit(rows, C.counts(reads))
+
+
 @query("sample_sheet", sql=f"""WITH c AS (SELECT DISTINCT lane FROM ({COLLIDE}) t WHERE distance < 3)
 SELECT s.lane, CASE WHEN min(length(index_seq)) >= 6 AND s.lane NOT IN (SELECT lane FROM c) THEN 1 ELSE 0 END AS mismatches FROM sample_sheet s GROUP BY s.lane""")
 def a37_mismatch_limit(sheet):
@@ -518,6 +533,47 @@ def g05_problem_flag(reads, sheet):
     return C.problems(_report(reads, sheet), sheet)
 
 
+#: Reads of which some have no lane, over lanes and over all: barcode counts by scope.
+UNLANED = "(SELECT CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE lane END AS lane, barcode FROM reads)"
+SCOPED = f"""SELECT scope, lane, barcode, n, CAST(sum(n) OVER w AS BIGINT) AS lane_total, CAST(sum(n) OVER (w ORDER BY n DESC, barcode ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cumulative,
+ row_number() OVER (w ORDER BY n DESC, barcode) AS rank FROM (SELECT CASE WHEN grouping(lane) = 1 THEN 'all' ELSE 'lane' END AS scope, lane, barcode, count(*) AS n
+ FROM {UNLANED} u GROUP BY GROUPING SETS ((lane, barcode), (barcode))) c WINDOW w AS (PARTITION BY scope, lane)"""
+ALL_LANES = f"""SELECT c.*, CASE WHEN scope = 'all' THEN a.samples ELSE s.sample END AS sample FROM ({SCOPED}) c LEFT JOIN sample_sheet s ON s.lane = c.lane AND s.index_seq = c.barcode
+ LEFT JOIN (SELECT index_seq, string_agg(DISTINCT sample, ',' ORDER BY sample) AS samples FROM sample_sheet GROUP BY index_seq) a ON a.index_seq = c.barcode WHERE n >= floor(lane_total * 0.001)"""
+
+
+def _unlaned(reads):
+    return C.counts(reads.withColumn("lane", F.when(F.col("l_orderkey") % 7 != 0, F.col("lane"))))
+
+
+@query("reads", "sample_sheet", sql=f"SELECT *, n * CAST(100 AS DOUBLE) / lane_total AS percent, cumulative * CAST(100 AS DOUBLE) / lane_total AS cumulative_percent FROM ({ALL_LANES}) r", longs="rank")
+def g04_report_all_lanes(reads, sheet):
+    """Each lane's report, that of reads without a lane, and that over all lanes."""
+    return C.report(_unlaned(reads), sheet, 0.001, all_lanes=True)
+
+
+@query("reads", "sample_sheet", sql=f"""
+WITH r AS ({ALL_LANES}), t AS (SELECT scope, lane, CAST(sum(n) AS BIGINT) AS total_reads FROM ({SCOPED}) c GROUP BY scope, lane),
+s AS (SELECT 'lane' AS scope, lane, sample FROM sample_sheet UNION ALL SELECT DISTINCT 'all', CAST(NULL AS INT), sample FROM sample_sheet),
+f AS (SELECT DISTINCT scope, lane, unnest(string_split(sample, ',')) AS sample FROM r WHERE sample IS NOT NULL),
+u AS (SELECT s.scope, s.lane, count(*) AS n FROM s LEFT JOIN f ON f.scope = s.scope AND f.lane IS NOT DISTINCT FROM s.lane AND f.sample = s.sample WHERE f.sample IS NULL GROUP BY s.scope, s.lane),
+o AS (SELECT scope, lane, count(*) AS n FROM (SELECT *, max(rank) FILTER (sample IS NOT NULL) OVER (PARTITION BY scope, lane) AS lowest FROM r) x WHERE sample IS NULL AND rank < lowest GROUP BY scope, lane),
+k AS (SELECT scope, lane, count(*) AS n, CAST(sum(n) AS BIGINT) AS coverage FROM r GROUP BY scope, lane)
+SELECT t.scope, t.lane, total_reads, coalesce(k.n, 0) AS n_barcodes, coalesce(k.coverage, 0) AS coverage, coalesce(k.coverage, 0) * CAST(100 AS DOUBLE) / total_reads AS coverage_percent,
+ coalesce(u.n, 0) AS n_under, coalesce(o.n, 0) AS n_over, coalesce(u.n, 0) + coalesce(o.n, 0) > 0 AS has_problems FROM t
+ LEFT JOIN k ON k.scope = t.scope AND k.lane IS NOT DISTINCT FROM t.lane LEFT JOIN u ON u.scope = t.scope AND u.lane IS NOT DISTINCT FROM t.lane
+ LEFT JOIN o ON o.scope = t.scope AND o.lane IS NOT DISTINCT FROM t.lane""")
+def g04_report_summary(reads, sheet):
+    """The reports' summary rows, in exact mode."""
+    found = shared.cut(C.scoped(_unlaned(reads)))
+    return C.summary(found, C.report(found, sheet, 0.001), sheet)
+
+
+@query("reads")
+def g01_group_all_lanes(reads):
+    return G.grouped(_unlaned(reads), 2, cutoff=0.001, all_lanes=True)
+
+
 @query("reads")
 def g01_group_barcodes(reads):
     return G.grouped(C.counts(reads), 2)

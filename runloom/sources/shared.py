@@ -36,10 +36,13 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """`df`, cut, and marked for broadcast if it has few rows. Beyond the bound Spark
-    joins it by a shuffle."""
-    df = cut(df)
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """`df`, marked for broadcast if it has few rows: they are fetched once, and the
+    plan goes on from them. Beyond the bound no more than it is fetched; `df` is then
+    cut, and Spark joins it by a shuffle."""
+    found = df.limit(rows + 1).toArrow()
+    if found.num_rows > rows:
+        return cut(df)
+    return F.broadcast(df.sparkSession.createDataFrame(found, df.schema))
 
 
 def opened(path: str):

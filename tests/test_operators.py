@@ -66,7 +66,7 @@ def test_matching_is_by_index(spark):
 
 def test_names(spark):
     cases = {
-        "PB1_S4_L002_R2_001.fastq.gz": ("PB1", 4, None, 2, 2, 1, False), "NH1_ChIP_ACAGTG_L003_R1_001.fastq": ("NH1_ChIP", None, "ACAGTG", 3, 1, 1, False),
+        "PB1_S4_L002_R2_001.fastq.gz": ("PB1", 4, None, 2, 2, 1, False), "LIV_a_ACAGTG_L003_R1_001.fastq": ("LIV_a", None, "ACAGTG", 3, 1, 1, False),
         "sample_x_I1.fastq": ("sample_x", None, None, None, 1, None, True), "R1": ("R1", None, None, None, None, None, False),
     }
     df = spark.createDataFrame([(k,) for k in cases], "f string")
@@ -310,3 +310,72 @@ def test_lanes_and_series_are_no_windows_over_rows(spark, sf_dir):
 
     plan = lambda name: QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert all("Window" not in plan(n) for n in ("p03_cutoff", "p04_weeding", "a34_rebin", "a35_rescale"))
+
+
+def with_and_without_lanes(seed):
+    return [*random_counts(seed, 2, 80), *[(None, b, n) for _, b, n in random_counts(seed + 1, 1, 80)]]
+
+
+@pytest.mark.parametrize("cutoff", [None, 0.02])
+def test_both_ways_of_grouping_keep_missing_lanes_and_all_lanes(spark, cutoff):
+    df = counted(spark, with_and_without_lanes(11))
+    found = [tuple(x) for x in df.collect()]
+    want = []
+    for scope, lane in [("lane", 1), ("lane", 2), ("lane", None), ("all", None)]:
+        total = {}
+        for x, b, n in found:
+            if scope == "all" or x == lane:
+                total[b] = total.get(b, 0) + n
+        groups = greedy_in_order(sorted(total.items(), key=lambda x: (-x[1], x[0])), 1)
+        want += [(scope, lane, *g) for g in groups if g[2] >= int(sum(total.values()) * (cutoff or 0))]
+    for rounds in (False, True):
+        rows = G.grouped(df, 1, cutoff=cutoff, by_rounds=rounds, all_lanes=True).collect()
+        assert sorted(((r.scope, r.lane, r.reference, r.n_sequences, r.n) for r in rows), key=str) == sorted(want, key=str)
+
+
+def test_reports_of_reads_without_a_lane(spark):
+    df = spark.createDataFrame([(None, "AAAA", 9), (None, "CCCC", 5), (None, "GGGG", 3), (1, "AAAA", 4)], "lane int, barcode string, n long")
+    sheet = spark.createDataFrame([(None, "AAAA", "a"), (None, "GGGG", "g"), (1, "TTTT", "t")], "lane int, index_seq string, sample string")
+    reported = C.report(df, sheet, 0.01, all_lanes=True)
+    got = {(r.scope, r.lane, r.barcode): (r.n, r["rank"], r.sample) for r in reported.collect()}
+    assert got == {
+        ("lane", None, "AAAA"): (9, 1, "a"), ("lane", None, "CCCC"): (5, 2, None), ("lane", None, "GGGG"): (3, 3, "g"), ("lane", 1, "AAAA"): (4, 1, "a"),
+        ("all", None, "AAAA"): (13, 1, "a"), ("all", None, "CCCC"): (5, 2, None), ("all", None, "GGGG"): (3, 3, "g"),
+    }
+    under = {(r.scope, r.lane, r.sample, r.n) for r in C.underrepresented(reported, sheet).collect()}
+    assert under == {("lane", 1, "t", None), ("lane", 1, "g", None), ("all", None, "t", None)}
+    assert {(r.scope, r.lane, r.barcode) for r in C.overrepresented(reported).collect()} == {("lane", None, "CCCC"), ("all", None, "CCCC")}
+    found = C.scoped(df)
+    rows = {(r.scope, r.lane): (r.total_reads, r.n_barcodes, r.coverage, r.n_under, r.n_over, r.has_problems) for r in C.summary(found, reported, sheet).collect()}
+    assert rows == {("lane", None): (17, 3, 17, 0, 1, True), ("lane", 1): (4, 1, 4, 2, 0, True), ("all", None): (21, 3, 21, 1, 1, True)}
+
+
+def test_analysis_of_missing_lanes_and_of_all(spark):
+    df = spark.createDataFrame([(None, "AAAA", 50), (None, "AAAC", 5), (1, "AAAA", 7), (1, "CTCT", 3)], "lane int, barcode string, n long")
+    sheet = spark.createDataFrame([(None, "AAAT", "near")], "lane int, index_seq string, sample string")
+    found = C.scoped(df)
+    groups = G.grouped(df, 1, all_lanes=True).withColumnRenamed("reference", "barcode")
+    rows, summary = C.analyse(found, groups, sheet, 1)
+    assert {(r.scope, r.lane, r.barcode, r.n, r.sample, r["rank"]) for r in rows.collect()} == {
+        ("lane", None, "AAAA", 55, "near", 1), ("lane", 1, "AAAA", 7, "near", 1), ("lane", 1, "CTCT", 3, None, 2),
+        ("all", None, "AAAA", 62, "near", 1), ("all", None, "CTCT", 3, None, 2),
+    }
+    assert {(r.scope, r.lane, r.total_reads, r.n_groups, r.coverage) for r in summary.collect()} == {("lane", None, 55, 1, 55), ("lane", 1, 10, 2, 10), ("all", None, 65, 2, 65)}
+
+
+def test_limits_of_a_sheet_without_lanes(spark):
+    sheet = lambda *i: spark.createDataFrame([(None, f"S{k}", x, k) for k, x in enumerate(i)], "lane int, sample string, index_seq string, line_no int")
+    found = spark.createDataFrame([(1, "ACG", 5), (None, "AC", 1)], "lane int, barcode string, n long")
+    limits = lambda s: {r.lane: r.mismatches for r in C.mismatch_limit(s, found).collect()}
+    assert limits(sheet("AAAAAA", "AAAAAC")) == {None: 0, 1: 0}
+    assert limits(sheet("AAAAAA", "CCCCCC")) == {None: 1, 1: 1}
+
+
+def test_many_rare_barcodes_with_one_beginning_are_no_task_of_their_own(spark):
+    """A million barcodes with one read each: places of a plain sort, dealt out by ranges;
+    the reads are counted once."""
+    rare = spark.range(1_000_000).select(F.lit(1).alias("lane"), F.concat(F.lit("ACGTACGT"), F.lpad(F.conv(F.col("id"), 10, 4), 10, "0")).alias("barcode"), F.lit(1).cast("long").alias("n"))
+    rows = C.placed(rare.repartition(8))
+    assert rows.agg(F.sum((F.col("rank") != F.col("cumulative")).cast("int")), F.min("rank"), F.max("rank"), F.countDistinct("rank")).first()[:] == (0, 1, 1_000_000, 1_000_000)
+    first = rows.orderBy("barcode").limit(3).collect()
+    assert [r["rank"] for r in first] == [1, 2, 3]
