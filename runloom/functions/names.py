@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: `<sample>[_S<n>|_<barcode>][_L<lane>][_R|I<read>][_<set>]`; the sample keeps at least one field.
-ILLUMINA = r"^(.+?)(?:_S([0-9]+)|_([ACGTN]+(?:-[ACGTN]+)?))?(?:_L([0-9]{3}))?(?:_([RI])([0-9]))?(?:_([0-9]{3}))?$"
+#: The tag of one index or several, which `-` or `+` joins.
+TAG = "(?:[ACGTN-]+|[ACGTN+]+)"
+#: Fields of a name, joined by `_`, in their order from the right: set, read, lane, tag or sample number.
+FIELDS = (("set", "[0-9]{3}", 1), ("read", "[RI][0-9]", 2), ("lane", "L[0-9]{3}", 3), ("tag", TAG, 4), ("number", "S[0-9]+", 4))
 #: `<sample>[.<barcode>].r<n>`
-DOTTED = r"^(.+?)(?:\.([ACGTN]+(?:-[ACGTN]+)?))?(?:\.r([0-9]))?$"
+DOTTED = rf"^(.+?)(?:\.({TAG}))?(?:\.r([0-9]))?$"
 #: `SRR…` or `ERR…`, with `_1` or `_2`
 ACCESSION = r"^([SE]RR[0-9]+)(?:_([12]))?$"
 
@@ -37,12 +40,32 @@ def _given(x: Column) -> Column:
     return F.nullif(x, F.lit(""))
 
 
+def peeled(name: Column) -> Column:
+    """What a name's fields are, taken off one by one from the right: a field is kept in
+    mind if it is of a kind that comes before those already seen; the first that is
+    not, and all before it, are the sample. The last field left is never taken off."""
+    fields = F.split(name, "_")
+
+    def step(seen: Column, field: Column) -> Column:
+        kinds = [(k, field.rlike(f"^{form}$"), rank) for k, form, rank in FIELDS]
+        rank = reduce(lambda rest, kind: F.when(kind[1], kind[2]).otherwise(rest), reversed(kinds), F.lit(0))
+        fits = (rank > seen["rank"]) & (seen["taken"] + 1 < F.size(fields))
+        return F.struct(
+            F.when(fits, rank).otherwise(F.lit(9)).alias("rank"), (seen["taken"] + fits.cast("int")).alias("taken"),
+            *[F.when(fits & is_kind, field).otherwise(seen[k]).alias(k) for k, is_kind, _ in kinds],
+        )
+
+    start = F.struct(F.lit(0).alias("rank"), F.lit(0).alias("taken"), *[F.lit(None).cast("string").alias(k) for k, _, _ in FIELDS])
+    sample = lambda seen: F.array_join(F.slice(fields, 1, F.size(fields) - seen["taken"]), "_").alias("sample")
+    return F.aggregate(F.reverse(fields), start, step, lambda seen: F.struct(sample(seen), *[seen[k].alias(k) for k, _, _ in FIELDS]))
+
+
 def illumina_attrs(path: Column) -> dict[str, Column]:
-    name = basename(path)
-    part = lambda i: _given(F.regexp_extract(name, ILLUMINA, i))
+    seen = peeled(basename(path))
+    number = lambda k, at: F.substring(seen[k], at, 9).cast("int")
     return {
-        "sample_name": part(1), "sample_number": part(2).cast("int"), "barcode_sequence": part(3), "lane_number": part(4).cast("int"),
-        "read_number": part(6).cast("int"), "set_number": part(7).cast("int"), "is_index_read": F.coalesce(part(5) == "I", F.lit(False)),
+        "sample_name": _given(seen["sample"]), "sample_number": number("number", 2), "barcode_sequence": seen["tag"], "lane_number": number("lane", 2),
+        "read_number": number("read", 2), "set_number": number("set", 1), "is_index_read": F.coalesce(F.substring(seen["read"], 1, 1) == "I", F.lit(False)),
     }
 
 
@@ -65,10 +88,17 @@ def accession_attrs(path: Column) -> dict[str, Column]:
 
 
 def canonical_and_extras(path: Column) -> tuple[Column, Column]:
-    """The part that is an Illumina name with a read, and what follows it."""
-    form = r"^(.+?_[RI][0-9](?:_[0-9]{3})?)((?:_[^_]+)*)$"
+    """The longest part from the left whose last field tells something (a set, read,
+    lane, tag or sample number, or a dotted tag or read), and what follows it; the
+    whole name, if there is no such part."""
     name = basename(path)
-    return F.when(name.rlike(form), F.regexp_extract(name, form, 1)).otherwise(name), _given(F.regexp_extract(name, form, 2))
+    fields = F.split(name, "_")
+    fewer = F.sequence(F.size(fields), F.lit(1), F.lit(-1))
+    plain = rf"^[^.]+_(?:{'|'.join(form for _, form, _ in FIELDS)})$"
+    dotted = rf"^.+\.(?:{TAG}|r[0-9])$"
+    parts = F.transform(fewer, lambda n: F.array_join(F.slice(fields, F.lit(1), n), "_"))
+    canonical = F.coalesce(F.get(F.filter(parts, lambda x: x.rlike(plain) | x.rlike(dotted)), F.lit(0)), name)
+    return canonical, _given(F.substring(name, F.length(canonical) + 1, F.length(name)))
 
 
 def rebuilt(sample, number, barcode, lane, read, set_number, is_index) -> Column:
@@ -200,17 +230,71 @@ def glob_like(name: Column, pattern: str) -> Column:
     return name.rlike(f"^(?:{form})\\z")
 
 
+class CustomNames:
+    """Names by a pattern of `{SAMPLE}`, `{READ}` and `*` around literal parts, without
+    extension. Called with a path it gives the sample and the read number, null where the
+    name doesn't fit; `renamed` and `bam_name` rebuild the name, with what the wildcards
+    held. Sample and wildcards are as long as they can be, from left to right; reads
+    are 1 to 3. Names of BAM files have no read, nor the `_R` or `_` before it; other
+    separators that would end such a name go too."""
+
+    READ = "[1-3]"
+
+    def __init__(self, pattern: str):
+        tokens = [t for t in re.split(r"(\{[^}]*\}|\*)", pattern) if t]
+        unknown = [t for t in tokens if t.startswith("{") and t not in ("{SAMPLE}", "{READ}")]
+        if unknown:
+            raise ValueError(f"unknown marks: {', '.join(unknown)}")
+        self.tokens, self.without_read = tokens, []
+        for t in tokens:
+            if t != "{READ}":
+                self.without_read.append(t)
+            elif self.without_read and self._literal(self.without_read[-1]):
+                self.without_read[-1] = re.sub("(_R|_)$", "", self.without_read[-1])
+        if self.without_read and self._literal(self.without_read[-1]):
+            self.without_read[-1] = self.without_read[-1].rstrip("_-.")
+
+    @staticmethod
+    def _literal(token: str) -> bool:
+        return token not in ("{SAMPLE}", "{READ}", "*")
+
+    def _form(self, tokens: list[str]) -> str:
+        parts = {"{SAMPLE}": "(.+)", "{READ}": f"({self.READ})", "*": "(.*)"}
+        return f"^{''.join(parts.get(t) or re.escape(t) for t in tokens)}$"
+
+    def _read(self, path: Column, tokens: list[str]) -> list[tuple[str, Column]]:
+        """Each token and what it stands for in the name."""
+        name, form, marks, out = basename(path), self._form(tokens), 0, []
+        for t in tokens:
+            marks += not self._literal(t)
+            out.append((t, F.lit(t) if self._literal(t) else F.regexp_extract(name, form, marks)))
+        return out
+
+    def _value(self, path: Column, mark: str) -> Column:
+        found = lambda tokens: next((c for t, c in self._read(path, tokens) if t == mark), F.lit(""))
+        return _given(F.when(file_type(path) == "bam", found(self.without_read)).otherwise(found(self.tokens)))
+
+    def __call__(self, path: Column) -> dict[str, Column]:
+        return {"sample_name": self._value(path, "{SAMPLE}"), "read_number": self._value(path, "{READ}").cast("int")}
+
+    def _rebuilt(self, path: Column, tokens: list[str], read: Column) -> Column:
+        def of(own: list[str]) -> Column:
+            held = [c for t, c in self._read(path, own) if not self._literal(t) and t != "{READ}"]
+            parts = [F.lit(t) if self._literal(t) else read.cast("string") if t == "{READ}" else held.pop(0) for t in tokens]
+            return F.when(basename(path).rlike(self._form(own)), F.concat(*parts)).otherwise(basename(path))
+
+        return F.when(file_type(path) == "bam", of(self.without_read)).otherwise(of(self.tokens))
+
+    def renamed(self, path: Column, read: Column | None = None) -> Column:
+        """The name with another read, or its own; without any it is the BAM name. A
+        name that doesn't fit is kept."""
+        read = self._value(path, "{READ}") if read is None else read
+        return F.coalesce(self._rebuilt(path, self.tokens, read), self.bam_name(path))
+
+    def bam_name(self, path: Column) -> Column:
+        return self._rebuilt(path, self.without_read, F.lit(""))
+
+
 def custom_attrs(path: Column, pattern: str) -> dict[str, Column]:
-    """A pattern with `{SAMPLE}`, `{READ}` and `*`; its other parts are literal.
-    Columns are null where the name doesn't fit."""
-    groups, form = [], ""
-    for piece in re.split(r"(\{SAMPLE\}|\{READ\}|\*)", pattern):
-        if piece in ("{SAMPLE}", "{READ}"):
-            groups.append(piece[1:-1])
-            form += "(.+?)" if piece == "{SAMPLE}" else "([0-9])"
-        else:
-            form += ".*?" if piece == "*" else re.escape(piece)
-    name = basename(path)
-    value = {g: _given(F.regexp_extract(name, f"^{form}$", i + 1)) for i, g in enumerate(groups)}
-    none = F.lit(None).cast("string")
-    return {"sample_name": value.get("SAMPLE", none), "read_number": value.get("READ", none).cast("int")}
+    """Sample and read number by a pattern of `CustomNames`."""
+    return CustomNames(pattern)(path)

@@ -21,9 +21,13 @@ KEPT = ("sample_name", "sample_number", "barcode_sequence", "lane_number", "read
 
 
 def stem(path: Column, extract=N.illumina_attrs) -> Column:
-    """Directory, and the name with read 1: what files of one set share."""
+    """Directory, and the name with read 1: what files of one set share. An extractor
+    that can rebuild names (`names.CustomNames`) does so itself."""
+    folder = F.regexp_extract(path, "^(.*/)?[^/]*$", 1)
+    if hasattr(extract, "renamed"):
+        return F.concat(folder, extract.renamed(path, F.lit(1)))
     a = attributes(extract, path) | {"read_number": F.lit(1), "is_index_read": F.lit(False)}
-    return F.concat(F.regexp_extract(path, "^(.*/)?[^/]*$", 1), N.rebuilt(*[a[k] for k in KEPT]))
+    return F.concat(folder, N.rebuilt(*[a[k] for k in KEPT]))
 
 
 def pairs_by_name(files: DataFrame, extract=N.illumina_attrs) -> DataFrame:
@@ -73,13 +77,41 @@ def select_files(files: DataFrame, selectors, extract=N.illumina_attrs) -> DataF
     return files.filter(keep).select("fastq").distinct().orderBy("fastq")
 
 
-def completeness(files: DataFrame, outputs: DataFrame, present: DataFrame) -> DataFrame:
-    """fastq; suffix of each expected output (a short list); fastq, suffix found ->
-    fastq, n_expected, n_missing, ok."""
-    expected = files.select("fastq").join(F.broadcast(outputs.select("suffix")))
-    found = present.select("fastq", "suffix", F.lit(1).alias("found")).distinct()
-    sums = expected.join(found, ["fastq", "suffix"], "left").groupBy("fastq").agg(F.count("*").alias("n_expected"), F.count(F.when(F.col("found").isNull(), 1)).alias("n_missing"))
-    return sums.withColumn("ok", F.when(F.col("n_expected") > 0, F.col("n_missing") == 0))
+def expected_outputs(files: DataFrame, rules: list[tuple], extract=N.illumina_attrs) -> DataFrame:
+    """module, fastq, suffix: what quality tools should have made of each file. Rules,
+    a short list, are (module, suffix, reads): of files of those read numbers; with
+    None of all that are no index reads."""
+    a = attributes(extract, F.col("fastq"))
+    wanted = [
+        F.when(~a["is_index_read"] & (F.lit(True) if reads is None else a["read_number"].isin(list(reads))), F.struct(F.lit(module).alias("module"), F.lit(suffix).alias("suffix")))
+        for module, suffix, reads in rules
+    ]
+    return files.select("fastq", F.inline(F.array_compact(F.array(*wanted)))).select("module", "fastq", "suffix")
+
+
+def completeness(files: DataFrame, expected: DataFrame, present: DataFrame) -> DataFrame:
+    """fastq; module, fastq, suffix of each expected output; fastq, suffix found ->
+    fastq, n_expected, n_missing, ok (null where nothing is expected)."""
+    rows = expected.select("fastq", "suffix").distinct()
+    gone = missing(rows, present, ["fastq", "suffix"]).groupBy("fastq").agg(F.count("*").alias("n_missing"))
+    sums = rows.groupBy("fastq").agg(F.count("*").alias("n_expected")).join(gone, "fastq", "left")
+    n = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    out = files.select("fastq").distinct().join(sums, "fastq", "left").select("fastq", n("n_expected"), n("n_missing"))
+    return out.withColumn("ok", F.when(F.col("n_expected") > 0, F.col("n_missing") == 0))
+
+
+def verdict(modules: DataFrame, expected: DataFrame, present: DataFrame) -> DataFrame:
+    """module, n_expected, n_missing, ok of every module, null where nothing is
+    expected of it, and in the row without a module those of all: ok unless a module
+    is not."""
+    rows = expected.select("module", "fastq", "suffix").distinct()
+    gone = missing(rows, present, ["fastq", "suffix"]).groupBy("module").agg(F.count("*").alias("n_missing"))
+    sums = rows.groupBy("module").agg(F.count("*").alias("n_expected")).join(gone, "module", "left")
+    each = modules.select("module").distinct().join(sums, "module", "left")
+    n = lambda c: F.sum(F.coalesce(c, F.lit(0))).cast("long").alias(c)
+    out = each.rollup("module").agg(n("n_expected"), n("n_missing"), F.grouping("module").alias("_all"))
+    ok = F.when((F.col("n_expected") > 0) | (F.col("_all") == 1), F.col("n_missing") == 0)
+    return out.withColumn("ok", ok).drop("_all")
 
 
 UNDETERMINED = "Undetermined_indices"

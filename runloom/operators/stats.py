@@ -96,6 +96,22 @@ def warnings(per_sample: DataFrame, lanes: DataFrame) -> DataFrame:
     )
 
 
+def file_warnings(expected: DataFrame, per_lane: DataFrame) -> DataFrame:
+    """project, sample, file, lane expected (lane null: of any lane); counts of
+    `reads_per_lane` -> project, sample, file, empty_lanes (those without reads, in
+    order), warning: a lane of the file, or the whole file, has no reads."""
+    keys = ["project", "sample", "file"]
+    counted = per_lane.groupBy(*keys, "lane").agg(F.sum("n_reads").alias("n_reads"))
+    lanes = expected.select(*keys, "lane").filter("lane IS NOT NULL").distinct().join(counted, [*keys, "lane"], "left")
+    # Lanes that were counted though they were not expected count as well.
+    lanes = lanes.unionByName(counted.join(expected.filter("lane IS NOT NULL"), [*keys, "lane"], "left_anti"))
+    none = F.coalesce("n_reads", F.lit(0)) == 0
+    sums = lanes.groupBy(*keys).agg(F.sort_array(F.collect_set(F.when(none, F.col("lane")))).alias("empty_lanes"), F.sum("n_reads").alias("_n"))
+    out = expected.select(keys).union(per_lane.select(keys)).distinct().join(sums, keys, "left")
+    empty = F.coalesce("empty_lanes", F.array().cast("array<int>"))
+    return out.select(*keys, empty.alias("empty_lanes"), ((F.size(empty) > 0) | (F.coalesce("_n", F.lit(0)) == 0)).alias("warning"))
+
+
 def blank_repeats(rows: DataFrame) -> DataFrame:
     """In report order, a project's name is shown in its first row of a lane only."""
     before = F.lag("project").over(Window.partitionBy("lane").orderBy("project", "sample"))

@@ -94,8 +94,7 @@ def a07_lane_sample(reads):
 @query("reads", "sample_sheet", sql=f"SELECT lane, project, sample, n_reads, row_number() OVER (ORDER BY lane, project, sample) AS place FROM ({LANE_SAMPLE}) t", longs="place")
 def t03_report_order(reads, sheet):
     """Places as of the rows in the order in which they come."""
-    rows = S.lane_samples_report(reads).select("lane", "project", "sample", "n_reads").collect()  # a report: a line for each sample of a lane
-    return reads.sparkSession.createDataFrame([(*r, i + 1) for i, r in enumerate(rows)], "lane int, project string, sample string, n_reads long, place long")
+    return shared.with_places(S.lane_samples_report(reads).select("lane", "project", "sample", "n_reads"), "place")
 
 
 @query("reads", "sample_sheet", sql=f"""
@@ -180,6 +179,18 @@ def a36_lane_warnings(reads, sheet):
     return S.warnings(S.lane_samples(reads, sheet), lanes)
 
 
+@query("reads", sql=f"""
+WITH f AS (SELECT project, sample, project || '_' || sample AS file, lane, count(*) FILTER (l_orderkey % 3 > 0) AS n FROM reads WHERE lane > 1 OR project <> 'P1' GROUP BY ALL),
+e AS (SELECT * FROM f UNION ALL SELECT DISTINCT project, sample, file, 9, 0 FROM f WHERE project = 'P2')
+SELECT project, sample, file, coalesce(list_sort(list(lane) FILTER (n = 0)), []) AS empty_lanes, min(n) = 0 AS warning FROM e GROUP BY project, sample, file""")
+def a36_file_warnings(reads):
+    """Files of P2 should have reads of lane 9; reads of every third order are lost."""
+    named = reads.filter("lane > 1 OR project <> 'P1'").withColumn("file", F.concat_ws("_", "project", "sample"))
+    expected = named.select("project", "sample", "file", "lane").distinct()
+    more = expected.filter("project = 'P2'").withColumn("lane", F.lit(9))
+    return S.file_warnings(expected.unionByName(more), S.reads_per_lane(named.filter("l_orderkey % 3 > 0")))
+
+
 @query("reads", sql=f"""SELECT lane, project, sample, CASE WHEN lag(project) OVER (PARTITION BY lane ORDER BY project, sample) = project THEN '' ELSE project END AS shown_project
 FROM ({LANE_SAMPLE}) t""")
 def w08_blank_repeats(reads):
@@ -252,9 +263,10 @@ def w01_barcode_rank(reads):
     return C.ranked(C.counts(reads))
 
 
-@query("reads", sql=f"SELECT lane, barcode, n, {RANK} AS rank FROM ({COUNTS}) t", longs="rank")
+@query("reads", sql=f"SELECT lane, barcode, n, {RANK} AS rank, row_number() OVER (ORDER BY lane, n DESC, barcode) AS place FROM ({COUNTS}) t", longs="rank place")
 def t01_sorted_counts(reads):
-    return C.in_order(C.counts(reads))
+    """Places as of the rows in the order in which they come."""
+    return shared.with_places(C.in_order(C.counts(reads)), "place")
 
 
 SHARES = f"""SELECT lane, barcode, n, CAST(sum(n) OVER (PARTITION BY lane) AS BIGINT) AS lane_total,
@@ -808,6 +820,49 @@ def x01_custom_pattern(files):
     return files.select("fastq", *[c.alias(k) for k, c in made.items()])
 
 
+ODD_NAMES = "(SELECT fastq, project, sample, lane, read_number, sample || '_ACGT' || CASE WHEN lane % 2 = 0 THEN '+' ELSE '-' END || 'TTGA' AS tagged FROM fastq_files WHERE NOT is_index)"
+
+
+def _odd_names(files):
+    tagged = F.concat("sample", F.lit("_ACGT"), F.when(F.col("lane") % 2 == 0, "+").otherwise("-"), F.lit("TTGA"))
+    return files.filter("NOT is_index").select("fastq", "project", "sample", "lane", "read_number", tagged.alias("tagged"))
+
+
+@query("fastq_files", sql=f"""SELECT fastq, sample AS sample_name, NULL::INT AS sample_number, substr(tagged, length(sample) + 2) AS barcode_sequence, lane AS lane_number,
+ read_number, CASE WHEN lane > 2 THEN 1 END AS set_number, FALSE AS is_index_read FROM {ODD_NAMES} f""", ints="lane_number read_number set_number")
+def e02_tags_of_two_indexes(files):
+    name = F.concat("tagged", F.lit("_L00"), F.col("lane").cast("string"), F.lit("_R"), F.col("read_number").cast("string"), F.when(F.col("lane") > 2, "_001").otherwise(""), F.lit(".fastq"))
+    return _odd_names(files).select("fastq", *[c.alias(k) for k, c in N.illumina_attrs(name).items()])
+
+
+@query("fastq_files", sql=f"SELECT fastq, CASE read_number WHEN 1 THEN tagged || '_L00' || lane ELSE sample || '_a_b' END AS canonical, CASE read_number WHEN 1 THEN '_trimmed_' || lane END AS extras FROM {ODD_NAMES} f")
+def e05_extras_without_a_read(files):
+    """Names without a read field, and such that tell nothing."""
+    lane = F.col("lane").cast("string")
+    name = F.when(F.col("read_number") == 1, F.concat("tagged", F.lit("_L00"), lane, F.lit("_trimmed_"), lane)).otherwise(F.concat("sample", F.lit("_a_b")))
+    canonical, extras = N.canonical_and_extras(F.concat(name, F.lit(".fastq.gz")))
+    return _odd_names(files).select("fastq", canonical.alias("canonical"), extras.alias("extras"))
+
+
+@query("fastq_files", sql=f"""SELECT fastq, project || '_' || sample AS sample_name, read_number, project || '_' || sample || '_x' || lane || '_' || CAST(3 - read_number AS INT) AS other,
+ project || '_' || sample || '_x' || lane AS bam FROM {ODD_NAMES} f""", ints="read_number")
+def x01_greedy_pattern(files):
+    """Samples with separators in their names; names are rebuilt with the other read, and
+    without one."""
+    names = N.CustomNames("{SAMPLE}_*_{READ}")
+    path = F.concat("project", F.lit("_"), "sample", F.lit("_x"), F.col("lane").cast("string"), F.lit("_"), F.col("read_number").cast("string"), F.lit(".fastq"))
+    return _odd_names(files).select("fastq", *[c.alias(k) for k, c in names(path).items()], names.renamed(path, 3 - F.col("read_number")).alias("other"), names.bam_name(path).alias("bam"))
+
+
+@query("fastq_files", sql="""WITH f AS (SELECT DISTINCT project || '_' || sample || '_x' || lane AS s, read_number FROM fastq_files WHERE NOT is_index AND NOT (read_number = 2 AND lane = 4))
+SELECT a.s || '_1.fastq' AS r1, CASE WHEN b.s IS NOT NULL THEN b.s || '_2.fastq' END AS r2 FROM (SELECT s FROM f WHERE read_number = 1) a LEFT JOIN (SELECT s FROM f WHERE read_number = 2) b ON a.s = b.s""")
+def x01_pairs_by_pattern(files):
+    """What the wildcard holds tells sets apart."""
+    kept = _odd_names(files).filter("NOT (read_number = 2 AND lane = 4)")
+    path = F.concat("project", F.lit("_"), "sample", F.lit("_x"), F.col("lane").cast("string"), F.lit("_"), F.col("read_number").cast("string"), F.lit(".fastq"))
+    return P.pairs_by_name(kept.select(path.alias("fastq")).distinct(), N.CustomNames("{SAMPLE}_*_{READ}"))
+
+
 @query("fastq_files", sql="""WITH f AS (SELECT DISTINCT project || '.' || sample || CAST(lane AS VARCHAR) AS s, read_number FROM fastq_files WHERE NOT is_index AND NOT (read_number = 2 AND lane = 4))
 SELECT a.s || '.r1.fastq' AS r1, CASE WHEN b.s IS NOT NULL THEN b.s || '.r2.fastq' END AS r2 FROM (SELECT s FROM f WHERE read_number = 1) a LEFT JOIN (SELECT s FROM f WHERE read_number = 2) b ON a.s = b.s""")
 def x02_other_extractor(files):
@@ -868,13 +923,33 @@ def u02_merged_files(files):
     return P.merged_lanes(files)
 
 
-@query("fastq_files", sql="""WITH e AS (SELECT fastq, suffix, (length(fastq) + length(suffix)) % 5 > 0 AS there FROM fastq_files, (SELECT unnest(['.html', '.zip', '_data.txt']) AS suffix) s)
-SELECT fastq, count(*) AS n_expected, count(*) FILTER (NOT there) AS n_missing, count(*) FILTER (NOT there) = 0 AS ok FROM (SELECT DISTINCT * FROM e) d GROUP BY fastq""")
-def j16_qc_completeness(files):
-    outputs = files.sparkSession.createDataFrame([(".html",), (".zip",), ("_data.txt",)], "suffix string")
+#: Outputs of every file, of reads 2, and of reads that there are none of; index files have none.
+QC_RULES = [("pages", ".html", None), ("pages", "_data.txt", None), ("screen", "_screen.txt", (2,)), ("strand", "_strand.txt", (4,))]
+QC_SQL = """WITH f AS (SELECT DISTINCT fastq, read_number, is_index FROM fastq_files),
+e AS (SELECT r.module, fastq, r.suffix, (length(fastq) + length(r.suffix)) % 5 > 0 AS there FROM f, (SELECT unnest([{'module': 'pages', 'suffix': '.html', 'read': 0},
+ {'module': 'pages', 'suffix': '_data.txt', 'read': 0}, {'module': 'screen', 'suffix': '_screen.txt', 'read': 2}]) AS r) s WHERE NOT is_index AND (r.read = 0 OR r.read = read_number))"""
+
+
+def _qc(files):
     files = files.select("fastq").distinct()
-    present = files.join(F.broadcast(outputs)).filter((F.length("fastq") + F.length("suffix")) % 5 > 0)
-    return P.completeness(files, outputs, present)
+    expected = P.expected_outputs(files, QC_RULES)
+    return files, expected, expected.filter((F.length("fastq") + F.length("suffix")) % 5 > 0).select("fastq", "suffix")
+
+
+@query("fastq_files", sql=f"""{QC_SQL} SELECT f.fastq, count(e.suffix) AS n_expected, count(e.suffix) FILTER (NOT there) AS n_missing,
+ CASE WHEN count(e.suffix) > 0 THEN count(e.suffix) FILTER (NOT there) = 0 END AS ok FROM f LEFT JOIN e ON e.fastq = f.fastq GROUP BY f.fastq""")
+def j16_qc_completeness(files):
+    return P.completeness(*_qc(files))
+
+
+@query("fastq_files", sql=f"""{QC_SQL}, m AS (SELECT m.module, count(e.suffix) AS n_expected, count(e.suffix) FILTER (NOT there) AS n_missing
+ FROM (SELECT unnest(['pages', 'screen', 'strand']) AS module) m LEFT JOIN e ON e.module = m.module GROUP BY m.module)
+SELECT module, n_expected, n_missing, CASE WHEN n_expected > 0 THEN n_missing = 0 END AS ok FROM m
+UNION ALL SELECT NULL, sum(n_expected), sum(n_missing), sum(n_missing) = 0 FROM m""", longs="n_expected n_missing")
+def j16_qc_verdict(files):
+    _, expected, present = _qc(files)
+    modules = files.sparkSession.createDataFrame([(m,) for m in dict.fromkeys(r[0] for r in QC_RULES)], "module string")
+    return P.verdict(modules, expected, present)
 
 
 @query("sample_sheet", "fastq_files", sql="SELECT DISTINCT s.project, s.sample FROM sample_sheet s WHERE CAST(substr(s.sample, 2) AS INT) % 4 = 3 OR NOT EXISTS (SELECT 1 FROM fastq_files f WHERE f.project = s.project AND f.sample = s.sample)")

@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows of a narrow table (keys and counts) up to which it may be broadcast.
@@ -45,6 +45,18 @@ def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(found, df.schema))
 
 
+def with_places(ordered: DataFrame, name: str) -> DataFrame:
+    """Rows in the order in which they come, with their place from 1. They are written
+    once; a row's place is its number in its partition and the rows of those before."""
+    rows = cut(ordered.withColumn("_id", F.monotonically_increasing_id()))
+    part = F.shiftright("_id", 33)
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count("*").alias("_c"))
+    before = F.coalesce(F.sum("_c").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = checked_broadcast(sizes.select("_part", before.alias("_before")))  # a row for each partition
+    place = F.col("_before") + F.col("_id") - F.shiftleft("_part", 33) + 1
+    return rows.withColumn("_part", part).join(starts, "_part").select(*ordered.columns, place.alias(name))
+
+
 def opened(path: str):
     """pyarrow's file system for a path of Spark's, and the path in it: local and
     mounted folders, HDFS, S3 and GCS."""

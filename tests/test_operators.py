@@ -379,3 +379,64 @@ def test_many_rare_barcodes_with_one_beginning_are_no_task_of_their_own(spark):
     assert rows.agg(F.sum((F.col("rank") != F.col("cumulative")).cast("int")), F.min("rank"), F.max("rank"), F.countDistinct("rank")).first()[:] == (0, 1, 1_000_000, 1_000_000)
     first = rows.orderBy("barcode").limit(3).collect()
     assert [r["rank"] for r in first] == [1, 2, 3]
+
+
+def test_names_with_fields_left_out(spark):
+    cases = {
+        "A_ACGT+TTGA_L001_R1_001": ("A", None, "ACGT+TTGA", 1, 1, 1, False), "X_ACAGTG_L001": ("X", None, "ACAGTG", 1, None, None, False), "ACGT": ("ACGT", None, None, None, None, None, False),
+        "A_S3_ACGT": ("A_S3", None, "ACGT", None, None, None, False), "A_R1_L001": ("A_R1", None, None, 1, None, None, False), "A_ACGT-TT+GA_R2": ("A_ACGT-TT+GA", None, None, None, 2, None, False),
+        "A_S_R1": ("A_S", None, None, None, 1, None, False), "L001_S1": ("L001", 1, None, None, None, None, False),
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "f string")
+    for row in df.select("f", *[c.alias(k) for k, c in N.illumina_attrs(F.concat("f", F.lit(".fastq"))).items()]).collect():
+        assert tuple(row)[1:] == cases[row.f], row.f
+
+
+def test_extras_are_what_follows_the_last_field_that_tells_something(spark):
+    cases = {
+        "X_ACAGTG_L001_trimmed": ("X_ACAGTG_L001", "_trimmed"), "X_S1_R2_001_a_b": ("X_S1_R2_001", "_a_b"), "X_a_b": ("X_a_b", None), "X": ("X", None),
+        "X.ACGT.r1_trimmed": ("X.ACGT.r1", "_trimmed"), "X_L001": ("X_L001", None), "R1_x": ("R1_x", None),
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "f string")
+    name, extras = N.canonical_and_extras(F.col("f"))
+    assert {r.f: (r.n, r.e) for r in df.select("f", name.alias("n"), extras.alias("e")).collect()} == cases
+
+
+def test_custom_names_both_ways(spark):
+    df = spark.createDataFrame([("d/PJB_a_b_1.fastq.gz",), ("PJB_a_b.bam",), ("PJB_a_4.fastq",), ("odd.fastq",)], "f string")
+    names = N.CustomNames("{SAMPLE}_*_{READ}")
+    a = names(F.col("f"))
+    rows = df.select(a["sample_name"].alias("s"), a["read_number"].alias("r"), names.renamed(F.col("f"), F.lit(2)).alias("two"), names.bam_name(F.col("f")).alias("bam")).collect()
+    assert [tuple(r) for r in rows] == [("PJB_a", 1, "PJB_a_b_2", "PJB_a_b"), ("PJB_a", None, "PJB_a_b_2", "PJB_a_b"), (None, None, "PJB_a_4", "PJB_a_4"), (None, None, "odd", "odd")]
+    with pytest.raises(ValueError):
+        N.CustomNames("{SAMPLE}_{LANE}")
+    own = N.CustomNames("x+{SAMPLE}.R{READ}")
+    row = spark.createDataFrame([("x+a.R2.fq",)], "f string").select(own(F.col("f"))["sample_name"].alias("s"), own.renamed(F.col("f")).alias("n"), own.bam_name(F.col("f")).alias("b")).first()
+    assert tuple(row) == ("a", "x+a.R2", "x+a.R")
+    files = spark.createDataFrame([("P_a_b_1.fq",), ("P_a_b_2.fq",), ("P_a_c_1.fq",)], "fastq string")
+    assert sorted(map(tuple, P.pairs_by_name(files, names).collect()), key=str) == [("P_a_b_1.fq", "P_a_b_2.fq"), ("P_a_c_1.fq", None)]
+    assert [r.fastq for r in P.select_files(files, ["r2"], names).collect()] == ["P_a_b_2.fq"]
+
+
+def test_places_are_those_of_the_order(spark):
+    from runloom.sources import shared
+
+    df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("x")).orderBy(F.desc("x"))
+    assert all(r.place == 1000 - r.x for r in shared.with_places(df, "place").collect())
+
+
+def test_verdict_ignores_modules_that_expect_nothing(spark):
+    files = spark.createDataFrame([("S_R1_001.fastq",), ("S_R2_001.fastq",), ("S_I1_001.fastq",)], "fastq string")
+    expected = P.expected_outputs(files, [("a", ".x", None), ("b", ".y", (2,)), ("c", ".z", (3,))])
+    modules = spark.createDataFrame([("a",), ("b",), ("c",)], "module string")
+    present = spark.createDataFrame([("S_R1_001.fastq", ".x"), ("S_R2_001.fastq", ".x")], "fastq string, suffix string")
+    status = lambda p: {r.module: (r.n_expected, r.n_missing, r.ok) for r in P.verdict(modules, expected, p).collect()}
+    assert status(present) == {"a": (2, 0, True), "b": (1, 1, False), "c": (0, 0, None), None: (3, 1, False)}
+    assert status(present.union(spark.createDataFrame([("S_R2_001.fastq", ".y")], present.schema)))[None] == (3, 0, True)
+    assert {r.fastq: r.ok for r in P.completeness(files, expected, present).collect()} == {"S_R1_001.fastq": True, "S_R2_001.fastq": False, "S_I1_001.fastq": None}
+
+
+def test_files_without_reads_in_a_lane(spark):
+    expected = spark.createDataFrame([("p", "s", "f", 1), ("p", "s", "f", 2), ("p", "s", "g", None), ("p", "s", "h", None)], "project string, sample string, file string, lane int")
+    counts = spark.createDataFrame([("p", "s", "f", 1, 5), ("p", "s", "g", 3, 2)], "project string, sample string, file string, lane int, n_reads long")
+    assert {r.file: (r.empty_lanes, r.warning) for r in S.file_warnings(expected, counts).collect()} == {"f": ([2], True), "g": ([], False), "h": ([], True)}
