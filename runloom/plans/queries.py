@@ -1307,6 +1307,53 @@ def s05_s19_s20_files(reads):
     return files.join(sums, "unit").join(counted, "unit").join(checked, "unit", "left").select("unit", "md5", "ok", "size_bytes", "n_reads")
 
 
+def _unit_files(reads, name: str) -> str:
+    """A file for each unit, its reads in order; lane 2's are packed. Reads 2 of P1 besides."""
+    path, both = shared.new_folder(reads.sparkSession, name), F.when(F.col("project") == "P1", F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    rows = _named_reads(reads).withColumn("number", F.explode(both))
+    rows = rows.withColumns({"header": F.replace("header", F.lit(":1 1:N"), F.concat(F.lit(":"), F.col("l_partkey").cast("string"), F.lit(" "), F.col("number").cast("string"), F.lit(":N"))), "unit": F.concat_ws("_", *UNIT, "number")})
+    rows = fastq.as_text(rows, "unit", "lane", "l_orderkey", "l_linenumber", "l_partkey", "sequence").repartition("unit").sortWithinPartitions("unit", "l_orderkey", "l_linenumber", "l_partkey", "sequence", "value")
+    for packed in (False, True):
+        part = rows.filter((F.col("lane") == 2) == packed).select("unit", "value")
+        part.write.option("compression", "gzip" if packed else "none").partitionBy("unit").text(f"{path}/{packed}")
+    return path
+
+
+def _unit(c: str):
+    return F.regexp_extract(c, "unit=([^/]+)/", 1)
+
+
+UNIT_NAME = "project || '_' || sample || '_' || lane"
+
+
+@query("reads", sql=f"""WITH n AS (SELECT project, {UNIT_NAME} AS unit, count(*) AS n_reads FROM reads GROUP BY ALL)
+SELECT unit || '_1' AS unit, n_reads, TRUE AS whole FROM n UNION ALL SELECT unit || '_2', n_reads, TRUE FROM n WHERE project = 'P1'""")
+def a03_counts_of_files(reads):
+    """Reads of files by their line ends, a file read in many pieces."""
+    path = _unit_files(reads, "counted")
+    return fastq.count_reads(reads.sparkSession, path, "part-*", piece=1 << 16).select(_unit("file").alias("unit"), "n_reads", "whole")
+
+
+@query("reads", sql=f"""WITH h AS (SELECT project, {UNIT_NAME} AS unit, sequence, row_number() OVER (PARTITION BY project, sample, lane ORDER BY l_orderkey, l_linenumber, l_partkey, sequence, {FASTQ_LINES}) - 1 AS read_idx FROM reads)
+SELECT unit || '_1' AS unit, read_idx, sequence FROM h WHERE read_idx < 3 UNION ALL SELECT unit || '_2', read_idx, sequence FROM h WHERE read_idx < 3 AND project = 'P1'""")
+def t04_heads(reads):
+    """The first reads of each file, of which no more is read."""
+    return fastq.read_fastq(reads.sparkSession, _unit_files(reads, "heads"), "part-*", limit=3).select(_unit("file").alias("unit"), "read_idx", "sequence")
+
+
+@query("reads", sql=f"""WITH u AS (SELECT DISTINCT project, {UNIT_NAME} AS unit FROM reads) SELECT unit || '_1' AS unit, 1 AS read_number FROM u UNION ALL SELECT unit || '_2', 2 FROM u WHERE project = 'P1'""")
+def t05_first_read_numbers(reads):
+    first = fastq.heads(reads.sparkSession, _unit_files(reads, "first"), "part-*")
+    return fastq.first_read_numbers(first).select(_unit("file").alias("unit"), "read_number")
+
+
+@query("reads", sql=f"""WITH u AS (SELECT DISTINCT project, {UNIT_NAME} AS unit FROM reads) SELECT unit || '_1' AS r1, CASE WHEN project = 'P1' THEN unit || '_2' END AS r2 FROM u""")
+def j13_pair_by_heads(reads):
+    """Files whose first reads share their name, of which no more is read."""
+    pairs = P.pairs_by_header(fastq.heads(reads.sparkSession, _unit_files(reads, "paired"), "part-*"))
+    return pairs.select(_unit("r1").alias("r1"), F.nullif(_unit("r2"), F.lit("")).alias("r2"))
+
+
 @query("reads", "sample_sheet", sql=f"""
 WITH p AS (SELECT b.barcode, r.index_seq, {_apart('b.barcode', 'r.index_seq')} AS d FROM (SELECT DISTINCT barcode FROM reads) b CROSS JOIN ({REFS}) r),
 m AS (SELECT barcode, min(index_seq) AS assigned FROM p WHERE d <= 1 GROUP BY barcode)

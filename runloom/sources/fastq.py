@@ -1,59 +1,28 @@
-"""FASTQ files: reading, checking, sums, inventory and the demultiplexed sink.
-
-Spark lists the files without their contents and deals them out; a task opens each of
-its files itself and streams it, four lines a record, in Arrow batches. What it holds
-does not grow with a file's size. Gzip files can't be split, so a file is a task's
-unit. Records are never looked for by `@`, which quality lines may start with, too.
-Where tasks can't open a path (a store that only Spark's readers know), contents come
-as `binaryFile` rows, of 2 GB at most. Land the reads as Parquet once and work from
-there.
+"""FASTQ files: reading, counting, checking, sums, inventory and the demultiplexed sink.
+
+Spark lists the files without their contents; they are read in pieces (`pieces`), so
+that a large file is no task's alone, in Arrow batches. What a task holds does not grow
+with a file's size. Records are never looked for by `@`, which quality lines may start
+with, too. Where tasks can't open a path (a store that only Spark's readers know),
+contents come as `binaryFile` rows, of 2 GB at most. Land the reads as Parquet once and
+work from there.
 """
 
 from __future__ import annotations
 
-import gzip
 import hashlib
-import io
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import illumina_attrs
-from .shared import opened, reachable
+from . import pieces as P
+from .shared import checked_broadcast, cut
 
 READS = "file string, read_idx long, header string, sequence string, quality string"
-#: Records in a batch, bytes that are read at once, bytes of files for a task.
-BATCH, CHUNK, TASK_BYTES = 20_000, 1 << 20, 1 << 27
-
-
-def _stream(file: str, content) -> io.BufferedIOBase:
-    if content is not None:
-        return io.BytesIO(content)
-    fs, place = opened(file)
-    return io.BufferedReader(fs.open_input_file(place), CHUNK)
-
-
-def _lines(file: str, content) -> Iterator[str]:
-    with _stream(file, content) as raw:
-        packed = raw.read(2) == b"\x1f\x8b"
-        raw.seek(0)
-        stream = gzip.GzipFile(fileobj=raw) if packed else raw
-        for x in io.TextIOWrapper(stream, encoding="utf-8", errors="replace"):
-            yield x.rstrip("\r\n")
-
-
-def _records(file: str, content) -> Iterator[tuple[str, str, str]]:
-    lines = _lines(file, content)
-    for header in lines:
-        try:
-            sequence, plus, quality = next(lines), next(lines), next(lines)
-        except StopIteration:
-            raise ValueError("a record is cut off") from None
-        if header[:1] != "@" or plus[:1] != "+" or len(sequence) != len(quality):
-            raise ValueError(f"not a record: {header[:80]}")
-        yield header, sequence, quality
 
 
 def header_parts(header: Column) -> dict[str, Column]:
@@ -72,63 +41,87 @@ def inventory(spark: SparkSession, path: str, pattern: str = "*.fastq*") -> Data
     return files.select("path", F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified"))
 
 
-def _files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
-    """file, content (null where tasks open the file themselves), dealt out over as
-    many tasks as there are cores, or more where files are large."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
-    if not reachable(path):
-        return files.select(F.col("path").alias("file"), "content")
-    n, size = files.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
-    tasks = max(1, min(n, max(spark.sparkContext.defaultParallelism, size // TASK_BYTES)))
-    return files.select(F.col("path").alias("file"), F.lit(None).cast("binary").alias("content")).repartition(tasks, "file")
+def _rows(file: str, number: int, batch: pa.RecordBatch) -> pa.RecordBatch:
+    files = pa.array([file]).take(pa.array([0] * batch.num_rows, pa.int32()))
+    return pa.RecordBatch.from_arrays([files, pa.array(range(number, number + batch.num_rows), pa.int64()), *batch.columns], ["file", "read_idx", *batch.schema.names])
 
 
-def _each(rows: pd.DataFrame) -> Iterator[tuple]:
-    return zip(rows["file"], rows["content"], strict=True)
+def _placed(files: DataFrame, piece: int | None) -> DataFrame:
+    """Pieces with the number of their first line, and their line ends."""
+    dealt = P.dealt(files, piece)
+    counted = cut(P.with_first_lines(P.line_counts(dealt)))
+    return dealt.join(checked_broadcast(counted), ["file", "no"])
 
 
-def read_fastq(spark: SparkSession, path: str, pattern: str = "*.fastq*", limit: int | None = None) -> DataFrame:
-    """The reads of all files; with `limit`, the first of each file."""
+def heads(spark: SparkSession, path: str, pattern: str = "*.fastq*", n: int = 1) -> DataFrame:
+    """The first reads of each file. No more of a file is read than they take."""
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["file", "read_idx", "header", "sequence", "quality"]
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for file, content in _each(b):
-                rows: list[tuple] = []
-                for k, record in enumerate(_records(file, content)):
-                    if limit is not None and k >= limit:
-                        break
-                    rows.append((file, k, *record))
-                    if len(rows) >= BATCH:
-                        yield pd.DataFrame(rows, columns=columns)
-                        rows = []
-                if rows:
-                    yield pd.DataFrame(rows, columns=columns)
-
-    found = _files(spark, path, pattern).mapInPandas(read, READS)
+            for file, content in zip(b.column("file").to_pylist(), b.column("content"), strict=True):
+                with P.source(file, content.as_py()) as raw:
+                    kind, number = P.kind_of(raw.read(P.HEAD)), 0
+                    raw.seek(0)
+                    for batch in P.records(P.chunks(raw, kind, 0, None, P.HEAD_CHUNK), 0, n):
+                        yield _rows(file, number, batch)
+                        number += batch.num_rows
+
+    files = P.files_of(spark, path, pattern)
+    tasks = max(1, min(files.count(), 16 * spark.sparkContext.defaultParallelism))
+    found = files.select("file", "content").repartition(tasks, "file").mapInArrow(read, READS)
     return found.withColumns(header_parts(F.col("header")))
 
 
-def check_fastq(spark: SparkSession, path: str, pattern: str = "*.fastq*", index_reads: bool = False) -> DataFrame:
-    """file, ok, error: whether all of a file can be read. Files of index reads, by
-    their names, are left out unless asked for. Spark lists no files without a
-    single byte."""
+def read_fastq(spark: SparkSession, path: str, pattern: str = "*.fastq*", limit: int | None = None, piece: int | None = None) -> DataFrame:
+    """The reads of all files; with `limit`, the first of each file. `piece` is how many
+    bytes of a file a task reads at least."""
+    if limit is not None:
+        return heads(spark, path, pattern, limit)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for p in b.to_pylist():
+                if p["error"]:
+                    raise ValueError(p["error"])
+                for number, batch in P.read_piece(p):
+                    yield _rows(p["file"], number, batch)
+
+    found = _placed(P.files_of(spark, path, pattern), piece).mapInArrow(read, READS)
+    return found.withColumns(header_parts(F.col("header")))
+
+
+def count_reads(spark: SparkSession, path: str, pattern: str = "*.fastq*", piece: int | None = None) -> DataFrame:
+    """file, n_reads, whole (false where lines don't make up records): line ends are
+    counted, in pieces, and nothing is parsed."""
+    counted = P.with_first_lines(P.line_counts(P.dealt(P.files_of(spark, path, pattern), piece)))
+    # The file's last line counts without a line end, too.
+    sums = counted.groupBy("file").agg(F.sum("n_lines").alias("n"), F.max_by("open", "no").cast("int").alias("open"), F.min("error").alias("error"))
+    lines = F.col("n") + F.col("open")
+    return sums.select("file", F.floor(lines / 4).alias("n_reads"), (F.col("error").isNull() & (lines % 4 == 0)).alias("whole"))
+
+
+def check_fastq(spark: SparkSession, path: str, pattern: str = "*.fastq*", index_reads: bool = False, piece: int | None = None) -> DataFrame:
+    """file, ok, error (the first): whether all of a file can be read. Files of index
+    reads, by their names, are left out unless asked for. Spark lists no files without
+    a single byte."""
 
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for file, content in _each(b):
-                error = None
+            for p in b.to_pylist():
+                error = p["error"]
                 try:
-                    for _ in _records(file, content):
+                    for _ in () if error else P.read_piece(p):
                         pass
-                except (ValueError, EOFError, OSError) as e:
-                    error = str(e)
-                yield pd.DataFrame([(file, error is None, error)], columns=["file", "ok", "error"])
+                except P.ERRORS as e:
+                    error = str(e) or type(e).__name__
+                yield pa.RecordBatch.from_pylist([{"file": p["file"], "no": p["no"], "error": error}], pa.schema([("file", pa.string()), ("no", pa.int64()), ("error", pa.string())]))
 
-    files = _files(spark, path, pattern)
+    files = P.files_of(spark, path, pattern)
     if not index_reads:
         files = files.filter(~illumina_attrs(F.col("file"))["is_index_read"])
-    return files.mapInPandas(check, "file string, ok boolean, error string")
+    found = _placed(files, piece).mapInArrow(check, "file string, no long, error string")
+    first = F.min_by("error", F.when(F.col("error").isNotNull(), F.col("no")))
+    return found.groupBy("file").agg(first.alias("error")).select("file", F.col("error").isNull().alias("ok"), "error")
 
 
 def checksums(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
@@ -136,14 +129,15 @@ def checksums(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
 
     def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for file, content in _each(b):
+            for file, content in zip(b["file"], b["content"], strict=True):
                 total = hashlib.md5(usedforsecurity=False)
-                with _stream(file, content) as raw:
-                    while chunk := raw.read(CHUNK):
+                with P.source(file, content) as raw:
+                    while chunk := raw.read(P.CHUNK):
                         total.update(chunk)
                 yield pd.DataFrame({"file": [file], "md5": [total.hexdigest()]})
 
-    return _files(spark, path, pattern).mapInPandas(digest, "file string, md5 string")
+    files = P.files_of(spark, path, pattern).select("file", "content")
+    return files.repartition(max(1, min(files.count(), 16 * spark.sparkContext.defaultParallelism)), "file").mapInPandas(digest, "file string, md5 string")
 
 
 def first_read_numbers(reads: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from runloom.operators import lengths as L
 from runloom.operators import pairing as P
 from runloom.operators import registry as R
 from runloom.operators import stats as S
-from runloom.sources import fastq, qc, tables
+from runloom.sources import fastq, pieces, qc, tables
 from runloom.streaming import incremental
 
 
@@ -233,13 +233,110 @@ def test_reading_takes_no_more_memory_for_a_larger_file(tmp_path):
     record = b"@M:1:FC:2:1:1:1 1:N:0:AC\n" + b"ACGT" * 25 + b"\n+\n" + b"I" * 100 + b"\n"
     path = tmp_path / "large.fastq.gz"
     with gzip.open(path, "wb", compresslevel=1) as f:
-        for _ in range(60):
-            f.write(record * 1000)  # 14 MB
+        for _ in range(300):
+            f.write(record * 1000)  # 70 MB
     tracemalloc.start()
-    assert sum(1 for _ in fastq._records(f"file:{path}", None)) == 60_000
+    with open(path, "rb") as raw:
+        assert sum(b.num_rows for b in pieces.records(pieces.chunks(raw, pieces.GZIP, 0, None), 0, None)) == 300_000
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
-    assert peak < 4 << 20
+    assert peak < 40 << 20
+
+
+def blocked(text, size):
+    """Blocked gzip: members that say their size, and an empty one at the end."""
+    import struct
+    import zlib
+
+    out = b""
+    for k in [*range(0, len(text), size), len(text)]:
+        part = text[k : k + size] if k < len(text) else b""
+        packer = zlib.compressobj(6, zlib.DEFLATED, -15)
+        data = packer.compress(part) + packer.flush()
+        head = b"\x1f\x8b\x08\x04" + bytes(5) + b"\xff\x06\x00BC\x02\x00" + struct.pack("<H", len(data) + 25)
+        out += head + data + struct.pack("<II", zlib.crc32(part), len(part))
+    return out
+
+
+RECORDS = [(f"@M:1:FC:{k % 3}:{k}", "ACGT"[k % 4] * (k % 5), "@+I#!"[k % 5] * (k % 5)) for k in range(12)]
+TEXT = "".join(f"{h}\n{s}\n+\n{q}\n" for h, s, q in RECORDS).encode()
+
+
+@pytest.mark.parametrize("text", [TEXT, TEXT[:-1], TEXT.replace(b"\n", b"\r\n")])
+@pytest.mark.parametrize("kind", [0, 1])
+def test_records_are_the_same_wherever_a_file_is_cut(monkeypatch, text, kind):
+    """Two and three pieces with borders at each byte, as Spark's tasks read them."""
+    monkeypatch.setattr(pieces, "CHUNK", 16)
+    data = blocked(text, 37) if kind else text
+    assert pieces.kind_of(data[:18]) == kind
+    for a in range(1, len(data)):
+        borders = [0, a, *([a + 23] if a + 23 < len(data) else []), len(data)]
+        line, got, total = 0, [], 0
+        for no, (start, stop) in enumerate(zip(borders, borders[1:], strict=False)):
+            p = {"file": "x", "kind": kind, "no": no, "start": start, "stop": stop, "content": data, "line": line}
+            p["n_lines"] = sum(t.count(b"\n") for t, own in pieces.chunks(pieces.source("x", data), kind, start, stop) if own)
+            for number, b in pieces.read_piece(p):
+                got += [(number + i, *r.values()) for i, r in enumerate(b.to_pylist())]
+            line += p["n_lines"]
+        total = line
+        assert got == [(k, *r) for k, r in enumerate(RECORDS)], a
+        assert total == len(RECORDS) * 4 - (not text.endswith(b"\n"))
+
+
+def test_one_file_is_read_by_many_tasks(spark, tmp_path):
+    for name, data in {"a_R1.fastq": TEXT * 50, "b_R1.fastq.gz": blocked(TEXT * 50, 300), "c_R1.fastq.gz": gzip.compress(TEXT * 50), "d_R1.fastq": TEXT[:-1]}.items():
+        (tmp_path / name).write_bytes(data)
+    short = lambda c="file": F.regexp_extract(c, "([a-z])_R1", 1).alias("f")
+    for piece in (150, 1 << 20):
+        rows = fastq.read_fastq(spark, str(tmp_path), piece=piece).groupBy(short()).agg(F.count("*").alias("n"), F.countDistinct("read_idx").alias("d"), F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("read_idx", "header", "quality"))), lambda x: F.concat(x["header"], x["quality"])), ",")).alias("h")).collect()
+        assert {r.f: (r.n, r.d) for r in rows} == {"a": (600, 600), "b": (600, 600), "c": (600, 600), "d": (12, 12)} and len({r.h for r in rows if r.f != "d"}) == 1
+        counted = {r.f: (r.n_reads, r.whole) for r in fastq.count_reads(spark, str(tmp_path), piece=piece).select(short(), "n_reads", "whole").collect()}
+        assert counted == {"a": (600, True), "b": (600, True), "c": (600, True), "d": (12, True)}
+        assert all(r.ok for r in fastq.check_fastq(spark, str(tmp_path), piece=piece).collect())
+    assert pieces.dealt(pieces.files_of(spark, str(tmp_path), "a_*"), 150).rdd.getNumPartitions() > 4
+
+
+def test_files_that_are_cut_off_or_spoilt(spark, tmp_path):
+    spoilt = bytearray(blocked(TEXT * 5, 300))
+    spoilt[400] ^= 255
+    bad = {"a": TEXT[:-9], "b": bytes(spoilt), "c": gzip.compress(TEXT * 50)[:-20], "d": TEXT.replace(b"+\n", b"-\n", 1), "e": TEXT + b"@x\n"}
+    for name, data in {**bad, "f": TEXT, "g": gzip.compress(b"")}.items():
+        (tmp_path / f"{name}_R1.fastq").write_bytes(data)
+    for piece in (90, 1 << 20):
+        found = {r.file.rsplit("/", 1)[1][0]: r.ok for r in fastq.check_fastq(spark, str(tmp_path), piece=piece).collect()}
+        assert found == {**dict.fromkeys("abcde", False), "f": True, "g": True}
+
+
+def test_heads_read_no_more_than_they_need(spark, tmp_path):
+    """The bytes that are read don't grow with the file."""
+    seen = []
+
+    class Counted:
+        def __init__(self, data):
+            import io
+
+            self.raw = io.BytesIO(data)
+
+        def read(self, n):
+            data = self.raw.read(n)
+            seen.append(len(data))
+            return data
+
+        def seek(self, *a):
+            return self.raw.seek(*a)
+
+    for data in (TEXT * 100_000, blocked(TEXT * 1000, 60_000) * 20):
+        seen.clear()
+        raw = Counted(data)
+        kind = pieces.kind_of(raw.read(18))
+        raw.seek(0)
+        assert sum(b.num_rows for b in pieces.records(pieces.chunks(raw, kind, 0, None, pieces.HEAD_CHUNK), 0, 1)) == 1
+        assert sum(seen) <= pieces.HEAD_CHUNK + 36 and sum(seen) < len(data) / 2
+    (tmp_path / "a_R1.fastq").write_bytes(TEXT.replace(b"@M:1:FC:0:0", b"@M:1:FC:0:0 1:N:0:AC"))
+    (tmp_path / "a_R2.fastq").write_bytes(TEXT.replace(b"@M:1:FC:0:0", b"@M:1:FC:0:0 2:N:0:AC"))
+    first = fastq.heads(spark, str(tmp_path))
+    assert {r.read_number for r in fastq.first_read_numbers(first).collect()} == {1, 2}
+    assert [tuple(x.rsplit("/", 1)[1] for x in r) for r in P.pairs_by_header(first).collect()] == [("a_R1.fastq", "a_R2.fastq")]
 
 
 def test_checksums_and_index_files(spark, tmp_path):
