@@ -100,6 +100,11 @@ WITH cut AS (
 ), parts AS (
   SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut
+), copies AS (
+  SELECT host, html IS NOT NULL AS known, md5(string_split(string_split(html, '<article>')[-1], '</article>')[1]) AS article FROM pages JOIN parts ON pages.page_id = parts.page_id WHERE host <> ''
+), wide AS (SELECT article FROM copies WHERE known GROUP BY article HAVING count(DISTINCT host) >= 3
+), copying AS (
+  SELECT host FROM copies LEFT JOIN wide ON copies.article = wide.article GROUP BY host HAVING count(*) >= 3 AND 2 * count(wide.article) >= count(*)
 ), ruled AS (
   SELECT *, CASE
     WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND path LIKE '/en/%' THEN 'www.example.com/en/'
@@ -111,6 +116,7 @@ WITH cut AS (
 SELECT page_id, host, path, rule, CASE
   WHEN rule IN ('www.example.com/en/', 'com/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
   WHEN path LIKE '/%' AND regexp_matches(host, '(^|[.])(spam-farm|cheap-pills|casino-win|ads-track|free-bets)([.]|$)') THEN 'block'
+  WHEN path LIKE '/%' AND EXISTS (SELECT 1 FROM copying WHERE copying.host = ruled.host OR ends_with(ruled.host, '.' || copying.host)) THEN 'block'
   ELSE 'allow' END AS verdict
 FROM ruled
 """
