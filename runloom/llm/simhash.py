@@ -420,26 +420,30 @@ def _set_digests(text: Column, shingle: int) -> Column:
     return digests(text)
 
 
-def drop_near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 24, verified: float = 0.8) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, radius: int = 24, verified: float = 0.8, bands: bool = True) -> DataFrame:
     """The rows of `docs`, of each group the one with the least doc_id only.
 
     Two texts with a Jaccard similarity of 0.8 differ in about 10 of 64 bits, one
     in ten such pairs in more than 15; the radius leaves room. Blocks of bits can't
     prune at that radius, so texts meet by bands; links are verified where they are
-    found.
+    found. Without `bands` all texts are compared with all, tile by tile, and only
+    population counts prune.
 
     Rows are told apart by id where ids are unique. Rows that share an id, or have
     none, are told apart by id and shingle set: such with different texts are
     documents of their own; of such with equal sets one is kept, the one with the
-    least hash of its columns."""
-    found = cut(cluster(docs, shingle, radius, verified=verified, bands=True))
+    least hash of its columns. Columns may have any names: a row is one value until
+    the end."""
+    found = cut(cluster(docs, shingle, radius, verified=verified, bands=bands))
     have = quoted(docs.columns)
     again = checked_broadcast(cut(found.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("_d"))))
     gone = cut(found.filter("NOT first AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_d")).distinct())
-    kept = docs.join(checked_broadcast(gone), F.expr("doc_id = _d"), "left_anti").join(again, F.expr("doc_id <=> _d"), "left_anti").select(*have)
+    rows = docs.select(F.struct(*have).alias("_row"), F.col("doc_id").alias("_i"))
+    kept = rows.join(checked_broadcast(gone), F.expr("_i = _d"), "left_anti").join(again, F.expr("_i <=> _d"), "left_anti").select("_row.*")
     if again.isEmpty():
         return kept
-    shared = docs.join(again, F.expr("doc_id <=> _d"), "left_semi").select(F.struct(*have).alias("_row"), F.col("doc_id").alias("_i"), text_of().alias("_t"))
+    rows = docs.select(F.struct(*have).alias("_row"), F.col("doc_id").alias("_i"), text_of().alias("_t"))
+    shared = rows.join(again, F.expr("_i <=> _d"), "left_semi")
     firsts = found.filter("first").join(again, F.expr("doc_id <=> _d"), "left_semi").select(F.col("doc_id").alias("_d"), F.col("g").alias("_g")).distinct()
     shared = shared.select("_row", "_i", _set_digests(F.col("_t"), shingle).alias("_h"), F.xxhash64("_t", F.to_json("_row")).alias("_o"))
     shared = shared.join(checked_broadcast(cut(firsts)), F.expr("_i <=> _d AND _h = _g"), "left_semi")

@@ -241,10 +241,42 @@ def test_urls(spark, tmp_path):
     assert {r.page_id: r.rule for r in urls.match_by_join(rows, entries, "rule").collect()} == {k: v[2] for k, v in got.items()}
 
 
-def test_equal_keys_are_told_apart_by_their_strings(monkeypatch):
-    monkeypatch.setattr(urls.xxhash, "xxh64_intdigest", lambda x: 5)
-    folder, name, _ = urls.build(["a/", "b/", "c/"])
-    assert urls.Index(name, lambda x: f"{folder}/{x}").holds([b"b/", b"d/", b"c/"]).tolist() == [True, False, True]
+def test_equal_keys_are_told_apart_by_their_strings(tmp_path):
+    for part, array in urls.arrays_of([5, 5, 5], [b"a/", b"b/", b"c/"]).items():
+        np.save(tmp_path / f"x-{part}.npy", array)
+    index = urls.Index([(5, "x")], lambda name: str(tmp_path / name))
+    assert index.holds([b"b/", b"d/", b"c/", b"e/"], np.array([5, 5, 5, 6])).tolist() == [True, False, True, False]
+
+
+def test_lengths_of_entries_are_code_points(spark):
+    """Entries of other letters, and such without a path, by arrays and by joins."""
+    listed = spark.createDataFrame([("example.org/été/",), ("nopath.org",), ("b.org/x",), ("",), (None,)], "entry string")
+    rows = [(1, "http://example.org/été/x"), (2, "http://www.nopath.org"), (3, "http://nopath.org/x?y"), (4, "http://b.org/é"), (5, "http://a.b.org/xé"), (6, "http://notnopath.org/"), (7, "")]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    for most in (urls.MOST_BYTES, 0):
+        got = {r.page_id: (r.listed, r.verdict) for r in urls.judge(df, rules={}, blocked=listed, most=most).collect()}
+        block = {1: "example.org/été/", 2: "nopath.org", 3: "nopath.org", 5: "b.org/x"}
+        assert got == {k: (block.get(k), "block" if k in block else "allow") for k, _ in rows}
+
+
+def test_hosts_that_live_on_copies(spark):
+    page = lambda text: f"<html><article>{text}</article><footer>x</footer>"
+    rows = [(f"h://farm{k}.org/{j}", page(f"copied {j}")) for k in range(3) for j in range(4)]
+    rows += [("h://own.org/1", page("copied 1")), *[(f"h://own.org/{j}", page(f"own {j}")) for j in range(2, 5)], ("h://small.org/1", page("copied 2")), ("h://none.org/1", None), (None, page("copied 1"))]
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "page_id long, url string, html string")
+    assert {r.entry for r in urls.copying_hosts(df).collect()} == {"farm0.org/", "farm1.org/", "farm2.org/"}
+    assert {r.host for r in urls.judge(df, rules={}).filter("verdict = 'block'").collect()} == {"farm0.org", "farm1.org", "farm2.org"}
+
+
+def test_a_list_of_millions_is_built_by_ranges(spark, monkeypatch):
+    """Two million entries in ranges of 4 MB: the driver gets a row for each range."""
+    monkeypatch.setattr(urls, "RANGE_BYTES", 1 << 22)
+    listed = spark.range(2_000_000).select(F.concat(F.lit("h"), F.col("id").cast("string"), F.lit(".org/")).alias("entry"))
+    folder, ranges = urls.build(listed, 2_000_000 * 28)
+    assert len(ranges) == 14 and [f for f, _ in ranges] == sorted(f for f, _ in ranges)
+    index = urls.Index(ranges, lambda name: f"{folder}/{name}".removeprefix("file:"))
+    probes = [b"h0.org/", b"h1999999.org/", b"h2000000.org/", b"h777.org/"]
+    assert index.holds(probes).tolist() == [True, True, False, True] and sum(len(r[0]) for r in index.ranges) == 2_000_000
 
 
 def test_repeated_words_are_those_of_a_plain_count(spark, monkeypatch):
@@ -654,3 +686,10 @@ def test_large_buckets_of_bands_are_dealt_out_finely(spark, monkeypatch):
     assert max(x.n for x in units) <= 150 and all(x.n == x.m for x in units)
     met = {x.t: 1 for x in units if x.t == x.u}
     assert len(met) == 8 and len(units) == 8 * 9 // 2  # every tile with every tile, one with itself
+
+
+def test_bands_lose_no_near_copy_that_all_comparisons_find(spark, sf_dir):
+    """The stage with and without its keys, on the next larger tables."""
+    docs = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/documents.parquet")
+    kept = [{r.doc_id for r in simhash.drop_near_duplicates(docs, bands=b).select("doc_id").collect()} for b in (True, False)]
+    assert kept[0] == kept[1] and len(kept[0]) < docs.count()

@@ -17,7 +17,12 @@ ROWS = [
     (6, LONG, "en", "b", 300_000), (7, "x@y.example.com +1 (212) 555-0100 1.2.3.4", "en", "c", 42), (None, "𝔘nknown id", "en", "c", 9), (9, COPY, "en", "b", 1),
 ]
 #: Names that operators use inside, or that need quotes.
-CLASHES = ("size", "f", "g", "words", "bin", "length", "kept", "spans", "digest", "copies", "target", "c", "d", "t", "_row", "_text", "_part", "_rid", "fill", "fold", "ratio", "a.b", "x`y")
+CLASHES = (
+    "size", "f", "g", "words", "bin", "length", "kept", "spans", "digest", "copies", "target", "c", "d", "t", "fill", "fold", "ratio", "a.b", "x`y", "hi", "lo", "first",
+    "component_id", "row", "key", "entry", "bucket", "p", "q", "_a", "_b", "_base", "_before", "_c", "_clean", "_ctx", "_d", "_ended", "_g", "_h", "_hosts", "_i", "_into",
+    "_label", "_last", "_level", "_low", "_m", "_mixed", "_n", "_no", "_o", "_p", "_part", "_r", "_rbase", "_rc", "_rended", "_rid", "_rid2", "_rlast", "_row", "_safe",
+    "_shared", "_source", "_sub", "_t", "_tail", "_text", "_total", "_types", "_w", "_whole",
+)
 
 
 @pytest.fixture(scope="module")
