@@ -10,11 +10,12 @@ spellings, and secrets (a fifth kind: keys and passwords).
 There are no labels of such spans, so the trees learn from spans whose truth is
 known because they are made: at places of a bounded sample of documents, between
 their own words, personal data in spellings that the base forms miss are put in,
-with or without a word that announces them, and look-alikes of the same spelling:
-order numbers, versions, digests, numbers that fail their checksum, code. What a span
-was made as is its label; neither forms nor checks have a say in it. The trees are
-compiled into column expressions, so that a document is searched and judged in one
-projection, without a shuffle.
+and look-alikes of the same spelling: lots and versions, digests, paths, slugs, names in
+code, numbers that fail their checksum. What a span was made as is its label; neither
+forms nor checks have a say in it. Most are led in by words that no cue names, some
+by a cue, and some look-alikes by the wrong one, so a cue is evidence and no more.
+The trees are compiled into column expressions, so that a document is searched and
+judged in one projection, without a shuffle; a learned scorer can be kept as text.
 
 Defined results: a null text has no spans; very long texts are searched whole;
 repeated rows, equal and null ids are rows of their own; spans that start at the
@@ -25,6 +26,7 @@ an empty result. Places are in code points.
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 from functools import reduce
 
@@ -67,14 +69,19 @@ COUNTER_CUES = r"(?i)(?:version|ver|v|release|isbn|issn|doi|order|invoice|serial
 FEATURES = (
     "digits", "length", "separators", "luhn", "first_part", "parts_fit", "is_email", "is_ip", "is_card", "is_phone",
     "cue", "counter_cue", "secret_cue", "assigned", "in_code", "glued_before", "glued_after", "obfuscated", "same_digit",
+    "hexadecimal", "both_cases", "slashes", "joints", "longest_word", "variety", "digit_share",
 )
 SECRET_CUES = r"(?i)(?:token|secret|key|passw(?:or)?d|pwd|bearer|auth|credentials?)[\"']?\W{0,4}$"
 
-#: What is put before spans that are made to learn from.
-LEADS = ("", "call me on ", "tel: ", "contact ", "write to ", "reach us at ", "my card: ", "from ", "mail ", "the server ")
-COUNTER_LEADS = ("order ", "version ", "invoice no. ", "ISBN ", "build ", "ref. ", "serial ", "release ", "id: ", "hash ")
-SECRET_LEADS = ('token = "', "api_key: ", "password=", 'secret: "', "Authorization: Bearer ", "AUTH_TOKEN=", 'access key "')
-DIGEST_LEADS = ("", "commit ", "sha256: ", "id=", "build ", "checksum ", "blob ", 'href="', "see /img/")
+#: What is put before spans that are made to learn from. No cue names these.
+LEADS = ("", "ring ", "my number is ", "drop a line to ", "ping ", "charged to ", "log in at ", "she is on ", "you get us under ", "or ask ")
+COUNTER_LEADS = ("", "lot ", "batch ", "case ", "part ", "article ", "row ", "between ", "figure ", "stock ")
+SECRET_LEADS = ('x = "', "export A=", "login with ", '"value": "', "use ", "sign in as me: ", "-p ", "set to '")
+DIGEST_LEADS = ("", "commit ", "sha256: ", "checksum ", "blob ", 'href="', "see /img/", "object ", "at ", "called ", "x = ", "module: ")
+#: Such that a cue does.
+CUED = ("call me on ", "tel: ", "contact ", "write to ", "my card: ", "mail ", "the server ")
+COUNTERED = ("order ", "version ", "invoice no. ", "ISBN ", "build ", "ref. ", "serial ")
+SECRET_CUED = ("api_key: ", "password=", 'secret: "', "Authorization: Bearer ", "AUTH_TOKEN=", 'access key "')
 
 #: Bounds of the sample that the trees are learned from.
 SAMPLE_DOCS, SAMPLE_CANDIDATES = 4_000, 12_000
@@ -184,6 +191,13 @@ def features(text: Column, x: Column) -> dict[str, Column]:
         "glued_after": flag(after.rlike(r"\w")),
         "obfuscated": flag(s.rlike(r"[\[({]")),
         "same_digit": flag(d.rlike(r"^(\d)\1*$")),
+        "hexadecimal": flag(s.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")),
+        "both_cases": flag(s.rlike("[a-z]") & s.rlike("[A-Z]")),
+        "slashes": F.length(F.regexp_replace(s, "[^/]", "")).cast("double"),
+        "joints": F.length(F.regexp_replace(s, "[^_-]", "")).cast("double"),
+        "longest_word": F.coalesce(F.array_max(F.transform(F.regexp_extract_all(s, F.lit("[A-Z]?[a-z]+"), F.lit(0)), F.length)), F.lit(0)).cast("double"),
+        "variety": F.size(F.array_distinct(F.split(s, ""))) / F.length(s),
+        "digit_share": F.length(d) / F.length(s),
     }
 
 
@@ -210,17 +224,33 @@ def made_spans(h: Column) -> Column:
     dots = pick("dots", ("[.]", "(.)", " [.] "))
     ip = F.concat_ws("", *[x for i in range(4) for x in ((dots,) if i else ()) + (octet(f"o{i}"),)])
     over = F.concat_ws("", F.lit("3"), number("v", 2), dots, octet("o1"), dots, octet("o2"), dots, F.lit("9"), number("w", 2))
-    key = F.when(h % 3 == 0, F.substring(hexes("s"), 1, 40)).when(h % 3 == 1, F.upper(F.substring(hexes("s"), 1, 40)))
-    key = key.otherwise(F.translate(F.substring(F.base64(F.unhex(hexes("s"))), 1, 32), "=", "a"))
-    lead, counter = pick("lead", LEADS), pick("counter", COUNTER_LEADS)
+    mixed = F.translate(F.base64(F.unhex(hexes("s"))), "=+/", "a-_")
+    keys = [F.substring(hexes("s"), 1, 40), F.upper(F.substring(hexes("s"), 1, 32)), F.substring(mixed, 1, 32), F.concat(F.lit("pk_"), F.substring(F.regexp_replace(mixed, "[-_]", ""), 1, 28))]
+    key = F.get(F.array(*keys), F.pmod(F.xxhash64(h, F.lit("k")), F.lit(len(keys))))
+    digest = F.substring(hexes("g"), F.lit(1), F.get(F.array(F.lit(32), F.lit(40), F.lit(64)), F.pmod(F.xxhash64(h, F.lit("g")), F.lit(3))))
+    # Names of things: what is written with letters, digits and joints, and is no key.
+    letters = {"n1": "abcdefghij", "n2": "klmnoprstu", "n3": "vwmaxyeqzo"}
+    said = lambda k: F.substring(F.translate(number(k, 12), "0123456789", letters[k]), F.lit(1), F.pmod(F.xxhash64(h, F.lit(k)), F.lit(7)).cast("int") + 4)
+    named = (
+        F.concat_ws("/", said("n1"), said("n2"), F.concat(said("n3"), number("n", 2))), F.concat_ws("-", said("n1"), said("n2"), said("n3"), number("n", 4)),
+        F.concat_ws("_", said("n1"), said("n2"), F.concat(said("n3"), number("n", 1))), F.concat(said("n1"), F.initcap(said("n2")), F.initcap(said("n3")), number("n", 2)),
+        F.concat_ws("-", *[part(hexes("u"), i, n) for i, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]),
+    )
+    thing = F.get(F.array(*named), F.pmod(F.xxhash64(h, F.lit("t")), F.lit(len(named))))
+    # Three of four are led in by words that no cue names, a look-alike in a hundred by a wrong cue.
+    draw = lambda k: F.pmod(F.xxhash64(h, F.lit(k), F.lit("led")), F.lit(100))
+    led = lambda k, plain, cued: F.when(draw(k) < 75, pick(k, plain)).otherwise(pick(k + "c", cued))
+    misled = lambda k, plain, cued, wrong: F.when(draw(k) == 99, pick(k + "w", wrong)).otherwise(led(k, plain, cued))
+    lead, counter = led("lead", LEADS, CUED), misled("counter", COUNTER_LEADS, COUNTERED, CUED)
+    stated = led("sl", SECRET_LEADS, SECRET_CUED)
     made = (
         ("email", lead, mail, 1.0), ("email", F.lit(""), F.concat(F.lit("x."), name, F.lit("[at]"), host, F.lit(".size[0]")), 0.0),
         ("email", counter, F.concat(host, F.lit("(at)"), name, F.lit(".length(")), 0.0),
-        ("phone", lead, phone, 1.0), ("phone", counter, phone, 0.0), ("phone", pick("c2", COUNTER_LEADS), F.concat(phone, F.lit("/"), number("z", 3)), 0.0),
+        ("phone", lead, phone, 1.0), ("phone", counter, F.call_function("concat_ws", pick("ps", ("-", ".", " ")), part(ten, 1, 3), part(ten, 4, 3), part(ten, 7, 4)), 0.0), ("phone", misled("c2", COUNTER_LEADS, COUNTERED, CUED), F.concat(phone, F.lit("/"), number("z", 3)), 0.0),
         ("card", lead, fours(with_check(False), F.lit(".")), 1.0), ("card", lead, fours(with_check(True), pick("sign", (".", "-", " "))), 0.0),
-        ("card", pick("c3", (*COUNTER_LEADS, "")), with_check(True), 0.0), ("card", lead, number("long", 23), 0.0), ("card", pick("dl", DIGEST_LEADS), key, 0.0),
-        ("ip", lead, ip, 1.0), ("ip", counter, ip, 0.0), ("ip", lead, over, 0.0), ("ip", counter, F.concat_ws(".", number("v", 3), octet("o1"), number("w", 3), F.lit("1")), 0.0),
-        (SECRET, pick("sl", SECRET_LEADS), key, 1.0), (SECRET, pick("dl", DIGEST_LEADS), key, 0.0),
+        ("card", misled("c3", COUNTER_LEADS, COUNTERED, CUED), with_check(True), 0.0), ("card", lead, number("long", 23), 0.0), ("card", pick("dl", DIGEST_LEADS), digest, 0.0),
+        ("ip", lead, ip, 1.0), ("ip", counter, over, 0.0), ("ip", lead, over, 0.0), ("ip", counter, F.concat_ws(".", number("v", 3), octet("o1"), number("w", 3), F.lit("1")), 0.0),
+        (SECRET, stated, key, 1.0), (SECRET, pick("dl", DIGEST_LEADS), digest, 0.0), (SECRET, misled("tl", DIGEST_LEADS, SECRET_LEADS, SECRET_CUED), thing, 0.0),
     )
     return F.array(*[F.struct(F.lit(k).alias("kind"), a.alias("lead"), x.alias("s"), F.lit(y).alias("label")) for k, a, x, y in made])
 
@@ -281,6 +311,13 @@ class Scorer:
     def __init__(self, trees: list, thresholds: dict[str, float]):
         self.trees, self.thresholds = trees, thresholds
 
+    def to_json(self) -> str:
+        return json.dumps({"trees": self.trees, "thresholds": self.thresholds})
+
+    @classmethod
+    def from_json(cls, text: str) -> Scorer:
+        return cls(**json.loads(text))
+
     def score(self, values: dict[str, Column]) -> Column:
         """The features go into a struct once; the trees read its fields."""
         made = F.struct(*[values[k].alias(k) for k in FEATURES])
@@ -357,11 +394,20 @@ def digests(found: DataFrame) -> DataFrame:
     )
 
 
-def redact(docs: DataFrame, text: str = "text") -> DataFrame:
+def tallied(docs: DataFrame, scorer: Scorer) -> DataFrame:
+    """kind, base, n_candidates, n_accepted: what generators propose and what is found."""
+    keyed = docs.select(F.col("doc_id"), text_of().alias("text"))
+    proposed = keyed.select(F.explode(candidates(F.col("text"))).alias("x")).groupBy("x.kind", F.col("x.base").alias("base")).agg(F.count("*").alias("n_candidates"))
+    found = find_spans(keyed, scorer=scorer).select(F.explode("spans").alias("x")).groupBy("x.kind", F.col("x.base").alias("base")).agg(F.count("*").alias("n_accepted"))
+    return proposed.join(found, ["kind", "base"], "left").select("kind", "base", "n_candidates", F.coalesce("n_accepted", F.lit(0)).alias("n_accepted"))
+
+
+def redact(docs: DataFrame, text: str = "text", scorer: Scorer | None = None) -> DataFrame:
     """`docs` with each span of `text` replaced by its kind in capitals, in
-    angle brackets; overlapping spans are replaced together, by the first kind."""
+    angle brackets; overlapping spans are replaced together, by the first kind. Without
+    a scorer one is learned from `docs`."""
     whole = F.struct(*quoted(docs.columns))
-    scorer = learn(docs.select("doc_id", F.col(text).alias("text")))
+    scorer = learn(docs.select("doc_id", F.col(text).alias("text"))) if scorer is None else scorer
     found = find_spans(docs.select(whole.alias("_row"), F.col(text).alias("text")), keep=("_row",), scorer=scorer)
     t = F.col("_text")
     by_place = F.sort_array(F.transform("spans", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))))

@@ -324,13 +324,18 @@ def test_base_spans_are_those_of_the_forms(spark, documents, texts):
         assert set(want) <= set(r.spans.split(",")) | {""}
 
 
+WORDS_OF_THE_CODE = re.compile("[a-z]{2,}")
+
+
 def test_trees_tell_planted_spans_from_look_alikes(spark):
-    """Spans in spellings that no base form takes, in sentences that the trees were
-    not taught with, and look-alikes in the same spellings."""
+    """Spans in spellings that no base form takes, and look-alikes in the same spellings,
+    in sentences without a word of the code's cues and leads: recall and precision by
+    kind. A kept scorer finds the same."""
     r = np.random.default_rng(17)
     n = lambda k: "".join(map(str, r.integers(0, 10, k)))
     word = lambda k: "".join(r.choice(list("abcdefghijklmnoprstuvw"), k))
     hexes = lambda k: "".join(r.choice(list("0123456789abcdef"), k))
+    mixed = lambda k: "".join(r.choice(list("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789"), k))
 
     def card(good):
         d = "5" + n(14)
@@ -338,28 +343,42 @@ def test_trees_tell_planted_spans_from_look_alikes(spark):
         return ".".join((d + last)[i : i + 4] for i in range(0, 16, 4))
 
     octets = lambda sign: sign.join(str(x) for x in r.integers(0, 256, 4))
+    leads = ("please question ", "thanks go towards ", "billed upon ", "they noted ", "our gadget ", "deployed using ")
+    known = {w for x in (*pii.LEADS, *pii.COUNTER_LEADS, *pii.SECRET_LEADS, *pii.DIGEST_LEADS, *pii.CUED, *pii.COUNTERED, *pii.SECRET_CUED, pii.CUES, pii.COUNTER_CUES, pii.SECRET_CUES) for w in WORDS_OF_THE_CODE.findall(x.lower())}
+    assert not known & set(" ".join(leads).split())
     planted, clean, rows = {}, {}, []
     for i in range(60):
         good = [
-            ("email", "please ask ", f"{word(5)} (at) {word(6)}.org"), ("email", "thanks to ", f"{word(4)}[at]{word(5)}[dot]com"), ("phone", "ring us on ", f"({n(3)}) {n(3)}-{n(4)}"),
-            ("card", "charged to ", card(True)), ("ip", "the machine ", octets("[.]")), ("secret", "deploy with API_TOKEN=", hexes(40)), ("secret", "our password: ", word(12) + n(8) + word(6)),
+            ("email", f"{word(5)} (at) {word(6)}.org"), ("email", f"{word(4)}[at]{word(5)}[dot]com"), ("phone", f"({n(3)}) {n(3)}-{n(4)}"),
+            ("card", card(True)), ("ip", octets("[.]")), ("secret", mixed(32)), ("secret", "pk_" + mixed(28)),
         ]
         bad = [
-            ("email", "the loop ", f"{word(4)}[at]{word(4)}.size[1]"), ("phone", "see invoice ", f"{n(3)}-{n(3)}-{n(4)}"), ("card", "stock ", card(False)), ("ip", "release ", f"3{n(2)}[.]{n(3)}[.]9{n(2)}[.]1"),
-            ("secret", "the commit ", hexes(40)), ("secret", "blob ", hexes(64)),
+            ("email", f"{word(4)}[at]{word(4)}.size[1]"), ("phone", f"{n(3)}-{n(3)}-{n(4)}"), ("card", card(False)), ("ip", f"3{n(2)}[.]{n(3)}[.]9{n(2)}[.]1"),
+            ("secret", hexes(64)), ("secret", f"{word(6)}/{word(8)}/{word(7)}{n(2)}"), ("secret", f"{word(7)}_{word(9)}_{word(6)}{n(1)}"), ("secret", f"{word(6)}-{word(5)}-{word(8)}-{n(4)}"),
         ]
-        for k, (kind, lead, value) in enumerate(good + bad):
-            before = " ".join(word(int(x)) for x in r.integers(2, 8, 6)) + " " + lead
+        for k, (kind, value) in enumerate(good + bad):
+            before = " ".join(word(int(x)) for x in r.integers(2, 8, 6)) + " " + leads[int(r.integers(len(leads)))]
             rows.append((100 * i + k, before + value + " " + word(5)))
             (planted if k < len(good) else clean)[100 * i + k] = (kind, len(before), len(before) + len(value))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    taught = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
-    got = {x.doc_id: x.spans for x in pii.find_spans(docs, scorer=pii.learn(taught)).collect()}
-    hits = {i for i, (kind, a, b) in planted.items() if any(s.kind == kind and s.start < b and a < s.end for s in got[i])}
-    wrong = {i for i in clean if got[i]}
-    recall, precision = len(hits) / len(planted), len(hits) / (len(hits) + len(wrong))
-    print(f"recall {recall:.3f}, precision {precision:.3f}")
-    assert recall > 0.9 and precision > 0.9
+    scorer = pii.learn(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text"))
+    got = {x.doc_id: x.spans for x in pii.find_spans(docs, scorer=scorer).collect()}
+    tally = collections.defaultdict(lambda: [0, 0, 0, 0])
+    for i, (kind, a, b) in planted.items():
+        tally[kind][0] += 1
+        tally[kind][1] += any(s.kind == kind and s.start < b and a < s.end for s in got[i])
+    for i, (kind, _, _) in clean.items():
+        tally[kind][2] += 1
+        tally[kind][3] += bool(got[i])
+    print({k: f"{found} of {there} found, {wrong} of {like} look-alikes taken" for k, (there, found, like, wrong) in tally.items()})
+    found, wrong = sum(x[1] for x in tally.values()), sum(x[3] for x in tally.values())
+    assert found / len(planted) > 0.85 and found / (found + wrong) > 0.93
+    assert all(x[1] > 0.6 * x[0] and x[3] < 0.3 * x[2] for x in tally.values())
+    assert pii.Scorer.from_json(scorer.to_json()).thresholds == scorer.thresholds
+    again = {x.doc_id: x.spans for x in pii.find_spans(docs.limit(40), scorer=pii.Scorer.from_json(scorer.to_json())).collect()}
+    assert all(got[k] == v for k, v in again.items())
+    counts = {(x.kind, x.base): (x.n_candidates, x.n_accepted) for x in pii.tallied(docs, scorer).collect()}
+    assert counts["secret", False][1] < counts["secret", False][0] and counts["card", False][1] < counts["card", False][0]
 
 
 def test_redaction_keeps_the_rest(spark):
