@@ -1550,11 +1550,23 @@ def i01_new_files(files):
     return tables.newer_than(now, done).select("path")
 
 
-@query("reads", sql=f"SELECT {FILE_SQL} AS file, lane, count(*) AS n_reads FROM reads GROUP BY ALL")
-def i02_stream_counts(reads):
+def _followed(reads, landings: int = 1) -> tuple:
+    """Reads that land in so many turns, and are counted in as many batches."""
     spark = reads.sparkSession
     source, target, state = (shared.new_folder(spark, x) for x in ("landed", "counted", "state"))
-    landed = reads.select(_file().alias("file"), "lane")
-    landed.write.parquet(source)
-    incremental.follow(spark, source, landed.schema, target, state).awaitTermination()
-    return incremental.counted(spark, target)
+    landed = reads.select(_file().alias("file"), "lane", "barcode", (F.col("l_orderkey") % landings).alias("turn"))
+    for k in range(landings):
+        landed.filter(F.col("turn") == k).write.mode("append").parquet(source)
+        incremental.follow(spark, source, landed.schema, target, state, compact_every=2).awaitTermination()
+    return spark, target
+
+
+@query("reads", sql=f"SELECT {FILE_SQL} AS file, lane, count(*) AS n_reads FROM reads GROUP BY ALL")
+def i02_stream_counts(reads):
+    return incremental.counted(*_followed(reads))
+
+
+@query("reads", sql=COUNTS)
+def i02_stream_barcodes(reads):
+    """Of three landings, two are folded into snapshots."""
+    return incremental.counted_barcodes(*_followed(reads, 3))

@@ -537,3 +537,40 @@ def test_files_without_reads_in_a_lane(spark):
     expected = spark.createDataFrame([("p", "s", "f", 1), ("p", "s", "f", 2), ("p", "s", "g", None), ("p", "s", "h", None)], "project string, sample string, file string, lane int")
     counts = spark.createDataFrame([("p", "s", "f", 1, 5), ("p", "s", "g", 3, 2)], "project string, sample string, file string, lane int, n_reads long")
     assert {r.file: (r.empty_lanes, r.warning) for r in S.file_warnings(expected, counts).collect()} == {"f": ([2], True), "g": ([], False), "h": ([], True)}
+
+
+def test_snapshots_and_crashes_change_no_counts(spark, tmp_path, monkeypatch):
+    """Batches, a compaction at every second one, a lost checkpoint, and crashes after each
+    step of a compaction."""
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "file string, lane int, barcode string"
+    land = lambda rows: spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+    run = lambda state="one": incremental.follow(spark, source, spark.createDataFrame([], schema).schema, target, str(tmp_path / state), compact_every=2).awaitTermination()
+    counts = lambda: ({tuple(r) for r in incremental.counted(spark, target).collect()}, {tuple(r) for r in incremental.counted_barcodes(spark, target).collect()})
+    want = ({("f", 1, 2), ("g", None, 1)}, {(1, "AC", 2), (None, None, 1)})
+    land([("f", 1, "AC"), ("f", 1, "AC"), ("g", None, None)])
+    run()
+    assert incremental.current(spark, target) is None and counts() == want
+    land([("f", 1, "AC"), ("f", 2, "GG")])
+    want = ({("f", 1, 3), ("f", 2, 1), ("g", None, 1)}, {(1, "AC", 3), (2, "GG", 1), (None, None, 1)})
+    with monkeypatch.context() as m:
+        m.setattr(incremental, "_point", lambda *a: 1 / 0)
+        with pytest.raises(Exception, match="division"):
+            run()  # the second batch: a snapshot is written, and nothing points to it
+    assert counts() == want and incremental.current(spark, target) is None
+    run()  # the batch again
+    first = incremental.current(spark, target)
+    assert counts() == want and first
+    run("lost")  # everything again, by a stream that knows nothing of the first
+    assert counts() == want
+    land([("h", 3, "TT")])
+    run()
+    want = (want[0] | {("h", 3, 1)}, want[1] | {(3, "TT", 1)})
+    with monkeypatch.context() as m:
+        m.setattr(incremental, "_drop", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            incremental.compact(spark, target)  # the new snapshot is the current one, and nothing was deleted
+    assert counts() == want and incremental.current(spark, target) != first
+    incremental.compact(spark, target)
+    assert counts() == want
+    assert not list((tmp_path / "out" / "new").glob("*.parquet")) and len(list((tmp_path / "out").glob("snapshot-*"))) == 2
