@@ -26,7 +26,13 @@ def checkpoint_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A folder in one of the session's own, which goes when the driver ends."""
+    own = f"{checkpoint_folder(spark)}/runloom-{spark.sparkContext.applicationId}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(own)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(at)
+    files.deleteOnExit(at)
+    return f"{own}/{name}-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame) -> DataFrame:
