@@ -222,12 +222,13 @@ def assign_pairs(first: DataFrame, second: DataFrame, references: DataFrame, dis
     return good, both.filter(~agree).withColumn("error", error)
 
 
-def ambiguous(references: DataFrame, distance: int) -> DataFrame:
-    """Pairs of reference indexes that a barcode could be assigned to alike."""
+def ambiguous(references: DataFrame, distance: int, most: int = MOST_PAIRS) -> DataFrame:
+    """Pairs of reference indexes that a barcode could be assigned to alike, found as
+    `near_references` finds them: all tried, or by shared pieces."""
     refs = references.select("index_seq").distinct()
-    pairs = refs.alias("a").join(refs.alias("b"), F.col("a.index_seq") < F.col("b.index_seq"))
-    d = B.hamming_truncated(F.col("a.index_seq"), F.col("b.index_seq"))
-    return pairs.select(F.col("a.index_seq").alias("index_a"), F.col("b.index_seq").alias("index_b"), d.alias("distance")).filter(F.col("distance") <= distance)
+    near = near_references(refs.withColumnRenamed("index_seq", "barcode"), refs, distance, most).filter("barcode < index_seq")
+    d = B.hamming_truncated(F.col("barcode"), F.col("index_seq"))
+    return near.select(F.col("barcode").alias("index_a"), F.col("index_seq").alias("index_b"), d.alias("distance"))
 
 
 def collisions(sheet: DataFrame, mismatches: int | Column, use: str = "all") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import barcodes as B
 from ..functions import names as N
+from ..sources.shared import BROADCAST_ROWS, cut
 from ..sources.tables import sheet_numbers
 
 #: Other names of the number of cells, the preferred first.
@@ -59,16 +60,53 @@ def summary_by_lane(sheet: DataFrame) -> DataFrame:
     )
 
 
-def close_names(projects: DataFrame, least: float = 0.6, top: int = 3) -> DataFrame:
+#: Pairs of names that are tried one by one.
+MOST_PAIRS = 50_000_000
+
+
+def likeness(x: Column, y: Column) -> Column:
+    """By edit distance over the longer name."""
+    return 1 - F.levenshtein(x, y) / F.greatest(F.length(x), F.length(y))
+
+
+def candidate_pairs(names: DataFrame, least: float) -> DataFrame:
+    """long, short: pairs of different names that may be so much alike, each once.
+
+    Of two names so much alike the shorter one, cut into a piece more than there may be
+    edits, keeps a piece whole, and the longer one has it no further off than there
+    may be edits. So names meet by lengths, number and text of a piece. Lengths are few,
+    and so are the pairs of them that differ by no more edits than they allow."""
+    sizes = sorted(r[0] for r in names.select(F.length("name")).distinct().limit(10_000).collect())
+    edits = {n: int((1 - least) * n + 1e-6) for n in sizes}
+    pairs = [(n, m, edits[n]) for n in sizes for m in sizes if n - edits[n] <= m <= n]
+    if not pairs:
+        return names.select(F.col("name").alias("long"), F.col("name").alias("short")).limit(0)
+    plan = names.sparkSession.createDataFrame(pairs, "n int, m int, e int")
+    start, size = lambda k: F.floor(F.col("m") * k / (F.col("e") + 1)).cast("int"), lambda k: (F.floor(F.col("m") * (k + 1) / (F.col("e") + 1)) - F.floor(F.col("m") * k / (F.col("e") + 1))).cast("int")
+    met = lambda side, length: names.withColumn(length, F.length("name")).join(F.broadcast(plan), length).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("e"))))
+    short = met("short", "m").select("n", "m", "k", F.substring("name", start(F.col("k")) + 1, size(F.col("k"))).alias("piece"), F.col("name").alias("short"))
+    low, high = F.greatest(start(F.col("k")) - F.col("e"), F.lit(0)), F.least(start(F.col("k")) + F.col("e"), F.col("n") - size(F.col("k")))
+    there = F.when(low <= high, F.array_distinct(F.transform(F.sequence(low, high), lambda i: F.substring(F.col("name"), i + 1, size(F.col("k"))))))
+    long = met("long", "n").select("n", "m", "k", F.col("name").alias("long"), F.explode(there).alias("piece"))
+    both = long.join(short, ["n", "m", "k", "piece"]).filter((F.col("n") > F.col("m")) | (F.col("long") < F.col("short")))
+    return both.select("long", "short").distinct()
+
+
+def close_names(projects: DataFrame, least: float = 0.6, top: int = 3, most: int = MOST_PAIRS) -> DataFrame:
     """Similar project names, the closest three of each. Likeness is by edit
-    distance over the longer name."""
-    p = projects.select("project").distinct()
-    a, b = p.alias("a"), p.alias("b")
-    x, y = F.col("a.project"), F.col("b.project")
-    like = 1 - F.levenshtein(x, y) / F.greatest(F.length(x), F.length(y))
-    pairs = a.join(b, x != y).select(x.alias("project"), y.alias("close"), like.alias("likeness")).filter(F.col("likeness") >= least)
+    distance over the longer name. Few pairs are all tried; else only those of
+    `candidate_pairs`."""
+    names = cut(projects.select(F.col("project").alias("name")).filter("name IS NOT NULL").distinct())
+    n = names.count()
+    if n <= BROADCAST_ROWS and n * n <= most:
+        pairs = names.select(F.col("name").alias("long")).join(F.broadcast(names.select(F.col("name").alias("short"))), F.col("long") < F.col("short"))
+    else:
+        pairs = candidate_pairs(names, least)
+    near = pairs.withColumn("likeness", likeness(F.col("long"), F.col("short"))).filter(F.col("likeness") >= least)
+    both = F.explode(F.array(F.struct(F.col("long").alias("project"), F.col("short").alias("close")), F.struct(F.col("short").alias("project"), F.col("long").alias("close"))))
+    rows = near.select(both.alias("x"), "likeness").select("x.project", "x.close", "likeness")
     rank = F.row_number().over(Window.partitionBy("project").orderBy(F.desc("likeness"), "close"))
-    return pairs.withColumn("rank", rank).filter(F.col("rank") <= top)
+    return rows.withColumn("rank", rank).filter(F.col("rank") <= top)
 
 
 def lint(sheet: DataFrame, least: float = 0.6) -> DataFrame:

@@ -1364,6 +1364,21 @@ def s21_demultiplexed(reads, sheet):
     return reads.sparkSession.read.parquet(path).groupBy("assigned", "read_number").agg(F.count("*").alias("n"))
 
 
+@query("reads", "sample_sheet", sql=f"""
+WITH p AS (SELECT b.barcode, r.index_seq, {_apart('b.barcode', 'r.index_seq')} AS d FROM (SELECT DISTINCT barcode FROM reads) b CROSS JOIN ({REFS}) r),
+m AS (SELECT barcode, min(index_seq) AS assigned FROM p WHERE d <= 1 GROUP BY barcode)
+SELECT coalesce(m.assigned, 'undetermined') || '_R1' AS name, count(*) AS n, md5(string_agg({FASTQ_LINES.replace('barcode', 'reads.barcode')}, chr(10) ORDER BY {UNIT_ORDER.replace('barcode', 'reads.barcode')}) || chr(10)) AS md5
+FROM reads LEFT JOIN m ON m.barcode = reads.barcode GROUP BY ALL""")
+def s21_demultiplexed_fastq(reads, sheet):
+    """Written as FASTQ and read back: the texts of each barcode's files, one after the other."""
+    spark, path = reads.sparkSession, shared.new_folder(reads.sparkSession, "demultiplexed")
+    named = C.assign(_named_reads(reads), sheet, 1).withColumns({"read_number": F.lit(1), "text": F.concat_ws("\n", "header", "sequence", F.lit("+"), "quality")})
+    fastq.write_demultiplexed_fastq(named, path, order=["l_orderkey", "l_linenumber", "l_partkey", "sequence", "text"])
+    back = fastq.as_text(fastq.read_fastq(spark, path, "*.fastq.gz"), "file", "read_idx")
+    texts = back.groupBy(F.regexp_extract("file", "([^/]+)_[0-9]+[.]fastq", 1).alias("name")).agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("file", "read_idx", "value"))).alias("rows"))
+    return texts.select("name", "n", F.md5(F.concat(F.array_join(F.transform("rows", lambda x: x["value"]), "\n"), F.lit("\n"))).alias("md5"))
+
+
 def _texts(rows: DataFrame, file, text) -> DataFrame:
     return rows.select(file.alias("file"), text.alias("text"))
 

@@ -163,3 +163,24 @@ def write_demultiplexed(assigned: DataFrame, path: str, **options) -> None:
     """A folder for each assigned barcode and read number; reads in their order."""
     order = [c for c in ("file", "read_idx") if c in assigned.columns]
     write_split(assigned, path, ["assigned", "read_number"], order, **options)
+
+
+def write_fastq(reads: DataFrame, path: str, name: Column, order: list[str] | None = None, packed: bool = True) -> None:
+    """FASTQ files `<name>_001.fastq.gz`, … in the folder `path`. Reads are dealt out by
+    ranges of name and order (file and place, if nothing else is said), so that a name
+    with many reads is written by many tasks, and its files, one after the other,
+    are its reads in order."""
+    from .fastq_sink import FastqFiles
+
+    reads.sparkSession.dataSource.register(FastqFiles)
+    order = [c for c in ("file", "read_idx") if c in reads.columns] if order is None else order
+    by = ["name", *(f"_o{i}" for i in range(len(order)))]
+    rows = reads.select(name.alias("name"), "header", "sequence", "quality", *[F.col(c).alias(n) for c, n in zip(order, by[1:], strict=True)])
+    dealt = rows.repartitionByRange(*by).sortWithinPartitions(*by).select("name", "header", "sequence", "quality")
+    dealt.write.format("fastq_files").mode("append").option("path", path).option("compression", "gzip" if packed else "none").save()
+
+
+def write_demultiplexed_fastq(assigned: DataFrame, path: str, **options) -> None:
+    """A set of files for each assigned barcode and read number."""
+    name = F.concat_ws("_", F.replace("assigned", F.lit("+"), F.lit("-")), F.concat(F.lit("R"), F.col("read_number").cast("string")))
+    write_fastq(assigned, path, name, **options)

@@ -574,3 +574,51 @@ def test_snapshots_and_crashes_change_no_counts(spark, tmp_path, monkeypatch):
     incremental.compact(spark, target)
     assert counts() == want
     assert not list((tmp_path / "out" / "new").glob("*.parquet")) and len(list((tmp_path / "out").glob("snapshot-*"))) == 2
+
+
+def test_reads_come_out_as_fastq_files(spark, tmp_path):
+    """A name with most of the reads is written by several tasks; its files, joined end to
+    end, are its reads in order; a task that fails at first leaves nothing behind."""
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 10 == 0, "rare").otherwise("undetermined").alias("assigned"), F.lit(1).alias("read_number"), F.col("id").alias("read_idx"),
+        F.concat(F.lit("@r"), F.col("id").cast("string")).alias("header"), F.lit("AC").alias("sequence"), F.lit("II").alias("quality"),
+    )
+    out = tmp_path / "out"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows would be one task's
+    try:
+        fastq.write_demultiplexed_fastq(rows, str(out))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert (out / "_SUCCESS").exists() and not list(out.glob("_temporary*"))
+    text = {n: b"".join(gzip.decompress(f.read_bytes()) for f in sorted(out.glob(f"{n}_R1_*.fastq.gz"))).decode() for n in ("rare", "undetermined")}
+    assert len(list(out.glob("undetermined_R1_*"))) > 1
+    for n, k in (("rare", range(0, 3000, 10)), ("undetermined", [i for i in range(3000) if i % 10])):
+        assert text[n] == "".join(f"@r{i}\nAC\n+\nII\n" for i in k)
+    back = {r.f: r.n for r in fastq.read_fastq(spark, str(out), "*.gz").groupBy(F.regexp_extract("file", "([a-z]+)_R1", 1).alias("f")).agg(F.count("*").alias("n")).collect()}
+    assert back == {"rare": 300, "undetermined": 2700}
+    fastq.write_fastq(rows.limit(0), str(tmp_path / "none"), F.col("assigned"), packed=False)
+    assert [f.name for f in (tmp_path / "none").iterdir()] == ["_SUCCESS"]
+
+
+def test_pieces_find_the_names_that_trying_all_finds(spark):
+    import random
+
+    r = random.Random(4)
+    base = ["".join(r.choice("abcd_") for _ in range(r.randint(1, 14))) for _ in range(40)]
+    names = {x for b in base for x in (b, b[1:], b + "x", b[: len(b) // 2] + "z" + b[len(b) // 2 :], b[::-1]) if x}
+    df = spark.createDataFrame([(x,) for x in sorted(names)] + [(None,), ("",)], "project string")
+    for least in (0.6, 0.8, 1.0):
+        both = [sorted(tuple(x) for x in R.close_names(df, least, most=m).collect()) for m in (10**9, 0)]
+        assert both[0] == both[1] and (both[0] or least == 1.0)
+    tried = R.candidate_pairs(df.filter("project <> ''").withColumnRenamed("project", "name"), 0.8).count()
+    assert tried < len(names) ** 2 / 20
+
+
+def test_pieces_find_the_indexes_that_trying_all_finds(spark):
+    import random
+
+    r = random.Random(6)
+    df = spark.createDataFrame([("".join(r.choice("ACG") for _ in range(r.randint(4, 7))),) for _ in range(80)], "index_seq string")
+    for d in (0, 1, 2):
+        both = [sorted(tuple(x) for x in C.ambiguous(df, d, m).collect()) for m in (10**9, 0)]
+        assert both[0] == both[1] and both[0]
