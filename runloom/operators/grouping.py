@@ -4,7 +4,9 @@ The most frequent barcode left becomes a reference and takes in every barcode le
 that matches it; and so on. That is the first maximal independent set, in rank
 order, of the graph of matches, and each other barcode goes to its earliest
 adjacent reference. Two ways give it: a grouped function over the few barcodes of
-a lane that pass the weeding cut-off, and joins with rounds for any number. Lanes,
+a lane that pass the weeding cut-off, and, for any number, joins that find the
+matches, whose connected components don't touch each other: a task decides those of
+its own in rank order, and only one too large for a task is decided in rounds of joins. Lanes,
 a missing one too, and all lanes together (`barcodes.scoped`) are grouped alike.
 """
 
@@ -18,9 +20,12 @@ from pyspark.sql import functions as F
 from ..functions import barcodes as B
 from ..sources.shared import checked_broadcast, cut
 from . import barcodes as C
+from .graphs import components
 
 #: Barcodes of a lane that one task groups, by comparing each reference with all that are left.
 LANE_ROWS = 20_000
+#: Barcodes of a component that one task decides, and of all components that it gets.
+COMPONENT_ROWS, TASK_ROWS = 200_000, 50_000
 
 
 def in_rank_order(found: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
@@ -89,15 +94,11 @@ def matching_pairs(ranked: DataFrame, mismatches: int) -> DataFrame:
     return pairs.select(F.col("a.key").alias("key"), F.col("a.rank").alias("early"), F.col("b.rank").alias("late")).distinct()
 
 
-def group_by_rounds(ranked: DataFrame, mismatches: int) -> DataFrame:
-    """The same for any number of barcodes. In a round, a barcode without earlier
-    undecided neighbours is decided: member if an earlier neighbour is a
-    reference, else a reference itself."""
-    keys = C.keys_of(ranked)
-    # One column that is never null stands for scope and lane.
-    ranked = cut(ranked.withColumn("key", F.to_json(F.struct(*keys))))
-    edges = cut(matching_pairs(ranked, mismatches))
-    state = ranked.select("key", F.col("rank").alias("late"), F.lit(None).cast("boolean").alias("is_reference"))
+def decided_in_rounds(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """key, rank; key, early, late -> key, rank, r (the rank of its reference), by joins.
+    In a round, a barcode without earlier undecided neighbours is decided: member if an
+    earlier neighbour is a reference, else a reference itself."""
+    state = nodes.select("key", F.col("rank").alias("late"), F.lit(None).cast("boolean").alias("is_reference"))
     while True:
         early = state.select("key", F.col("late").alias("early"), F.col("is_reference").alias("of_early"))
         seen = edges.join(early, ["key", "early"]).groupBy("key", "late").agg(
@@ -109,25 +110,63 @@ def group_by_rounds(ranked: DataFrame, mismatches: int) -> DataFrame:
             break
     references = state.filter("is_reference").select("key", F.col("late").alias("early"))
     own = edges.join(references, ["key", "early"]).groupBy("key", "late").agg(F.min("early").alias("r"))
-    placed = state.join(own, ["key", "late"], "left").select("key", F.col("late").alias("rank"), F.when(F.col("is_reference"), F.col("late")).otherwise(F.col("r")).alias("r"))
+    return state.join(own, ["key", "late"], "left").select("key", F.col("late").alias("rank"), F.when(F.col("is_reference"), F.col("late")).otherwise(F.col("r")).alias("r"))
+
+
+def decided_in_tasks(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """The same for components (key, root, rank) that a task can hold, several to a task:
+    in rank order, a barcode goes to its earliest neighbour that is a reference, or is
+    one."""
+
+    def decide(batch: pd.DataFrame) -> pd.DataFrame:
+        batch, reference, out = batch.sort_values("rank", ignore_index=True), set(), []
+        for key, rank, earlier in zip(batch["key"], batch["rank"], batch["earlier"], strict=True):
+            near = [e for e in (earlier if earlier is not None else ()) if (key, e) in reference]
+            if not near:
+                reference.add((key, rank))
+            out.append(min(near, default=rank))
+        return batch.assign(r=out)[["key", "rank", "r"]]
+
+    earlier = edges.groupBy("key", F.col("late").alias("rank")).agg(F.collect_list("early").alias("earlier"))
+    tasks = max(1, -(-nodes.count() // TASK_ROWS))
+    rows = nodes.join(earlier, ["key", "rank"], "left").withColumn("task", F.pmod(F.xxhash64("key", "root"), F.lit(tasks)))
+    return rows.groupBy("task").applyInPandas(decide, "key string, rank long, r long")
+
+
+def group_by_matches(ranked: DataFrame, mismatches: int, rows: int = COMPONENT_ROWS) -> DataFrame:
+    """lane, barcode, n, reference for any number of barcodes, from their matches. `rows`
+    is the size of a component beyond which it is decided in rounds."""
+    keys = C.keys_of(ranked)
+    # One column that is never null stands for scope and lane.
+    ranked = cut(ranked.withColumn("key", F.to_json(F.struct(*keys))))
+    edges = cut(matching_pairs(ranked, mismatches))
+    linked = cut(components(edges.select("key", F.col("early").alias("a"), F.col("late").alias("b")), ["key"]).withColumnRenamed("node", "rank"))
+    large = cut(linked.groupBy("key", "root").count().filter(F.col("count") > rows).select("key", "root"))
+    placed = decided_in_tasks(linked.join(large, ["key", "root"], "left_anti"), edges)
+    if not large.isEmpty():
+        nodes = cut(linked.join(large, ["key", "root"], "left_semi"))
+        inside = edges.join(nodes.select("key", F.col("rank").alias("late")), ["key", "late"], "left_semi")
+        placed = placed.unionByName(decided_in_rounds(nodes, cut(inside)))
+    # What matches nothing is a group of its own.
+    found = ranked.join(placed, ["key", "rank"], "left").withColumn("r", F.coalesce("r", "rank"))
     names = ranked.select("key", F.col("rank").alias("r"), F.col("barcode").alias("reference"))
-    return ranked.join(placed, ["key", "rank"]).join(names, ["key", "r"]).select(*keys, "barcode", "n", "reference")
+    return found.join(names, ["key", "r"]).select(*keys, "barcode", "n", "reference")
 
 
 def grouped(
-    found: DataFrame, mismatches: int = 2, cutoff: float | None = None, seeds: DataFrame | None = None, fraction: float = 1e-6, by_rounds: bool | None = None, all_lanes: bool = False
+    found: DataFrame, mismatches: int = 2, cutoff: float | None = None, seeds: DataFrame | None = None, fraction: float = 1e-6, by_matches: bool | None = None, all_lanes: bool = False
 ) -> DataFrame:
     """lane, reference, n_sequences, n of each group. Groups below the cut-off are
     dropped after they have taken in their members. Lanes are grouped by a function
-    where the largest keeps `LANE_ROWS` barcodes at most, by rounds of joins beyond;
-    `by_rounds` says so beforehand. The groups are the same. With `all_lanes` barcodes
+    where the largest keeps `LANE_ROWS` barcodes at most, by their matches beyond;
+    `by_matches` says so beforehand. The groups are the same. With `all_lanes` barcodes
     are also grouped over all lanes, in the same pass."""
     found = cut(C.scoped(found) if all_lanes else found)
     keys = C.keys_of(found)
     kept = in_rank_order(weeded(found, fraction), seeds)
-    if by_rounds is None:
-        by_rounds = (weeded(found, fraction).groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) > LANE_ROWS
-    members = (group_by_rounds if by_rounds else group_in_lanes)(kept, mismatches)
+    if by_matches is None:
+        by_matches = (weeded(found, fraction).groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) > LANE_ROWS
+    members = (group_by_matches if by_matches else group_in_lanes)(kept, mismatches)
     groups = members.groupBy(*keys, "reference").agg(F.count("*").alias("n_sequences"), F.sum("n").alias("n"))
     if cutoff is not None:
         totals = checked_broadcast(found.groupBy(*keys).agg(F.sum("n").alias("_t")))

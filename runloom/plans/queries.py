@@ -592,8 +592,8 @@ def g01_group_barcodes(reads):
 
 
 @query("reads")
-def g01_group_by_rounds(reads):
-    return G.grouped(C.counts(reads), 2, by_rounds=True)
+def g01_group_by_matches(reads):
+    return G.grouped(C.counts(reads), 2, by_matches=True)
 
 
 @query("reads", "sample_sheet")

@@ -40,7 +40,7 @@ def test_both_ways_of_grouping_are_greedy(spark, mismatches):
     df = spark.createDataFrame([(1, b, n) for b, n in found.items()], "lane int, barcode string, n long")
     ranked = G.in_rank_order(df)
     want = greedy(list(found.items()), mismatches)
-    for way in (G.group_in_lanes, G.group_by_rounds):
+    for way in (G.group_in_lanes, G.group_by_matches, lambda r, m: G.group_by_matches(r, m, rows=3)):
         got = {}
         for x in way(ranked, mismatches).collect():
             got.setdefault(x.reference, set()).add(x.barcode)
@@ -164,7 +164,7 @@ def test_seeded_groups_are_those_of_a_plain_loop(spark, dual):
         sheet = spark.createDataFrame(seeds, "lane int, index_seq string, seed_order int")
         place = {(lane, b): (i if ordered else b) for lane, b, i in seeds}
         for rounds in (False, True):
-            got = sorted(tuple(x) for x in G.grouped(df, 1, seeds=sheet if ordered else sheet.drop("seed_order"), by_rounds=rounds).collect())
+            got = sorted(tuple(x) for x in G.grouped(df, 1, seeds=sheet if ordered else sheet.drop("seed_order"), by_matches=rounds).collect())
             want = []
             for lane in (1, 2):
                 mine = [(b, n) for x, b, n in found if x == lane]
@@ -426,7 +426,7 @@ def test_both_ways_of_grouping_keep_missing_lanes_and_all_lanes(spark, cutoff):
         groups = greedy_in_order(sorted(total.items(), key=lambda x: (-x[1], x[0])), 1)
         want += [(scope, lane, *g) for g in groups if g[2] >= int(sum(total.values()) * (cutoff or 0))]
     for rounds in (False, True):
-        rows = G.grouped(df, 1, cutoff=cutoff, by_rounds=rounds, all_lanes=True).collect()
+        rows = G.grouped(df, 1, cutoff=cutoff, by_matches=rounds, all_lanes=True).collect()
         assert sorted(((r.scope, r.lane, r.reference, r.n_sequences, r.n) for r in rows), key=str) == sorted(want, key=str)
 
 
@@ -622,3 +622,17 @@ def test_pieces_find_the_indexes_that_trying_all_finds(spark):
     for d in (0, 1, 2):
         both = [sorted(tuple(x) for x in C.ambiguous(df, d, m).collect()) for m in (10**9, 0)]
         assert both[0] == both[1] and both[0]
+
+
+def test_components_of_long_chains_take_few_rounds(spark, monkeypatch):
+    """A chain of two thousand, and small groups: the number of jobs grows with the
+    logarithm of the chain."""
+    from runloom.operators import graphs
+
+    rounds = []
+    monkeypatch.setattr(graphs, "cut", lambda df: rounds.append(1) or __import__("runloom.sources.shared", fromlist=["cut"]).cut(df))
+    chain = spark.range(1999).select(F.lit("x").alias("key"), (F.col("id") * 7919 % 2000).alias("a"), ((F.col("id") + 1) * 7919 % 2000).alias("b"))
+    small = spark.createDataFrame([("y", 5, 6), ("y", 9, 8), ("y", 8, 7), ("x", 5000, 5001)], "key string, a long, b long")
+    got = {(r.key, r.node): r.root for r in graphs.components(chain.unionByName(small), ["key"]).collect()}
+    assert got == {**{("x", k): 0 for k in range(2000)}, ("y", 5): 5, ("y", 6): 5, ("y", 7): 7, ("y", 8): 7, ("y", 9): 7, ("x", 5000): 5000, ("x", 5001): 5000}
+    assert len(rounds) < 30
