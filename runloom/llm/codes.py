@@ -43,7 +43,7 @@ from .common import checked_broadcast, cut, given_id, id_of
 
 PARTS, ENTRIES, ROUNDS, SCALE, LIMIT = 16, 64, 2, 256, 1 << 24
 #: Points of a leaf, components of a chunk.
-LEAF, CHUNK_CELLS = 16, 1 << 18
+LEAF, CHUNK_CELLS = 32, 1 << 18
 CHUNK = "ids array<long>, labels array<string>, trees binary"
 SUMS = "part int, entry int, n long, sums array<long>"
 CODES = "vec_id long, label string, code string, error long"
