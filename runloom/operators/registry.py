@@ -66,7 +66,7 @@ MOST_PAIRS = 50_000_000
 
 def likeness(x: Column, y: Column) -> Column:
     """By edit distance over the longer name."""
-    return 1 - F.levenshtein(x, y) / F.greatest(F.length(x), F.length(y))
+    return 1 - F.try_divide(F.levenshtein(x, y), F.greatest(F.length(x), F.length(y)))
 
 
 def candidate_pairs(names: DataFrame, least: float) -> DataFrame:
