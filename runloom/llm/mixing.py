@@ -108,25 +108,28 @@ def round_dependently(items: DataFrame, fan_in: int = 128) -> DataFrame:
 
 
 def numbered(rows: DataFrame) -> DataFrame:
-    """Fixed rows with _rid and _rid2, 128 bits of hash of a row's content: rows
-    with the same content get other second numbers, by their places among
-    themselves. As such rows are the same, it doesn't matter which is which, and
-    the result depends on the rows only, not on how they are dealt out.
-
-    Copies are numbered in two steps, inside each partition and then over the
-    partitions, so a content with a third of all rows is no task's alone."""
-    again = cut(rows.groupBy("_rid", "_rid2").count().filter("count > 1").select("_rid", "_rid2"))
+    """Fixed rows with _rid and _rid2, 128 bits of hash of a row's content, and _part,
+    the partition that a row was written from, which goes: rows with the same content
+    get other second numbers, by their places among themselves. As such rows are the
+    same, it doesn't matter which is which, and the result depends on the rows only,
+    not on how they are dealt out.
+
+    Copies are numbered inside their partitions, from where the copies in partitions
+    before end. Rows meet the table of repeated contents by partition, too, so a
+    content with a third of all rows is no task's alone, whether that table is
+    broadcast or not."""
+    again = rows.groupBy("_rid", "_rid2").count().filter("count > 1")
     if again.isEmpty():
-        return rows
-    again = checked_broadcast(again)
-    copies = rows.join(again, ["_rid", "_rid2"], "left_semi").withColumn("_part", F.spark_partition_id())
-    inside = F.row_number().over(Window.partitionBy("_rid", "_rid2", "_part").orderBy(F.lit(1)))
-    copies = cut(copies.withColumn("_no", inside))
-    order = Window.partitionBy("_rid", "_rid2").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = copies.groupBy("_rid", "_rid2", "_part").agg(F.count("*").alias("_n"))
-    parts = parts.withColumn("_before", F.coalesce(F.sum("_n").over(order), F.lit(0))).drop("_n")
-    told = copies.join(parts, ["_rid", "_rid2", "_part"]).withColumn("_rid2", F.xxhash64("_rid2", F.col("_no") + F.col("_before")))
-    return rows.join(again, ["_rid", "_rid2"], "left_anti").unionByName(told.select(*quoted(rows.columns)))
+        return rows.drop("_part")
+    whole = Window.partitionBy("_rid", "_rid2")
+    before = F.coalesce(F.sum("_n").over(whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = rows.groupBy("_rid", "_rid2", "_part").agg(F.count("*").alias("_n"))
+    parts = parts.select("_rid", "_rid2", "_part", before.alias("_before"), F.sum("_n").over(whole).alias("_all"))
+    repeated = checked_broadcast(cut(parts.filter("_all > 1").drop("_all")))
+    by = ["_rid", "_rid2", "_part"]
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(F.lit(1))) + F.col("_before")
+    told = rows.join(repeated, by).withColumn("_rid2", F.xxhash64("_rid2", place)).select(*quoted(rows.columns))
+    return rows.join(repeated, by, "left_anti").unionByName(told).drop("_part")
 
 
 def mix(
@@ -136,14 +139,14 @@ def mix(
     taken (= copies * size) for each row of `docs`."""
     content = ["doc_id", "source", text_of(), *keep]
     ids = [F.xxhash64(F.lit(seed), *content).alias(f"_rid{seed}") for seed in ("", "2")]
-    sized = docs.select("doc_id", "source", *keep, F.size(words_of(text_of())).cast("long").alias("size"), *ids)
+    sized = docs.select("doc_id", "source", *keep, F.size(words_of(text_of())).cast("long").alias("size"), *ids, F.spark_partition_id().alias("_part"))
     if keep:  # wide rows are kept compressed and by columns
         path = shared_folder(docs, "sized")
         sized.write.parquet(path)
         sized = docs.sparkSession.read.parquet(path)
     else:
         sized = cut(sized)
-    sized = numbered(sized)
+    sized = numbered(sized)  # written before, so copies keep their partitions
     by_source = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, ratio, cap)
     by_source = checked_broadcast(cut(by_source.withColumnRenamed("source", "_source")), 100_000)
     expected = F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0))
