@@ -1515,6 +1515,36 @@ def s14_library_summary(metrics):
     return qc.library_summary(_texts(metrics, F.col("sample"), text)).select("file", "library_type", "metric", "value")
 
 
+@query("supplier", sql="SELECT 'f' || s_suppkey AS file, unnest(['Cells', 'Valid']) AS metric, unnest([CAST(s_suppkey * 1000 + 7 AS DOUBLE), 97.5]) AS value FROM supplier")
+def s13_cell_summary_files(supplier):
+    text = _lines("Cells,Valid", F.concat(F.lit('"'), F.col("s_suppkey").cast("string"), F.lit(',007",97.5%')), "")
+    return _read(supplier, text, qc.cell_summary).select("file", "metric", "value")
+
+
+@query("supplier", sql="SELECT 'f' || s_suppkey AS file, CAST(s_suppkey * 1000 + 7 AS DOUBLE) AS value FROM supplier")
+def s14_library_summary_files(supplier):
+    """The first of a file's rows of the metric, of the library type asked for."""
+    row = lambda kind, k: F.concat(F.lit(f'Library,{kind},,,Cells,"'), k.cast("string"), F.lit(',007"'))
+    text = _lines("Library or Sample,Library Type,Grouped By,Group Name,Metric Name,Metric Value", row("Antibody Capture", F.lit(9)), row("Gene Expression", F.col("s_suppkey")), row("Gene Expression", F.lit(8)))
+    return _read(supplier, text, lambda texts: qc.metric_by_type(qc.library_summary(texts), "Cells"))
+
+
+@query("supplier", sql="""SELECT 'f' || s_suppkey AS file, unnest(['mean 1', 'A', 'B', 'deduplicated']) AS name,
+ unnest([CAST(s_suppkey % 7 AS DOUBLE), (s_suppkey % 7 + 1.5) / 200, (s_suppkey % 5 + 2.5) / 200, s_suppkey % 100]) AS value FROM supplier""")
+def a13_a14_a15_module_files(supplier):
+    """Three modules of one file, read once."""
+    k = lambda m: (F.col("s_suppkey") % m).cast("string")
+    text = _lines(
+        "##FastQC\t0.11", ">>Per base sequence quality\tpass", "#Base\tMean", F.concat_ws("\t", F.lit("1"), F.concat(k(7), F.lit(".9")), *[F.lit("30.0")] * 5), ">>END_MODULE",
+        ">>Sequence Duplication Levels\tpass", F.concat(F.lit("#Total Deduplicated Percentage\t"), k(100)), "1\t2\t3", ">>END_MODULE",
+        ">>Adapter Content\tpass", "#Position\tA\tB", F.concat_ws("\t", F.lit("1"), k(7), k(5)), "2-3\t1.5\t2.5", ">>END_MODULE",
+    )
+    found = shared.cut(_read(supplier, text, qc.fastqc_modules))
+    mean = qc.base_quality(found).select("file", F.concat(F.lit("mean "), "base").alias("name"), F.col("mean").cast("double").alias("value"))
+    content = qc.adapter_content(found).select("file", F.col("adapter").alias("name"), F.col("content").alias("value"))
+    return mean.unionByName(content).unionByName(qc.deduplicated(found).select("file", F.lit("deduplicated").alias("name"), F.col("percent").alias("value")))
+
+
 @query("reads", sql=f"""WITH h AS (SELECT lane, length(sequence) AS length, {KIND} AS kind, count(*) AS n FROM reads GROUP BY ALL), t AS (SELECT lane, sum(n) AS nreads, sum(n) FILTER (kind = 'masked') AS m FROM h GROUP BY lane)
 SELECT h.lane || '' AS fastq, 'seq_lengths_dist' AS dist, length, sum(n) AS n, any_value(CAST(m AS DOUBLE) * 100 / CAST(nreads AS DOUBLE)) AS frac_reads_masked FROM h JOIN t ON t.lane = h.lane GROUP BY h.lane, length
 UNION ALL SELECT h.lane || '', CASE kind WHEN 'masked' THEN 'seq_lengths_masked_dist' ELSE 'seq_lengths_padded_dist' END, length, n, CAST(m AS DOUBLE) * 100 / CAST(nreads AS DOUBLE) FROM h JOIN t ON t.lane = h.lane WHERE kind <> 'clean'""", ints="length", longs="n")

@@ -1,12 +1,16 @@
 """Outputs of quality tools, read in bulk: one row (file, text) for each output.
 
-All parsers split texts into numbered lines and go on with column expressions, so
-that any number of files is parsed in one scan.
+All parsers split a text into an array of lines and go on with column expressions
+inside the row, so that any number of files is parsed in one scan, without a shuffle:
+sections, header rows and versions belong to a file, and a file is a row. A null text
+has no rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -22,8 +26,28 @@ def read(spark: SparkSession, path: str, parser, pattern: str = "*") -> DataFram
     return parser(read_texts(spark, path, pattern))
 
 
+def _lines() -> Column:
+    return F.split("text", "\r?\n")
+
+
 def lines_of(texts: DataFrame) -> DataFrame:
-    return texts.select("file", F.posexplode(F.split("text", "\r?\n")).alias("line_no", "line"))
+    return texts.select("file", F.posexplode(_lines()).alias("line_no", "line"))
+
+
+def sections(texts: DataFrame, mark: Callable[[Column], Column]) -> DataFrame:
+    """file, mark, first, body: what stands between lines that `mark` gives a value,
+    with that of the line before it; null for what comes before the first. `body` is
+    an array of (line_no, line); `first` tells a mark's first section of the file."""
+    numbered = F.transform(_lines(), lambda x, i: F.struct(i.alias("line_no"), x.alias("line")))
+    marks = F.transform("_lines", lambda x: F.struct(x["line_no"].alias("at"), mark(x["line"]).alias("mark")))
+    top = F.array(F.struct(F.lit(-1).alias("at"), F.lit(None).cast("string").alias("mark")))
+    rows = texts.select("file", numbered.alias("_lines")).filter("_lines IS NOT NULL")
+    rows = rows.withColumn("_marks", F.concat(top, F.filter(marks, lambda m: m["mark"].isNotNull())))
+    rows = rows.select("file", "_lines", "_marks", F.posexplode("_marks").alias("_k", "_section"))
+    at, name = F.col("_section.at"), F.col("_section.mark")
+    end = F.coalesce(F.get("_marks", F.col("_k") + 1)["at"], F.size("_lines"))
+    first = F.array_position(F.col("_marks.mark"), name) == F.col("_k") + 1
+    return rows.select("file", name.alias("mark"), first.alias("first"), F.slice("_lines", at + 2, end - at - 1).alias("body"))
 
 
 def number(s: Column) -> Column:
@@ -34,10 +58,9 @@ def number(s: Column) -> Column:
 def fastqc_modules(texts: DataFrame) -> DataFrame:
     """file, module, status, line_no, cols: the rows of all modules; header rows
     start with `#`."""
-    marker = F.col("line").startswith(">>") & (F.col("line") != ">>END_MODULE")
-    order = Window.partitionBy("file").orderBy("line_no")
-    rows = lines_of(texts).withColumn("_m", F.last(F.when(marker, F.col("line")), ignorenulls=True).over(order))
-    inside = rows.filter(~F.col("line").startswith(">>") & ~F.col("line").startswith("##") & (F.col("line") != "") & F.col("_m").isNotNull())
+    marker = lambda line: F.when(line.startswith(">>") & (line != ">>END_MODULE"), line)
+    rows = sections(texts, marker).filter("mark IS NOT NULL").select("file", F.col("mark").alias("_m"), F.inline("body"))
+    inside = rows.filter(~F.col("line").startswith(">>") & ~F.col("line").startswith("##") & (F.col("line") != ""))
     name = F.split(F.substring(F.col("_m"), F.lit(3), F.length("_m")), "\t")
     return inside.select("file", F.get(name, F.lit(0)).alias("module"), F.get(name, F.lit(1)).alias("status"), "line_no", F.split("line", "\t").alias("cols"))
 
@@ -78,16 +101,18 @@ def deduplicated(modules: DataFrame) -> DataFrame:
 def screen(texts: DataFrame) -> DataFrame:
     """file, library, metric, value of both dialects; the trailing line gives a row
     without a library."""
-    rows = lines_of(texts).filter((F.col("line") != "") & ~F.col("line").startswith("#"))
-    is_head = F.col("line").startswith("Library\t") | F.col("line").startswith("Genome\t")
-    heads = rows.filter(is_head).groupBy("file").agg(F.split(F.min_by("line", "line_no"), "\t").alias("names"))
-    body = rows.filter(~is_head & ~F.col("line").startswith("%Hit_no")).join(heads, "file")
-    cells = body.select("file", F.split("line", "\t").alias("c"), "names").select("file", F.get("c", F.lit(0)).alias("library"), F.posexplode("c").alias("i", "v"), "names")
-    data = cells.filter("i > 0").select("file", "library", F.ltrim(F.get("names", F.col("i")), F.lit("%")).alias("metric"), number(F.col("v")).alias("value"))
-    none = rows.filter(F.col("line").startswith("%Hit_no")).select(
-        "file", F.lit(None).cast("string").alias("library"), F.lit("Hit_no_libraries").alias("metric"), number(F.split_part("line", F.lit(":"), F.lit(2))).alias("value")
-    )
-    return data.unionByName(none)
+    is_head = lambda line: line.startswith("Library\t") | line.startswith("Genome\t")
+    kept = F.filter(_lines(), lambda x: (x != "") & ~x.startswith("#"))
+    rows = texts.select("file", kept.alias("_l"))
+    head = F.get(F.filter("_l", is_head), F.lit(0))
+    rows = rows.select("file", F.split(head, "\t").alias("names"), F.explode("_l").alias("line")).filter(~is_head(F.col("line")))
+    rows = rows.withColumn("c", F.split("line", "\t"))
+    cell = lambda library, metric, v: F.struct(library.alias("library"), metric.alias("metric"), v.alias("v"))
+    none = F.array(cell(F.lit(None).cast("string"), F.lit("Hit_no_libraries"), F.split_part("line", F.lit(":"), F.lit(2))))
+    values = F.slice("c", F.lit(2), F.size("c"))
+    data = F.transform(values, lambda v, i: cell(F.get("c", F.lit(0)), F.ltrim(F.get("names", i + 1), F.lit("%")), v))
+    cells = F.when(F.col("line").startswith("%Hit_no"), none).when(F.col("names").isNotNull(), data)
+    return rows.select("file", F.inline(cells)).select("file", "library", "metric", number(F.col("v")).alias("value"))
 
 
 def screen_classes(found: DataFrame) -> DataFrame:
@@ -103,29 +128,27 @@ def strand(texts: DataFrame) -> DataFrame:
     """file, version, genome, forward, reverse, ratio, label"""
     from ..functions.names import strand_label
 
-    rows = lines_of(texts).filter(F.col("line") != "")
-    version = rows.groupBy("file").agg(F.max(F.nullif(F.regexp_extract("line", r"version:?\s*([0-9][^\s]*)", 1), F.lit(""))).alias("version"))
+    versions = F.transform(_lines(), lambda x: F.nullif(F.regexp_extract(x, r"version:?\s*([0-9][^\s]*)", 1), F.lit("")))
+    rows = texts.select("file", F.array_max(versions).alias("version"), F.explode(_lines()).alias("line"))
     f = F.split("line", "\t")
     data = rows.filter(~F.col("line").startswith("#") & (F.size(f) >= 3)).select(
-        "file", F.get(f, F.lit(0)).alias("genome"), number(F.get(f, F.lit(1))).alias("forward"), number(F.get(f, F.lit(2))).alias("reverse")
-    )
-    return data.join(version, "file").withColumns(
-        {"ratio": F.try_divide("forward", "reverse"), "label": strand_label(F.col("forward"), F.col("reverse"))}
+        "file", "version", F.get(f, F.lit(0)).alias("genome"), number(F.get(f, F.lit(1))).alias("forward"), number(F.get(f, F.lit(2))).alias("reverse")
     )
+    return data.withColumns({"ratio": F.try_divide("forward", "reverse"), "label": strand_label(F.col("forward"), F.col("reverse"))})
 
 
 def insert_sizes(texts: DataFrame) -> DataFrame:
-    """file, kind (`metric` or `histogram`), name, value of the two sections."""
-    order = Window.partitionBy("file").orderBy("line_no")
-    section = F.when(F.col("line").startswith("## METRICS"), "metric").when(F.col("line").startswith("## HISTOGRAM"), "histogram")
-    rows = lines_of(texts).withColumn("kind", F.last(section, ignorenulls=True).over(order))
-    rows = rows.filter(F.col("kind").isNotNull() & ~F.col("line").startswith("#") & (F.col("line") != ""))
-    rows = rows.withColumn("n", F.row_number().over(Window.partitionBy("file", "kind").orderBy("line_no"))).withColumn("c", F.split("line", "\t"))
-    heads = rows.filter("n = 1").select("file", "kind", F.col("c").alias("names"))
-    data = rows.filter("n > 1").join(heads, ["file", "kind"])
-    metric = data.filter("kind = 'metric' AND n = 2").select("file", "kind", F.inline(F.arrays_zip(F.col("names").alias("name"), F.col("c").alias("v"))))
-    histogram = data.filter("kind = 'histogram'").select("file", "kind", F.get("c", F.lit(0)).alias("name"), F.get("c", F.lit(1)).alias("v"))
-    return metric.toDF("file", "kind", "name", "v").unionByName(histogram).select("file", "kind", "name", number(F.col("v")).alias("value"))
+    """file, kind (`metric` or `histogram`), name, value of the two sections; a second
+    section of a kind is left out."""
+    mark = lambda line: F.when(line.startswith("## METRICS"), "metric").when(line.startswith("## HISTOGRAM"), "histogram")
+    plain = F.filter(F.transform("body", lambda x: F.split(x["line"], "\t")), lambda c: ~F.get(c, F.lit(0)).startswith("#") & (F.array_join(c, "\t") != ""))
+    rows = sections(texts, mark).filter("mark IS NOT NULL AND first").select("file", F.col("mark").alias("kind"), plain.alias("_c"))
+    row = lambda i: F.get("_c", F.lit(i))
+    cell = lambda name, v: F.struct(name.alias("name"), v.alias("v"))
+    metric = F.transform(row(0), lambda name, i: cell(name, F.get(row(1), i)))
+    histogram = F.transform(F.slice("_c", F.lit(2), F.size("_c")), lambda c: cell(F.get(c, F.lit(0)), F.get(c, F.lit(1))))
+    cells = F.when(F.col("kind") == "histogram", histogram).when(F.size("_c") > 1, metric)
+    return rows.select("file", "kind", F.inline(cells)).select("file", "kind", "name", number(F.col("v")).alias("value"))
 
 
 def collated_insert_sizes(found: DataFrame) -> DataFrame:
@@ -137,9 +160,8 @@ def collated_insert_sizes(found: DataFrame) -> DataFrame:
 
 def rnaseq(texts: DataFrame) -> DataFrame:
     """file, section, item, count, percent of `name = 1,234 (5.6%)` lines."""
-    order = Window.partitionBy("file").orderBy("line_no")
-    head = F.nullif(F.regexp_extract("line", r"^>>>>>>>\s*(.*)$", 1), F.lit(""))
-    rows = lines_of(texts).withColumn("section", F.last(head, ignorenulls=True).over(order)).filter(F.contains("line", F.lit(" = ")))
+    head = lambda line: F.nullif(F.regexp_extract(line, r"^>>>>>>>\s*(.*)$", 1), F.lit(""))
+    rows = sections(texts, head).select("file", F.col("mark").alias("section"), F.inline("body")).filter(F.contains("line", F.lit(" = ")))
     form = r"^\s*(.+?) = ([^(]*?)\s*(?:\(([0-9.]+)%\))?$"
     return rows.select(
         "file", "section", F.regexp_extract("line", form, 1).alias("item"), F.regexp_extract("line", form, 2).alias("value_text"),
@@ -156,9 +178,11 @@ def coverage_profile(texts: DataFrame) -> DataFrame:
 
 def strand_inference(texts: DataFrame) -> DataFrame:
     """file, paired, forward, reverse, undetermined"""
-    value = lambda form: F.max(F.regexp_extract("line", form, 1).try_cast("double"))
-    return lines_of(texts).groupBy("file").agg(
-        F.max(F.contains("line", F.lit("This is PairEnd Data"))).alias("paired"),
+    lines = F.col("_l")
+    value = lambda form: F.array_max(F.transform(lines, lambda x: F.regexp_extract(x, form, 1).try_cast("double")))
+    return texts.select("file", _lines().alias("_l")).filter(lines.isNotNull()).select(
+        "file",
+        F.exists(lines, lambda x: F.contains(x, F.lit("This is PairEnd Data"))).alias("paired"),
         value(r'^Fraction of reads explained by "(?:1\+\+,1--,2\+-,2-\+|\+\+,--)":\s*([0-9.]+)').alias("forward"),
         value(r'^Fraction of reads explained by "(?:1\+-,1-\+,2\+\+,2--|\+-,-\+)":\s*([0-9.]+)').alias("reverse"),
         value(r"^Fraction of reads failed to determine:\s*([0-9.]+)").alias("undetermined"),
@@ -173,7 +197,8 @@ def _cells(line: Column) -> Column:
 
 def cell_summary(texts: DataFrame) -> DataFrame:
     """One-row summaries with any header -> file, metric, value."""
-    rows = lines_of(texts).filter(F.col("line") != "").groupBy("file").agg(F.min_by("line", "line_no").alias("head"), F.max_by("line", "line_no").alias("data"))
+    kept = texts.select("file", F.filter(_lines(), lambda x: x != "").alias("_l"))
+    rows = kept.select("file", F.get("_l", F.lit(0)).alias("head"), F.get("_l", F.size("_l") - 1).alias("data"))
     zipped = F.arrays_zip(_cells(F.col("head")).alias("metric"), _cells(F.col("data")).alias("v"))
     return rows.select("file", F.inline(zipped)).toDF("file", "metric", "v").withColumn("value", number(F.col("v")))
 

@@ -636,3 +636,33 @@ def test_components_of_long_chains_take_few_rounds(spark, monkeypatch):
     got = {(r.key, r.node): r.root for r in graphs.components(chain.unionByName(small), ["key"]).collect()}
     assert got == {**{("x", k): 0 for k in range(2000)}, ("y", 5): 5, ("y", 6): 5, ("y", 7): 7, ("y", 8): 7, ("y", 9): 7, ("x", 5000): 5000, ("x", 5001): 5000}
     assert len(rounds) < 30
+
+
+def test_outputs_of_quality_tools_are_parsed_without_a_shuffle(spark):
+    """Odd texts: null, empty, without a header row, with a section twice, line ends of
+    either kind."""
+
+    def parsed(parser, *texts):
+        found = parser(spark.createDataFrame([(f"f{i}", t) for i, t in enumerate(texts)], "file string, text string"))
+        assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+        return [tuple(r) for r in found.collect()]
+
+    odd = (None, "", "\n\n")
+    assert parsed(qc.fastqc_modules, *odd, "1\t2\n>>A\tpass\r\n#h\tx\r\n1\t2\r\n>>END_MODULE\r\n>>B\n>>C\twarn\n\n##c\n3") == [
+        ("f3", "A", "pass", 2, ["#h", "x"]), ("f3", "A", "pass", 3, ["1", "2"]), ("f3", "C", "warn", 9, ["3"]),
+    ]
+    assert parsed(qc.screen, *odd, "Human\t1\t2", "Human\t0\nGenome\t%U\t%V\nHuman\t1\t2\nMouse\t3\n%Hit_no_libraries: 5.5") == [
+        ("f4", "Human", "U", 0.0), ("f4", "Human", "U", 1.0), ("f4", "Human", "V", 2.0), ("f4", "Mouse", "U", 3.0), ("f4", None, "Hit_no_libraries", 5.5),
+    ]
+    sizes = "## HISTOGRAM\tint\nsize\tn\n5\t1,000\n\n6\tx\n## METRICS CLASS\nA\tB\n1\n## HISTOGRAM\tint\nsize\tn\n7\t1"
+    assert parsed(qc.insert_sizes, *odd, "## METRICS CLASS\nA\tB\n", sizes) == [
+        ("f4", "histogram", "5", 1000.0), ("f4", "histogram", "6", None), ("f4", "metric", "A", 1.0), ("f4", "metric", "B", None),
+    ]
+    assert parsed(qc.rnaseq, *odd, " a = 1,234 (5.6%)\n>>>>>>> S\nb = text\n>>>>>>>\nc = 2") == [
+        ("f3", None, "a", "1,234", 1234.0, 5.6), ("f3", "S", "b", "text", None, None), ("f3", "S", "c", "2", 2.0, None),
+    ]
+    assert [x[:5] for x in parsed(qc.strand, *odd, "#Genome\t1\t2\nA\t60.0\t10.0\nshort", "#x version: 0.2\nB\t1\t0")] == [("f3", None, "A", 60.0, 10.0), ("f4", "0.2", "B", 1.0, 0.0)]
+    assert parsed(qc.strand_inference, *odd, "This is PairEnd Data\nFraction of reads failed to determine: 0.25") == [
+        ("f1", False, None, None, None), ("f2", False, None, None, None), ("f3", True, None, None, 0.25),
+    ]
+    assert parsed(qc.cell_summary, *odd, 'Cells,"Reads, mean"\n"1,200",7%\n\n') == [("f3", "Cells", "1,200", 1200.0), ("f3", "Reads, mean", "7%", 7.0)]
