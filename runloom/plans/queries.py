@@ -16,7 +16,7 @@ from ..operators import pairing as P
 from ..operators import reads as D
 from ..operators import registry as R
 from ..operators import stats as S
-from ..sources import fastq, qc, shared, tables
+from ..sources import fastq, qc, shared, tables, text_sink
 from ..streaming import incremental
 from .fixtures import view, with_views
 
@@ -1388,20 +1388,20 @@ def _lines(*parts) -> object:
 
 
 def _written(rows: DataFrame, file, text, name: str) -> str:
-    """A file for each row, in a folder of its own; the row's name is in its path."""
+    """A file for each row; the row's name is in its path."""
     path = shared.new_folder(rows.sparkSession, name)
-    rows.select(file.alias("file"), text.alias("value")).write.partitionBy("file").text(path)
+    text_sink.write_texts(_texts(rows, file, text), path)
     return path
 
 
 def _of(path: str = "file"):
-    return F.regexp_extract(path, "file=([^/]+)/", 1)
+    return text_sink.name_of(F.col(path))
 
 
 def _read(supplier, text, parser):
     """The outputs of a tool, a file for each supplier, written and read by a parser."""
     path = _written(supplier, F.concat(F.lit("f"), F.col("s_suppkey").cast("string")), text, "outputs")
-    return qc.read(supplier.sparkSession, path, parser, "part-*").withColumn("file", _of())
+    return qc.read(supplier.sparkSession, path, parser, "*.txt").withColumn("file", _of())
 
 
 @query("reads", sql="""SELECT file, module, status, count(*) AS n_rows FROM (SELECT project || '_' || sample AS file, unnest(['Basic Statistics', 'Adapter Content', 'Adapter Content', 'Adapter Content']) AS module,
@@ -1413,7 +1413,7 @@ def s06_fastqc_modules(reads):
         ">>Adapter Content\twarn", "#Position\tA\tB", "1\t0.5\t1.5", "2\t1.5\t2.5", ">>END_MODULE", "",
     )
     path = _written(per, F.concat_ws("_", "project", "sample"), text, "fastqc")
-    found = qc.read(reads.sparkSession, path, qc.fastqc_modules, "part-*")
+    found = qc.read(reads.sparkSession, path, qc.fastqc_modules, "*.txt")
     return found.groupBy(_of().alias("file"), "module", "status").agg(F.count("*").alias("n_rows"))
 
 
@@ -1566,7 +1566,7 @@ def s16_metadata(registry):
     lines = tables.metadata_lines(named, ("user_name", "pi", "library", "organism"))
     text = lines.groupBy("entity").agg(F.array_join(F.collect_list("value"), "\n").alias("text"))
     path = _written(text, F.col("entity"), F.col("text"), "metadata")
-    found = tables.read_metadata(registry.sparkSession, path, ("user_name", "pi", "library"), "part-*")
+    found = tables.read_metadata(registry.sparkSession, path, ("user_name", "pi", "library"), "*.txt")
     return found.select(_of("entity").alias("entity"), "user_name", "pi", "library", F.col("others")["organism"].alias("other"))
 
 
