@@ -151,7 +151,8 @@ def dealt(files: DataFrame, piece: int | None = None) -> DataFrame:
     pieces = looked.withColumn("no", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))))
     stop = F.when(~whole, F.least((F.col("no") + 1) * piece, F.col("length")))
     pieces = pieces.select("file", "kind", "no", (F.col("no") * piece).alias("start"), stop.cast("long").alias("stop"), "content")
-    return pieces.repartition(max(1, min(cores, n + size // piece), -(-size // (4 * piece))), "file", "no")
+    # By bytes, so that small pieces are no tasks of their own.
+    return pieces.repartition(max(1, min(cores, n + size // piece), -(-size // (4 * max(piece, PIECE)))), "file", "no")
 
 
 def line_counts(pieces: DataFrame) -> DataFrame:
@@ -160,6 +161,7 @@ def line_counts(pieces: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            rows = []
             for p in b.to_pylist():
                 n, last, error, members = 0, b"\n", None, []
                 try:
@@ -170,7 +172,8 @@ def line_counts(pieces: DataFrame) -> DataFrame:
                             n, last = n + data.count(b"\n"), data[-1:]
                 except ERRORS as e:
                     error = str(e) or type(e).__name__
-                yield pa.RecordBatch.from_pylist([{"file": p["file"], "no": p["no"], "n_lines": n, "open": last != b"\n", "first": min(members, default=None), "after": max(members, default=None), "error": error}], COUNTS)
+                rows.append({"file": p["file"], "no": p["no"], "n_lines": n, "open": last != b"\n", "first": min(members, default=None), "after": max(members, default=None), "error": error})
+            yield pa.RecordBatch.from_pylist(rows, COUNTS)
 
     return pieces.mapInArrow(count, COUNTED)
 
