@@ -206,20 +206,37 @@ def assign(reads: DataFrame, references: DataFrame, distance: int, most: int = M
     """Each read's first reference index (in order) within the distance over the
     shorter length, else `undetermined`. Distances are taken of distinct barcodes
     only; reads meet the result by equality."""
-    near = near_references(reads.select("barcode").distinct(), references, distance, most)
-    best = near.groupBy("barcode").agg(F.min("index_seq").alias("assigned"))
+    best = _best_references(reads, references, distance, most)
     return reads.join(best, "barcode", "left").withColumn("assigned", F.coalesce("assigned", F.lit("undetermined")))
 
 
+def _best_references(reads: DataFrame, references: DataFrame, distance: int, most: int = MOST_PAIRS) -> DataFrame:
+    """barcode, assigned: brought to the reads where they are few, so that reads are not
+    shuffled by their barcodes, of which some are frequent."""
+    near = near_references(reads.select("barcode").distinct(), references, distance, most)
+    return checked_broadcast(near.groupBy("barcode").agg(F.min("index_seq").alias("assigned")))
+
+
+def assigned_pairs(first: DataFrame, second: DataFrame, references: DataFrame, distance: int, keep: tuple[str, ...] = (), barcodes: DataFrame | None = None) -> DataFrame:
+    """barcode1, name_key, barcode2, error, assigned of reads 1 and 2 of equal name, and
+    the columns `keep` of reads 1: assigned where the barcodes agree; otherwise they
+    differ, or there is no partner. Pairs meet once. `barcodes` has those of reads 1,
+    or more, where they are known with less work than by `first`."""
+    one = first.select("name_key", F.col("barcode").alias("barcode1"), *keep)
+    both = one.join(second.select("name_key", F.col("barcode").alias("barcode2")), "name_key", "full")
+    missing = F.col("barcode1").isNull() | F.col("barcode2").isNull()
+    both = both.withColumn("error", F.when(missing, "no partner").when(F.col("barcode1") != F.col("barcode2"), "barcodes differ"))
+    best = _best_references(first if barcodes is None else barcodes, references, distance).withColumnRenamed("barcode", "barcode1")
+    found = F.when(F.col("error").isNull(), F.coalesce("assigned", F.lit("undetermined")))
+    return both.join(best, "barcode1", "left").withColumn("assigned", found)
+
+
 def assign_pairs(first: DataFrame, second: DataFrame, references: DataFrame, distance: int) -> tuple[DataFrame, DataFrame]:
     """Reads 1 and 2 of equal name: those whose barcodes agree, assigned, and the
     errors: those whose barcodes differ, and those without a partner."""
-    one = first.select("name_key", F.col("barcode").alias("barcode1"))
-    both = one.join(second.select("name_key", F.col("barcode").alias("barcode2")), "name_key", "full")
-    agree = F.coalesce(F.col("barcode1") == F.col("barcode2"), F.lit(False))
-    error = F.when(F.col("barcode1").isNull() | F.col("barcode2").isNull(), "no partner").otherwise("barcodes differ")
-    good = assign(both.filter(agree).select("name_key", F.col("barcode1").alias("barcode")), references, distance)
-    return good, both.filter(~agree).withColumn("error", error)
+    pairs = assigned_pairs(first, second, references, distance)
+    good = pairs.filter("error IS NULL").select(F.col("barcode1").alias("barcode"), "name_key", "assigned")
+    return good, pairs.filter("error IS NOT NULL").select("name_key", "barcode1", "barcode2", "error")
 
 
 def ambiguous(references: DataFrame, distance: int, most: int = MOST_PAIRS) -> DataFrame:

@@ -348,11 +348,9 @@ k AS (SELECT barcode, CASE WHEN l_linenumber = 7 THEN 'no partner' WHEN l_linenu
 SELECT CASE WHEN error IS NULL THEN coalesce(m.assigned, 'undetermined') END AS assigned, error, count(*) AS n FROM k LEFT JOIN m ON m.barcode = k.barcode GROUP BY ALL""")
 def j05_assign_pairs(reads, sheet):
     named = reads.withColumn("name_key", F.concat_ws(":", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string"), "sequence", "barcode"))
-    named = named.groupBy("name_key").agg(F.min("barcode").alias("barcode"), F.min("l_linenumber").alias("l_linenumber"), F.count("*").alias("n"))
+    named = named.repartition("name_key").groupBy("name_key", "barcode").agg(F.min("l_linenumber").alias("l_linenumber"), F.count("*").alias("n"))
     second = named.filter("l_linenumber <> 7").withColumn("barcode", F.when(F.col("l_linenumber") % 5 == 0, F.concat(F.lit("-"), "barcode")).otherwise(F.col("barcode")))
-    good, errors = C.assign_pairs(named, second, sheet, 1)
-    rows = good.select("name_key", "assigned", F.lit(None).cast("string").alias("error")).unionByName(errors.select("name_key", F.lit(None).cast("string").alias("assigned"), "error"))
-    return rows.join(named.select("name_key", "n"), "name_key").groupBy("assigned", "error").agg(F.sum("n").alias("n"))
+    return C.assigned_pairs(named, second, sheet, 1, keep=("n",), barcodes=reads).groupBy("assigned", "error").agg(F.sum("n").alias("n"))
 
 
 @query("sample_sheet", sql=f"""SELECT * FROM (SELECT a.index_seq AS index_a, b.index_seq AS index_b, {_apart('a.index_seq', 'b.index_seq')} AS distance
