@@ -1370,11 +1370,11 @@ FROM reads LEFT JOIN m ON m.barcode = reads.barcode GROUP BY ALL""")
 def s21_demultiplexed_fastq(reads, sheet):
     """Written as FASTQ and read back: the texts of each barcode's files, one after the other."""
     spark, path = reads.sparkSession, shared.new_folder(reads.sparkSession, "demultiplexed")
-    named = C.assign(_named_reads(reads), sheet, 1).withColumns({"read_number": F.lit(1), "text": F.concat_ws("\n", "header", "sequence", F.lit("+"), "quality")})
-    fastq.write_demultiplexed_fastq(named, path, order=["l_orderkey", "l_linenumber", "l_partkey", "sequence", "text"])
-    back = fastq.as_text(fastq.read_fastq(spark, path, "*.fastq.gz"), "file", "read_idx")
-    texts = back.groupBy(F.regexp_extract("file", "([^/]+)_[0-9]+[.]fastq", 1).alias("name")).agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("file", "read_idx", "value"))).alias("rows"))
-    return texts.select("name", "n", F.md5(F.concat(F.array_join(F.transform("rows", lambda x: x["value"]), "\n"), F.lit("\n"))).alias("md5"))
+    named = C.assign(_named_reads(reads), sheet, 1).withColumn("read_number", F.lit(1))
+    fastq.write_demultiplexed_fastq(named, path, order=["l_orderkey", "l_linenumber", "l_partkey", "sequence", "header", "quality"])
+    name = F.regexp_extract("file", "([^/]+)_[0-9]+[.]fastq", 1).alias("name")
+    counted = fastq.count_reads(spark, path, "*.fastq.gz").groupBy(name).agg(F.sum("n_reads").alias("n"))
+    return counted.join(fastq.joined_checksums(spark, path, "*.fastq.gz", name), "name")
 
 
 def _texts(rows: DataFrame, file, text) -> DataFrame:

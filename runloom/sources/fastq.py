@@ -140,6 +140,33 @@ def checksums(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     return files.repartition(max(1, min(files.count(), 16 * spark.sparkContext.defaultParallelism)), "file").mapInPandas(digest, "file string, md5 string")
 
 
+def joined_checksums(spark: SparkSession, path: str, pattern: str, name: Column) -> DataFrame:
+    """name, md5 of the texts of a name's files (a column of `file`), unpacked, one after
+    the other in the order of their numbers: summed up chunk by chunk, nothing is held."""
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, total = None, None
+        row = lambda: pa.RecordBatch.from_pydict({"name": [last], "md5": [total.hexdigest()]})
+        for b in batches:
+            for named, file, content in zip(b.column("name").to_pylist(), b.column("file").to_pylist(), b.column("content"), strict=True):
+                if total is not None and named != last:
+                    yield row()
+                if total is None or named != last:
+                    last, total = named, hashlib.md5(usedforsecurity=False)
+                with P.source(file, content.as_py()) as raw:
+                    kind = P.PLAIN if P.kind_of(raw.read(P.HEAD)) == P.PLAIN else P.GZIP
+                    raw.seek(0)
+                    for data, _ in P.chunks(raw, kind, 0, None):
+                        total.update(data)
+        if total is not None:
+            yield row()
+
+    files = P.files_of(spark, path, pattern).select(name.alias("name"), "file", "content")
+    names = files.select("name").distinct().count()
+    dealt = files.repartition(max(1, min(names, 16 * spark.sparkContext.defaultParallelism)), "name")
+    return dealt.sortWithinPartitions("name", F.length("file"), "file").mapInArrow(digest, "name string, md5 string")
+
+
 def first_read_numbers(reads: DataFrame) -> DataFrame:
     """The read number in each file's first header."""
     return reads.groupBy("file").agg(F.min_by("read_number", "read_idx").alias("read_number"))
@@ -174,9 +201,10 @@ def write_fastq(reads: DataFrame, path: str, name: Column, order: list[str] | No
 
     reads.sparkSession.dataSource.register(FastqFiles)
     order = [c for c in ("file", "read_idx") if c in reads.columns] if order is None else order
-    by = ["name", *(f"_o{i}" for i in range(len(order)))]
-    rows = reads.select(name.alias("name"), "header", "sequence", "quality", *[F.col(c).alias(n) for c, n in zip(order, by[1:], strict=True)])
-    dealt = rows.repartitionByRange(*by).sortWithinPartitions(*by).select("name", "header", "sequence", "quality")
+    text = ("header", "sequence", "quality")  # shuffled once, also where the order has them
+    by = [c if c in text else f"_o{i}" for i, c in enumerate(order)]
+    rows = reads.select(name.alias("name"), *text, *[F.col(c).alias(n) for c, n in zip(order, by, strict=True) if c not in text])
+    dealt = rows.repartitionByRange("name", *by).sortWithinPartitions("name", *by).select("name", *text)
     dealt.write.format("fastq_files").mode("append").option("path", path).option("compression", "gzip" if packed else "none").save()
 
 
