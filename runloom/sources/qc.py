@@ -13,11 +13,29 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Tasks for each core, beyond which a task takes several of Spark's partitions, and how many at most.
+TASKS_A_CORE, PARTITIONS_A_TASK = 16, 32
+#: Ends of patterns whose files are not compressed.
+PLAIN = (".txt", ".csv", ".tsv", ".html", ".json", ".log")
+
 
 def read_texts(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """file, text for each file."""
-    found = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").text(path, wholetext=True)
-    return found.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
+    """file, text for each file. Spark's text reader, which knows compressed files, copies
+    the session's whole configuration for each file, under a lock that all tasks of an
+    executor share; files whose pattern says that they are plain are read as bytes.
+
+    Spark makes a partition of 32 small files; a task costs more than that, above all its
+    part in every shuffle behind. So a task takes up to 1,024 of them, or 4 GB of larger
+    ones, once all cores have enough to do."""
+    reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
+    if pattern.endswith(PLAIN):
+        found, text = reader.format("binaryFile").load(path), F.col("content").cast("string")
+    else:
+        found, text = reader.text(path, wholetext=True), F.col("value")
+    found = found.select(F.col("_metadata.file_path").alias("file"), text.alias("text"))
+    n = found.rdd.getNumPartitions()
+    tasks = max(TASKS_A_CORE * spark.sparkContext.defaultParallelism, -(-n // PARTITIONS_A_TASK))
+    return found.coalesce(tasks) if n > tasks else found
 
 
 def read(spark: SparkSession, path: str, parser, pattern: str = "*") -> DataFrame:
