@@ -13,6 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import small_files
+
 #: Tasks for each core, beyond which a task takes several of Spark's partitions, and how many at most.
 TASKS_A_CORE, PARTITIONS_A_TASK = 16, 32
 #: Ends of patterns whose files are not compressed.
@@ -22,11 +24,18 @@ PLAIN = (".txt", ".csv", ".tsv", ".html", ".json", ".log")
 def read_texts(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """file, text for each file. Spark's text reader, which knows compressed files, copies
     the session's whole configuration for each file, under a lock that all tasks of an
-    executor share; files whose pattern says that they are plain are read as bytes.
+    executor share; files whose pattern says that they are plain are read as bytes, in
+    mounted folders by the tasks themselves.
 
     Spark makes a partition of 32 small files; a task costs more than that, above all its
     part in every shuffle behind. So a task takes up to 1,024 of them, or 4 GB of larger
     ones, once all cores have enough to do."""
+    cores = spark.sparkContext.defaultParallelism
+    folder = small_files.folder_of(spark, path, pattern) if pattern.endswith(PLAIN) else None
+    if folder is not None:
+        files = small_files.listed(spark, folder, pattern)
+        n = _partitions(spark, files)
+        return small_files.read(files, max(1, min(n, max(TASKS_A_CORE * cores, -(-n // PARTITIONS_A_TASK)))))
     reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
     if pattern.endswith(PLAIN):
         found, text = reader.format("binaryFile").load(path), F.col("content").cast("string")
@@ -34,10 +43,21 @@ def read_texts(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
         found, text = reader.text(path, wholetext=True), F.col("value")
     found = found.select(F.col("_metadata.file_path").alias("file"), text.alias("text"))
     n = found.rdd.getNumPartitions()
-    tasks = max(TASKS_A_CORE * spark.sparkContext.defaultParallelism, -(-n // PARTITIONS_A_TASK))
+    tasks = max(TASKS_A_CORE * cores, -(-n // PARTITIONS_A_TASK))
     return found.coalesce(tasks) if n > tasks else found
 
 
+def _partitions(spark: SparkSession, files: DataFrame) -> int:
+    """About as many as Spark would make of so many files: each costs its bytes and those
+    for which one could be opened."""
+    conf = spark._jsparkSession.sessionState().conf()
+    most, opening = conf.filesMaxPartitionBytes(), conf.filesOpenCostInBytes()
+    n, size = files.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    total = size + n * opening
+    most = min(most, max(opening, total // spark.sparkContext.defaultParallelism))
+    return min(n, -(-total // max(1, most)))
+
+
 def read(spark: SparkSession, path: str, parser, pattern: str = "*") -> DataFrame:
     """The outputs below a folder by one of the parsers here, as `read(spark, folder,
     screen, "*_screen.txt")`. All files are parsed in one scan."""
