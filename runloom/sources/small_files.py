@@ -21,6 +21,8 @@ from .shared import cut
 
 #: Rows and bytes of a batch.
 BATCH, BATCH_BYTES = 1024, 1 << 25
+#: Bytes that are read in the time in which a file is opened.
+OPENING = 1 << 17
 #: Tasks for each core that list folders.
 LISTERS_A_CORE = 4
 LISTED = pa.schema([("place", pa.string()), ("length", pa.int64()), ("folder", pa.bool_())])
