@@ -28,8 +28,8 @@ def read_texts(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     mounted folders by the tasks themselves.
 
     Spark makes a partition of 32 small files; a task costs more than that, above all its
-    part in every shuffle behind. So a task takes up to 1,024 of them, or 4 GB of larger
-    ones, once all cores have enough to do."""
+    part in every shuffle behind. So a task takes up to 1,024 of them (32,768 that it
+    opens itself), or 4 GB of larger ones, once all cores have enough to do."""
     cores = spark.sparkContext.defaultParallelism
     folder = small_files.folder_of(spark, path, pattern) if pattern.endswith(PLAIN) else None
     if folder is not None:
