@@ -28,7 +28,7 @@ LISTERS_A_CORE = 4
 LISTED = pa.schema([("place", pa.string()), ("length", pa.int64()), ("folder", pa.bool_())])
 TEXTS = pa.schema([("file", pa.string()), ("content", pa.binary())])
 #: Characters that Spark's paths don't escape; of those beyond ASCII, spaces and controls are.
-ESCAPED = re.compile(r'[\x00-\x20"#%<>?\[\\\]^`{|}\x7f-\xa0  -     　]')
+ESCAPED = re.compile(r'[\x00-\x20"#%<>?\[\\\]^`{|}\x7f-\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]')
 
 
 def folder_of(spark: SparkSession, path: str, pattern: str) -> str | None:
